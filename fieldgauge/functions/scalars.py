@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import operator
+from functools import reduce
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -50,14 +52,30 @@ def literal_array(values: list, element_type: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), f"array<{element_type}>")
 
 
-def count_at_or_below(value: Column, cuts: Column, n_cuts: int) -> Column:
-    """How many of the ascending ``cuts`` are <= value, by binary search."""
-    steps = [1 << p for p in range(max(n_cuts, 1).bit_length() - 1, -1, -1)]
-    return F.aggregate(
+LINEAR_SEARCH_LIMIT = 32
+
+
+def count_at_or_below(value: Column, cuts: list[float]) -> Column:
+    """How many of the ascending ``cuts`` are <= value; 0 for NULL, never NULL itself.
+
+    A few comparisons compile to straight code; a long list is searched by halving.
+    """
+    if not cuts:
+        return F.lit(0)
+    if len(cuts) <= LINEAR_SEARCH_LIMIT:
+        return reduce(operator.add, [F.coalesce((value >= c).cast("int"), F.lit(0)) for c in cuts])
+    return count_in_array(value, literal_array(cuts, "double"), len(cuts))
+
+
+def count_in_array(value: Column, cuts: Column, longest: int) -> Column:
+    """``count_at_or_below`` for an array column of at most ``longest`` ascending cuts."""
+    steps = [1 << p for p in range(max(longest, 1).bit_length() - 1, -1, -1)]
+    found = F.aggregate(
         F.lit(steps),
         F.lit(0),
         lambda pos, step: F.when(F.get(cuts, pos + step - 1) <= value, pos + step).otherwise(pos),
     )
+    return F.coalesce(found, F.lit(0))
 
 
 def standardized(column: Column, mean: Column, deviation: Column) -> Column:

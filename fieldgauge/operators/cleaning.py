@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldgauge import schemas
+from fieldgauge.functions.evaluation_order import computed_once
 from fieldgauge.functions.scalars import nan_to_null, strict_cast
 
 # Bounds of plausible readings per class.
@@ -43,7 +44,7 @@ def cast_rejects(df: DataFrame, types: dict[str, str]) -> DataFrame:
     faults = [
         F.when(F.col(n).isNotNull() & F.col(n).try_cast(t).isNull(), F.lit(n)) for n, t in types.items()
     ]
-    listed = df.withColumn("bad_columns", F.array_compact(F.array(*faults)))
+    listed = computed_once(df, {"bad_columns": F.array_compact(F.array(*faults))})
     return listed.where(F.size("bad_columns") > 0)
 
 

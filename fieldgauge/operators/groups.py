@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import operator
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 GROUP_LIMIT = 10_000
 
@@ -17,6 +18,15 @@ def few_groups(df: DataFrame, keys: list[str], limit: int = GROUP_LIMIT) -> bool
     return not keys or df.select(*keys).distinct().limit(limit + 1).count() <= limit
 
 
+def matching_keys(left: DataFrame, keys: list[str], prefix: str) -> Column:
+    """``key = <prefix>key`` for all keys, NULL-safe for those that may be NULL."""
+    optional = {f.name: f.nullable for f in left.schema.fields}
+    parts = [
+        F.col(k).eqNullSafe(F.col(prefix + k)) if optional[k] else F.col(k) == F.col(prefix + k) for k in keys
+    ]
+    return reduce(operator.and_, parts)
+
+
 def with_group_stats(
     df: DataFrame, stats: DataFrame, keys: list[str], bounded: bool, how: str = "inner"
 ) -> DataFrame:
@@ -29,5 +39,4 @@ def with_group_stats(
         *[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in stats.columns if c not in keys]
     )
     side = F.broadcast(renamed) if bounded else renamed
-    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
-    return df.join(side, condition, how).drop(*[f"__k_{k}" for k in keys])
+    return df.join(side, matching_keys(df, keys, "__k_"), how).drop(*[f"__k_{k}" for k in keys])

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldgauge import schemas
+from fieldgauge.functions.evaluation_order import computed_once
 from fieldgauge.functions.payload import inputs_body, is_json, parse_inputs, parse_predictions, predictions_body
 from fieldgauge.functions.scalars import epoch_millis_to_timestamp
 
@@ -45,11 +46,12 @@ def successful(payload: DataFrame) -> DataFrame:
 
 def _parsed(payload: DataFrame, n_inputs: int) -> DataFrame:
     """Bodies parsed to arrays, with the reason why a request cannot be used."""
-    arrays = payload.withColumns(
+    arrays = computed_once(
+        payload,
         {
             "__inputs": parse_inputs(F.col("request"), n_inputs),
             "__predictions": parse_predictions(F.col("response")),
-        }
+        },
     )
     reason = (
         F.when(F.col("request").isNull(), NULL_REQUEST)
@@ -61,30 +63,34 @@ def _parsed(payload: DataFrame, n_inputs: int) -> DataFrame:
     return arrays.withColumn("__reason", reason)
 
 
-def _positions(parsed: DataFrame) -> DataFrame:
-    """One row per position of a usable request: the i-th input with the i-th prediction.
+def _positions(parsed: DataFrame, n_inputs: int, strict_arity: bool) -> DataFrame:
+    """One row per position, the i-th input with the i-th prediction, and its fault if any.
 
     A single explode of the zipped arrays; it also yields the positions that only the longer
-    of the two has. Lengths decide what is missing, as an array may hold a NULL.
+    of the two has. Lengths decide what is missing, as an array may hold a NULL. A request
+    that cannot be used stays one row without a position.
     """
+    pair = F.struct(
+        F.lit(None).cast("array<double>").alias("x"), F.lit(None).cast("int").alias("y")
+    )
     zipped = F.arrays_zip(F.col("__inputs").alias("x"), F.col("__predictions").alias("y"))
-    kept = [c for c in parsed.columns if c not in ("__inputs", "__predictions", "__reason", *BODY_COLUMNS)]
-    return parsed.where(F.col("__reason").isNull()).select(
+    usable = F.col("__reason").isNull()
+    kept = [c for c in parsed.columns if c not in ("__inputs", "__predictions", *BODY_COLUMNS)]
+    rows = parsed.select(
         *kept,
         F.size("__inputs").alias("__n_inputs"),
         F.size("__predictions").alias("__n_predictions"),
-        F.posexplode(zipped).alias(POSITION, "__pair"),
+        F.posexplode(F.when(usable, zipped).otherwise(F.array(pair))).alias("__at", "__pair"),
     )
-
-
-def _position_reason(n_inputs: int, strict_arity: bool) -> Column:
     width = F.coalesce(F.size("__pair.x"), F.lit(-1))
     wrong = (width != n_inputs) if strict_arity else (width < n_inputs)
-    return (
-        F.when(F.col(POSITION) >= F.col("__n_predictions"), SURPLUS_INPUT)
-        .when(F.col(POSITION) >= F.col("__n_inputs"), SURPLUS_PREDICTION)
+    fault = (
+        F.when(~usable, F.col("__reason"))
+        .when(F.col("__at") >= F.col("__n_predictions"), SURPLUS_INPUT)
+        .when(F.col("__at") >= F.col("__n_inputs"), SURPLUS_PREDICTION)
         .when(wrong, ARITY)
     )
+    return rows.withColumns({POSITION: F.when(usable, F.col("__at")), "__fault": fault})
 
 
 def unpack_inference_log(
@@ -106,11 +112,10 @@ def unpack_inference_log(
     if dedup not in ("request", "row"):
         raise ValueError("dedup is 'request' or 'row'")
     features = features or schemas.MODEL_INPUTS
-    parsed = _parsed(payload, len(features))
-    positions = _positions(parsed).withColumn("__reason", _position_reason(len(features), strict_arity))
+    positions = _positions(_parsed(payload, len(features)), len(features), strict_arity)
 
     through = [c for c in payload.columns if c not in (*BODY_COLUMNS, "timestamp_ms")]
-    flat = positions.where(F.col("__reason").isNull()).select(
+    flat = positions.where(F.col("__fault").isNull()).select(
         *through,
         POSITION,
         epoch_millis_to_timestamp(F.col("timestamp_ms"), whole_seconds).alias("timestamp_ms"),
@@ -126,13 +131,10 @@ def unpack_inference_log(
         clean = flat.drop(POSITION).dropDuplicates()
 
     identity = [c for c in (request_key, "date") if c in payload.columns]
-    whole = parsed.where(F.col("__reason").isNotNull()).select(
-        *identity, F.lit(None).cast("int").alias(POSITION), F.col("__reason").alias("reason")
-    )
-    single = positions.where(F.col("__reason").isNotNull()).select(
-        *identity, POSITION, F.col("__reason").alias("reason")
+    rejects = positions.where(F.col("__fault").isNotNull()).select(
+        *identity, POSITION, F.col("__fault").alias("reason")
     )
-    return clean, whole.unionByName(single).dropDuplicates()
+    return clean, rejects.dropDuplicates()
 
 
 def capture_scores(

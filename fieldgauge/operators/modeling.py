@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from fieldgauge import schemas
 from fieldgauge.operators.evaluation import best_trial, binary_metrics, mean_fold_metrics
 from fieldgauge.operators.splits import with_stratified_folds
+from fieldgauge.session import shuffle_partitions
 
 FOLD = "fold"
 PREDICTION = "prediction"
@@ -61,9 +62,16 @@ def tree(label: str = schemas.LABEL, **settings) -> DecisionTreeClassifier:
     )
 
 
-def train_tree(train: DataFrame, settings: dict | None = None) -> PipelineModel:
-    """Fit scaler and tree on the training rows."""
-    return Pipeline(stages=[*preparation_stages(), tree(**(settings or TREE_SETTINGS))]).fit(train)
+def train_tree(
+    train: DataFrame, settings: dict | None = None, partitions: int | None = None
+) -> PipelineModel:
+    """Fit scaler and tree on the training rows.
+
+    A tree reads its rows once per level, so they are first spread evenly, by default over
+    the shuffle partitions: a split of the table may sit in few or uneven files.
+    """
+    spread = train.repartition(partitions or shuffle_partitions(train.sparkSession))
+    return Pipeline(stages=[*preparation_stages(), tree(**(settings or TREE_SETTINGS))]).fit(spread)
 
 
 def random_trials(n: int = TRIALS, seed: int = SEED) -> list[dict]:
@@ -91,7 +99,7 @@ def tune_tree(
     train: DataFrame,
     points: list[dict] | None = None,
     folds: int = FOLDS,
-    parallelism: int = 4,
+    parallelism: int = 8,
     label: str = schemas.LABEL,
     key: str = schemas.KEY,
 ) -> TunedModel:

@@ -6,15 +6,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldgauge import schemas
 from fieldgauge.operators.descriptive import moments
-from fieldgauge.operators.groups import few_groups, with_group_stats
-from fieldgauge.operators.ordering import SLOT, running_sums
+from fieldgauge.operators.groups import GROUP_LIMIT, with_group_stats
 from fieldgauge.operators.quantiles import (
     QUARTILES,
+    cumulated,
     doubles,
     exact_quantiles,
+    table_shape,
     value_counts,
     value_edges,
-    with_value_slot,
 )
 
 # Columns and window length the monitor is set up with.
@@ -93,24 +93,22 @@ def ks_drift(
     """
     columns = shared_columns(baseline, log, columns)
     keyed = with_window(log, length)
-    edges = value_edges(doubles(baseline, columns, []).unionByName(doubles(log, columns, [])), columns)
+    everything = doubles(baseline, columns, []).unionByName(doubles(log, columns, []))
+    edges = value_edges(everything, columns, everything.count())
+    _, groups = table_shape(keyed, KEYS)
     counts = value_counts(keyed, columns, KEYS)
 
     seen = value_counts(baseline, columns, []).unionByName(
         counts.select("column", "value", F.lit(0).cast("bigint").alias("n"))
     )
     merged = seen.groupBy("column", "value").agg(F.sum("n").alias("b"))
-    reference = running_sums(
-        with_value_slot(merged, edges), {"b_upto": F.col("b")}, ["value"], [SLOT], ["column"]
-    ).select(
+    reference = cumulated(merged, edges, {"b_upto": "b"}, [], 1).select(
         "column",
         "value",
         _fraction(F.col("b_upto"), F.col("total_b_upto")).alias("b_at"),
         _fraction(F.col("b_upto") - F.col("b"), F.col("total_b_upto")).alias("b_before"),
     )
-    current = running_sums(
-        with_value_slot(counts, edges), {"upto": F.col("n")}, ["value"], [SLOT], [*KEYS, "column"]
-    )
+    current = cumulated(counts, edges, {"upto": "n"}, KEYS, groups)
     at = _fraction(F.col("upto"), F.col("total_upto"))
     before = _fraction(F.col("upto") - F.col("n"), F.col("total_upto"))
     gap = F.greatest(F.abs(at - F.col("b_at")), F.abs(before - F.col("b_before")))
@@ -197,9 +195,10 @@ def previous_window_drift(
     following = keyed.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("rows")).select(
         *KEYS, F.lead(START).over(in_time).alias("next_start")
     )
+    rows, groups = table_shape(keyed, KEYS)
     counts = value_counts(keyed, columns, KEYS)
     as_reference = (
-        with_group_stats(counts, following, KEYS, few_groups(keyed, KEYS))
+        with_group_stats(counts, following, KEYS, groups <= GROUP_LIMIT)
         .where(F.col("next_start").isNotNull())
         .select(
             F.col("next_start").alias(START), MODEL, "column", "value",
@@ -212,13 +211,8 @@ def previous_window_drift(
         .groupBy(*group, "value")
         .agg(F.sum("cur").alias("cur"), F.sum("ref").alias("ref"))
     )
-    ranked = running_sums(
-        with_value_slot(merged, value_edges(log, columns)),
-        {"cur_upto": F.col("cur"), "ref_upto": F.col("ref")},
-        ["value"],
-        [SLOT],
-        group,
-    )
+    edges = value_edges(log, columns, rows)
+    ranked = cumulated(merged, edges, {"cur_upto": "cur", "ref_upto": "ref"}, KEYS, groups)
     gap = F.abs(
         _fraction(F.col("cur_upto"), F.col("total_cur_upto"))
         - _fraction(F.col("ref_upto"), F.col("total_ref_upto"))

@@ -13,11 +13,18 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fieldgauge.functions.scalars import as_ordered_double, count_at_or_below, literal_array
+from fieldgauge.functions.scalars import (
+    as_ordered_double,
+    count_at_or_below,
+    count_in_array,
+    literal_array,
+)
+from fieldgauge.operators.groups import matching_keys
 from fieldgauge.session import shuffle_partitions
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 20_000
+BROADCAST_OFFSETS = 100_000  # rows of three or four numbers
 SAMPLE_PER_BUCKET = 100
 SAMPLE_SEED = 42
 
@@ -49,7 +56,7 @@ class RangeBuckets:
         types = {f.name: f.dataType for f in df.schema.fields}
         value = as_ordered_double(F.col(self.lead), types[self.lead])
         cuts = literal_array(self.cuts, "double")
-        below = count_at_or_below(value, cuts, len(self.cuts))
+        below = count_at_or_below(value, self.cuts)
         on_cut = F.coalesce(F.get(cuts, F.col("__below") - 1) == value, F.lit(False))
         tagged = df.withColumn("__below", below).withColumn(
             SLOT, 2 * F.col("__below") - on_cut.cast("int")
@@ -58,7 +65,7 @@ class RangeBuckets:
         if longest:
             inner = as_ordered_double(F.col(self.second), types[self.second])
             edges = F.get(literal_array(self.sub_cuts, "array<double>"), F.col("__below") - 1)
-            sub = F.when(F.col(SLOT) % 2 == 1, count_at_or_below(inner, edges, longest)).otherwise(0)
+            sub = F.when(F.col(SLOT) % 2 == 1, count_in_array(inner, edges, longest)).otherwise(0)
         else:
             sub = F.lit(0)
         return tagged.withColumn(SUB, sub).drop("__below")
@@ -116,7 +123,7 @@ def range_buckets(
     types = {f.name: f.dataType for f in df.schema.fields}
     lead_value = as_ordered_double(F.col(lead), types[lead])
     most = max(repeats[c] for c in heavy) + 1
-    position = count_at_or_below(lead_value, literal_array(heavy, "double"), len(heavy))
+    position = count_at_or_below(lead_value, heavy)
     found = (
         _sampled(df.select(lead, second), rows, buckets)
         .withColumn("__heavy", position)
@@ -161,11 +168,7 @@ def running_sums(
     offsets = _offsets(tagged, partition, bucket, sums)
     if offsets_are_small:
         offsets = F.broadcast(offsets)
-    same = [F.col(c).eqNullSafe(F.col(f"__b_{c}")) for c in partition]
-    same += [F.col(c) == F.col(f"__b_{c}") for c in bucket]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
+    condition = matching_keys(tagged, [*partition, *bucket], "__b_")
     inside = (
         Window.partitionBy(*partition, *bucket)
         .orderBy(*order_by)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldgauge.functions.scalars import count_at_or_below, literal_array
+from fieldgauge.functions.scalars import count_at_or_below
 from fieldgauge.operators.ordering import (
+    BROADCAST_OFFSETS,
     ROWS_PER_BUCKET,
     SLOT,
     bucket_count,
@@ -35,11 +36,19 @@ def value_counts(df: DataFrame, columns: list[str], keys: list[str]) -> DataFram
     )
 
 
+def table_shape(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """(rows, distinct key values), from one pass over the keys alone."""
+    if not keys:
+        return df.count(), 1
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    shape = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    return shape[0], shape[1]
+
+
 def value_edges(
-    df: DataFrame, columns: list[str], rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, columns: list[str], rows: int, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> dict[str, list[float]]:
     """Range edges of each column for ``with_value_slot``."""
-    rows = df.count()
     cuts = cut_points(doubles(df, columns, []), columns, bucket_count(df, rows, rows_per_bucket), rows)
     return {c: sorted(set(points)) for c, points in cuts.items()}
 
@@ -49,11 +58,25 @@ def with_value_slot(counts: DataFrame, edges: dict[str, list[float]]) -> DataFra
     slot: Column = F.lit(0)
     for name, points in edges.items():
         if points:
-            inside = count_at_or_below(F.col("value"), literal_array(points, "double"), len(points))
-            slot = F.when(F.col("column") == name, inside).otherwise(slot)
+            slot = F.when(F.col("column") == name, count_at_or_below(F.col("value"), points)).otherwise(slot)
     return counts.withColumn(SLOT, slot)
 
 
+def cumulated(
+    counts: DataFrame, edges: dict[str, list[float]], sums: dict[str, str], keys: list[str], groups: int
+) -> DataFrame:
+    """Running sums of count columns over the ascending values of each (keys, column)."""
+    offsets = groups * sum(len(points) + 1 for points in edges.values())
+    return running_sums(
+        with_value_slot(counts, edges),
+        {name: F.col(source) for name, source in sums.items()},
+        ["value"],
+        [SLOT],
+        [*keys, "column"],
+        offsets_are_small=offsets <= BROADCAST_OFFSETS,
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: list[str],
@@ -69,8 +92,9 @@ def exact_quantiles(
     keys = keys or []
     probabilities = probabilities or QUARTILES
     group = [*keys, "column"]
-    counts = with_value_slot(value_counts(df, columns, keys), value_edges(df, columns, rows_per_bucket))
-    ranked = running_sums(counts, {"upto": F.col("n")}, ["value"], [SLOT], group)
+    rows, groups = table_shape(df, keys)
+    edges = value_edges(df, columns, rows, rows_per_bucket)
+    ranked = cumulated(value_counts(df, columns, keys), edges, {"upto": "n"}, keys, groups)
 
     def value_at(rank: Column) -> Column:
         covered = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
