@@ -27,10 +27,14 @@ def value_counts(df: DataFrame, columns: list[str], keys: list[str]) -> DataFram
 
     Equal values are combined before the shuffle, so a value or a group that fills a third of
     the table costs one row per map task. NULL values are left out.
+
+    Rows are turned by ``inline``: several uses of the counts in one plan then share one
+    shuffle, which the expansion behind ``unpivot`` prevents.
     """
-    long = doubles(df, columns, keys).unpivot(keys, columns, "column", "value")
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     return (
-        long.where(F.col("value").isNotNull())
+        df.select(*keys, F.inline(F.array(*cells)))
+        .where(F.col("value").isNotNull())
         .groupBy(*keys, "column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
