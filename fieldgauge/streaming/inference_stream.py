@@ -23,7 +23,11 @@ def read_payload_stream(
 
 
 def without_repeats(payload: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Drop requests logged again within the lateness; state older than that is released."""
+    """Drop requests logged again within the lateness; state older than that is released.
+
+    A request that arrives later than the lateness is dropped as well. Where none may be lost,
+    leave this out: ``unpack_stream`` stores a repeated request only once by itself.
+    """
     timed = payload.withColumn("__at", F.timestamp_millis("timestamp_ms")).withWatermark("__at", lateness)
     return timed.dropDuplicatesWithinWatermark([REQUEST_KEY]).drop("__at")
 

@@ -439,7 +439,8 @@ def stream_daily_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, clean = fresh_path(spark, "payload"), fresh_path(spark, "clean")
-    payload(spark, sf_dir).write.parquet(source)
+    for _ in range(2):  # every request is logged twice
+        payload(spark, sf_dir).write.mode("append").parquet(source)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         unpacked, _ = inference_log.unpack_inference_log(inference_log.successful(batch))
