@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldgauge.operators.groups import few_groups, with_group_stats
+from fieldgauge.operators.ordering import ROWS_PER_BUCKET
 from fieldgauge.operators.quantiles import (
     QUARTILES,
     doubles,
@@ -45,14 +46,16 @@ def moments(df: DataFrame, columns: list[str], keys: list[str] | None = None) ->
     return long_rows(wide, keys, columns, list(measures))
 
 
-def describe_numeric(df: DataFrame, columns: list[str], quartiles: str = "exact") -> DataFrame:
+def describe_numeric(
+    df: DataFrame, columns: list[str], quartiles: str = "exact", rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
     """Count, mean, sample deviation, min, quartiles and max per column.
 
     ``quartiles="approx"`` reads the table once and sketches the quartiles instead.
     """
     basic = moments(df, columns)
     if quartiles == "exact":
-        quartile_rows = exact_quantiles(df, columns).select("column", *QUARTILES)
+        quartile_rows = exact_quantiles(df, columns, rows_per_bucket=rows_per_bucket).select("column", *QUARTILES)
     else:
         points = F.array(*[F.lit(p) for p in QUARTILES.values()])
         wide = doubles(df, columns, []).agg(
@@ -168,13 +171,19 @@ def density_by_class(
     )
 
 
-def box_stats(df: DataFrame, columns: list[str], label: str, reach: float = 1.5) -> DataFrame:
+def box_stats(
+    df: DataFrame,
+    columns: list[str],
+    label: str,
+    reach: float = 1.5,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
     """(column, label, n, q1, median, q3, whisker_low, whisker_high, outliers) per class.
 
     Whiskers end at the last value within ``reach`` interquartile ranges of the box.
     """
     group = ["column", label]
-    boxes = exact_quantiles(df, columns, [label]).select(
+    boxes = exact_quantiles(df, columns, [label], rows_per_bucket=rows_per_bucket).select(
         *group, F.col("p25").alias("q1"), F.col("p50").alias("median"), F.col("p75").alias("q3")
     )
     margin = reach * (F.col("q3") - F.col("q1"))

@@ -7,12 +7,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fieldgauge import schemas
 from fieldgauge.operators.descriptive import moments
 from fieldgauge.operators.groups import GROUP_LIMIT, with_group_stats
+from fieldgauge.operators.ordering import ROWS_PER_BUCKET
 from fieldgauge.operators.quantiles import (
     QUARTILES,
     cumulated,
     doubles,
     exact_quantiles,
-    table_shape,
+    group_count,
     value_counts,
     value_edges,
 )
@@ -36,11 +37,17 @@ def with_window(log: DataFrame, length: str = WINDOW_LENGTH) -> DataFrame:
     return log.withColumn(START, F.window(TIME, length)["start"])
 
 
-def window_profile(log: DataFrame, columns: list[str], length: str = WINDOW_LENGTH) -> DataFrame:
+def window_profile(
+    log: DataFrame,
+    columns: list[str],
+    length: str = WINDOW_LENGTH,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
     """Per window, model and column: counts, distinct values, extremes, moments and quartiles."""
     keyed = with_window(log, length)
     basic = moments(keyed, columns, KEYS)
-    ranks = exact_quantiles(keyed, columns, KEYS).select(*KEYS, "column", "n_distinct", *QUARTILES)
+    found = exact_quantiles(keyed, columns, KEYS, rows_per_bucket=rows_per_bucket)
+    ranks = found.select(*KEYS, "column", "n_distinct", *QUARTILES)
     joined = with_group_stats(basic, ranks, [*KEYS, "column"], bounded=False, how="left")
     return joined.select(
         *KEYS, "column", "n", "nulls", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
@@ -82,7 +89,11 @@ def _fraction(part: Column, whole: Column) -> Column:
 
 
 def ks_drift(
-    baseline: DataFrame, log: DataFrame, columns: list[str], length: str = WINDOW_LENGTH
+    baseline: DataFrame,
+    log: DataFrame,
+    columns: list[str],
+    length: str = WINDOW_LENGTH,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Per window, model and column: two-sample Kolmogorov-Smirnov statistic.
 
@@ -94,8 +105,8 @@ def ks_drift(
     columns = shared_columns(baseline, log, columns)
     keyed = with_window(log, length)
     everything = doubles(baseline, columns, []).unionByName(doubles(log, columns, []))
-    edges = value_edges(everything, columns, everything.count())
-    _, groups = table_shape(keyed, KEYS)
+    edges = value_edges(everything, columns, everything.count(), rows_per_bucket)
+    groups = group_count(keyed, KEYS) if edges else 1
     counts = value_counts(keyed, columns, KEYS)
 
     seen = value_counts(baseline, columns, []).unionByName(
@@ -125,6 +136,7 @@ def psi_drift(
     columns: list[str],
     bins: int = 10,
     length: str = WINDOW_LENGTH,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Per window, model and column: population stability index over baseline quantile bins.
 
@@ -132,7 +144,7 @@ def psi_drift(
     """
     columns = shared_columns(baseline, log, columns)
     points = {f"q{i}": i / bins for i in range(1, bins)}
-    edges = exact_quantiles(baseline, columns, [], points).select(
+    edges = exact_quantiles(baseline, columns, [], points, rows_per_bucket).select(
         "column", F.array(*points).alias("edges")
     )
 
@@ -181,7 +193,10 @@ def class_drift(baseline: DataFrame, log: DataFrame, length: str = WINDOW_LENGTH
 
 
 def previous_window_drift(
-    log: DataFrame, columns: list[str], length: str = WINDOW_LENGTH
+    log: DataFrame,
+    columns: list[str],
+    length: str = WINDOW_LENGTH,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Per window, model and column: change of mean and KS statistic since the window before.
 
@@ -195,7 +210,7 @@ def previous_window_drift(
     following = keyed.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("rows")).select(
         *KEYS, F.lead(START).over(in_time).alias("next_start")
     )
-    rows, groups = table_shape(keyed, KEYS)
+    groups = group_count(keyed, KEYS)
     counts = value_counts(keyed, columns, KEYS)
     as_reference = (
         with_group_stats(counts, following, KEYS, groups <= GROUP_LIMIT)
@@ -211,7 +226,7 @@ def previous_window_drift(
         .groupBy(*group, "value")
         .agg(F.sum("cur").alias("cur"), F.sum("ref").alias("ref"))
     )
-    edges = value_edges(log, columns, rows)
+    edges = value_edges(log, columns, log.count(), rows_per_bucket)
     ranked = cumulated(merged, edges, {"cur_upto": "cur", "ref_upto": "ref"}, KEYS, groups)
     gap = F.abs(
         _fraction(F.col("cur_upto"), F.col("total_cur_upto"))

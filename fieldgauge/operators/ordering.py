@@ -19,12 +19,13 @@ from fieldgauge.functions.scalars import (
     count_in_array,
     literal_array,
 )
-from fieldgauge.operators.groups import matching_keys
+from fieldgauge.operators.groups import few_groups, matching_keys
 from fieldgauge.session import shuffle_partitions
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 20_000
-BROADCAST_OFFSETS = 100_000  # rows of three or four numbers
+BROADCAST_OFFSETS = 200_000  # rows of a few short values each
+HASH_DIGITS = 4
 SAMPLE_PER_BUCKET = 100
 SAMPLE_SEED = 42
 
@@ -160,11 +161,19 @@ def running_sums(
 
     Each sum ``x`` comes with ``total_x``, its total over the partition.
 
-    ``tagged`` carries the bucket columns, which must ascend with ``order_by``.
+    ``tagged`` carries the bucket columns, which must ascend with ``order_by``; without any,
+    each partition must be known to fit one task.
     ``offsets_are_small`` says that the number of buckets is bounded, so that the offsets
     may be broadcast; otherwise Spark chooses the join.
     """
     partition = partition or []
+    if not bucket:
+        whole = Window.partitionBy(*partition)
+        upto = whole.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return tagged.withColumns(
+            {n: F.sum(c).over(upto) for n, c in sums.items()}
+            | {f"total_{n}": F.sum(c).over(whole) for n, c in sums.items()}
+        )
     offsets = _offsets(tagged, partition, bucket, sums)
     if offsets_are_small:
         offsets = F.broadcast(offsets)
@@ -198,6 +207,15 @@ def number_by_hash(
 
     A digest is uniform, so its first digits serve as the buckets.
     """
-    tagged = df.withColumn(SLOT, F.coalesce(F.substring(digest, 1, 4), F.lit("")))
-    numbered = running_sums(tagged, {name: F.lit(1)}, [digest, *tie], [SLOT], partition)
+    partition = partition or []
+    buckets = 16**HASH_DIGITS
+    tagged = df.withColumn(SLOT, F.coalesce(F.substring(digest, 1, HASH_DIGITS), F.lit("")))
+    numbered = running_sums(
+        tagged,
+        {name: F.lit(1)},
+        [digest, *tie],
+        [SLOT],
+        partition,
+        offsets_are_small=few_groups(df, partition, BROADCAST_OFFSETS // buckets),
+    )
     return numbered.drop(SLOT)

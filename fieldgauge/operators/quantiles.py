@@ -40,19 +40,17 @@ def value_counts(df: DataFrame, columns: list[str], keys: list[str]) -> DataFram
     )
 
 
-def table_shape(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """(rows, distinct key values), from one pass over the keys alone."""
-    if not keys:
-        return df.count(), 1
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    shape = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    return shape[0], shape[1]
+def group_count(df: DataFrame, keys: list[str]) -> int:
+    """Distinct values of the keys, combined before the shuffle."""
+    return df.select(*keys).distinct().count() if keys else 1
 
 
 def value_edges(
     df: DataFrame, columns: list[str], rows: int, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> dict[str, list[float]]:
-    """Range edges of each column for ``with_value_slot``."""
+    """Range edges of each column for ``with_value_slot``; none if all rows fit one bucket."""
+    if rows <= rows_per_bucket:
+        return {}
     cuts = cut_points(doubles(df, columns, []), columns, bucket_count(df, rows, rows_per_bucket), rows)
     return {c: sorted(set(points)) for c, points in cuts.items()}
 
@@ -70,10 +68,13 @@ def cumulated(
     counts: DataFrame, edges: dict[str, list[float]], sums: dict[str, str], keys: list[str], groups: int
 ) -> DataFrame:
     """Running sums of count columns over the ascending values of each (keys, column)."""
+    columns = {name: F.col(source) for name, source in sums.items()}
+    if not edges:
+        return running_sums(counts, columns, ["value"], [], [*keys, "column"])
     offsets = groups * sum(len(points) + 1 for points in edges.values())
     return running_sums(
         with_value_slot(counts, edges),
-        {name: F.col(source) for name, source in sums.items()},
+        columns,
         ["value"],
         [SLOT],
         [*keys, "column"],
@@ -96,8 +97,8 @@ def exact_quantiles(
     keys = keys or []
     probabilities = probabilities or QUARTILES
     group = [*keys, "column"]
-    rows, groups = table_shape(df, keys)
-    edges = value_edges(df, columns, rows, rows_per_bucket)
+    edges = value_edges(df, columns, df.count(), rows_per_bucket)
+    groups = group_count(df, keys) if edges else 1
     ranked = cumulated(value_counts(df, columns, keys), edges, {"upto": "n"}, keys, groups)
 
     def value_at(rank: Column) -> Column:

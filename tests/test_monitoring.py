@@ -47,9 +47,10 @@ def test_baseline_types(tables):
     assert types["Occupancy"] == "double" and types["model_id"] == "int"
 
 
-def test_ks_against_baseline(tables):
+@pytest.mark.parametrize("rows_per_bucket", [40, 10_000])
+def test_ks_against_baseline(tables, rows_per_bucket):
     base, log, baseline, logged = tables
-    got = by_key(monitoring.ks_drift(baseline, logged, ["Temperature", "Humidity"]))
+    got = by_key(monitoring.ks_drift(baseline, logged, ["Temperature", "Humidity"], rows_per_bucket=rows_per_bucket))
     for day, model in keys(log):
         sample = [r[2] for r in group(log, day, model)]
         row = got[((DAY + dt.timedelta(days=day)).date(), model)]
@@ -57,9 +58,10 @@ def test_ks_against_baseline(tables):
         assert row["ks"] == pytest.approx(ks(sample, [r[0] for r in base]), abs=1e-12)
 
 
-def test_change_since_previous_window_skips_gaps(tables):
+@pytest.mark.parametrize("rows_per_bucket", [40, 10_000])
+def test_change_since_previous_window_skips_gaps(tables, rows_per_bucket):
     _, log, _, logged = tables
-    got = by_key(monitoring.previous_window_drift(logged, ["Temperature"]))
+    got = by_key(monitoring.previous_window_drift(logged, ["Temperature"], rows_per_bucket=rows_per_bucket))
     assert len(got) == 4
     for (before, day), model in [((0, 1), 0), ((0, 1), 1), ((1, 3), 0), ((1, 3), 1)]:
         new, old = ([r[2] for r in group(log, d, model)] for d in (day, before))
@@ -69,9 +71,10 @@ def test_change_since_previous_window_skips_gaps(tables):
         assert row["mean_delta"] == pytest.approx(np.mean(new) - np.mean(old))
 
 
-def test_stability_index(tables):
+@pytest.mark.parametrize("rows_per_bucket", [40, 10_000])
+def test_stability_index(tables, rows_per_bucket):
     base, log, baseline, logged = tables
-    got = by_key(monitoring.psi_drift(baseline, logged, ["Temperature"], bins=4))
+    got = by_key(monitoring.psi_drift(baseline, logged, ["Temperature"], bins=4, rows_per_bucket=rows_per_bucket))
     reference = [r[0] for r in base]
     edges = np.quantile(reference, [0.25, 0.5, 0.75])
 

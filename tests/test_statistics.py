@@ -21,7 +21,7 @@ def sample(spark):
 def test_describe_exact_and_approximate(sample):
     data, df = sample
     xs = [r[1] for r in data]
-    row = {r["column"]: r for r in descriptive.describe_numeric(df, ["x", "y"]).collect()}["x"]
+    row = {r["column"]: r for r in descriptive.describe_numeric(df, ["x", "y"], rows_per_bucket=50).collect()}["x"]
     assert row["count"] == len(xs)
     assert row["mean"] == pytest.approx(np.mean(xs)) and row["std"] == pytest.approx(np.std(xs, ddof=1))
     for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
@@ -51,10 +51,11 @@ def test_density_moves_only_grid_sums(sample):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_box_whiskers_and_outliers(spark):
+@pytest.mark.parametrize("rows_per_bucket", [2, 100])
+def test_box_whiskers_and_outliers(spark, rows_per_bucket):
     values = [1.0, 2.0, 3.0, 4.0, 5.0, 100.0, -50.0]
     df = spark.createDataFrame([(0, v) for v in values] + [(1, 3.0)], "label int, x double")
-    boxes = {r["label"]: r for r in descriptive.box_stats(df, ["x"], "label").collect()}
+    boxes = {r["label"]: r for r in descriptive.box_stats(df, ["x"], "label", rows_per_bucket=rows_per_bucket).collect()}
     q1, median, q3 = np.quantile(values, [0.25, 0.5, 0.75])
     box = boxes[0]
     assert (box["q1"], box["median"], box["q3"]) == (q1, median, q3)
