@@ -15,7 +15,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
 from fieldgauge import schemas
-from fieldgauge.operators.evaluation import best_trial, binary_metrics, mean_fold_metrics
+from fieldgauge.operators.evaluation import binary_metrics, mean_fold_metrics
 from fieldgauge.operators.splits import with_stratified_folds
 from fieldgauge.session import shuffle_partitions
 
@@ -145,10 +145,6 @@ def tune_tree(
     return TunedModel(model, mean_fold_metrics(per_fold), best, prepared)
 
 
-def best_of(trials: DataFrame) -> DataFrame:
-    return best_trial(trials)
-
-
 def score(df: DataFrame, model: PipelineModel, keep: list[str] | None = None) -> DataFrame:
     """Add the int ``prediction`` to the rows, or to the listed columns of them."""
     wanted = keep or df.columns

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldgauge.operators.features import key_violations, upsert
+from fieldgauge.session import fresh_path
 
 
 def read_table(spark: SparkSession, name: str, format: str | None = None) -> DataFrame:
@@ -63,28 +64,31 @@ def upsert_table(
 ) -> str:
     """Merge the source into a keyed table, or create the table if there is none.
 
-    The merged rows go to a new folder below ``location`` and the table is then pointed at
-    it: readers see the old or the new table, and nothing reads the folder being written.
-    Returns ``"created"`` or ``"merged"``. Only a missing table leads to creation; any other
+    The source is computed once, stored, and its key checked on the stored column. The merged
+    rows go to a new folder below ``location`` and the table is then pointed at it: readers
+    see the old or the new table, and nothing reads the folder being written. Returns ``"created"`` or ``"merged"``. Only a missing table leads to creation; any other
     failure is raised.
     """
     spark = source.sparkSession
-    assert_unique_key(source, keys)
     exists = spark.catalog.tableExists(name)
-    merged = upsert(spark.read.table(name), source, keys) if exists else source
-    folder = f"{location.rstrip('/')}/{uuid.uuid4().hex}"
-    merged.write.parquet(folder)
+    fresh = f"{location.rstrip('/')}/{uuid.uuid4().hex}"
+    folder = fresh_path(spark, "upsert-source") if exists else fresh
+    source.write.parquet(folder)
+    staged = spark.read.parquet(folder)
+    assert_unique_key(staged, keys)
     if exists:
+        merged = upsert(spark.read.table(name), staged, keys)
+        merged.write.parquet(fresh)
         known = spark.read.table(name).schema.fieldNames()
         added = [f for f in merged.schema.fields if f.name not in known]
         if added:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
         spark.catalog.refreshTable(name)
         return "merged"
     spark.catalog.createTable(
-        name, path=folder, source="parquet", schema=merged.schema, description=description
+        name, path=fresh, source="parquet", schema=staged.schema, description=description
     )
     set_properties(spark, name, {"primary_key": ",".join(keys), **(properties or {})})
     return "created"

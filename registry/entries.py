@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldgauge import schemas
-from fieldgauge.operators import cleaning, descriptive, evaluation, features, gates, inference_log
+from fieldgauge.operators import changes, cleaning, descriptive, evaluation, features, gates, inference_log
 from fieldgauge.operators import modeling, monitoring, quantiles, splits
-from fieldgauge.operators.changes import snapshot_changes
 from fieldgauge.session import fresh_path
 from fieldgauge.sources import csv_files, tables
 from fieldgauge.streaming import inference_stream
@@ -16,7 +17,6 @@ from registry.views import (
     payload,
     prediction_log,
     predictions,
-    r6,
     readings,
     rounded,
     rule_prediction,
@@ -171,7 +171,7 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(keyed, *SENSORS)
 
 
-def surrogate_key_shared_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def surrogate_key_hot_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     ranked = orders.select(F.ascii("o_orderstatus").alias("status"), "o_orderkey", "o_totalprice")
     keyed = features.add_surrogate_key(ranked, ["status", "o_orderkey"])
@@ -193,18 +193,27 @@ def feature_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_to(features.upsert(stored, delivery, ["o_orderkey"]), 2, "o_totalprice")
 
 
+def feature_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge through a catalog table: created, then merged."""
+    stored, delivery = _order_update(spark, sf_dir)
+    name, location = f"orders_{uuid.uuid4().hex}", fresh_path(spark, "orders")
+    for part in (stored, delivery):
+        tables.upsert_table(part, name, ["o_orderkey"], location)
+    return _rounded_to(tables.read_table(spark, name), 2, "o_totalprice")
+
+
 def key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.key_violations(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-def snapshot_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     before = orders.where(F.col("o_orderstatus") != "P")
     urgent = F.col("o_orderpriority") == "1-URGENT"
     after = orders.where(F.col("o_orderpriority") != "5-LOW").withColumn(
         "o_totalprice", F.when(urgent, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
     )
-    return _rounded_to(snapshot_changes(before, after, ["o_orderkey"]), 2, "o_totalprice")
+    return _rounded_to(changes.snapshot_changes(before, after, ["o_orderkey"]), 2, "o_totalprice")
 
 
 def feature_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,7 +348,7 @@ def static_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def champion_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The label-free rule against the worse of two trivial models, predicting all negative."""
+    """The fixed rule against a champion that always predicts the negative class."""
     judged = predictions(spark, sf_dir)
     champion = evaluation.binary_metrics(judged.withColumn("prediction", F.lit(0)))
     gate = gates.champion_gate(evaluation.binary_metrics(judged), champion)
@@ -422,7 +431,10 @@ def tree_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tree_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = splits.split_parts(features.training_frame(_keyed(spark, sf_dir)))
-    return modeling.tune_tree(parts[splits.TRAIN]).trials
+    tuned, path = modeling.tune_tree(parts[splits.TRAIN]), fresh_path(spark, "trials")
+    tuned.trials.write.parquet(path)
+    tuned.release()
+    return spark.read.parquet(path)
 
 
 # --- streams -----------------------------------------------------------------------------
@@ -480,10 +492,11 @@ QUERIES = {
         lineitem_corr,
         lineitem_group_quantiles,
         surrogate_key,
-        surrogate_key_shared_dates,
+        surrogate_key_hot_lead,
         feature_upsert,
+        feature_upsert_table,
         key_check,
-        snapshot_change_rows,
+        snapshot_changes,
         feature_lookup,
         training_rename,
         split_counts,

@@ -247,8 +247,6 @@ SELECT window_start, model_id, "column", m.n, d.previous_start, {r('m.mean - q.m
 FROM means m JOIN days d USING (window_start, model_id) JOIN ks USING (window_start, model_id, "column")
 JOIN means q ON q.window_start = d.previous_start AND q.model_id = m.model_id AND q."column" = m."column" """
 
-GATE_COLUMNS = "metric, {c} AS candidate, {b} AS champion"
-
 ORACLES = {
     "gold_class_counts": f"WITH {GOLD_ROWS} SELECT Occupancy, count(*) AS n FROM gold GROUP BY 1",
     "gold_rows": f"WITH {GOLD_ROWS} SELECT {rs(SENSORS)}, Occupancy FROM gold",
@@ -288,13 +286,13 @@ SELECT epoch_us(date_trunc('second', date)) // 1000 AS at_ms, {rs(SENSORS)}, Occ
 FROM ({long('lineitem', LINE_NUMBERS, ['l_returnflag', 'l_linestatus'])}) GROUP BY 1, 2, 3""",
     "surrogate_key": f"""WITH {READINGS}
 SELECT row_number() OVER (ORDER BY date, event_id) AS Id, event_id, {rs(SENSORS)}, Occupancy FROM readings""",
-    "surrogate_key_shared_dates": f"""SELECT row_number() OVER (ORDER BY ascii(o_orderstatus), o_orderkey) AS Id,
+    "surrogate_key_hot_lead": f"""SELECT row_number() OVER (ORDER BY ascii(o_orderstatus), o_orderkey) AS Id,
   ascii(o_orderstatus) AS status, o_orderkey, {r('o_totalprice')} AS o_totalprice FROM orders""",
     "feature_upsert": f"""SELECT o_orderkey, o_orderstatus,
   {r("CASE WHEN o_orderstatus IN ('O', 'P') THEN o_totalprice + 1 ELSE o_totalprice END", 2)} AS o_totalprice FROM orders""",
     "key_check": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2
 HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",
-    "snapshot_change_rows": f"""WITH b AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'),
+    "snapshot_changes": f"""WITH b AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'),
 a AS (SELECT * REPLACE (CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
       FROM orders WHERE o_orderpriority <> '5-LOW'),
 c AS (
@@ -390,3 +388,4 @@ FROM ({long('log', INPUTS, DAY_KEYS)}) GROUP BY 1, 2, 3""",
     "stream_unpacked": f"""WITH {REQUESTS} SELECT request_id, day AS date, pos, request_ms AS timestamp_ms,
   {UNPACKED_COLUMNS} FROM positions WHERE {USABLE}""",
 }
+ORACLES["feature_upsert_table"] = ORACLES["feature_upsert"]
