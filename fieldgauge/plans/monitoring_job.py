@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 from fieldgauge import schemas
 from fieldgauge.operators import monitoring
@@ -22,10 +22,10 @@ def process_day(
     as_of: dt.date | str | None = None,
 ) -> None:
     """Unpack one day of requests and append what is not stored yet."""
-    clean, rejects = unpack_inference_log(read_inference_log(read_table(spark, payload_table), as_of))
-    append_new_rows(clean, clean_table, [REQUEST_KEY, POSITION], "date")
-    marked = rejects.withColumn(POSITION, F.coalesce(POSITION, F.lit(-1)))
-    append_new_rows(marked, reject_table, [REQUEST_KEY, POSITION, "reason"], "date")
+    requests = read_inference_log(read_table(spark, payload_table), as_of)
+    clean, rejects = unpack_inference_log(requests)
+    append_new_rows(clean, clean_table, [REQUEST_KEY, POSITION], "date", requests)
+    append_new_rows(rejects, reject_table, [REQUEST_KEY, POSITION, "reason"], "date", requests)
 
 
 def refresh_monitor(spark: SparkSession, clean_table: str, baseline_table: str, prefix: str) -> list[str]:

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldgauge.operators.features import key_violations, upsert
+from fieldgauge.operators.groups import matching_keys
 from fieldgauge.session import fresh_path
 
 
@@ -66,7 +67,9 @@ def upsert_table(
 
     The source is computed once, stored, and its key checked on the stored column. The merged
     rows go to a new folder below ``location`` and the table is then pointed at it: readers
-    see the old or the new table, and nothing reads the folder being written. Returns ``"created"`` or ``"merged"``. Only a missing table leads to creation; any other
+    see the old or the new table, and nothing reads the folder being written.
+
+    Returns ``"created"`` or ``"merged"``. Only a missing table leads to creation; any other
     failure is raised.
     """
     spark = source.sparkSession
@@ -94,23 +97,39 @@ def upsert_table(
     return "created"
 
 
-def new_rows(batch: DataFrame, existing: DataFrame, keys: list[str], partition: str | None = None) -> DataFrame:
-    """Rows of the batch whose key is not stored yet.
+def new_rows(
+    batch: DataFrame,
+    existing: DataFrame,
+    keys: list[str],
+    partition: str | None = None,
+    bounds_from: DataFrame | None = None,
+) -> DataFrame:
+    """Rows of the batch whose key is not stored yet; a NULL in a key equals a stored NULL.
 
     With ``partition`` only the stored partitions between the batch's first and last value
     are read, so the cost of a daily append follows the day and not the whole history.
+    ``bounds_from`` is a cheaper table to take these two values from, such as the one the
+    batch was derived from; it must hold every partition value of the batch.
     """
     if partition:
-        first = batch.agg(F.min(partition)).scalar()
-        last = batch.agg(F.max(partition)).scalar()
-        existing = existing.where(F.col(partition).between(first, last))
+        ends = (batch if bounds_from is None else bounds_from).select(partition)
+        first, last = ends.agg(F.min(partition)).scalar(), ends.agg(F.max(partition)).scalar()
+        stored = F.col(partition)
+        existing = existing.where(stored.between(first, last) | stored.isNull())
         keys = [partition, *[k for k in keys if k != partition]]
-    return batch.join(existing.select(*keys), keys, "left_anti")
+    stored_keys = existing.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+    return batch.join(stored_keys, matching_keys(batch, keys, "__k_"), "left_anti")
 
 
-def append_new_rows(batch: DataFrame, name: str, keys: list[str], partition: str | None = None) -> None:
+def append_new_rows(
+    batch: DataFrame,
+    name: str,
+    keys: list[str],
+    partition: str | None = None,
+    bounds_from: DataFrame | None = None,
+) -> None:
     """Append that may be repeated: rows already stored are left out."""
     spark = batch.sparkSession
     if spark.catalog.tableExists(name):
-        batch = new_rows(batch, spark.read.table(name), keys, partition)
+        batch = new_rows(batch, spark.read.table(name), keys, partition, bounds_from)
     append_table(batch, name, [partition] if partition else None)

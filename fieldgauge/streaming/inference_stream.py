@@ -44,9 +44,8 @@ def unpack_stream(
         batch.persist()
         try:
             clean, rejects = unpack_inference_log(successful(batch))
-            append_new_rows(clean, clean_table, [REQUEST_KEY, POSITION], "date")
-            marked = rejects.withColumn(POSITION, F.coalesce(POSITION, F.lit(-1)))
-            append_new_rows(marked, reject_table, [REQUEST_KEY, POSITION, "reason"], "date")
+            append_new_rows(clean, clean_table, [REQUEST_KEY, POSITION], "date", batch)
+            append_new_rows(rejects, reject_table, [REQUEST_KEY, POSITION, "reason"], "date", batch)
         finally:
             batch.unpersist()
 

@@ -1,5 +1,7 @@
+import re
+
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -133,6 +135,14 @@ def test_append_twice_stores_rows_once(spark):
     assert spark.read.table("processed_t").count() == 3
     pruned = tables.new_rows(batch.where("request_id = 'r2'"), spark.read.table("processed_t"), ["request_id", "pos"], "date")
     assert pruned.count() == 0
+    assert re.search(r"PartitionFilters: \[\(+date#\d+ >= Subquery", plan(pruned))
+
+
+def test_append_compares_missing_key_parts(spark):
+    batch = spark.createDataFrame([("r1", None, None), ("r2", None, "d")], "request_id string, pos int, day string")
+    for _ in range(2):
+        tables.append_new_rows(batch, "null_keys_t", ["request_id", "pos"], "day")
+    assert spark.read.table("null_keys_t").count() == 2
 
 
 def test_missing_table_and_overwrite_with_new_schema(spark):
