@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
+import math
 import random
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
 from fieldgauge import schemas
-from fieldgauge.operators.evaluation import binary_metrics, mean_fold_metrics
+from fieldgauge.operators.evaluation import best_trial, binary_metrics, mean_fold_metrics
 from fieldgauge.operators.splits import with_stratified_folds
-from fieldgauge.session import shuffle_partitions
+from fieldgauge.session import fresh_path, shuffle_partitions
 
 FOLD = "fold"
 PREDICTION = "prediction"
@@ -34,18 +34,17 @@ LEAF_RANGE = (1, 20)
 TRIALS = 10
 FOLDS = 5
 SEED = 42
+# Below this many rows per partition a level of a tree costs more in tasks than in work.
+ROWS_PER_TASK = 50_000
 
 
 @dataclass
 class TunedModel:
+    """Refitted model, (params, metric, value) rows of all trials, and the name of the best."""
+
     model: PipelineModel
     trials: DataFrame
     best: str
-    trained_on: DataFrame
-
-    def release(self) -> None:
-        """Drop the cached training rows once ``trials`` has been written."""
-        self.trained_on.unpersist()
 
 
 def preparation_stages(features: list[str] | None = None) -> list:
@@ -95,6 +94,39 @@ def trial_name(index: int, point: dict) -> str:
     return f"{index:02d}:{settings}"
 
 
+def _fold_models(
+    prepared: DataFrame, points: list[dict], folds: int, parallelism: int, label: str
+) -> dict[tuple[int, int], DecisionTreeClassificationModel]:
+    """A model per point and left-out fold; several Spark jobs run at a time."""
+
+    def fit(job: tuple[int, int]) -> DecisionTreeClassificationModel:
+        point, fold = job
+        return tree(label, **points[point]).fit(prepared.where(F.col(FOLD) != fold))
+
+    jobs = [(point, fold) for point in range(len(points)) for fold in range(folds)]
+    run = inheritable_thread_target(prepared.sparkSession)(fit)
+    with ThreadPool(parallelism) as pool:
+        return dict(zip(jobs, pool.map(run, jobs, chunksize=1)))
+
+
+def _judged_folds(
+    prepared: DataFrame, models: dict, names: list[str], folds: int, label: str
+) -> DataFrame:
+    """(params, fold, label, prediction): one pass per fold applies the models of all points."""
+
+    def judged(fold: int) -> DataFrame:
+        rows = prepared.where(F.col(FOLD) == fold)
+        answers = []
+        for i, name in enumerate(names):
+            column = f"__prediction_{i}"
+            model = models[i, fold].setPredictionCol(column).setRawPredictionCol("").setProbabilityCol("")
+            rows = model.transform(rows)
+            answers.append(F.struct(F.lit(name).alias("params"), F.col(column).alias(PREDICTION)))
+        return rows.select(FOLD, label, F.inline(F.array(*answers)))
+
+    return reduce(lambda a, b: a.unionByName(b), [judged(fold) for fold in range(folds)])
+
+
 def tune_tree(
     train: DataFrame,
     points: list[dict] | None = None,
@@ -105,44 +137,30 @@ def tune_tree(
 ) -> TunedModel:
     """Cross-validate the points on stratified folds and refit the one of best mean F1.
 
-    Cross-validation runs over rows prepared once and kept on the executors; a lost executor
-    only costs the recomputation of its part. ``trials`` holds (params, metric, value), the
-    mean over folds, scored lazily by the models of the folds.
+    The rows are prepared once and kept on the executors while the models are fitted; a lost
+    executor only costs the recomputation of its part. Only the few trial rows and the fitted
+    trees reach the driver. The fold filter is a plain predicate: the cross-validator of
+    ``pyspark.ml`` would send every row through a Python function to check its fold.
     """
     points = points or random_trials()
+    names = [trial_name(i, p) for i, p in enumerate(points)]
     preparation = Pipeline(stages=preparation_stages()).fit(train)
+    folded = with_stratified_folds(preparation.transform(train), label, key, folds)
+    tasks = math.ceil(max(train.count(), 1) / ROWS_PER_TASK)
     prepared = (
-        with_stratified_folds(preparation.transform(train), label, key, folds)
-        .select("scaled", label, FOLD)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    estimator = tree(label)
-    grid = [{estimator.getParam(k): v for k, v in p.items()} for p in points]
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(
-            labelCol=label, predictionCol=PREDICTION, metricName="fMeasureByLabel", metricLabel=1.0
-        ),
-        numFolds=folds,
-        foldCol=FOLD,
-        parallelism=parallelism,
-        collectSubModels=True,
-    ).fit(prepared)
-    names = [trial_name(i, p) for i, p in enumerate(points)]
-    scored = [
-        search.subModels[fold][i]
-        .transform(prepared.where(F.col(FOLD) == fold))
-        .select(F.lit(name).alias("params"), FOLD, label, PREDICTION)
-        for fold in range(folds)
-        for i, name in enumerate(names)
-    ]
-    per_fold = binary_metrics(
-        reduce(lambda a, b: a.unionByName(b), scored), label, PREDICTION, ["params", FOLD]
+        folded.select("scaled", label, FOLD).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
     )
-    best = names[max(range(len(names)), key=lambda i: (search.avgMetrics[i], -i))]
-    model = PipelineModel(stages=[*preparation.stages, search.bestModel])
-    return TunedModel(model, mean_fold_metrics(per_fold), best, prepared)
+    try:
+        models = _fold_models(prepared, points, folds, parallelism, label)
+        judged = _judged_folds(prepared, models, names, folds, label)
+        path = fresh_path(train.sparkSession, "trials")
+        mean_fold_metrics(binary_metrics(judged, label, PREDICTION, ["params", FOLD])).write.parquet(path)
+        trials = train.sparkSession.read.parquet(path)
+        best = best_trial(trials).first()["params"]
+        model = tree(label, **points[names.index(best)]).fit(prepared)
+    finally:
+        prepared.unpersist()
+    return TunedModel(PipelineModel(stages=[*preparation.stages, model]), trials, best)
 
 
 def score(df: DataFrame, model: PipelineModel, keep: list[str] | None = None) -> DataFrame:

@@ -53,7 +53,6 @@ def run_training_job(
     tuned = tune_tree(parts[TRAIN], points)
     cv = tuned.trials.select(F.concat_ws("/", "params", "metric").alias("name"), "value")
     append_table(run_rows(cv, run_id, "cv", "name"), paths.metrics_table)
-    tuned.release()
 
     validation = read_validation_csv(spark, paths.validation)
     candidate = evaluate(validation, tuned.model)
