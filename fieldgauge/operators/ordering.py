@@ -9,6 +9,7 @@ edges in the branch that totals the buckets and the branch that numbers the rows
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -117,8 +118,8 @@ def range_buckets(
     buckets = bucket_count(df, rows, rows_per_bucket)
     raw = cut_points(df, [lead], buckets, rows)[lead]
     cuts = sorted(set(raw))
-    repeats = {c: raw.count(c) for c in cuts} if len(cuts) < len(raw) else {}
-    heavy = [c for c, n in repeats.items() if n > 1]
+    repeats = Counter(raw)
+    heavy = [c for c in cuts if repeats[c] > 1]
     if not (second and heavy):
         return RangeBuckets(lead, cuts)
     types = {f.name: f.dataType for f in df.schema.fields}
