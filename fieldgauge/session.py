@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,17 +18,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    Only a local session may fall back to a temporary folder; on a cluster such a folder
-    would exist on one machine alone, so a missing setting is an error there.
+    Where the setting is missing, a folder below the warehouse is used: the one other place
+    that every executor of a session can write to and read from.
     """
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="fieldgauge-")
-    spark.conf.set(CHECKPOINT_SETTING, fallback)
-    return fallback
+    return (configured or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

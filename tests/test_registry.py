@@ -7,9 +7,10 @@ import pytest
 from compare import sorted_rows
 
 import __spark_entry__ as registered
+from registry.entries import QUERIES
+from registry.oracles import ORACLES
 
 SF_DIR = "/root/testdata/sf0.001"
-ORACLES = registered.oracle_sql()
 WITHOUT_ORACLE = {"tree_predictions", "tree_evaluation", "tree_tuning"}
 
 
@@ -23,7 +24,7 @@ def database():
 
 
 def test_only_fitted_models_lack_an_oracle():
-    assert set(registered.queries()) - set(ORACLES) == WITHOUT_ORACLE
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_ORACLE
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
