@@ -2,22 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from fieldgauge.llm import language, toxicity
 from fieldgauge.llm.decontamination import contamination
 from fieldgauge.llm.mixing import mix
 from fieldgauge.llm.oracles import LLM_ORACLES
+from fieldgauge.llm.secret_scan import BASE_KINDS, find_secrets
 from fieldgauge.llm.sharding import shard
 from fieldgauge.llm.tables import read
 
 SHARDS = 8
 
 
+def _written(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _of_kinds(*kinds: str) -> Column:
+    return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(read(spark, sf_dir, "documents"))
+    counts = [F.size(_of_kinds(k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    base = _of_kinds(*BASE_KINDS)
+    return found.select("doc_id", *counts, F.sha2(_written(base), 256).alias("base_sha256"), _written(F.col("spans")).alias("spans"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.withColumn("items_sha256", F.sha2(F.concat_ws(",", "items"), 256)).drop("items")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    return language.identify(documents, language.fit(documents))
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read(spark, sf_dir, "documents"), shards=SHARDS)
 
@@ -30,10 +52,19 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(documents.select("doc_id", "text"), toxicity.fit(documents, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 LLM_QUERIES = {
+    "op2_secrets": op2_secrets,
     "op5_decontaminate": op5_decontaminate,
+    "op6_language": op6_language,
     "op7_shard": op7_shard,
     "op9_mix": op9_mix,
+    "op10_toxicity": op10_toxicity,
 }
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
