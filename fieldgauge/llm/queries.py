@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fieldgauge.llm import language, toxicity
 from fieldgauge.llm.decontamination import contamination
 from fieldgauge.llm.mixing import mix
+from fieldgauge.llm.ngram_join import similar_documents
 from fieldgauge.llm.oracles import LLM_ORACLES
 from fieldgauge.llm.secret_scan import BASE_KINDS, find_secrets
 from fieldgauge.llm.sharding import shard
@@ -30,6 +31,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_written(base), 256).alias("base_sha256"), _written(F.col("spans")).alias("spans"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(read(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.withColumn("items_sha256", F.sha2(F.concat_ws(",", "items"), 256)).drop("items")
@@ -60,6 +65,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op2_secrets": op2_secrets,
+    "op3_ngram_join": op3_ngram_join,
     "op5_decontaminate": op5_decontaminate,
     "op6_language": op6_language,
     "op7_shard": op7_shard,
