@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldgauge.llm import language, toxicity
 from fieldgauge.llm.decontamination import contamination
+from fieldgauge.llm.html_text import extract
 from fieldgauge.llm.mixing import mix
 from fieldgauge.llm.ngram_join import similar_documents
 from fieldgauge.llm.oracles import LLM_ORACLES
@@ -24,6 +25,10 @@ def _of_kinds(*kinds: str) -> Column:
     return F.filter("spans", lambda s: s["kind"].isin(*kinds))
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(read(spark, sf_dir, "documents"))
     counts = [F.size(_of_kinds(k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
@@ -64,6 +69,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_html": op1_html,
     "op2_secrets": op2_secrets,
     "op3_ngram_join": op3_ngram_join,
     "op5_decontaminate": op5_decontaminate,
