@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fieldgauge.llm import language, toxicity
 from fieldgauge.llm.decontamination import contamination
 from fieldgauge.llm.html_text import extract
+from fieldgauge.llm.line_dedup import dedup_lines
 from fieldgauge.llm.mixing import mix
 from fieldgauge.llm.ngram_join import similar_documents
 from fieldgauge.llm.oracles import LLM_ORACLES
@@ -54,6 +55,10 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read(spark, sf_dir, "documents"), shards=SHARDS)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(read(spark, sf_dir, "documents"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(read(spark, sf_dir, "documents"))
     return mixed.select(
@@ -75,6 +80,7 @@ LLM_QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_language": op6_language,
     "op7_shard": op7_shard,
+    "op8_line_dedup": op8_line_dedup,
     "op9_mix": op9_mix,
     "op10_toxicity": op10_toxicity,
 }
