@@ -9,6 +9,7 @@ from fieldgauge.llm.decontamination import contamination
 from fieldgauge.llm.html_text import extract
 from fieldgauge.llm.line_dedup import dedup_lines
 from fieldgauge.llm.mixing import mix
+from fieldgauge.llm.nearest import nearest
 from fieldgauge.llm.ngram_join import similar_documents
 from fieldgauge.llm.oracles import LLM_ORACLES
 from fieldgauge.llm.secret_scan import BASE_KINDS, find_secrets
@@ -41,6 +42,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(read(spark, sf_dir, "documents"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.withColumn("items_sha256", F.sha2(F.concat_ws(",", "items"), 256)).drop("items")
@@ -77,6 +82,7 @@ LLM_QUERIES = {
     "op1_html": op1_html,
     "op2_secrets": op2_secrets,
     "op3_ngram_join": op3_ngram_join,
+    "op4_nearest": op4_nearest,
     "op5_decontaminate": op5_decontaminate,
     "op6_language": op6_language,
     "op7_shard": op7_shard,
