@@ -21,13 +21,20 @@ WINDOW_WORDS = 10
 SHINGLE_WORDS = 5
 #: Rows of the shingle list that may be broadcast (16 bytes each); a longer list is shuffled.
 BROADCAST_SHINGLES = 500_000
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words before A to Z are lower-cased, which changes no boundary.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 KEY = "__row"
+HEADER = -1  # place of the row that each document has besides its hits
 
 
 def words_of(text: Column) -> Column:
-    """Words of a text, A to Z lower-cased; none for NULL."""
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    """Words of a text as they stand; none for NULL."""
+    return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+
+
+def _lowered(word: Column) -> Column:
+    """A to Z lower-cased; ``lower`` is much the faster where it does the same."""
+    return F.when(F.octet_length(word) == F.char_length(word), F.lower(word)).otherwise(ascii_lower(word))
 
 
 def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
@@ -43,12 +50,13 @@ def _shingles(words: Column, size: int) -> Column:
         return F.transform(places, lambda i: F.xxhash64(*[F.get(hashed, i + j) for j in range(size)]))
 
     # bound as a lambda variable, the word hashes are made once and not once for each place
-    return F.get(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), of), 0)
+    return F.get(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(_lowered(w)))), of), 0)
 
 
 def item_windows(items: DataFrame, window_words: int) -> DataFrame:
     """(item_id, w): every window of every item as an array of words."""
-    worded = items.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("ws"))
+    words = F.transform(words_of(F.col("text")), _lowered)
+    worded = items.select(F.col("item_id").cast("string").alias("item_id"), words.alias("ws"))
     last = F.greatest(F.size("ws") - window_words, F.lit(0))
     starts = F.explode(F.sequence(F.lit(0), last))
     return (
@@ -72,6 +80,17 @@ def contamination(
     ``doc_id`` is kept; items with equal texts are all named; items without words match nothing;
     with an empty item table every document is clean.
     """
+    return _contamination(documents, items, window_words, shingle_words).drop(KEY)
+
+
+def without_contaminated(documents: DataFrame, items: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:
+    """The rows of ``documents`` that hold no item window, with their columns as they came."""
+    found = _contamination(documents, items, window_words, SHINGLE_WORDS).filter("contaminated")
+    hit = stored(found.select(F.col(KEY).alias("__hit")).distinct(), "contaminated")
+    return documents.join(hit, row_key() == F.col("__hit"), "left_anti")
+
+
+def _contamination(documents: DataFrame, items: DataFrame, window_words: int, shingle_words: int) -> DataFrame:
     windows = stored(
         item_windows(items, window_words).select(
             "item_id", F.xxhash64("w").alias("wid"), "w", F.size("w").alias("m")
@@ -85,14 +104,15 @@ def contamination(
         part = distinct.filter(F.col("k") == k).select("wid", "m", "k", F.posexplode(_shingles(F.col("w"), k)).alias("off", "h"))
         pieces = part if pieces is None else pieces.unionByName(part)
     rows = documents.select("doc_id", row_key().alias(KEY), words_of(F.col("text")).alias("ws"))
-    counted = rows.select("doc_id", KEY, F.size("ws").alias("n_words"))
     if pieces is None:
-        return counted.select(
-            "doc_id", F.col("n_words").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
+        return rows.select("doc_id", KEY, F.size("ws").alias("n_words")).select(
+            "doc_id", KEY, F.col("n_words").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
             F.array().cast("array<string>").alias("items"), F.lit(False).alias("contaminated"),
         )
     pieces = stored(pieces, "pieces")
-    hits = stored(_places(rows, pieces, sizes), "places")
+    placed = stored(_places(rows, pieces, sizes), "places")
+    counted = placed.filter(F.col("p") == HEADER).select("doc_id", KEY, F.col("n").alias("n_words"))
+    hits = placed.filter(F.col("p") > HEADER)
     found = stored(_occurrences(hits, pieces), "found")
     covered = (
         found.select(KEY, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("m") - 1)).alias("p"))
@@ -109,6 +129,7 @@ def contamination(
     )
     return counted.join(covered.join(named, KEY), KEY, "left").select(
         "doc_id",
+        KEY,
         F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
@@ -118,17 +139,23 @@ def contamination(
 
 
 def _places(rows: DataFrame, pieces: DataFrame, sizes: list[int]) -> DataFrame:
-    """(row, n, p, h): places of documents whose shingle occurs in a window."""
-    known = pieces.select("h").distinct()
+    """(doc_id, row, n, p, h): places of documents whose shingle occurs in a window.
+
+    Each document also has a header row at place ``HEADER``, which carries its number of words.
+    """
+    known = pieces.select("h").distinct().withColumn("known", F.lit(True))
     if known.count() <= BROADCAST_SHINGLES:
         known = F.broadcast(known)
+
     def placed(ws: Column) -> Column:
         by_size = [F.transform(_shingles(ws, k), lambda h, i: F.struct(i.alias("p"), h.alias("h"))) for k in sizes]
-        return F.struct(F.size(ws).alias("n"), (by_size[0] if len(sizes) == 1 else F.flatten(F.array(*by_size))).alias("at"))
+        header = F.array(F.struct(F.lit(HEADER).alias("p"), F.col(KEY).alias("h")))
+        return F.struct(F.size(ws).alias("n"), F.concat(header, *by_size).alias("at"))
 
     # a generator for each step, so that no projection is merged into another and computed again
-    worded = rows.select(KEY, F.inline(F.transform(F.array("ws"), placed)))
-    return worded.select(KEY, "n", F.inline("at")).join(known, "h")
+    worded = rows.select("doc_id", KEY, F.inline(F.transform(F.array("ws"), placed)))
+    marked = worded.select("doc_id", KEY, "n", F.inline("at")).join(known, "h", "left")
+    return marked.filter(F.col("known") | (F.col("p") == HEADER)).drop("known")
 
 
 def _occurrences(hits: DataFrame, pieces: DataFrame) -> DataFrame:
