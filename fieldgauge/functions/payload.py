@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Field names of the record form of a request body.
-INPUT_FIELDS = ["input_0", "input_1", "input_2", "input_3"]
+BLANKS = " \t\r\n"  # white space of JSON
 
 
 def parse_inputs(body: Column, n_inputs: int) -> Column:
@@ -18,14 +17,18 @@ def parse_inputs(body: Column, n_inputs: int) -> Column:
     names = [f"input_{i}" for i in range(n_inputs)]
     records = F.from_json(body, "array<struct<{}>>".format(",".join(f"{n}:double" for n in names)))
     record_rows = F.transform(records, lambda r: F.array(*[r[n] for n in names]))
-    first = F.substring(F.ltrim(body), 1, 1)
+    first = F.substring(F.ltrim(body, F.lit(BLANKS)), 1, 1)
     return F.when(first == "[", record_rows).when(first == "{", rows)
 
 
 def parse_predictions(body: Column) -> Column:
-    """Predicted labels as an array of int; 1 and 1.0 are the same label."""
-    numbers = F.from_json(body, "predictions array<double>")["predictions"]
-    return F.transform(numbers, lambda p: p.try_cast("int"))
+    """Predicted labels as an array of numbers; 1 and 1.0 are the same label."""
+    return F.from_json(body, "predictions array<double>")["predictions"]
+
+
+def is_label(prediction: Column) -> Column:
+    """A whole number that fits an int; 0.7 and NULL are no labels."""
+    return F.coalesce((prediction == F.floor(prediction)) & (F.abs(prediction) < 2**31), F.lit(False))
 
 
 def is_json(body: Column) -> Column:

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldgauge import schemas
 from fieldgauge.functions.evaluation_order import computed_once
-from fieldgauge.functions.payload import inputs_body, is_json, parse_inputs, parse_predictions, predictions_body
+from fieldgauge.functions.payload import inputs_body, is_json, is_label, parse_inputs, parse_predictions, predictions_body
 from fieldgauge.functions.scalars import epoch_millis_to_timestamp
 
 SUCCESS = 200
 REQUEST_KEY = "request_id"
 POSITION = "pos"
 BODY_COLUMNS = ["request", "response", "request_metadata"]
+NO_ID = "content-"  # leads the id given to a request that was logged without one
 
 # Reasons a request, or one position of it, is rejected.
 NULL_REQUEST = "null_request"
@@ -22,6 +23,7 @@ MALFORMED_REQUEST = "malformed_request"
 UNSUPPORTED_REQUEST = "unsupported_request"
 EMPTY_REQUEST = "empty_request"
 BAD_RESPONSE = "bad_response"
+BAD_PREDICTION = "bad_prediction"
 ARITY = "arity"
 SURPLUS_INPUT = "surplus_input"
 SURPLUS_PREDICTION = "surplus_prediction"
@@ -37,13 +39,26 @@ def read_inference_log(payload: DataFrame, as_of: dt.date | str | Column | None
         day = F.date_sub(F.current_date(), 1)
     else:
         day = as_of if isinstance(as_of, Column) else F.lit(str(as_of)).cast("date")
-    return payload.where("status_code = 200").where(F.col("date") == day)
+    return successful(payload).where(F.col("date") == day)
 
 
 def successful(payload: DataFrame) -> DataFrame:
     return payload.where(F.col("status_code") == SUCCESS)
 
 
+def one_row_each(payload: DataFrame, request_key: str = REQUEST_KEY) -> DataFrame:
+    """One logged row per request id: the earliest, whole, so that no two bodies are mixed.
+
+    A request without an id gets one made of its time and bodies, so that it is kept, and a
+    repeat of it is known as one. Rows are limited before the shuffle, so an id that is logged
+    over and over does not gather in one task.
+    """
+    content = F.sha2(F.concat_ws("|", F.col("timestamp_ms").cast("string"), "request", "response"), 256)
+    named = payload.withColumn(request_key, F.coalesce(F.col(request_key), F.concat(F.lit(NO_ID), content)))
+    earliest = Window.partitionBy(request_key).orderBy(F.col("timestamp_ms").asc_nulls_last(), F.xxhash64("request", "response"))
+    return named.withColumn("__n", F.row_number().over(earliest)).where("__n = 1").drop("__n")
+
+
 def _parsed(payload: DataFrame, n_inputs: int) -> DataFrame:
     """Bodies parsed to arrays, with the reason why a request cannot be used."""
     arrays = computed_once(
@@ -71,7 +86,7 @@ def _positions(parsed: DataFrame, n_inputs: int, strict_arity: bool) -> DataFram
     that cannot be used stays one row without a position.
     """
     pair = F.struct(
-        F.lit(None).cast("array<double>").alias("x"), F.lit(None).cast("int").alias("y")
+        F.lit(None).cast("array<double>").alias("x"), F.lit(None).cast("double").alias("y")
     )
     zipped = F.arrays_zip(F.col("__inputs").alias("x"), F.col("__predictions").alias("y"))
     usable = F.col("__reason").isNull()
@@ -89,52 +104,76 @@ def _positions(parsed: DataFrame, n_inputs: int, strict_arity: bool) -> DataFram
         .when(F.col("__at") >= F.col("__n_predictions"), SURPLUS_INPUT)
         .when(F.col("__at") >= F.col("__n_inputs"), SURPLUS_PREDICTION)
         .when(wrong, ARITY)
+        .when(~is_label(F.col("__pair.y")), BAD_PREDICTION)
     )
     return rows.withColumns({POSITION: F.when(usable, F.col("__at")), "__fault": fault})
 
 
-def unpack_inference_log(
+def unpack_positions(
     payload: DataFrame,
-    features: list[str] | None = None,
-    prediction: str = schemas.LABEL,
+    n_inputs: int,
     request_key: str = REQUEST_KEY,
     dedup: str = "request",
     strict_arity: bool = True,
-    whole_seconds: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """(clean, rejects): rows of features and prediction, and what could not be unpacked.
+) -> DataFrame:
+    """Every position of every request with its fault, if any: what both results are cut from.
 
-    ``features`` names the inputs in model order. ``dedup="request"`` removes repeats of a
-    request, keeping equal rows inside one request; ``"row"`` removes every fully equal row.
-    With ``strict_arity=False`` values beyond the known inputs are ignored.
-    ``whole_seconds`` cuts the request time to seconds.
+    A job that needs the clean rows and the rejects stores this once and splits the stored table,
+    so that the bodies are parsed once.
     """
     if dedup not in ("request", "row"):
         raise ValueError("dedup is 'request' or 'row'")
-    features = features or schemas.MODEL_INPUTS
-    positions = _positions(_parsed(payload, len(features)), len(features), strict_arity)
+    chosen = one_row_each(payload, request_key) if dedup == "request" and request_key in payload.columns else payload
+    return _positions(_parsed(chosen, n_inputs), n_inputs, strict_arity)
+
 
-    through = [c for c in payload.columns if c not in (*BODY_COLUMNS, "timestamp_ms")]
-    flat = positions.where(F.col("__fault").isNull()).select(
+def split_positions(
+    positions: DataFrame,
+    features: list[str] | None = None,
+    prediction: str = schemas.LABEL,
+    request_key: str = REQUEST_KEY,
+    dedup: str = "request",
+    whole_seconds: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(clean, rejects) from the table of :func:`unpack_positions`."""
+    features = features or schemas.MODEL_INPUTS
+    own = ("timestamp_ms", POSITION, "__fault", "__reason", "__n_inputs", "__n_predictions", "__at", "__pair")
+    through = [c for c in positions.columns if c not in own]
+    clean = positions.where(F.col("__fault").isNull()).select(
         *through,
         POSITION,
         epoch_millis_to_timestamp(F.col("timestamp_ms"), whole_seconds).alias("timestamp_ms"),
         *[F.get("__pair.x", F.lit(i)).alias(name) for i, name in enumerate(features)],
-        F.col("__pair.y").alias(prediction),
+        F.col("__pair.y").cast("int").alias(prediction),
         F.lit(0).cast("int").alias("model_id"),
     )
-    if dedup == "request":
-        rest = [c for c in flat.columns if c not in (request_key, POSITION, "timestamp_ms")]
-        earliest = F.min(F.struct("timestamp_ms", *rest)).alias("row")  # same choice in every run
-        clean = flat.groupBy(request_key, POSITION).agg(earliest).select(request_key, POSITION, "row.*")
-    else:
-        clean = flat.drop(POSITION).dropDuplicates()
+    if dedup == "row":
+        clean = clean.drop(POSITION).dropDuplicates()
+    identity = [c for c in (request_key, "date") if c in positions.columns]
+    rejects = positions.where(F.col("__fault").isNotNull()).select(*identity, POSITION, F.col("__fault").alias("reason"))
+    return clean, rejects if dedup == "request" else rejects.dropDuplicates()
 
-    identity = [c for c in (request_key, "date") if c in payload.columns]
-    rejects = positions.where(F.col("__fault").isNotNull()).select(
-        *identity, POSITION, F.col("__fault").alias("reason")
-    )
-    return clean, rejects.dropDuplicates()
+
+def unpack_inference_log(
+    payload: DataFrame,
+    features: list[str] | None = None,
+    prediction: str = schemas.LABEL,
+    request_key: str = REQUEST_KEY,
+    dedup: str = "request",
+    strict_arity: bool = True,
+    whole_seconds: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(clean, rejects): rows of features and prediction, and what could not be unpacked.
+
+    ``features`` names the inputs in model order. ``dedup="request"`` keeps the earliest logged row
+    of each request id, with all its positions; ``"row"`` removes every fully equal row. A request
+    without an id is kept under an id made of its content. A prediction must be a whole number.
+    With ``strict_arity=False`` values beyond the known inputs are ignored.
+    ``whole_seconds`` cuts the request time to seconds.
+    """
+    features = features or schemas.MODEL_INPUTS
+    positions = unpack_positions(payload, len(features), request_key, dedup, strict_arity)
+    return split_positions(positions, features, prediction, request_key, dedup, whole_seconds)
 
 
 def capture_scores(

@@ -8,8 +8,9 @@ from pyspark.sql import SparkSession
 
 from fieldgauge import schemas
 from fieldgauge.operators import monitoring
-from fieldgauge.operators.inference_log import POSITION, REQUEST_KEY, read_inference_log, unpack_inference_log
-from fieldgauge.sources.tables import append_new_rows, overwrite_table, read_table
+from fieldgauge.operators.inference_log import read_inference_log, unpack_positions
+from fieldgauge.sources.requests import append_positions
+from fieldgauge.sources.tables import overwrite_table, read_table
 
 MONITORED = [*schemas.MODEL_INPUTS, schemas.LABEL]
 
@@ -21,11 +22,12 @@ def process_day(
     reject_table: str,
     as_of: dt.date | str | None = None,
 ) -> None:
-    """Unpack one day of requests and append what is not stored yet."""
+    """Unpack one day of requests and append the requests that are not stored yet.
+
+    The unpacked positions are stored once and both tables are cut from them.
+    """
     requests = read_inference_log(read_table(spark, payload_table), as_of)
-    clean, rejects = unpack_inference_log(requests)
-    append_new_rows(clean, clean_table, [REQUEST_KEY, POSITION], "date", requests)
-    append_new_rows(rejects, reject_table, [REQUEST_KEY, POSITION, "reason"], "date", requests)
+    append_positions(unpack_positions(requests, len(schemas.MODEL_INPUTS)), clean_table, reject_table)
 
 
 def refresh_monitor(spark: SparkSession, clean_table: str, baseline_table: str, prefix: str) -> list[str]:

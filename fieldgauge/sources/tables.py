@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType
 
 from fieldgauge.operators.features import key_violations, upsert
 from fieldgauge.operators.groups import matching_keys
@@ -87,7 +88,8 @@ def upsert_table(
         if added:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
+        quoted = fresh.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted}'")
         spark.catalog.refreshTable(name)
         return "merged"
     spark.catalog.createTable(
@@ -97,27 +99,33 @@ def upsert_table(
     return "created"
 
 
+LOOK_BACK_DAYS = 7
+
+
 def new_rows(
     batch: DataFrame,
     existing: DataFrame,
     keys: list[str],
     partition: str | None = None,
     bounds_from: DataFrame | None = None,
+    look_back: int = LOOK_BACK_DAYS,
 ) -> DataFrame:
     """Rows of the batch whose key is not stored yet; a NULL in a key equals a stored NULL.
 
-    With ``partition`` only the stored partitions between the batch's first and last value
-    are read, so the cost of a daily append follows the day and not the whole history.
-    ``bounds_from`` is a cheaper table to take these two values from, such as the one the
-    batch was derived from; it must hold every partition value of the batch.
+    With ``partition``, a date (of another type there is no look-back), only the stored days between the batch's first and last one are
+    read, and ``look_back`` days on either side, so the cost of a daily append follows the day
+    and not the whole history, and a key logged again within that time is known. ``bounds_from``
+    is a cheaper table to take the two days from, such as the one the batch was derived from; it
+    must hold every day of the batch.
     """
     if partition:
         ends = (batch if bounds_from is None else bounds_from).select(partition)
-        first, last = ends.agg(F.min(partition)).scalar(), ends.agg(F.max(partition)).scalar()
+        low, high = F.min(partition), F.max(partition)
+        if isinstance(batch.schema[partition].dataType, DateType):
+            low, high = F.date_sub(low, look_back), F.date_add(high, look_back)
         stored = F.col(partition)
-        existing = existing.where(stored.between(first, last) | stored.isNull())
-        keys = [partition, *[k for k in keys if k != partition]]
-    stored_keys = existing.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+        existing = existing.where(stored.between(ends.agg(low).scalar(), ends.agg(high).scalar()) | stored.isNull())
+    stored_keys = existing.select(*[F.col(k).alias(f"__k_{k}") for k in keys]).distinct()
     return batch.join(stored_keys, matching_keys(batch, keys, "__k_"), "left_anti")
 
 
@@ -127,9 +135,10 @@ def append_new_rows(
     keys: list[str],
     partition: str | None = None,
     bounds_from: DataFrame | None = None,
+    look_back: int = LOOK_BACK_DAYS,
 ) -> None:
-    """Append that may be repeated: rows already stored are left out."""
+    """Append that may be repeated: rows whose key is stored already are left out."""
     spark = batch.sparkSession
     if spark.catalog.tableExists(name):
-        batch = new_rows(batch, spark.read.table(name), keys, partition, bounds_from)
+        batch = new_rows(batch, spark.read.table(name), keys, partition, bounds_from, look_back)
     append_table(batch, name, [partition] if partition else None)

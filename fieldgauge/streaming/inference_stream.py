@@ -8,27 +8,29 @@ from pyspark.sql.types import StructType
 
 from fieldgauge import schemas
 from fieldgauge.operators.descriptive import moments
-from fieldgauge.operators.inference_log import POSITION, REQUEST_KEY, successful, unpack_inference_log
+from fieldgauge.operators.inference_log import REQUEST_KEY, successful, unpack_positions
 from fieldgauge.operators.monitoring import MODEL, START, TIME, WINDOW_LENGTH
-from fieldgauge.sources.tables import append_new_rows
+from fieldgauge.sources.requests import append_positions
 
 LATENESS = "1 day"
 BATCH = "batch_id"
 
 
 def read_payload_stream(
-    spark: SparkSession, folder: str, schema: StructType = schemas.PAYLOAD_SCHEMA
+    spark: SparkSession, folder: str, schema: StructType = schemas.PAYLOAD_SCHEMA, files_per_batch: int | None = None
 ) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(folder)
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(folder)
 
 
 def without_repeats(payload: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Drop requests logged again within the lateness; state older than that is released.
+    """Successful requests without those logged again within the lateness.
 
-    A request that arrives later than the lateness is dropped as well. Where none may be lost,
+    Failed attempts go first, so that a successful retry is not taken for a repeat of them. State
+    older than the lateness is released. A request that arrives later than the lateness is dropped as well. Where none may be lost,
     leave this out: ``unpack_stream`` stores a repeated request only once by itself.
     """
-    timed = payload.withColumn("__at", F.timestamp_millis("timestamp_ms")).withWatermark("__at", lateness)
+    timed = successful(payload).withColumn("__at", F.timestamp_millis("timestamp_ms")).withWatermark("__at", lateness)
     return timed.dropDuplicatesWithinWatermark([REQUEST_KEY]).drop("__at")
 
 
@@ -41,13 +43,7 @@ def unpack_stream(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            clean, rejects = unpack_inference_log(successful(batch))
-            append_new_rows(clean, clean_table, [REQUEST_KEY, POSITION], "date", batch)
-            append_new_rows(rejects, reject_table, [REQUEST_KEY, POSITION, "reason"], "date", batch)
-        finally:
-            batch.unpersist()
+        append_positions(unpack_positions(successful(batch), len(schemas.MODEL_INPUTS)), clean_table, reject_table)
 
     return (
         payload.writeStream.foreachBatch(store)

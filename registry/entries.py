@@ -11,6 +11,7 @@ from fieldgauge.operators import changes, cleaning, descriptive, evaluation, fea
 from fieldgauge.operators import modeling, monitoring, quantiles, splits
 from fieldgauge.session import fresh_path
 from fieldgauge.sources import csv_files, tables
+from fieldgauge.sources.requests import append_positions
 from fieldgauge.streaming import inference_stream
 from registry.views import (
     millis,
@@ -21,6 +22,7 @@ from registry.views import (
     rounded,
     rule_prediction,
     table,
+    varied_payload,
 )
 
 SENSORS = schemas.SENSOR_COLUMNS
@@ -199,7 +201,7 @@ def feature_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, location = f"orders_{uuid.uuid4().hex}", fresh_path(spark, "orders")
     for part in (stored, delivery):
         tables.upsert_table(part, name, ["o_orderkey"], location)
-    return _rounded_to(tables.read_table(spark, name), 2, "o_totalprice")
+    return _rounded_to(_detached(spark, name), 2, "o_totalprice")
 
 
 def key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,12 +273,26 @@ def day_success_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unpacked(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, DataFrame]:
-    return inference_log.unpack_inference_log(inference_log.successful(payload(spark, sf_dir)), **options)
+    return inference_log.unpack_inference_log(inference_log.successful(varied_payload(spark, sf_dir)), **options)
 
 
 def _shown(clean: DataFrame) -> DataFrame:
     shown = clean.withColumns({"timestamp_ms": F.unix_millis("timestamp_ms"), "date": F.col("date").cast("string")})
-    return rounded(shown.drop("status_code"), *INPUTS)
+    return rounded(_nameless(shown).drop("status_code"), *INPUTS)
+
+
+def _nameless(df: DataFrame) -> DataFrame:
+    """Ids made of a request's content shown alike, as JSON text differs between engines."""
+    made = F.col("request_id").startswith(inference_log.NO_ID)
+    return df.withColumn("request_id", F.when(made, inference_log.NO_ID).otherwise(F.col("request_id")))
+
+
+def _detached(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of a catalog table, copied, and the table gone."""
+    folder = fresh_path(spark, "result")
+    tables.read_table(spark, name).write.parquet(folder)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(folder)
 
 
 def inference_unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,11 +308,22 @@ def inference_row_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inference_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejects = _unpacked(spark, sf_dir)[1]
-    return rejects.select("request_id", F.col("date").cast("string").alias("date"), "pos", "reason")
+    return _nameless(rejects).select("request_id", F.col("date").cast("string").alias("date"), "pos", "reason")
+
+
+def inference_append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appended in two batches of days, then all days once more; the tables hold each request once."""
+    requests = inference_log.successful(varied_payload(spark, sf_dir))
+    early = requests.where(F.col("date") <= F.lit(REPORT_DAY).cast("date"))
+    clean, rejected = (f"{kind}_{uuid.uuid4().hex}" for kind in ("clean", "rejected"))
+    for batch in (early, requests, requests):
+        append_positions(inference_log.unpack_positions(batch, len(INPUTS)), clean, rejected)
+    spark.sql(f"DROP TABLE {rejected}")
+    return _shown(_detached(spark, clean))
 
 
 def inference_append_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    everything = _unpacked(spark, sf_dir)[0]
+    everything = inference_log.unpack_inference_log(inference_log.successful(payload(spark, sf_dir)))[0]
     stored = everything.where(F.col("date") <= F.lit(REPORT_DAY).cast("date"))
     fresh = tables.new_rows(everything, stored, ["request_id", "pos"], "date")
     return _shown(stored.unionByName(fresh))
@@ -447,23 +474,15 @@ def stream_daily_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, clean = fresh_path(spark, "payload"), fresh_path(spark, "clean")
-    for _ in range(2):  # every request is logged twice
-        payload(spark, sf_dir).write.mode("append").parquet(source)
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        unpacked, _ = inference_log.unpack_inference_log(inference_log.successful(batch))
-        unpacked.write.mode("overwrite").parquet(f"{clean}/batch_id={batch_id}")
-
-    stream = inference_stream.without_repeats(inference_stream.read_payload_stream(spark, source))
-    (
-        stream.writeStream.foreachBatch(store)
-        .option("checkpointLocation", fresh_path(spark, "offsets"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return _shown(spark.read.parquet(clean).drop("batch_id"))
+    """The log as a stream of several batches in which every request comes twice."""
+    source = fresh_path(spark, "payload")
+    clean, rejected = (f"{kind}_{uuid.uuid4().hex}" for kind in ("clean", "rejected"))
+    for _ in range(2):
+        varied_payload(spark, sf_dir).coalesce(2).write.mode("append").parquet(source)
+    stream = inference_stream.read_payload_stream(spark, source, files_per_batch=2)
+    inference_stream.unpack_stream(stream, clean, rejected, fresh_path(spark, "offsets")).start().awaitTermination()
+    spark.sql(f"DROP TABLE {rejected}")
+    return _shown(_detached(spark, clean))
 
 
 QUERIES = {
@@ -507,6 +526,7 @@ QUERIES = {
         inference_row_dedup,
         inference_rejects,
         inference_append_idempotent,
+        inference_append_table,
         score_capture,
         confusion_matrix,
         binary_metrics,

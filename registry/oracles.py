@@ -54,6 +54,17 @@ positions AS (
          min(epoch_us(date) // 1000) OVER (PARTITION BY request_id) AS request_ms
   FROM requests)"""
 )
+VARIED = (
+    REQUESTS
+    + """, varied AS (
+  SELECT *, CASE WHEN user_id % 17 <> 0 AND user_id % 19 <> 0 THEN user_id % 29 END AS shape,
+         count(*) OVER (PARTITION BY request_id) AS n
+  FROM positions WHERE user_id % 10 <> 0),
+named AS (SELECT * REPLACE (CASE WHEN shape = 0 THEN 'content-' ELSE request_id END AS request_id), request_id AS own FROM varied)"""
+)
+VARIED_CLEAN = (
+    "shape NOT IN (5, 8, 9, 10) AND NOT (shape IN (3, 4) AND pos = 0) AND NOT (shape = 7 AND pos = n - 1)"
+)
 USABLE = "user_id % 10 <> 0 AND user_id % 17 <> 0 AND user_id % 19 <> 0"
 
 
@@ -321,13 +332,22 @@ FROM ({long('readings', INPUTS, [])}) GROUP BY 1""",
     "validation_csv_roundtrip": f"WITH {READINGS} SELECT {RENAMED}, Occupancy FROM readings WHERE {SPLIT} = 'validation'",
     "day_success_requests": f"""WITH {REQUESTS} SELECT request_id, CAST(max(request_ms) AS BIGINT) AS timestamp_ms,
   CAST(200 AS BIGINT) AS status_code FROM positions WHERE user_id % 10 <> 0 AND day = '2024-01-15' GROUP BY request_id""",
-    "inference_unpacked": f"""WITH {REQUESTS} SELECT request_id, day AS date, pos, request_ms AS timestamp_ms,
-  {UNPACKED_COLUMNS} FROM positions WHERE {USABLE}""",
+    "inference_unpacked": f"""WITH {VARIED} SELECT request_id, day AS date, pos, request_ms AS timestamp_ms,
+  {UNPACKED_COLUMNS} FROM named WHERE {VARIED_CLEAN}""",
+    "inference_append_table": f"""WITH {VARIED} SELECT request_id, day AS date, pos, request_ms AS timestamp_ms,
+  {UNPACKED_COLUMNS} FROM named WHERE {VARIED_CLEAN}""",
     "inference_row_dedup": f"""WITH {REQUESTS} SELECT DISTINCT 'shared' AS request_id, day AS date, 0 AS timestamp_ms,
   {UNPACKED_COLUMNS} FROM positions WHERE {USABLE}""",
-    "inference_rejects": f"""WITH {REQUESTS} SELECT DISTINCT request_id, day AS date, CAST(NULL AS INT) AS pos,
-  CASE WHEN user_id % 17 = 0 THEN 'malformed_request' ELSE 'unsupported_request' END AS reason
-FROM positions WHERE user_id % 10 <> 0 AND (user_id % 17 = 0 OR user_id % 19 = 0)""",
+    "inference_rejects": f"""WITH {VARIED}, whole AS (
+  SELECT DISTINCT own, request_id, day AS date, user_id, shape, n FROM named)
+SELECT request_id, date, CAST(NULL AS INT) AS pos,
+  CASE WHEN user_id % 17 = 0 THEN 'malformed_request' WHEN user_id % 19 = 0 THEN 'unsupported_request'
+       WHEN shape = 8 THEN 'null_request' WHEN shape = 9 THEN 'empty_request' ELSE 'bad_response' END AS reason
+FROM whole WHERE shape IS NULL OR shape IN (8, 9, 10)
+UNION ALL SELECT request_id, date, 0, 'bad_prediction' FROM whole WHERE shape IN (3, 4)
+UNION ALL SELECT request_id, date, n, 'surplus_prediction' FROM whole WHERE shape = 6
+UNION ALL SELECT request_id, date, n - 1, 'surplus_input' FROM whole WHERE shape = 7
+UNION ALL SELECT request_id, day, pos, 'arity' FROM named WHERE shape = 5""",
     "inference_append_idempotent": f"""WITH {REQUESTS} SELECT request_id, day AS date, pos, request_ms AS timestamp_ms,
   {UNPACKED_COLUMNS} FROM positions WHERE {USABLE}""",
     "score_capture": f"""WITH {PREDICTIONS} SELECT CAST(event_id AS VARCHAR) AS request_id,
@@ -385,7 +405,7 @@ SELECT window_start, model_id, "column", n, {r('mean')} AS mean, {r('bmean')} AS
   count(*) - count(value) AS nulls, {r('avg(value)')} AS mean, {r('stddev_samp(value)')} AS std,
   {r('min(value)')} AS min, {r('max(value)')} AS max
 FROM ({long('log', INPUTS, DAY_KEYS)}) GROUP BY 1, 2, 3""",
-    "stream_unpacked": f"""WITH {REQUESTS} SELECT request_id, day AS date, pos, request_ms AS timestamp_ms,
-  {UNPACKED_COLUMNS} FROM positions WHERE {USABLE}""",
+    "stream_unpacked": f"""WITH {VARIED} SELECT request_id, day AS date, pos, request_ms AS timestamp_ms,
+  {UNPACKED_COLUMNS} FROM named WHERE {VARIED_CLEAN}""",
 }
 ORACLES["feature_upsert_table"] = ORACLES["feature_upsert"]

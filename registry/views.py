@@ -52,7 +52,7 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payload(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Logged requests: the readings of a user, day and block of events in one body.
 
     The block bounds a request however many events a user has. Some users send failing or
@@ -82,9 +82,53 @@ def payload(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("request"),
         F.to_json(F.struct(F.transform("e", lambda x: x["p"]).alias("predictions"))).alias("response"),
         F.lit(None).cast("string").alias("request_metadata"),
+        *keep,
     )
 
 
+def varied_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payload with every shape of request that a log may hold, chosen by the user.
+
+    By user modulo 29: no id (0), leading line break (1), record form (2), fractional (3) or missing
+    (4) first prediction, five values (5), a prediction too many (6) or too few (7), no body (8),
+    no inputs (9), unreadable response (10), a later retry with another body (11), a failed first
+    attempt (12), a repeat on the next day (13).
+    """
+    whole = payload(spark, sf_dir, keep=("user_id", "e"))
+    shaped = (F.col("user_id") % 17 != 0) & (F.col("user_id") % 19 != 0)
+    c = F.when(shaped, F.col("user_id") % 29)
+    inputs, labels = F.transform("e", lambda x: x["a"]), F.transform("e", lambda x: x["p"].cast("double"))
+    rest = F.slice(labels, F.lit(2), F.size("e") - 1)
+    body = lambda rows: F.to_json(F.struct(rows.alias("inputs")))
+    answer = lambda rows: F.to_json(F.struct(rows.alias("predictions")), {"ignoreNullFields": "false"})
+    record = F.transform("e", lambda x: F.struct(*[F.get(x["a"], i).alias(f"input_{i}") for i in range(4)]))
+    request = (
+        F.when(c == 1, F.concat(F.lit("\n\t "), body(inputs)))
+        .when(c == 2, F.to_json(record))
+        .when(c == 5, body(F.transform(inputs, lambda a: F.concat(a, F.array(F.lit(1.0))))))
+        .when(c == 8, F.lit(None).cast("string"))
+        .when(c == 9, '{"inputs":[]}')
+        .otherwise(F.col("request"))
+    )
+    response = (
+        F.when(c == 3, answer(F.concat(F.array(F.lit(0.7)), rest)))
+        .when(c == 4, answer(F.concat(F.array(F.lit(None).cast("double")), rest)))
+        .when(c == 6, answer(F.concat(labels, F.array(F.lit(1.0)))))
+        .when(c == 7, answer(F.slice(labels, F.lit(1), F.size("e") - 1)))
+        .when(c == 10, "oops")
+        .otherwise(F.col("response"))
+    )
+    columns = ["request_id", "date", "timestamp_ms", "status_code", "request", "response", "request_metadata"]
+    base = whole.withColumns({"request": request, "response": response, "request_id": F.when(~F.coalesce(c == 0, F.lit(False)), F.col("request_id"))})
+    retry = whole.where(c == 11).withColumns(
+        {"timestamp_ms": F.col("timestamp_ms") + 60_000, "request": body(F.concat(inputs, inputs)), "response": answer(F.concat(labels, labels))}
+    )
+    failed = whole.where(c == 12).withColumns({"timestamp_ms": F.col("timestamp_ms") - 1000, "status_code": F.lit(500)})
+    again = whole.where(c == 13).withColumns({"timestamp_ms": F.col("timestamp_ms") + 86_400_000, "date": F.date_add("date", 1)})
+    parts = [x.select(*columns) for x in (base, retry, failed, again)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 def r6(column: Column | str) -> Column:
     """Six decimals, without a negative zero."""
     column = F.col(column) if isinstance(column, str) else column

@@ -167,3 +167,36 @@ def test_captured_scores_unpack_to_the_same_rows(spark):
     clean, rejects = log.unpack_inference_log(captured)
     assert rows(clean.select("request_id", *schemas.MODEL_INPUTS, "Occupancy")) == [("1", *ROWS[0], 1), ("2", *ROWS[1], 0)]
     assert rejects.count() == 0
+
+
+def _logged(spark, *rows):
+    """(id, day, ms, status, request, response)"""
+    df = spark.createDataFrame(rows, "request_id string, date string, timestamp_ms long, status_code int, request string, response string")
+    return df.withColumn("date", F.to_date("date"))
+
+
+def _inputs(n):
+    return '{"inputs":[' + ",".join(f"[{i},1,1,1]" for i in range(n)) + "]}", '{"predictions":[' + ",".join("1" for _ in range(n)) + "]}"
+
+
+def test_requests_without_an_id_are_all_kept(spark):
+    logged = _logged(spark, (None, "2024-01-01", 1, 200, *_inputs(2)), (None, "2024-01-01", 1, 200, *_inputs(3)), (None, "2024-01-01", 1, 200, *_inputs(3)))
+    clean, rejects = log.unpack_inference_log(logged)
+    assert clean.count() == 5 and rejects.count() == 0 and clean.select("request_id").distinct().count() == 2
+
+
+def test_a_retry_with_another_body_is_not_mixed_in(spark):
+    logged = _logged(spark, ("a", "2024-01-01", 5, 200, *_inputs(1)), ("a", "2024-01-01", 9, 200, *_inputs(3)))
+    assert [tuple(r) for r in log.unpack_inference_log(logged)[0].select("request_id", "pos").collect()] == [("a", 0)]
+
+
+@pytest.mark.parametrize(("prediction", "faults"), [("0.7", ["bad_prediction"]), ("null", ["bad_prediction"]), ("1.0", []), ("1e12", ["bad_prediction"])])
+def test_only_whole_numbers_are_predictions(spark, prediction, faults):
+    logged = _logged(spark, ("a", "2024-01-01", 5, 200, _inputs(1)[0], '{"predictions":[' + prediction + "]}"))
+    clean, rejects = log.unpack_inference_log(logged)
+    assert [r["reason"] for r in rejects.collect()] == faults and clean.count() == 1 - len(faults)
+
+
+def test_leading_white_space_of_a_body(spark):
+    body, answer = _inputs(1)
+    assert log.unpack_inference_log(_logged(spark, ("a", "2024-01-01", 5, 200, "\r\n\t " + body, answer)))[0].count() == 1
