@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldgauge.llm.tables import stored
 
-HUB_ROUNDS = 2
+HUB_ROUNDS, HUBS, JITTER = 2, 4, 0.15
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -39,59 +39,80 @@ def link(
     postings: DataFrame,
     members: DataFrame,
     may_match: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+    pruned: Callable[[DataFrame], DataFrame],
     verified: Callable[[DataFrame], DataFrame],
     rounds: int = HUB_ROUNDS,
 ) -> DataFrame:
-    """Components of all items with a verified link: (id, label), items alone left out.
+    """Components of all items with a verified link: (id, label), items alone labelled by themselves.
 
     ``postings`` has key, band, gid and whatever ``may_match`` reads; two groups are candidates
-    where they share a key and pass it. ``members`` has gid and id, one row an item. First each
-    group is compared with one hub of its key and band, each member with the first of its group;
-    what that joins needs no further comparison. Then every remaining candidate pair that still
-    lies in two components is verified. So no link between components is missed, and a group of
-    thousands of near copies costs a comparison each instead of one for each pair.
+    where they share a key and pass it. ``members`` has gid and id, one row an item. ``pruned``
+    drops pairs (a, b) that cannot link, at little cost, and adds a ``distance``; ``verified``
+    keeps those that do link.
+
+    In a few rounds each group meets ``HUBS`` hubs of every key it has (and each member the first
+    of its group), and only the nearest hub is verified; what that joins needs no further
+    comparison. Hubs are the groups whose keys are met most often, as those stand in the middle
+    of a crowd of near copies, with some chance so that rounds differ. Then every remaining candidate pair that still lies in two components is
+    verified. So no link between components is missed, and a group of thousands of near copies
+    costs a few comparisons each instead of one for each pair.
     """
     own = members.select("id", F.col("id").alias("label"))
     labels, edges = own, None
+    postings = stored(postings.join(_popularity(postings), "gid"), "postings")
+    labelled = postings.withColumns({"low": F.col("gid"), "high": F.col("gid")})
     for seed in range(rounds):
-        labelled = _labelled(postings, members, labels) if edges is not None else postings.withColumns({"low": F.col("gid"), "high": F.col("gid")})
-        open_keys = labelled.groupBy("key").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l < h").select("key")
-        left = labelled.join(open_keys, "key")
-        hub = left.groupBy("key", "band").agg(F.min(F.struct(F.xxhash64(F.lit(seed), F.col("gid")).alias("o"), F.col("gid").alias("hub"))).alias("x"))
-        hub = hub.select("key", "band", "x.hub").join(
-            labelled.select("key", F.col("gid").alias("hub"), *[F.col(c).alias(f"h_{c}") for c in labelled.columns if c not in ("key", "gid")]), ["key", "hub"]
-        ).drop("h_band")
-        near = left.join(hub, ["key", "band"]).filter(F.col("gid") != F.col("hub"))
-        near = near.filter(~_settled("low", "high", "h_low", "h_high") & may_match(lambda c: F.col(c), lambda c: F.col(f"h_{c}")))
-        pairs = near.select(F.col("gid").alias("a"), F.col("hub").alias("b"))
+        read = [F.col(c) for c in labelled.columns if c not in ("key", "band")]
+        chance = [F.pmod(F.xxhash64(F.lit(seed * HUBS + i), F.col("gid")), F.lit(1000)) / 1000 for i in range(HUBS)]
+        ranked = [F.max(F.struct((F.col("popularity") * (1 - JITTER * u * int(seed + i > 0))).alias("o"), *read)) for i, u in enumerate(chance)]
+        hubs = labelled.groupBy("key", "band").agg(F.array_distinct(F.transform(F.array(*ranked), lambda x: x.dropFields("o"))).alias("x"))
+        hubs = hubs.select("key", "band", F.inline("x")).withColumnsRenamed({c: f"h_{c}" for c in labelled.columns if c not in ("key", "band")})
+        near = labelled.join(hubs, ["key", "band"]).filter(
+            (F.col("gid") != F.col("h_gid")) & ~_settled("low", "high", "h_low", "h_high") & may_match(lambda c: F.col(c), lambda c: F.col(f"h_{c}"))
+        )
+        met = pruned(near.groupBy(F.col("gid").alias("a"), F.col("h_gid").alias("b")).agg(F.count("*").alias("shared")))
+        pairs = met.groupBy("a").agg(F.min(F.struct("distance", -F.col("shared"), "b")).alias("x")).select("a", "x.b")
         if seed == 0:
             pairs = pairs.unionByName(members.filter("gid <> id").select(F.col("gid").alias("a"), F.col("id").alias("b")))
-        edges, labels = _merged(edges, verified(_distinct(pairs)), own)
-    labelled = stored(_labelled(postings, members, labels), "labelled")
-    open_keys = labelled.groupBy("key").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l < h").select("key")
-    left = labelled.join(open_keys, "key")
+        edges, labels = _merged(edges, verified(stored(_distinct(pairs), "pairs")), own)
+        labelled = _still_open(postings, members, labels)
+    left = labelled
     other = left.select("key", *[F.col(c).alias(f"o_{c}") for c in left.columns if c != "key"])
     groups = left.join(other, "key").filter(
         (F.col("gid") < F.col("o_gid")) & ~_settled("low", "high", "o_low", "o_high") & may_match(lambda c: F.col(c), lambda c: F.col(f"o_{c}"))
     )
     groups = groups.select(F.col("gid").alias("g"), F.col("o_gid").alias("o")).distinct()
-    within = labelled.filter("low < high").select(F.col("gid").alias("g"), F.col("gid").alias("o")).distinct()
+    within = _group_labels(members, labels).filter("low < high").select(F.col("gid").alias("g"), F.col("gid").alias("o"))
     known = members.join(labels, "id")
     first = known.select(F.col("gid").alias("g"), F.col("id").alias("a"), F.col("label").alias("la"))
     second = known.select(F.col("gid").alias("o"), F.col("id").alias("b"), F.col("label").alias("lb"))
     pairs = groups.unionByName(within).join(first, "g").join(second, "o").filter("la <> lb")
-    edges, labels = _merged(edges, verified(_distinct(pairs.select("a", "b"))), own)
+    pairs = pruned(_distinct(pairs.select("a", "b"))).select("a", "b")
+    edges, labels = _merged(edges, verified(stored(pairs, "pairs")), own)
     return labels
 
 
+def _popularity(postings: DataFrame) -> DataFrame:
+    """(gid, popularity): how many other groups its keys meet, each key's count once."""
+    met = postings.groupBy("key").agg(F.count("*").alias("c"))
+    return postings.select("key", "gid").join(met, "key").groupBy("gid").agg(F.sum("c").alias("popularity"))
+
+
 def _settled(low: str, high: str, other_low: str, other_high: str) -> Column:
     """All members of both groups are in one component."""
     return (F.col(low) == F.col(high)) & (F.col(other_low) == F.col(other_high)) & (F.col(low) == F.col(other_low))
 
 
-def _labelled(postings: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    by_group = members.join(labels, "id").groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return postings.join(by_group, "gid")
+def _group_labels(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(gid, low, high): least and greatest label of each group."""
+    return members.join(labels, "id").groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+
+
+def _still_open(postings: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Postings of keys whose groups are not yet all in one component, with the group labels."""
+    labelled = stored(postings.join(_group_labels(members, labels), "gid"), "labelled")
+    keys = labelled.groupBy("key").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l < h").select("key")
+    return stored(labelled.join(keys, "key", "left_semi"), "open")
 
 
 def _distinct(pairs: DataFrame) -> DataFrame:

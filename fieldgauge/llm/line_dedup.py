@@ -126,23 +126,25 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verifier(documents: DataFrame, places: DataFrame, percent: int):
     """Keeps the pairs (a, b) of lines whose shingle sets reach the threshold."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, last_set = None, None
         for batch in batches:
-            found = []
-            for line in batch.column("line").to_pylist():
-                found.append(np.unique(shingles([normal(line)])[0]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], names=["id", "set"])
+            keep = []
+            for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
+                if x != last or last_set is None:
+                    last, last_set = x, np.unique(shingles([normal(x)])[0])
+                other = np.unique(shingles([normal(y)])[0])
+                common = len(np.intersect1d(last_set, other, assume_unique=True))
+                keep.append(100 * common >= percent * (len(last_set) + len(other) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "pairs")
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
         wanted = stored(places.join(ids, "id"), "wanted")
         few = wanted.count() <= BROADCAST_LINES
         texts = documents.join(F.broadcast(wanted) if few else wanted, KEY).select("id", F.get(F.split("text", "\n"), F.col("line_no")).alias("line"))
-        made = stored(texts.mapInArrow(sets, "id long, set array<long>"), "sets").dropDuplicates(["id"])
-        both = pairs.join(made.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(made.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-        common = F.size(F.array_intersect("sa", "sb"))
-        return both.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+        both = pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("tb")), "b").join(texts.select(F.col("id").alias("a"), F.col("line").alias("ta")), "a")
+        return both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long").distinct()
 
     return verified
 
@@ -168,7 +170,7 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = postings.groupBy("key").agg(F.min("gid").alias("l"), F.max("gid").alias("h")).filter("l < h").select("key")
     postings = stored(postings.join(shared, "key").distinct(), "postings")
     members = stored(postings.select("gid", F.col("gid").alias("id")).distinct(), "members")
-    labels = link(postings, members, lambda a, b: F.lit(True), _verifier(rows, classes.select(KEY, "line_no", "id"), percent))
+    labels = link(postings, members, lambda a, b: F.lit(True), lambda pairs: pairs.withColumn("distance", F.lit(0)), _verifier(rows, classes.select(KEY, "line_no", "id"), percent))
     # a line with no candidate is its own component; those seen once lose nothing
     joined = classes.join(labels, "id", "left").select("id", F.coalesce("label", "id").alias("label"), F.struct("doc_id", KEY, "line_no").alias("place"))
     keeper = joined.groupBy("label").agg(F.min("place").alias("keep"))

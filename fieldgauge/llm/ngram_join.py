@@ -4,8 +4,9 @@ Every document is a set of hashed word shingles. Sets are ordered by how frequen
 (by counts over hash buckets, so that the order table is small whatever the vocabulary) and two
 sets can only reach the threshold if their prefixes share a shingle. Documents with the same set
 collapse to one; those with the same prefix and size form one group. Group pairs from shared
-prefix shingles pass a size and a positional bound, are expanded to members and verified on the
-full sets.
+prefix shingles pass a size and a positional bound, are expanded to members, pass a bound on the
+symmetric difference (parities of hash buckets, which never differ in more places than the sets
+do) and are verified on the full sets.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from fieldgauge.llm.tables import stored
 WORDS, PERCENT = 4, 85
 #: Hash buckets of the frequency table (8 bytes each on the driver and in every task).
 FREQUENCY_BUCKETS = 1 << 18
+SKETCH_BITS = 1024
 #: Ids that may be broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 _PRIME, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -72,25 +74,33 @@ def bucket_frequencies(documents: DataFrame, words: int, buckets: int) -> np.nda
 
 
 def profiles(documents: DataFrame, words: int, percent: int, frequencies: np.ndarray) -> DataFrame:
-    """(doc_id, n, s1, s2, prefix): set size, a 128-bit digest of the set, its rarest shingles."""
+    """Per document the set size n, a 128-bit digest of the set (s1, s2), its rarest shingles
+    (prefix), a digest of those (p) and the parities of the set (sketch)."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, first, second, prefixes = [], [], [], []
+            sizes, first, second, prefixes, digests, sketches = [], [], [], [], [], []
             for text in batch.column("text"):
                 found = shingle_set(text.as_py(), words)
                 n = len(found)
                 digest = xxhash.xxh3_128_digest(found.tobytes())
                 order = np.lexsort((found, frequencies[_bucket(found, len(frequencies))]))
+                prefix = found[order[: n - -(-percent * n // 100) + 1 if n else 0]]
+                odd = np.bincount((found >> np.uint64(54)).astype(np.int64), minlength=SKETCH_BITS) & 1
                 sizes.append(n)
                 first.append(int.from_bytes(digest[:8], "big", signed=True))
                 second.append(int.from_bytes(digest[8:], "big", signed=True))
-                prefixes.append(found[order[: n - -(-percent * n // 100) + 1 if n else 0]].view(np.int64))
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "s1", "s2", "prefix"])
+                prefixes.append(prefix.view(np.int64))
+                digests.append(xxhash.xxh3_64_intdigest(prefix.tobytes()) - 2**63)
+                sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            columns = [
+                batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(digests, pa.int64()),
+                pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "s1", "s2", "p", "prefix", "sketch"])
 
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return source.mapInArrow(describe, "doc_id long, n int, s1 long, s2 long, prefix array<long>")
+    return source.mapInArrow(describe, "doc_id long, n int, s1 long, s2 long, p long, prefix array<long>, sketch array<long>")
 
 
 def _may_match(percent: int):
@@ -104,23 +114,44 @@ def _may_match(percent: int):
     return passes
 
 
+def _pruner(profiled: DataFrame, percent: int):
+    """Drops pairs whose parities differ in more places than the sets of a linked pair may, and
+    adds the number of places as ``distance``."""
+    one = profiled.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
+    two = profiled.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
+
+    def pruned(pairs: DataFrame) -> DataFrame:
+        differ = F.aggregate(F.zip_with("ka", "kb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        total = F.col("na") + F.col("nb")
+        need = F.ceil(F.lit(percent) * total / F.lit(100 + percent))
+        near = pairs.join(one, "a").join(two, "b").withColumn("distance", differ).filter(F.col("distance") <= total - 2 * need)
+        return near.drop("na", "nb", "ka", "kb")
+
+    return pruned
+
+
 def _verifier(documents: DataFrame, words: int, percent: int):
-    """Keeps the pairs (a, b) whose full sets reach the threshold."""
+    """Keeps the pairs (a, b) whose full sets reach the threshold. Texts move, not sets: they are
+    a third of the size."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, last_set = None, None
         for batch in batches:
-            found = [shingle_set(t.as_py(), words).view(np.int64) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], names=["id", "set"])
+            keep = []
+            for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
+                if x != last or last_set is None:
+                    last, last_set = x, shingle_set(x, words)
+                other = shingle_set(y, words)
+                common = len(np.intersect1d(last_set, other, assume_unique=True))
+                keep.append(100 * common >= percent * (len(last_set) + len(other) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "pairs")
         ids = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
         few = ids.count() <= BROADCAST_IDS
         texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id")
-        made = stored(texts.mapInArrow(sets, "id long, set array<long>"), "sets")
-        both = pairs.join(made.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(made.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-        common = F.size(F.array_intersect("sa", "sb"))
-        return both.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b").distinct()
+        both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+        return both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long").distinct()
 
     return verified
 
@@ -136,18 +167,17 @@ def similar_documents(documents: DataFrame, words: int = WORDS, percent: int = P
     table = bucket_frequencies(documents, words, buckets)
     every = stored(profiles(documents, words, percent, table), "profiles")
     full = every.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = stored(full.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id")), "classes")
-    first = full.join(classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    first = first.select(F.col("doc_id").alias("id"), "n", "prefix", F.xxhash64("prefix").alias("p"))
-    groups = first.groupBy("n", "p").agg(F.min("id").alias("gid"))
-    grouped = stored(first.join(groups, ["n", "p"]), "grouped")
+    classes = stored(full.groupBy("n", "s1", "s2", "p").agg(F.min("doc_id").alias("id")), "classes")
+    groups = classes.groupBy("n", "p").agg(F.min("id").alias("gid"))
+    members = stored(classes.join(groups, ["n", "p"]).select("gid", "id").distinct(), "members")
+    leaders = members.select(F.col("gid").alias("doc_id")).distinct()
+    leaders = F.broadcast(leaders) if leaders.count() <= BROADCAST_IDS else leaders
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int")
-    postings = stored(
-        grouped.filter("id = gid").select("gid", "n", band.alias("band"), F.posexplode("prefix").alias("pos", "key")), "postings"
-    )
-    shared = postings.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    postings = stored(postings.join(shared, "key"), "postings")
-    labels = link(postings, grouped.select("gid", "id"), _may_match(percent), _verifier(documents, words, percent))
+    leading = full.join(leaders, "doc_id", "left_semi")
+    shared = leading.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
+    placed = leading.select(F.col("doc_id").alias("gid"), "n", band.alias("band"), F.posexplode("prefix").alias("pos", "key"))
+    postings = stored(placed.join(shared, "key"), "postings")
+    labels = link(postings, members, _may_match(percent), _pruner(full, percent), _verifier(documents, words, percent))
     named = classes.join(labels, "id").select("n", "s1", "s2", "label").groupBy("n", "s1", "s2").agg(F.min("label").alias("label"))
     joined = every.select("doc_id", "n", "s1", "s2").join(named, ["n", "s1", "s2"], "left")
-    return joined.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id"))
+    return joined.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
