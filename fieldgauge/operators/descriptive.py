@@ -6,8 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fieldgauge.operators.groups import few_groups, with_group_stats
-from fieldgauge.operators.ordering import ROWS_PER_BUCKET
+from fieldgauge.operators.groups import with_group_stats
 from fieldgauge.operators.quantiles import (
     QUARTILES,
     doubles,
@@ -47,7 +46,7 @@ def moments(df: DataFrame, columns: list[str], keys: list[str] | None = None) ->
 
 
 def describe_numeric(
-    df: DataFrame, columns: list[str], quartiles: str = "exact", rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, columns: list[str], quartiles: str = "exact"
 ) -> DataFrame:
     """Count, mean, sample deviation, min, quartiles and max per column.
 
@@ -55,7 +54,7 @@ def describe_numeric(
     """
     basic = moments(df, columns)
     if quartiles == "exact":
-        quartile_rows = exact_quantiles(df, columns, rows_per_bucket=rows_per_bucket).select("column", *QUARTILES)
+        quartile_rows = exact_quantiles(df, columns).select("column", *QUARTILES)
     else:
         points = F.array(*[F.lit(p) for p in QUARTILES.values()])
         wide = doubles(df, columns, []).agg(
@@ -118,7 +117,13 @@ def histogram_by_class(df: DataFrame, column: str, label: str, bins: int | str =
         label,
         F.least(F.floor(n_bins * (F.col(column) - low) / span), (n_bins - 1).cast("bigint")).alias("bin"),
     )
-    counted = placed.groupBy(label, "bin").agg(F.count(F.lit(1)).alias("n"))
+    found = placed.groupBy(label, "bin").agg(F.count(F.lit(1)).alias("n"))
+    # every class has every bin, as every cell of a confusion matrix is shown
+    every = found.select(label).distinct().select(F.col(label).alias("__class"), F.explode(F.sequence(F.lit(0).cast("bigint"), n_bins.cast("bigint") - 1)).alias("__bin"))
+    same = F.col(label).eqNullSafe(F.col("__class")) & (F.col("bin") == F.col("__bin"))
+    counted = every.join(found, same, "left").select(
+        F.col("__class").alias(label), F.col("__bin").alias("bin"), F.coalesce("n", F.lit(0)).alias("n")
+    )
     edge = lambda i: low + span * i / n_bins
     return counted.select(
         label, "bin", edge(F.col("bin")).alias("left"), edge(F.col("bin") + 1).alias("right"), "n"
@@ -138,7 +143,6 @@ def density_by_class(
     point; these sums are combined before the shuffle, which moves classes x grid rows.
     """
     group = ["column", label]
-    bounded = few_groups(df, [label])
     n = F.col("n").cast("double")
     bandwidth = F.col("std") * F.pow(n, F.lit(-0.2))
     stats = moments(df, columns, [label])
@@ -151,7 +155,7 @@ def density_by_class(
         .withColumn("step", (F.col("max") + cut * F.col("bw") - F.col("start")) / (grid - 1))
         .drop("min", "max")
     )
-    spread = with_group_stats(value_counts(df, columns, [label]), stats, group, bounded)
+    spread = with_group_stats(value_counts(df, columns, [label]), stats, group)
     points = spread.select(
         *group, "value", "n", "bw", "start", "step",
         F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"),
@@ -162,7 +166,7 @@ def density_by_class(
         F.sum(F.col("n") * F.exp(-0.5 * distance * distance)).alias("mass")
     )
     kernel = F.col("mass") / (F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
-    return with_group_stats(sums, stats, group, bounded).select(
+    return with_group_stats(sums, stats, group).select(
         *group,
         "point",
         x.alias("x"),
@@ -176,20 +180,19 @@ def box_stats(
     columns: list[str],
     label: str,
     reach: float = 1.5,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """(column, label, n, q1, median, q3, whisker_low, whisker_high, outliers) per class.
 
     Whiskers end at the last value within ``reach`` interquartile ranges of the box.
     """
     group = ["column", label]
-    boxes = exact_quantiles(df, columns, [label], rows_per_bucket=rows_per_bucket).select(
+    boxes = exact_quantiles(df, columns, [label]).select(
         *group, F.col("p25").alias("q1"), F.col("p50").alias("median"), F.col("p75").alias("q3")
     )
     margin = reach * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - margin, F.col("q3") + margin)
     counts = value_counts(df, columns, [label])
-    joined = with_group_stats(counts, boxes, group, few_groups(df, [label]))
+    joined = with_group_stats(counts, boxes, group)
     return (
         joined.groupBy(*group)
         .agg(

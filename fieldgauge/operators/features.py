@@ -9,21 +9,22 @@ from pyspark.sql import DataFrame, functions as F
 from fieldgauge import schemas
 from fieldgauge.functions.scalars import standardized
 from fieldgauge.operators.descriptive import long_rows
-from fieldgauge.operators.ordering import ROWS_PER_BUCKET, number_rows
+from fieldgauge.operators.ordering import number_rows
 
 
 def add_surrogate_key(
     df: DataFrame,
     order_by: list[str],
     key: str = schemas.KEY,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    partitions: int | None = None,
     drop: list[str] | None = None,
 ) -> DataFrame:
     """Dense key 1..n as the first column, following a declared unique order.
 
-    The same rows get the same keys in every run, whatever their physical order.
+    The same rows get the same keys in every run, whatever their physical order. The order may
+    use columns of any sortable type, NULLs included.
     """
-    numbered = number_rows(df, order_by, key, rows_per_bucket)
+    numbered = number_rows(df, order_by, key, partitions=partitions)
     kept = [c for c in df.columns if c not in (drop or [])]
     return numbered.select(key, *kept)
 

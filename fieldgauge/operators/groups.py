@@ -7,17 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-GROUP_LIMIT = 10_000
-
-
-def few_groups(df: DataFrame, keys: list[str], limit: int = GROUP_LIMIT) -> bool:
-    """Whether ``keys`` take at most ``limit`` distinct values.
-
-    The distinct is combined before the shuffle and the count stops at ``limit`` + 1 rows.
-    """
-    return not keys or df.select(*keys).distinct().limit(limit + 1).count() <= limit
-
-
 def matching_keys(left: DataFrame, keys: list[str], prefix: str) -> Column:
     """``key = <prefix>key`` for all keys, NULL-safe for those that may be NULL."""
     optional = {f.name: f.nullable for f in left.schema.fields}
@@ -28,15 +17,14 @@ def matching_keys(left: DataFrame, keys: list[str], prefix: str) -> Column:
 
 
 def with_group_stats(
-    df: DataFrame, stats: DataFrame, keys: list[str], bounded: bool, how: str = "inner"
+    df: DataFrame, stats: DataFrame, keys: list[str], how: str = "inner"
 ) -> DataFrame:
     """Attach the one row of ``stats`` per group to the rows of ``df``.
 
-    A checked number of groups is broadcast. Otherwise Spark joins by shuffle, where adaptive
-    execution splits the partition of a hot group.
+    Spark chooses the join from the sizes it meets; adaptive execution broadcasts few groups and
+    splits the partition of a hot one.
     """
     renamed = stats.select(
         *[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in stats.columns if c not in keys]
     )
-    side = F.broadcast(renamed) if bounded else renamed
-    return df.join(side, matching_keys(df, keys, "__k_"), how).drop(*[f"__k_{k}" for k in keys])
+    return df.join(renamed, matching_keys(df, keys, "__k_"), how).drop(*[f"__k_{k}" for k in keys])

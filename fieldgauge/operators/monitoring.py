@@ -6,16 +6,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldgauge import schemas
 from fieldgauge.operators.descriptive import moments
-from fieldgauge.operators.groups import GROUP_LIMIT, with_group_stats
-from fieldgauge.operators.ordering import ROWS_PER_BUCKET
+from fieldgauge.operators.groups import with_group_stats
 from fieldgauge.operators.quantiles import (
     QUARTILES,
     cumulated,
-    doubles,
     exact_quantiles,
-    group_count,
+    long_values,
     value_counts,
-    value_edges,
 )
 
 # Columns and window length the monitor is set up with.
@@ -41,14 +38,13 @@ def window_profile(
     log: DataFrame,
     columns: list[str],
     length: str = WINDOW_LENGTH,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Per window, model and column: counts, distinct values, extremes, moments and quartiles."""
     keyed = with_window(log, length)
     basic = moments(keyed, columns, KEYS)
-    found = exact_quantiles(keyed, columns, KEYS, rows_per_bucket=rows_per_bucket)
+    found = exact_quantiles(keyed, columns, KEYS)
     ranks = found.select(*KEYS, "column", "n_distinct", *QUARTILES)
-    joined = with_group_stats(basic, ranks, [*KEYS, "column"], bounded=False, how="left")
+    joined = with_group_stats(basic, ranks, [*KEYS, "column"], how="left")
     return joined.select(
         *KEYS, "column", "n", "nulls", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
         "mean", "std", "min", *QUARTILES, "max",
@@ -93,7 +89,6 @@ def ks_drift(
     log: DataFrame,
     columns: list[str],
     length: str = WINDOW_LENGTH,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Per window, model and column: two-sample Kolmogorov-Smirnov statistic.
 
@@ -104,22 +99,19 @@ def ks_drift(
     """
     columns = shared_columns(baseline, log, columns)
     keyed = with_window(log, length)
-    everything = doubles(baseline, columns, []).unionByName(doubles(log, columns, []))
-    edges = value_edges(everything, columns, everything.count(), rows_per_bucket)
-    groups = group_count(keyed, KEYS) if edges else 1
     counts = value_counts(keyed, columns, KEYS)
 
     seen = value_counts(baseline, columns, []).unionByName(
         counts.select("column", "value", F.lit(0).cast("bigint").alias("n"))
     )
     merged = seen.groupBy("column", "value").agg(F.sum("n").alias("b"))
-    reference = cumulated(merged, edges, {"b_upto": "b"}, [], 1).select(
+    reference = cumulated(merged, {"b_upto": "b"}, []).select(
         "column",
         "value",
         _fraction(F.col("b_upto"), F.col("total_b_upto")).alias("b_at"),
         _fraction(F.col("b_upto") - F.col("b"), F.col("total_b_upto")).alias("b_before"),
     )
-    current = cumulated(counts, edges, {"upto": "n"}, KEYS, groups)
+    current = cumulated(counts, {"upto": "n"}, KEYS)
     at = _fraction(F.col("upto"), F.col("total_upto"))
     before = _fraction(F.col("upto") - F.col("n"), F.col("total_upto"))
     gap = F.greatest(F.abs(at - F.col("b_at")), F.abs(before - F.col("b_before")))
@@ -136,7 +128,6 @@ def psi_drift(
     columns: list[str],
     bins: int = 10,
     length: str = WINDOW_LENGTH,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Per window, model and column: population stability index over baseline quantile bins.
 
@@ -144,7 +135,7 @@ def psi_drift(
     """
     columns = shared_columns(baseline, log, columns)
     points = {f"q{i}": i / bins for i in range(1, bins)}
-    edges = exact_quantiles(baseline, columns, [], points, rows_per_bucket).select(
+    edges = exact_quantiles(baseline, columns, [], points).select(
         "column", F.array(*points).alias("edges")
     )
 
@@ -160,8 +151,9 @@ def psi_drift(
             total.alias("n"),
         )
 
-    expected = shares(value_counts(baseline, columns, []), [], "expected").drop("n")
-    actual = shares(value_counts(with_window(log, length), columns, KEYS), KEYS, "actual")
+    # rows are placed in their bins and summed where they are: what moves is one row per group
+    expected = shares(long_values(baseline, columns, []), [], "expected").drop("n")
+    actual = shares(long_values(with_window(log, length), columns, KEYS), KEYS, "actual")
     terms = F.zip_with("actual", "expected", lambda a, e: (a - e) * F.log(a / e))
     return actual.join(F.broadcast(expected), "column").select(
         *KEYS, "column", "n", F.aggregate(terms, F.lit(0.0), lambda s, t: s + t).alias("psi")
@@ -181,7 +173,7 @@ def class_drift(baseline: DataFrame, log: DataFrame, length: str = WINDOW_LENGTH
     )
     current = current.withColumn("a_total", F.sum("a").over(Window.partitionBy(*KEYS)))
     total = reference.agg(F.sum("b")).scalar()
-    joined = with_group_stats(current, reference, ["class"], bounded=False, how="left")
+    joined = with_group_stats(current, reference, ["class"], how="left")
     a, b = F.col("a"), F.coalesce("b", F.lit(0.0))
     ratio = F.sqrt(total / F.col("a_total"))
     term = F.pow(a * ratio - b / ratio, F.lit(2.0)) / (a + b)
@@ -196,7 +188,6 @@ def previous_window_drift(
     log: DataFrame,
     columns: list[str],
     length: str = WINDOW_LENGTH,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Per window, model and column: change of mean and KS statistic since the window before.
 
@@ -210,10 +201,9 @@ def previous_window_drift(
     following = keyed.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("rows")).select(
         *KEYS, F.lead(START).over(in_time).alias("next_start")
     )
-    groups = group_count(keyed, KEYS)
     counts = value_counts(keyed, columns, KEYS)
     as_reference = (
-        with_group_stats(counts, following, KEYS, groups <= GROUP_LIMIT)
+        with_group_stats(counts, following, KEYS)
         .where(F.col("next_start").isNotNull())
         .select(
             F.col("next_start").alias(START), MODEL, "column", "value",
@@ -226,8 +216,7 @@ def previous_window_drift(
         .groupBy(*group, "value")
         .agg(F.sum("cur").alias("cur"), F.sum("ref").alias("ref"))
     )
-    edges = value_edges(log, columns, log.count(), rows_per_bucket)
-    ranked = cumulated(merged, edges, {"cur_upto": "cur", "ref_upto": "ref"}, KEYS, groups)
+    ranked = cumulated(merged, {"cur_upto": "cur", "ref_upto": "ref"}, KEYS)
     gap = F.abs(
         _fraction(F.col("cur_upto"), F.col("total_cur_upto"))
         - _fraction(F.col("ref_upto"), F.col("total_ref_upto"))
@@ -241,4 +230,4 @@ def previous_window_drift(
         (F.col("mean") - F.lag("mean").over(per_column)).alias("mean_delta"),
     )
     known = means.where(F.col("previous_start").isNotNull())
-    return with_group_stats(known, distance, group, bounded=False, how="left")
+    return with_group_stats(known, distance, group, how="left")

@@ -1,222 +1,93 @@
 """Order-dependent work (row numbers, running sums) without one task holding the whole order.
 
-Rows are assigned to range buckets whose edges are literals, each bucket is numbered on its
-own, and the totals of the preceding buckets are added. The edges are read once, from a
-sample, before the plan is built: a plan that computed them on the fly could see different
-edges in the branch that totals the buckets and the branch that numbers the rows.
+Rows are range-partitioned by the full order, sorted within partitions and stored once, each
+with its partition and its place in it. A range partition ends anywhere in the order, whatever
+the types of the columns and however many rows share leading values or NULLs; storing it fixes
+the boundaries, which a recomputed sample would move. What comes before a partition is then a
+sum over one row for each partition.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-from dataclasses import dataclass, field
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fieldgauge.functions.scalars import (
-    as_ordered_double,
-    count_at_or_below,
-    count_in_array,
-    literal_array,
-)
-from fieldgauge.operators.groups import few_groups, matching_keys
-from fieldgauge.session import shuffle_partitions
-
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 20_000
-BROADCAST_OFFSETS = 200_000  # rows of a few short values each
-HASH_DIGITS = 4
-SAMPLE_PER_BUCKET = 100
-SAMPLE_SEED = 42
-
-SLOT, SUB = "__slot", "__sub"
-
-
-@dataclass
-class RangeBuckets:
-    """Bucket edges of one ordering. ``sub_cuts[i]`` splits the rows equal to ``cuts[i]``."""
-
-    lead: str
-    cuts: list[float]
-    second: str | None = None
-    sub_cuts: list[list[float]] = field(default_factory=list)
-
-    @property
-    def size(self) -> int:
-        """Upper bound on the number of buckets."""
-        return 2 * len(self.cuts) + 1 + sum(len(c) for c in self.sub_cuts)
-
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Add the bucket columns; (slot, sub) ascends with the ordering.
-
-        Every cut value has a slot of its own (odd numbers), so a value shared by many rows
-        stays apart from its neighbours and can be split by the second column.
-        """
-        if not self.cuts:
-            return df.withColumns({SLOT: F.lit(0), SUB: F.lit(0)})
-        types = {f.name: f.dataType for f in df.schema.fields}
-        value = as_ordered_double(F.col(self.lead), types[self.lead])
-        cuts = literal_array(self.cuts, "double")
-        below = count_at_or_below(value, self.cuts)
-        on_cut = F.coalesce(F.get(cuts, F.col("__below") - 1) == value, F.lit(False))
-        tagged = df.withColumn("__below", below).withColumn(
-            SLOT, 2 * F.col("__below") - on_cut.cast("int")
-        )
-        longest = max((len(c) for c in self.sub_cuts), default=0)
-        if longest:
-            inner = as_ordered_double(F.col(self.second), types[self.second])
-            edges = F.get(literal_array(self.sub_cuts, "array<double>"), F.col("__below") - 1)
-            sub = F.when(F.col(SLOT) % 2 == 1, count_in_array(inner, edges, longest)).otherwise(0)
-        else:
-            sub = F.lit(0)
-        return tagged.withColumn(SUB, sub).drop("__below")
-
-
-def bucket_count(df: DataFrame, rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Buckets for a table of ``rows``: at least one per shuffle partition, bounded above."""
-    wanted = max(math.ceil(rows / rows_per_bucket), shuffle_partitions(df.sparkSession))
-    return max(1, min(wanted, MAX_BUCKETS, max(rows, 1)))
-
-
-def _sampled(df: DataFrame, rows: int, buckets: int) -> DataFrame:
-    share = min(1.0, SAMPLE_PER_BUCKET * buckets / max(rows, 1))
-    return df if share >= 1.0 else df.sample(share, seed=SAMPLE_SEED)
-
-
-def _percentiles(column: Column, buckets: int) -> Column:
-    points = literal_array([i / buckets for i in range(1, buckets)], "double")
-    return F.percentile_approx(F.when(~F.isnan(column), column), points, F.lit(20 * buckets))
-
-
-def cut_points(df: DataFrame, columns: list[str], buckets: int, rows: int) -> dict[str, list[float]]:
-    """Equi-depth edges of several columns from one sample; repeats mark heavy values.
-
-    The driver receives at most ``buckets`` numbers per column.
-    """
-    if buckets < 2:
-        return {c: [] for c in columns}
-    types = {f.name: f.dataType for f in df.schema.fields}
-    edges = (
-        _sampled(df.select(*columns), rows, buckets)
-        .agg(*[_percentiles(as_ordered_double(F.col(c), types[c]), buckets).alias(c) for c in columns])
-        .first()
-    )
-    return {c: list(edges[c] or []) for c in columns}
+from fieldgauge.operators.groups import matching_keys
+from fieldgauge.session import fresh_path, shuffle_partitions
+
+PART, ROW = "__part", "__row"
+ROW_BITS = 33  # of monotonically_increasing_id that count rows within a partition
 
 
-def range_buckets(
-    df: DataFrame, order_by: list[str], rows_per_bucket: int = ROWS_PER_BUCKET
-) -> RangeBuckets:
-    """Edges for ordering ``df`` by one or more columns.
+def ordered_parts(df: DataFrame, order_by: list[str], partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned, sorted and stored, with partition (PART) and place in it (ROW).
 
-    Where a single leading value fills several buckets, its rows are split by the second
-    column, so that a timestamp shared by a third of the table is still spread out.
+    There are as many partitions as the session has shuffle partitions, at every size.
     """
-    lead, second = order_by[0], (order_by[1] if len(order_by) > 1 else None)
-    rows = df.count()
-    buckets = bucket_count(df, rows, rows_per_bucket)
-    raw = cut_points(df, [lead], buckets, rows)[lead]
-    cuts = sorted(set(raw))
-    repeats = Counter(raw)
-    heavy = [c for c in cuts if repeats[c] > 1]
-    if not (second and heavy):
-        return RangeBuckets(lead, cuts)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    lead_value = as_ordered_double(F.col(lead), types[lead])
-    most = max(repeats[c] for c in heavy) + 1
-    position = count_at_or_below(lead_value, heavy)
-    found = (
-        _sampled(df.select(lead, second), rows, buckets)
-        .withColumn("__heavy", position)
-        .where(F.get(literal_array(heavy, "double"), F.col("__heavy") - 1) == lead_value)
-        .groupBy("__heavy")
-        .agg(_percentiles(as_ordered_double(F.col(second), types[second]), most).alias("edges"))
-        .collect()  # one row per heavy value, of which there are fewer than buckets / 2
+    spark = df.sparkSession
+    place = F.monotonically_increasing_id()
+    parts = (
+        df.repartitionByRange(partitions or shuffle_partitions(spark), *order_by)
+        .sortWithinPartitions(*order_by)
+        .withColumns({PART: F.shiftright(place, ROW_BITS), ROW: place.bitwiseAND(F.lit(2**ROW_BITS - 1))})
     )
-    by_value = {heavy[r["__heavy"] - 1]: sorted(set(r["edges"] or [])) for r in found}
-    return RangeBuckets(lead, cuts, second, [by_value.get(c, []) for c in cuts])
+    folder = fresh_path(spark, "ordered")
+    parts.write.parquet(folder)
+    return spark.read.schema(parts.schema).parquet(folder)
 
 
-def _offsets(tagged: DataFrame, partition: list[str], bucket: list[str], sums: dict[str, Column]) -> DataFrame:
-    """Totals before each bucket and of the partition. Its windows see one row per bucket."""
-    totals = tagged.groupBy(*partition, *bucket).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+def _before(parts: DataFrame, partition: list[str], sums: dict[str, Column], extra: dict[str, Column]) -> DataFrame:
+    """Sums before each part and over the whole of each ``partition``; a row for each part of it."""
+    totals = parts.groupBy(*partition, PART).agg(*[c.alias(n) for n, c in {**sums, **extra}.items()])
     whole = Window.partitionBy(*partition)
-    before = whole.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = whole.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
-        *[F.col(c).alias(f"__b_{c}") for c in [*partition, *bucket]],
-        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"__before_{n}") for n in sums],
+        *[F.col(c).alias(f"__b_{c}") for c in [*partition, PART]],
+        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"__before_{n}") for n in sums],
         *[F.sum(n).over(whole).alias(f"total_{n}") for n in sums],
+        *[F.col(n).alias(f"__b_{n}") for n in extra],
     )
 
 
+def _joined(parts: DataFrame, before: DataFrame, partition: list[str]) -> DataFrame:
+    return parts.join(before, matching_keys(parts, [*partition, PART], "__b_"))
+
+
 def running_sums(
-    tagged: DataFrame,
-    sums: dict[str, Column],
+    df: DataFrame,
+    sums: dict[str, str],
     order_by: list[str],
-    bucket: list[str],
     partition: list[str] | None = None,
-    offsets_are_small: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Inclusive running sums over ``order_by`` within ``partition``, one task per bucket.
+    """Inclusive running sums ``{name: column}`` over ``order_by`` within ``partition``.
 
     Each sum ``x`` comes with ``total_x``, its total over the partition.
-
-    ``tagged`` carries the bucket columns, which must ascend with ``order_by``; without any,
-    each partition must be known to fit one task.
-    ``offsets_are_small`` says that the number of buckets is bounded, so that the offsets
-    may be broadcast; otherwise Spark chooses the join.
     """
     partition = partition or []
-    if not bucket:
-        whole = Window.partitionBy(*partition)
-        upto = whole.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return tagged.withColumns(
-            {n: F.sum(c).over(upto) for n, c in sums.items()}
-            | {f"total_{n}": F.sum(c).over(whole) for n, c in sums.items()}
-        )
-    offsets = _offsets(tagged, partition, bucket, sums)
-    if offsets_are_small:
-        offsets = F.broadcast(offsets)
-    condition = matching_keys(tagged, [*partition, *bucket], "__b_")
-    inside = (
-        Window.partitionBy(*partition, *bucket)
-        .orderBy(*order_by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    joined = tagged.join(offsets, condition)
-    return joined.withColumns(
+    parts = ordered_parts(df, [*partition, *order_by], partitions)
+    before = _before(parts, partition, {n: F.sum(c) for n, c in sums.items()}, {})
+    inside = Window.partitionBy(*partition, PART).orderBy(ROW).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = _joined(parts, before, partition).withColumns(
         {n: F.col(f"__before_{n}") + F.sum(c).over(inside) for n, c in sums.items()}
-    ).drop(*[f"__b_{c}" for c in [*partition, *bucket]], *[f"__before_{n}" for n in sums])
-
-
-def number_rows(
-    df: DataFrame, order_by: list[str], name: str, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
-    """1..n in the order of ``order_by`` (together unique), equal to a global row_number."""
-    edges = range_buckets(df, order_by, rows_per_bucket)
-    numbered = running_sums(
-        edges.assign(df), {name: F.lit(1)}, order_by, [SLOT, SUB], offsets_are_small=True
     )
-    return numbered.drop(SLOT, SUB, f"total_{name}")
+    return summed.drop(PART, ROW, *[f"__b_{c}" for c in [*partition, PART]], *[f"__before_{n}" for n in sums])
 
 
-def number_by_hash(
-    df: DataFrame, digest: str, tie: list[str], name: str, partition: list[str] | None = None
+def number_rows(
+    df: DataFrame,
+    order_by: list[str],
+    name: str,
+    partition: list[str] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Row number in digest order, with the partition's row count as ``total_<name>``.
+    """1..n in the order of ``order_by`` (together unique) within ``partition``, as a global
+    row_number gives, and the count of the partition as ``total_<name>``.
 
-    A digest is uniform, so its first digits serve as the buckets.
+    A row's number is its stored place plus the rows before its part: nothing is sorted twice.
     """
     partition = partition or []
-    buckets = 16**HASH_DIGITS
-    tagged = df.withColumn(SLOT, F.coalesce(F.substring(digest, 1, HASH_DIGITS), F.lit("")))
-    numbered = running_sums(
-        tagged,
-        {name: F.lit(1)},
-        [digest, *tie],
-        [SLOT],
-        partition,
-        offsets_are_small=few_groups(df, partition, BROADCAST_OFFSETS // buckets),
-    )
-    return numbered.drop(SLOT)
+    parts = ordered_parts(df, [*partition, *order_by], partitions)
+    before = _before(parts, partition, {name: F.count(F.lit(1))}, {"first": F.min(ROW)})
+    number = F.col(ROW) - F.col("__b_first") + 1 + F.col(f"__before_{name}")
+    numbered = _joined(parts, before, partition).withColumn(name, number)
+    return numbered.drop(PART, ROW, "__b_first", f"__before_{name}", *[f"__b_{c}" for c in [*partition, PART]])

@@ -4,15 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldgauge.functions.scalars import count_at_or_below
-from fieldgauge.operators.ordering import (
-    BROADCAST_OFFSETS,
-    ROWS_PER_BUCKET,
-    SLOT,
-    bucket_count,
-    cut_points,
-    running_sums,
-)
+from fieldgauge.operators.ordering import running_sums
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -31,55 +23,19 @@ def value_counts(df: DataFrame, columns: list[str], keys: list[str]) -> DataFram
     Rows are turned by ``inline``: several uses of the counts in one plan then share one
     shuffle, which the expansion behind ``unpivot`` prevents.
     """
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-    return (
-        df.select(*keys, F.inline(F.array(*cells)))
-        .where(F.col("value").isNotNull())
-        .groupBy(*keys, "column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
-def group_count(df: DataFrame, keys: list[str]) -> int:
-    """Distinct values of the keys, combined before the shuffle."""
-    return df.select(*keys).distinct().count() if keys else 1
-
+    return long_values(df, columns, keys).groupBy(*keys, "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
-def value_edges(
-    df: DataFrame, columns: list[str], rows: int, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> dict[str, list[float]]:
-    """Range edges of each column for ``with_value_slot``; none if all rows fit one bucket."""
-    if rows <= rows_per_bucket:
-        return {}
-    cuts = cut_points(doubles(df, columns, []), columns, bucket_count(df, rows, rows_per_bucket), rows)
-    return {c: sorted(set(points)) for c, points in cuts.items()}
 
-
-def with_value_slot(counts: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
-    """Tag each value with its range bucket within its column."""
-    slot: Column = F.lit(0)
-    for name, points in edges.items():
-        if points:
-            slot = F.when(F.col("column") == name, count_at_or_below(F.col("value"), points)).otherwise(slot)
-    return counts.withColumn(SLOT, slot)
+def long_values(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
+    """(keys, column, value, n = 1): every value that is not NULL, as ``value_counts`` without the count."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    long = df.select(*keys, F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    return long.withColumn("n", F.lit(1).cast("bigint"))
 
 
-def cumulated(
-    counts: DataFrame, edges: dict[str, list[float]], sums: dict[str, str], keys: list[str], groups: int
-) -> DataFrame:
+def cumulated(counts: DataFrame, sums: dict[str, str], keys: list[str]) -> DataFrame:
     """Running sums of count columns over the ascending values of each (keys, column)."""
-    columns = {name: F.col(source) for name, source in sums.items()}
-    if not edges:
-        return running_sums(counts, columns, ["value"], [], [*keys, "column"])
-    offsets = groups * sum(len(points) + 1 for points in edges.values())
-    return running_sums(
-        with_value_slot(counts, edges),
-        columns,
-        ["value"],
-        [SLOT],
-        [*keys, "column"],
-        offsets_are_small=offsets <= BROADCAST_OFFSETS,
-    )
+    return running_sums(counts, sums, ["value"], [*keys, "column"])
 
 
 def exact_quantiles(
@@ -87,7 +43,6 @@ def exact_quantiles(
     columns: list[str],
     keys: list[str] | None = None,
     probabilities: dict[str, float] | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """(keys, column, n, n_distinct, one column per probability), linearly interpolated.
 
@@ -97,9 +52,7 @@ def exact_quantiles(
     keys = keys or []
     probabilities = probabilities or QUARTILES
     group = [*keys, "column"]
-    edges = value_edges(df, columns, df.count(), rows_per_bucket)
-    groups = group_count(df, keys) if edges else 1
-    ranked = cumulated(value_counts(df, columns, keys), edges, {"upto": "n"}, keys, groups)
+    ranked = cumulated(value_counts(df, columns, keys), {"upto": "n"}, keys)
 
     def value_at(rank: Column) -> Column:
         covered = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldgauge import schemas
 from fieldgauge.functions.scalars import key_hash
-from fieldgauge.operators.ordering import number_by_hash
+from fieldgauge.operators.ordering import number_rows
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
@@ -35,7 +35,7 @@ def with_split(df: DataFrame, key: str = schemas.KEY, exact: bool = False) -> Da
     """Add ``split``. ``exact`` gives exact sizes, rounding each hold-out up, at one shuffle."""
     if not exact:
         return df.withColumn("split", split_of(F.col(key)))
-    ranked = number_by_hash(df.withColumn("__hash", key_hash(F.col(key))), "__hash", [key], "__rank")
+    ranked = number_rows(df.withColumn("__hash", key_hash(F.col(key))), ["__hash", key], "__rank")
     rows = F.col("total___rank")
     n_test = F.ceil(rows * TEST_SHARE)
     n_validation = F.ceil((rows - n_test) * VALIDATION_SHARE)
@@ -57,11 +57,11 @@ def with_stratified_folds(
 ) -> DataFrame:
     """Add ``fold`` 0..folds-1: rows of a class are dealt out in hash order.
 
-    Class sizes in two folds differ by at most one. A class is numbered in hash-prefix
-    buckets, so a dominant class does not land in one task.
+    Class sizes in two folds differ by at most one. A class is numbered in range partitions,
+    so a dominant class does not land in one task.
     """
     hashed = df.withColumn("__hash", key_hash(F.col(key)))
-    ranked = number_by_hash(hashed, "__hash", [key], "__rank", [label])
+    ranked = number_rows(hashed, ["__hash", key], "__rank", [label])
     return ranked.withColumn("fold", (F.col("__rank") % folds).cast("int")).drop(
         "__hash", "__rank", "total___rank"
     )

@@ -137,10 +137,11 @@ def histogram(bins: str, prefix: str = "") -> str:
   CAST(count(*) AS DOUBLE) AS n, quantile_cont(Temperature, 0.75) - quantile_cont(Temperature, 0.25) AS iqr
   FROM readings), b AS (SELECT lo, hi - lo AS span, CAST({bins} AS DOUBLE) AS bins FROM lim),
 placed AS (SELECT Occupancy, least(CAST(floor(bins * (Temperature - lo) / span) AS BIGINT),
-                                   CAST(bins - 1 AS BIGINT)) AS bin, lo, span, bins FROM readings, b)
-SELECT Occupancy, bin, {r('any_value(lo) + any_value(span) * bin / any_value(bins)')} AS "left",
-       {r('any_value(lo) + any_value(span) * (bin + 1) / any_value(bins)')} AS "right", count(*) AS n
-FROM placed GROUP BY Occupancy, bin"""
+                                   CAST(bins - 1 AS BIGINT)) AS bin FROM readings, b),
+every AS (SELECT Occupancy, unnest(range(CAST(bins AS BIGINT))) AS bin, lo, span, bins
+          FROM (SELECT DISTINCT Occupancy FROM readings), b)
+SELECT Occupancy, bin, {r('lo + span * bin / bins')} AS "left", {r('lo + span * (bin + 1) / bins')} AS "right", count(placed.bin) AS n
+FROM every LEFT JOIN placed USING (Occupancy, bin) GROUP BY Occupancy, bin, lo, span, bins"""
 
 
 KDE = f"""WITH {READINGS}, vals AS ({long('readings', ['CO2', 'Light', 'Humidity', 'HumidityRatio'], ['Occupancy'])}),

@@ -5,7 +5,6 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import Window, functions as F
 
-from fieldgauge.functions.scalars import as_ordered_double, count_at_or_below
 from fieldgauge.operators import ordering, splits
 from fieldgauge.operators.features import add_surrogate_key
 from fieldgauge.operators.quantiles import exact_quantiles
@@ -15,25 +14,9 @@ def global_numbers(df, order):
     return df.withColumn("Id", F.row_number().over(Window.orderBy(*order)))
 
 
-@pytest.mark.parametrize("n_cuts", [0, 1, 5, 32, 33, 100])
-def test_search_counts_cuts_at_or_below(spark, n_cuts):
-    draw = random.Random(n_cuts)
-    cuts = sorted({round(draw.uniform(0, 10), 2) for _ in range(n_cuts)})
-    values = [draw.uniform(-1, 11) for _ in range(50)] + cuts + [None, float("nan")]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = df.select("v", count_at_or_below(F.col("v"), cuts).alias("k")).collect()
-    for r in got:
-        if r["v"] is None:
-            assert r["k"] == 0
-        elif r["v"] != r["v"]:
-            assert r["k"] == len(cuts)
-        else:
-            assert r["k"] == sum(c <= r["v"] for c in cuts)
-
-
 def test_numbers_equal_global_row_number_over_many_buckets(spark):
     df = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("k"), F.col("id").alias("payload"))
-    got = ordering.number_rows(df, ["k"], "Id", rows_per_bucket=40)
+    got = ordering.number_rows(df, ["k"], "Id", partitions=40)
     assert rows(got.select("k", "payload", "Id")) == rows(global_numbers(df, ["k"]).select("k", "payload", "Id"))
 
 
@@ -42,17 +25,16 @@ def test_hot_leading_value_is_split_by_second_key(spark):
         F.when(F.col("id") % 2 == 0, 100).otherwise(F.col("id") % 300).cast("double").alias("ts"),
         (F.col("id") * 31 % 4003).alias("k"),
     )
-    edges = ordering.range_buckets(df, ["ts", "k"], rows_per_bucket=100)
-    sizes = edges.assign(df).groupBy(ordering.SLOT, ordering.SUB).count()
-    assert sizes.agg(F.max("count")).first()[0] < 400  # half of the rows share one leading value
-    got = ordering.number_rows(df, ["ts", "k"], "Id", rows_per_bucket=100)
+    sizes = ordering.ordered_parts(df, ["ts", "k"], 40).groupBy(ordering.PART).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 2 * 4000 / 40  # half of the rows share one leading value
+    got = ordering.number_rows(df, ["ts", "k"], "Id", partitions=40)
     assert rows(got.select("ts", "k", "Id")) == rows(global_numbers(df, ["ts", "k"]).select("ts", "k", "Id"))
 
 
 def test_null_and_nan_keys_are_numbered(spark):
     values = [None, float("nan"), 3.0, 1.0, 2.0] + [float(i) for i in range(10, 60)]
     df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v double, k int")
-    got = ordering.number_rows(df, ["v", "k"], "Id", rows_per_bucket=5)
+    got = ordering.number_rows(df, ["v", "k"], "Id", partitions=9)
     assert rows(got.select("k", "Id")) == rows(global_numbers(df, ["v", "k"]).select("k", "Id"))
 
 
@@ -60,25 +42,31 @@ def test_null_and_nan_keys_are_numbered(spark):
 def test_orderable_types(spark, kind):
     base = "timestamp_seconds(id * 90000)" if kind.startswith(("timestamp", "date")) else "id"
     df = spark.range(200).selectExpr(f"cast({base} as {kind}) as k", "id")
-    got = ordering.number_rows(df, ["k", "id"], "number", rows_per_bucket=10)
+    got = ordering.number_rows(df, ["k", "id"], "number", partitions=11)
     assert got.where("number <> id + 1").count() == 0
 
 
-def test_text_order_is_refused(spark):
-    df = spark.createDataFrame([("a",)], "k string")
-    with pytest.raises(TypeError):
-        as_ordered_double(F.col("k"), df.schema["k"].dataType)
+def test_half_null_lead_and_equal_first_columns_are_split(spark):
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, F.col("id") % 50).alias("a"), F.lit(7).alias("b"), F.sha2(F.col("id").cast("string"), 256).alias("key")
+    )
+    order = ["b", "a", "key"]
+    sizes = ordering.ordered_parts(df, order, 30).groupBy(ordering.PART).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 2 * 6000 / 30
+    got = ordering.number_rows(df, order, "Id", partitions=30)
+    assert rows(got.select("key", "Id")) == rows(global_numbers(df, order).select("key", "Id"))
+
+
+def test_text_keys_are_numbered(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("ä",)], "k string")
+    got = ordering.number_rows(df, ["k"], "Id").select("k", "Id").orderBy("Id")
+    assert [tuple(r) for r in got.collect()] == [(None, 1), ("a", 2), ("b", 3), ("ä", 4)]
 
 
-def test_row_window_is_not_on_one_partition(spark):
-    df = spark.range(1000).withColumnRenamed("id", "k")
-    keyed = add_surrogate_key(df, ["k"], rows_per_bucket=50)
-    text = plan(keyed).split("Initial Plan")[-1]
-    window = [line for line in text.splitlines() if "hashpartitioning(__slot" in line]
-    assert window, text
-    # the only single partition holds one row per bucket
-    single = text.index("SinglePartition")
-    assert "BroadcastExchange" in text[:single]
+def test_numbers_within_groups_carry_the_group_size(spark):
+    df = spark.range(500).select((F.col("id") % 3).alias("g"), F.col("id").alias("k"))
+    got = ordering.number_rows(df, ["k"], "n", ["g"], partitions=7).collect()
+    assert all(r["n"] == r["k"] // 3 + 1 and r["total_n"] == (167 if r["g"] < 2 else 166) for r in got)
 
 
 def test_empty_table(spark):
@@ -96,7 +84,7 @@ def skewed_values(spark):
 def test_exact_quantiles_match_numpy(spark):
     data, df = skewed_values(spark)
     points = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p99": 0.99, "lo": 0.0, "hi": 1.0}
-    got = exact_quantiles(df, ["v"], ["g"], points, rows_per_bucket=60).collect()
+    got = exact_quantiles(df, ["v"], ["g"], points).collect()
     assert {r["g"] for r in got} == {"a", "b", "c", None}
     for r in got:
         group = [v for g, v in data if g == r["g"] and v is not None]

@@ -71,13 +71,13 @@ def main() -> None:
 
     order = ["date", "event_id"]
     plain = many.withColumn("Id", F.row_number().over(Window.orderBy(*order)))
-    ours = number_rows(many, order, "Id", rows_per_bucket=100_000)
+    ours = number_rows(many, order, "Id")
     assert plain.select("event_id", "Id").exceptAll(ours.select("event_id", "Id")).isEmpty()
     results["row number"] = {"one partition": timed(plain), "range buckets": timed(ours)}
 
     points = F.array(*[F.lit(p) for p in QUARTILES.values()])
     builtin = many.groupBy("Occupancy").agg(*[F.percentile(c, points).alias(c) for c in schemas.SENSOR_COLUMNS])
-    bucketed = exact_quantiles(many, schemas.SENSOR_COLUMNS, ["Occupancy"], rows_per_bucket=100_000)
+    bucketed = exact_quantiles(many, schemas.SENSOR_COLUMNS, ["Occupancy"])
     results["exact quartiles"] = {"one task per class": timed(builtin), "range buckets": timed(bucketed)}
 
     request = F.floor(F.col("event_id") / ROWS_PER_REQUEST).cast("string")
