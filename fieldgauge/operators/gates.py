@@ -66,7 +66,7 @@ def _judge(compared: DataFrame, thresholds: dict[str, Threshold], against_champi
 
 def _required(candidate: DataFrame, thresholds: dict[str, Threshold]) -> DataFrame:
     """One row per bounded metric; a metric the candidate lacks has a NULL value and fails."""
-    names = candidate.agg(F.lit(1).alias("one")).select(F.explode(F.lit(list(thresholds))).alias("metric"))
+    names = candidate.sparkSession.range(1).select(F.explode(F.lit(list(thresholds))).alias("metric"))
     values = candidate.select("metric", F.col("value").alias("candidate"))
     return names.join(values, "metric", "left")
 

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import math
 import random
 from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from fieldgauge import schemas
 from fieldgauge.operators.evaluation import best_trial, binary_metrics, mean_fold_metrics
+from fieldgauge.operators.features import scaler_statistics
 from fieldgauge.operators.splits import with_stratified_folds
 from fieldgauge.session import fresh_path, shuffle_partitions
 
@@ -34,8 +34,10 @@ LEAF_RANGE = (1, 20)
 TRIALS = 10
 FOLDS = 5
 SEED = 42
-# Below this many rows per partition a level of a tree costs more in tasks than in work.
-ROWS_PER_TASK = 50_000
+# Not fixed by the search: candidate thresholds per feature, and how a tree is grown. Nodes are
+# remembered per row, so that a deep tree is not walked again on every level.
+MAX_BINS = 32
+GROWTH = {"cacheNodeIds": True, "maxMemoryInMB": 512}
 
 
 @dataclass
@@ -47,30 +49,58 @@ class TunedModel:
     best: str
 
 
-def preparation_stages(features: list[str] | None = None) -> list:
-    """Assemble the features and scale them; part of the model, so scoring does the same."""
-    return [
-        VectorAssembler(inputCols=features or schemas.TRAINING_FEATURES, outputCol="raw", handleInvalid="keep"),
-        StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
-    ]
+def preparation(train: DataFrame, features: list[str] | None = None) -> PipelineModel:
+    """Scale by the training rows' mean and population deviation, and assemble; saved with the
+    model, so scoring does the same. The driver gets one row per feature."""
+    features = features or schemas.TRAINING_FEATURES
+    fitted = {r["column"]: r for r in scaler_statistics(train, features).collect()}
 
+    def scaled(name: str) -> str:
+        mean, deviation = fitted[name]["mean"] or 0.0, fitted[name]["std"] or 1.0
+        return f"(CAST(`{name}` AS DOUBLE) - {mean!r}D) / {deviation!r}D AS `__s_{name}`"
 
-def tree(label: str = schemas.LABEL, **settings) -> DecisionTreeClassifier:
+    statement = f"SELECT *, {', '.join(scaled(f) for f in features)} FROM __THIS__"
+    names = [f"__s_{f}" for f in features]
+    return PipelineModel([SQLTransformer(statement=statement), VectorAssembler(inputCols=names, outputCol="scaled", handleInvalid="keep")])
+
+
+def tree(label: str = schemas.LABEL, max_bins: int = MAX_BINS, **settings) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(
-        featuresCol="scaled", labelCol=label, predictionCol=PREDICTION, seed=SEED, **settings
+        featuresCol="scaled", labelCol=label, predictionCol=PREDICTION, seed=SEED, maxBins=max_bins, **GROWTH, **settings
     )
 
 
+def bounded_rows(train: DataFrame, max_rows: int | None) -> DataFrame:
+    """About ``max_rows`` of the rows, for a tree whose size must not follow the table; all if unset."""
+    if max_rows is None:
+        return train
+    return train.sample(min(1.0, max_rows / max(1, train.count())), seed=SEED)
+
+
 def train_tree(
-    train: DataFrame, settings: dict | None = None, partitions: int | None = None
+    train: DataFrame,
+    settings: dict | None = None,
+    partitions: int | None = None,
+    max_bins: int = MAX_BINS,
+    max_rows: int | None = None,
+    label: str = schemas.LABEL,
 ) -> PipelineModel:
     """Fit scaler and tree on the training rows.
 
-    A tree reads its rows once per level, so they are first spread evenly, by default over
-    the shuffle partitions: a split of the table may sit in few or uneven files.
+    A tree reads its rows once per level, so they are spread evenly, by default over the shuffle
+    partitions, and kept while it grows. ``max_bins`` bounds the thresholds tried per feature.
+    ``max_rows`` bounds the rows the tree is fitted on: a fitted tree lives on the driver and grows
+    with its rows, so set it where the table is large.
     """
-    spread = train.repartition(partitions or shuffle_partitions(train.sparkSession))
-    return Pipeline(stages=[*preparation_stages(), tree(**(settings or TREE_SETTINGS))]).fit(spread)
+    rows = bounded_rows(train, max_rows)
+    ready = preparation(rows)
+    spread = ready.transform(rows).select("scaled", label).repartition(partitions or shuffle_partitions(train.sparkSession))
+    spread.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = tree(label, max_bins, **(settings or TREE_SETTINGS)).fit(spread)
+    finally:
+        spread.unpersist()
+    return PipelineModel([*ready.stages, model])
 
 
 def random_trials(n: int = TRIALS, seed: int = SEED) -> list[dict]:
@@ -95,13 +125,13 @@ def trial_name(index: int, point: dict) -> str:
 
 
 def _fold_models(
-    prepared: DataFrame, points: list[dict], folds: int, parallelism: int, label: str
+    prepared: DataFrame, points: list[dict], folds: int, parallelism: int, label: str, max_bins: int
 ) -> dict[tuple[int, int], DecisionTreeClassificationModel]:
     """A model per point and left-out fold; several Spark jobs run at a time."""
 
     def fit(job: tuple[int, int]) -> DecisionTreeClassificationModel:
         point, fold = job
-        return tree(label, **points[point]).fit(prepared.where(F.col(FOLD) != fold))
+        return tree(label, max_bins, **points[point]).fit(prepared.where(F.col(FOLD) != fold))
 
     jobs = [(point, fold) for point in range(len(points)) for fold in range(folds)]
     run = inheritable_thread_target(prepared.sparkSession)(fit)
@@ -134,6 +164,8 @@ def tune_tree(
     parallelism: int = 8,
     label: str = schemas.LABEL,
     key: str = schemas.KEY,
+    max_bins: int = MAX_BINS,
+    max_rows: int | None = None,
 ) -> TunedModel:
     """Cross-validate the points on stratified folds and refit the one of best mean F1.
 
@@ -144,23 +176,21 @@ def tune_tree(
     """
     points = points or random_trials()
     names = [trial_name(i, p) for i, p in enumerate(points)]
-    preparation = Pipeline(stages=preparation_stages()).fit(train)
-    folded = with_stratified_folds(preparation.transform(train), label, key, folds)
-    tasks = math.ceil(max(train.count(), 1) / ROWS_PER_TASK)
-    prepared = (
-        folded.select("scaled", label, FOLD).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    train = bounded_rows(train, max_rows)
+    ready = preparation(train)
+    folded = with_stratified_folds(ready.transform(train), label, key, folds)
+    prepared = folded.select("scaled", label, FOLD).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        models = _fold_models(prepared, points, folds, parallelism, label)
+        models = _fold_models(prepared, points, folds, parallelism, label, max_bins)
         judged = _judged_folds(prepared, models, names, folds, label)
         path = fresh_path(train.sparkSession, "trials")
         mean_fold_metrics(binary_metrics(judged, label, PREDICTION, ["params", FOLD])).write.parquet(path)
         trials = train.sparkSession.read.parquet(path)
         best = best_trial(trials).first()["params"]
-        model = tree(label, **points[names.index(best)]).fit(prepared)
+        model = tree(label, max_bins, **points[names.index(best)]).fit(prepared)
     finally:
         prepared.unpersist()
-    return TunedModel(PipelineModel(stages=[*preparation.stages, model]), trials, best)
+    return TunedModel(PipelineModel([*ready.stages, model]), trials, best)
 
 
 def score(df: DataFrame, model: PipelineModel, keep: list[str] | None = None) -> DataFrame:

@@ -14,7 +14,8 @@ from fieldgauge.operators.features import training_frame
 from fieldgauge.operators.modeling import TREE_SETTINGS, evaluate, score, train_tree, tune_tree
 from fieldgauge.operators.splits import TEST, TRAIN, VALIDATION, split_parts
 from fieldgauge.sources.csv_files import read_validation_csv, write_csv
-from fieldgauge.sources.tables import append_table, read_table
+from fieldgauge.session import fresh_path
+from fieldgauge.sources.tables import append_table, overwrite_table, read_table
 
 
 @dataclass(frozen=True)
@@ -22,6 +23,8 @@ class TrainingPaths:
     validation: str
     model: str
     metrics_table: str = "run_metrics"
+    gates_table: str = "gate_rows"
+    aliases_table: str = "model_aliases"
 
 
 def _log_trained(train: DataFrame, test: DataFrame, run_id: str, table: str) -> None:
@@ -41,11 +44,14 @@ def run_training_job(
     feature_table: str,
     paths: TrainingPaths,
     run_id: str,
-    champion: PipelineModel | None = None,
     thresholds: dict[str, gates.Threshold] | None = None,
     points: list[dict] | None = None,
 ) -> PipelineModel:
-    """Split, train, tune and judge. The accepted model is saved; a rejected one raises."""
+    """Split, train, tune and judge against the champion that the alias table names, if any.
+
+    Gate rows are stored either way. An accepted model is saved below ``paths.model`` and becomes
+    the champion, and the champion before it the previous one; a rejected one raises.
+    """
     parts = split_parts(training_frame(read_table(spark, feature_table)))
     write_csv(parts[VALIDATION].drop(schemas.KEY), paths.validation)
     _log_trained(parts[TRAIN], parts[TEST], run_id, paths.metrics_table)
@@ -57,12 +63,29 @@ def run_training_job(
     validation = read_validation_csv(spark, paths.validation)
     candidate = evaluate(validation, tuned.model)
     append_table(run_rows(candidate, run_id, "validation"), paths.metrics_table)
-    if champion is None:
+    aliases = model_aliases(spark, paths.aliases_table)
+    named = aliases.where(F.col("alias") == gates.CHAMPION).first()  # at most one row
+    if named is None:
         gate = gates.static_gate(candidate, thresholds)
     else:
+        champion = PipelineModel.load(named["model"])
         gate = gates.champion_gate(candidate, evaluate(validation, champion), thresholds)
-    decision = gates.gate_decision(gate).first()
-    if not decision["passed"]:
-        raise RuntimeError(f"candidate rejected: {decision['reason']}")
-    tuned.model.write().overwrite().save(paths.model)
+    append_table(gate.select(F.lit(run_id).alias("run_id"), "*"), paths.gates_table)
+    decision = gates.gate_decision(read_table(spark, paths.gates_table).where(F.col("run_id") == run_id))
+    outcome = decision.first()
+    if not outcome["passed"]:
+        raise RuntimeError(f"candidate rejected: {outcome['reason']}")
+    place = f"{paths.model.rstrip('/')}/{run_id}"
+    tuned.model.write().overwrite().save(place)
+    promoted = gates.promoted_aliases(aliases, decision, place)
+    folder = fresh_path(spark, "aliases")
+    promoted.write.parquet(folder)  # the table is read while its successor is computed
+    overwrite_table(spark.read.parquet(folder), paths.aliases_table)
     return tuned.model
+
+
+def model_aliases(spark: SparkSession, table: str) -> DataFrame:
+    """(alias, model): empty before the first accepted model."""
+    if spark.catalog.tableExists(table):
+        return read_table(spark, table)
+    return spark.createDataFrame([], "alias string, model string")

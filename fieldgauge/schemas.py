@@ -41,11 +41,6 @@ VALIDATION_TYPES = {
     "Occupancy": "bigint",
 }
 
-RAW_SCHEMA = T.StructType(
-    [T.StructField(EVENT_TIME, T.StringType())]
-    + [T.StructField(c, T.StringType()) for c in GOLD_COLUMNS]
-)
-
 PAYLOAD_SCHEMA = T.StructType(
     [
         T.StructField("request_id", T.StringType()),

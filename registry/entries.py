@@ -21,6 +21,7 @@ from registry.views import (
     readings,
     rounded,
     rule_prediction,
+    ruled,
     table,
     varied_payload,
 )
@@ -50,8 +51,8 @@ def silver_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cast_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = readings(spark, sf_dir, "event_type").select(
         "event_id",
-        F.col("Temperature").cast("string").alias("Temperature"),
-        F.col("event_type").alias("Occupancy"),
+        F.when(F.col("user_id") % 3 == 0, "warm").otherwise(F.col("Temperature").cast("string")).alias("Temperature"),
+        F.when(F.col("event_type") == "view", F.col("event_type")).otherwise(F.col("Occupancy").cast("string")).alias("Occupancy"),
     )
     found = cleaning.cast_rejects(text, {"Temperature": "double", "Occupancy": "bigint"})
     return found.select("event_id", F.concat_ws(",", "bad_columns").alias("bad_columns"))
@@ -445,20 +446,76 @@ def drift_vs_previous_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- models ------------------------------------------------------------------------------
 
 
+RULED_BINS = 256  # above the distinct values of each feature, so that no threshold is left out
+
+
+def _ruled_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return splits.split_parts(ruled(spark, sf_dir))
+
+
 def tree_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = splits.split_parts(features.training_frame(_keyed(spark, sf_dir)))
-    model = modeling.train_tree(parts[splits.TRAIN])
+    parts = _ruled_parts(spark, sf_dir)
+    model = modeling.train_tree(parts[splits.TRAIN], max_bins=RULED_BINS)
     return modeling.score(parts[splits.TEST], model, ["Id", "Occupancy"])
 
 
 def tree_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = splits.split_parts(features.training_frame(_keyed(spark, sf_dir)))
-    return modeling.evaluate(parts[splits.VALIDATION], modeling.train_tree(parts[splits.TRAIN]))
+    parts = _ruled_parts(spark, sf_dir)
+    return modeling.evaluate(parts[splits.VALIDATION], modeling.train_tree(parts[splits.TRAIN], max_bins=RULED_BINS))
 
 
 def tree_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = splits.split_parts(features.training_frame(_keyed(spark, sf_dir)))
-    return modeling.tune_tree(parts[splits.TRAIN]).trials
+    return modeling.tune_tree(_ruled_parts(spark, sf_dir)[splits.TRAIN], max_bins=RULED_BINS).trials
+
+
+def tree_score_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows scored by a fitted tree, logged as requests and unpacked again."""
+    model = modeling.train_tree(_ruled_parts(spark, sf_dir)[splits.TRAIN], max_bins=RULED_BINS)
+    rows = ruled(spark, sf_dir).join(readings(spark, sf_dir).select(F.col("event_id").alias("Id"), "date"), "Id")
+    scored = modeling.score(rows, model).withColumnsRenamed({v: k for k, v in schemas.TRAINING_NAMES.items()})
+    captured = inference_log.capture_scores(scored, INPUTS, "prediction", F.col("Id"), "date")
+    return _shown(inference_log.unpack_inference_log(captured)[0])
+
+
+def alias_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aliases after an accepted model, a rejected one, and the first one of all."""
+    metrics = evaluation.binary_metrics(predictions(spark, sf_dir))
+    accepted = gates.gate_decision(gates.static_gate(metrics))
+    rejected = gates.gate_decision(gates.champion_gate(metrics, metrics))  # no gain over itself
+    aliases = spark.createDataFrame([("champion", "m1"), ("previous", "m0")], "alias string, model string")
+    cases = {"accepted": (aliases, accepted), "rejected": (aliases, rejected), "first": (aliases.limit(0), accepted)}
+    after = [gates.promoted_aliases(a, d, "m2").select(F.lit(c).alias("case"), "alias", "model") for c, (a, d) in cases.items()]
+    return after[0].unionByName(after[1]).unionByName(after[2])
+
+
+# --- tables and files --------------------------------------------------------------------
+
+
+def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A managed table overwritten with another schema, with properties, read with its format."""
+    name = f"gold_{uuid.uuid4().hex}"
+    gold = cleaning.remove_outliers(readings(spark, sf_dir), keep=["event_id"])
+    tables.overwrite_table(gold.select("event_id", "Light"), name)
+    tables.overwrite_table(gold.select("event_id", "CO2", "Occupancy"), name, properties={"kind": "it's gold"})
+    tables.set_properties(spark, name, {"change_feed": "true"})
+    shown = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    rows = tables.read_table(spark, name, "parquet")
+    kept = rows.withColumn("properties", F.lit(f"{shown['kind']},{shown['change_feed']}"))
+    folder = fresh_path(spark, "result")
+    kept.write.parquet(folder)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(folder)
+
+
+def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per event type, listed with the rows each holds."""
+    folder = fresh_path(spark, "listed")
+    for kind in ("purchase", "click", "signup", "error", "view"):
+        part = readings(spark, sf_dir, "event_type").where(F.col("event_type") == kind).select("event_id")
+        part.coalesce(1).write.mode("append").option("header", True).csv(folder)
+    files = csv_files.list_files(spark, folder)
+    held = spark.read.option("header", True).csv(folder).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n"))
+    return files.join(held, "path").where(F.col("length") > 0).select("n")
 
 
 # --- streams -----------------------------------------------------------------------------
@@ -547,6 +604,10 @@ QUERIES = {
         tree_predictions,
         tree_evaluation,
         tree_tuning,
+        tree_score_capture,
+        alias_promotion,
+        table_roundtrip,
+        listed_files,
         stream_daily_profile,
         stream_unpacked,
     )

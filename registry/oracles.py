@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fieldgauge.operators.modeling import random_trials, trial_name
+
 SENSORS = ["Temperature", "Humidity", "Light", "CO2", "HumidityRatio"]
 INPUTS = ["Temperature", "Light", "CO2", "HumidityRatio"]
 GOLD = [*SENSORS, "Occupancy"]
@@ -269,7 +271,8 @@ SELECT {rs(SENSORS)}, Occupancy FROM readings
 WHERE Temperature > 21 AND Temperature < 23.1 AND CO2 < 1550 AND Occupancy = 1""",
     "silver_typed": f"""WITH {READINGS}
 SELECT epoch_us(date_trunc('second', date)) // 1000 AS at_ms, {rs(SENSORS)}, Occupancy FROM readings""",
-    "cast_reject_rows": "SELECT event_id, 'Occupancy' AS bad_columns FROM events",
+    "cast_reject_rows": """SELECT event_id, concat_ws(',', CASE WHEN user_id % 3 = 0 THEN 'Temperature' END,
+  CASE WHEN event_type = 'view' THEN 'Occupancy' END) AS bad_columns FROM events WHERE user_id % 3 = 0 OR event_type = 'view'""",
     "union_by_name_files": f"""WITH {GAPS}
 SELECT epoch_us(date_trunc('second', date)) // 1000 AS at_ms, {rs(SENSORS)}, Occupancy FROM gaps""",
     "describe_numeric": f"WITH {READINGS} {describe('readings', GOLD)}",
@@ -409,4 +412,30 @@ FROM ({long('log', INPUTS, DAY_KEYS)}) GROUP BY 1, 2, 3""",
     "stream_unpacked": f"""WITH {VARIED} SELECT request_id, day AS date, pos, request_ms AS timestamp_ms,
   {UNPACKED_COLUMNS} FROM named WHERE {VARIED_CLEAN}""",
 }
+RULED = (
+    READINGS
+    + """, ruled AS (
+  SELECT *, CAST(floor(Temperature) AS DOUBLE) AS warm, CAST(user_id % 7 AS DOUBLE) AS lamp,
+         CASE WHEN floor(Temperature) >= 21 AND CO2 >= 800 THEN 1 ELSE 0 END AS label FROM readings)"""
+)
+#: A tree that fits the rule gives the label back, whatever its settings.
+TRIAL_NAMES = ", ".join(f"('{trial_name(i, p)}')" for i, p in enumerate(random_trials()))
+MEASURES = "(VALUES ('accuracy'), ('precision'), ('recall'), ('f1')) m(metric)"
+ACCEPTED = f"""WITH {PREDICTIONS}, wide AS ({metrics('predictions')}), m AS ({melted('wide')}),
+ok AS (SELECT bool_and(value >= 0.10) AS passed FROM m WHERE metric IN ('accuracy', 'precision', 'recall'))"""
+ORACLES |= {
+    "tree_predictions": f"WITH {RULED} SELECT event_id AS Id, CAST(label AS BIGINT) AS Occupancy, label AS prediction FROM ruled WHERE {SPLIT} = 'test'",
+    "tree_evaluation": f"SELECT metric, CAST(1 AS DOUBLE) AS value FROM {MEASURES}",
+    "tree_tuning": f"SELECT params, metric, CAST(1 AS DOUBLE) AS value FROM (VALUES {TRIAL_NAMES}) t(params), {MEASURES}",
+    "tree_score_capture": f"""WITH {RULED} SELECT CAST(event_id AS VARCHAR) AS request_id, strftime(date, '%Y-%m-%d') AS date, 0 AS pos,
+  epoch_us(date) // 1000 AS timestamp_ms, {r('warm')} AS Temperature, {r('lamp')} AS Light, {r('CO2')} AS CO2,
+  {r('HumidityRatio')} AS HumidityRatio, label AS Occupancy, 0 AS model_id FROM ruled""",
+    "alias_promotion": ACCEPTED + """
+SELECT 'accepted' AS "case", 'champion' AS alias, CASE WHEN passed THEN 'm2' ELSE 'm1' END AS model FROM ok
+UNION ALL SELECT 'accepted', 'previous', CASE WHEN passed THEN 'm1' ELSE 'm0' END FROM ok
+UNION ALL SELECT 'rejected', 'champion', 'm1' UNION ALL SELECT 'rejected', 'previous', 'm0'
+UNION ALL SELECT 'first', 'champion', 'm2' FROM ok WHERE passed""",
+    "table_roundtrip": f"""WITH {GOLD_ROWS} SELECT event_id, CO2, Occupancy, 'it''s gold,true' AS properties FROM gold""",
+    "listed_files": "SELECT count(*) AS n FROM events GROUP BY event_type",
+}
 ORACLES["feature_upsert_table"] = ORACLES["feature_upsert"]

@@ -8,6 +8,7 @@ from fieldgauge import schemas
 from fieldgauge.session import use_utc
 
 RULE_LIMIT = 21.5
+RULE_CO2 = 800.0
 REQUEST_ROWS = 4096  # a request covers at most this many consecutive events of a user and day
 
 
@@ -42,6 +43,21 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings(spark, sf_dir).withColumn("prediction", rule_prediction())
 
 
+def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows over few distinct values whose label is a rule, so that every tree that fits
+    them gives the rule back: warm and with high CO2."""
+    source = readings(spark, sf_dir)
+    temperature, co2 = F.floor("Temperature").cast("double"), F.col("CO2")
+    return source.select(
+        F.col("event_id").alias("Id"),
+        temperature.alias("room_temperature"),
+        (F.col("user_id") % 7).cast("double").alias("room_light"),
+        co2.alias("co2_ppm"),
+        F.col("HumidityRatio").alias("humidity_ratio"),
+        ((temperature >= 21) & (co2 >= RULE_CO2)).cast("int").cast("bigint").alias("Occupancy"),
+    )
+
+
 def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed log: features, predicted class, request time and model."""
     return readings(spark, sf_dir).select(

@@ -54,10 +54,14 @@ def feature_tables(spark, raw_folder, tmp_path_factory):
 @pytest.fixture(scope="module")
 def trained(spark, feature_tables, tmp_path_factory):
     base = tmp_path_factory.mktemp("training")
-    paths = TrainingPaths(str(base / "validation"), str(base / "model"), "job_run_metrics")
+    paths = TrainingPaths(str(base / "validation"), str(base / "model"), "job_run_metrics", "job_gates", "job_aliases")
     return paths, run_training_job(spark, feature_tables.features, paths, "run-1", points=POINTS)
 
 
+def aliases(spark, paths):
+    return {r["alias"]: r["model"].rsplit("/", 1)[1] for r in spark.read.table(paths.aliases_table).collect()}
+
+
 def test_feature_job(spark, feature_tables):
     features = spark.read.table(feature_tables.features)
     assert features.columns == ["Id", *schemas.GOLD_COLUMNS]
@@ -73,17 +77,20 @@ def test_training_job_saves_a_model_that_scores_alike(spark, feature_tables, tra
     assert metrics.where("kind = 'validation' and name = 'accuracy' and value > 0.95").count() == 1
     assert metrics.where("kind = 'cv'").count() == len(POINTS) * 4
     frame = spark.read.csv(paths.validation, header=True, inferSchema=True)
-    again = score(frame, PipelineModel.load(paths.model))
+    again = score(frame, PipelineModel.load(f"{paths.model}/run-1"))
     assert again.where("prediction <> Occupancy").count() == score(frame, model).where("prediction <> Occupancy").count()
 
 
 def test_training_job_rejects_no_gain_over_the_champion(spark, feature_tables, trained, tmp_path):
-    _, champion = trained
-    paths = TrainingPaths(str(tmp_path / "validation"), str(tmp_path / "model"), "job_run_metrics_2")
+    paths, _ = trained
+    assert aliases(spark, paths) == {"champion": "run-1"}
     with pytest.raises(RuntimeError, match="gain too small"):
-        run_training_job(spark, feature_tables.features, paths, "run-2", champion=champion, points=POINTS[:1])
+        run_training_job(spark, feature_tables.features, paths, "run-2", points=POINTS[:1])
+    assert aliases(spark, paths) == {"champion": "run-1"}
     easy = {"accuracy": gates.Threshold(0.5, 0.0, None)}
-    run_training_job(spark, feature_tables.features, paths, "run-3", champion=champion, thresholds=easy, points=POINTS[:1])
+    run_training_job(spark, feature_tables.features, paths, "run-3", thresholds=easy, points=POINTS[:1])
+    assert aliases(spark, paths) == {"champion": "run-3", "previous": "run-1"}
+    assert {r["run_id"] for r in spark.read.table(paths.gates_table).collect()} == {"run-1", "run-2", "run-3"}
 
 
 def test_tuning_agrees_with_its_trial_rows(spark, feature_tables):
