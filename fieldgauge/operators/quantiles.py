@@ -44,7 +44,14 @@ def exact_quantiles(
     keys: list[str] | None = None,
     probabilities: dict[str, float] | None = None,
 ) -> DataFrame:
-    """(keys, column, n, n_distinct, one column per probability), linearly interpolated.
+    """(keys, column, n, n_distinct, one column per probability), linearly interpolated."""
+    return quantiles_of_counts(value_counts(df, columns, keys or []), keys, probabilities)
+
+
+def quantiles_of_counts(
+    counts: DataFrame, keys: list[str] | None = None, probabilities: dict[str, float] | None = None
+) -> DataFrame:
+    """``exact_quantiles`` from the counts of distinct values.
 
     Ranks come from running counts over the distinct values. Each value knows the ranks it
     covers, so picking the wanted ranks is one conditional aggregation.
@@ -52,7 +59,7 @@ def exact_quantiles(
     keys = keys or []
     probabilities = probabilities or QUARTILES
     group = [*keys, "column"]
-    ranked = cumulated(value_counts(df, columns, keys), {"upto": "n"}, keys)
+    ranked = cumulated(counts, {"upto": "n"}, keys)
 
     def value_at(rank: Column) -> Column:
         covered = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))

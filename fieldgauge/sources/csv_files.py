@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -32,18 +35,22 @@ def _field_count(line: Column) -> Column:
     return F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
 
 
-def file_layouts(spark: SparkSession, folder: str, marker: str = schemas.LABEL) -> DataFrame:
+#: A line that names one of these columns is a header; data rows hold numbers and times.
+HEADER_NAMES = schemas.GOLD_COLUMNS
+
+
+def file_layouts(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
     """(path, header, width): header line and widest data row of each file.
 
-    A header is the line that names the ``marker`` column, which no data row contains. Each
-    map task reduces its lines to one row per file before the shuffle.
+    A header is the line that names one of the known columns, which no data row does; a file may
+    lack any of them. Each map task reduces its lines to one row per file before the shuffle.
     """
     try:
         lines = spark.read.text(folder)
     except AnalysisException as error:
         raise FileNotFoundError(f"no such folder: {folder}") from error
     line = F.col("value")
-    is_header = F.contains(line, F.lit(marker))
+    is_header = reduce(operator.or_, [F.contains(line, F.lit(n)) for n in names or HEADER_NAMES])
     return (
         lines.where(F.trim(line) != "")
         .groupBy(F.col("_metadata.file_path").alias("path"))
@@ -100,9 +107,8 @@ def read_readings_csv(
     """All files of a folder as text columns, stacked by column name.
 
     Spark matches CSV fields by position, so a leading row number or another column order
-    would shift values silently. A first pass therefore finds the layout of each file. If all
-    agree, the folder is read with that schema; otherwise each line follows the layout of its
-    file. Passing ``header`` declares one layout for all files (its first name may be
+    would shift values silently. A first pass therefore finds the layout of each file, and each
+    line follows the layout of its file. A column that no file has is NULL. Passing ``header`` declares one layout for all files (its first name may be
     ``_row_number``) and saves the first pass.
     """
     if header is not None:
@@ -112,11 +118,11 @@ def read_readings_csv(
     layouts = spark.read.parquet(found)
     distinct = layouts.select("header", "width").distinct().collect()  # one row per layout
     if not distinct or any(k["header"] is None for k in distinct):
-        raise ValueError(f"every file in {folder} needs a header that names {schemas.LABEL}")
+        raise ValueError(f"every file in {folder} needs a header that names one of {HEADER_NAMES}")
     kinds = {(k["header"], k["width"]): _names(k["header"], k["width"]) for k in distinct}
-    if len({tuple(names) for names in kinds.values()}) == 1:
-        return _read_uniform(spark, folder, next(iter(kinds.values())))
-    return _read_mixed(spark, folder, layouts, dict(sorted(kinds.items(), key=lambda k: str(k[0]))))
+    rows = _read_mixed(spark, folder, layouts, dict(sorted(kinds.items(), key=lambda k: str(k[0]))))
+    missing = [c for c in (schemas.EVENT_TIME, *schemas.GOLD_COLUMNS) if c not in rows.columns]
+    return rows.withColumns({c: F.lit(None).cast("string") for c in missing})
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -7,9 +7,10 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
 from fieldgauge import schemas
-from fieldgauge.operators.descriptive import moments
+from fieldgauge.operators.groups import with_group_stats
 from fieldgauge.operators.inference_log import REQUEST_KEY, successful, unpack_positions
-from fieldgauge.operators.monitoring import MODEL, START, TIME, WINDOW_LENGTH
+from fieldgauge.operators.monitoring import KEYS, WINDOW_LENGTH, with_window
+from fieldgauge.operators.quantiles import QUARTILES, quantiles_of_counts
 from fieldgauge.sources.requests import append_positions
 
 LATENESS = "1 day"
@@ -58,34 +59,45 @@ def window_profile_stream(
     folder: str,
     checkpoint: str,
     length: str = WINDOW_LENGTH,
-    lateness: str = LATENESS,
 ) -> DataStreamWriter:
-    """Writer that stores, per batch, the profile rows the batch changed.
+    """Writer that stores the value counts of each batch by window, model and column.
 
-    Update mode shows every window at once, the last ones included; a batch replaces only its
-    own folder, so a repeat leaves the same files. The state holds one row per open window
-    and model.
+    Counts of one window add up over batches, so a row that comes late, by however long, joins
+    its window: there is no state and no watermark that could drop it. A batch replaces only its
+    own folder, so a repeat leaves the same files.
     """
-    keyed = log.withWatermark(TIME, lateness).withColumn("window", F.window(TIME, length))
-    profile = moments(keyed, columns, ["window", MODEL]).select(
-        F.col("window.start").alias(START), MODEL, "column", "n", "nulls", "mean", "std", "min", "max"
-    )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
+        cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+        long = with_window(batch, length).select(*KEYS, F.inline(F.array(*cells)))
+        counts = long.groupBy(*KEYS, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+        counts.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
 
     return (
-        profile.writeStream.outputMode("update")
-        .foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        log.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     )
 
 
 def latest_profile(spark: SparkSession, folder: str) -> DataFrame:
-    """Current profile: the row of the last batch for each window, model and column."""
-    stored = spark.read.parquet(folder)
-    group = [START, MODEL, "column"]
-    measures = [c for c in stored.columns if c not in (*group, BATCH)]
-    newest = F.max_by(F.struct(*measures), BATCH).alias("row")
-    return stored.groupBy(*group).agg(newest).select(*group, "row.*")
+    """Current profile of all windows, as ``window_profile`` gives it over the rows seen so far."""
+    group = [*KEYS, "column"]
+    merged = spark.read.parquet(folder).groupBy(*group, "value").agg(F.sum("n").alias("n"))
+    value, n = F.col("value"), F.col("n")
+    present = F.when(value.isNotNull(), n)
+    means = merged.groupBy(*group).agg(
+        F.coalesce(F.sum(present), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("nulls"),
+        (F.sum(value * n) / F.nullif(F.sum(present), F.lit(0))).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    counts = merged.where(value.isNotNull())
+    off = F.pow(value - F.col("mean"), F.lit(2.0)) * n
+    spread = with_group_stats(counts, means.select(*group, "mean"), group).groupBy(*group).agg(F.sum(off).alias("squares"))
+    ranks = quantiles_of_counts(counts, KEYS).select(*group, "n_distinct", *QUARTILES)
+    joined = with_group_stats(with_group_stats(means, spread, group, "left"), ranks, group, "left")
+    deviation = F.when(F.col("rows") > 1, F.sqrt(F.col("squares") / (F.col("rows") - 1)))
+    return joined.select(
+        *group, F.col("rows").alias("n"), "nulls", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
+        "mean", deviation.alias("std"), "min", *QUARTILES, "max",
+    )

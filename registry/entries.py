@@ -82,7 +82,7 @@ def union_by_name_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias(""), "date", *schemas.GOLD_COLUMNS
     )
     fewer = source.where(F.col("event_type") == "view").select(
-        "Occupancy", "CO2", "Light", "Temperature", "HumidityRatio", "date"
+        "CO2", "Light", "Temperature", "HumidityRatio", "date"
     )
     for part in (plain, numbered, fewer):
         part.write.mode("append").option("header", True).csv(folder)
@@ -522,12 +522,15 @@ def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_daily_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = fresh_path(spark, "log")
-    prediction_log(spark, sf_dir).write.parquet(source)
-    out = fresh_path(spark, "profile")
-    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
-    inference_stream.window_profile_stream(stream, INPUTS, out, fresh_path(spark, "offsets")).start().awaitTermination()
-    return rounded(_by_day(inference_stream.latest_profile(spark, out)), "mean", "std", "min", "max")
+    """The log in files that are out of time order, one a batch."""
+    source, out = fresh_path(spark, "log"), fresh_path(spark, "profile")
+    log = prediction_log(spark, sf_dir)
+    for turn in (2, 3, 0, 1):
+        log.where(F.dayofmonth("timestamp_ms") % 4 == turn).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    columns = [*INPUTS, "Occupancy"]
+    inference_stream.window_profile_stream(stream, columns, out, fresh_path(spark, "offsets")).start().awaitTermination()
+    return rounded(_by_day(inference_stream.latest_profile(spark, out)), *SUMMARY)
 
 
 def stream_unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -274,7 +274,8 @@ SELECT epoch_us(date_trunc('second', date)) // 1000 AS at_ms, {rs(SENSORS)}, Occ
     "cast_reject_rows": """SELECT event_id, concat_ws(',', CASE WHEN user_id % 3 = 0 THEN 'Temperature' END,
   CASE WHEN event_type = 'view' THEN 'Occupancy' END) AS bad_columns FROM events WHERE user_id % 3 = 0 OR event_type = 'view'""",
     "union_by_name_files": f"""WITH {GAPS}
-SELECT epoch_us(date_trunc('second', date)) // 1000 AS at_ms, {rs(SENSORS)}, Occupancy FROM gaps""",
+SELECT epoch_us(date_trunc('second', date)) // 1000 AS at_ms, {rs(SENSORS)},
+  CASE WHEN event_type <> 'view' THEN Occupancy END AS Occupancy FROM gaps""",
     "describe_numeric": f"WITH {READINGS} {describe('readings', GOLD)}",
     "nonnull_profile": f"WITH {GAPS}, t AS (SELECT date, {', '.join(GOLD)} FROM gaps) "
     + " UNION ALL ".join(
@@ -405,10 +406,6 @@ SELECT window_start, model_id, "column", n, {r('mean')} AS mean, {r('bmean')} AS
     "drift_psi": PSI,
     "drift_categorical": CLASS_DRIFT,
     "drift_vs_previous_day": PREVIOUS,
-    "stream_daily_profile": f"""WITH {DAILY} SELECT window_start, model_id, "column", count(value) AS n,
-  count(*) - count(value) AS nulls, {r('avg(value)')} AS mean, {r('stddev_samp(value)')} AS std,
-  {r('min(value)')} AS min, {r('max(value)')} AS max
-FROM ({long('log', INPUTS, DAY_KEYS)}) GROUP BY 1, 2, 3""",
     "stream_unpacked": f"""WITH {VARIED} SELECT request_id, day AS date, pos, request_ms AS timestamp_ms,
   {UNPACKED_COLUMNS} FROM named WHERE {VARIED_CLEAN}""",
 }
@@ -438,4 +435,5 @@ UNION ALL SELECT 'first', 'champion', 'm2' FROM ok WHERE passed""",
     "table_roundtrip": f"""WITH {GOLD_ROWS} SELECT event_id, CO2, Occupancy, 'it''s gold,true' AS properties FROM gold""",
     "listed_files": "SELECT count(*) AS n FROM events GROUP BY event_type",
 }
+ORACLES["stream_daily_profile"] = ORACLES["daily_profile"]
 ORACLES["feature_upsert_table"] = ORACLES["feature_upsert"]
