@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldgauge import schemas
 from fieldgauge.operators import monitoring
 from fieldgauge.operators.inference_log import read_inference_log, unpack_positions
 from fieldgauge.sources.requests import append_positions
-from fieldgauge.sources.tables import overwrite_table, read_table
+from fieldgauge.sources.tables import overwrite_partitions, read_table
 
 MONITORED = [*schemas.MODEL_INPUTS, schemas.LABEL]
 
@@ -30,18 +30,62 @@ def process_day(
     append_positions(unpack_positions(requests, len(schemas.MODEL_INPUTS)), clean_table, reject_table)
 
 
-def refresh_monitor(spark: SparkSession, clean_table: str, baseline_table: str, prefix: str) -> list[str]:
-    """Write profile and drift tables named ``<prefix>_<kind>``."""
+DAY = "day"
+KINDS = ("profile", "share", "mean_drift", "ks_drift", "psi_drift", "class_drift", "previous_drift")
+
+
+def refresh_monitor(
+    spark: SparkSession,
+    clean_table: str,
+    baseline_table: str,
+    prefix: str,
+    days: list[dt.date] | None = None,
+    kinds: tuple[str, ...] = KINDS,
+) -> list[str]:
+    """Write profile and drift tables named ``<prefix>_<kind>``, partitioned by ``day``.
+
+    Only the given days are computed and replaced, by default those of the log that are not
+    stored yet. The log is read by its ``date`` partitions, a day around the wanted ones; the
+    drift since the window before is also renewed for the day that follows each of them.
+    """
     log, baseline = read_table(spark, clean_table), read_table(spark, baseline_table)
+    names = {kind: f"{prefix}_{kind}" for kind in kinds}
+    logged = sorted(r["date"] for r in log.select("date").distinct().collect() if r["date"])  # one value a day
+    if days is None:
+        stored = _stored_days(spark, names[kinds[0]])
+        days = [d for d in logged if d not in stored]
+    if not days:
+        return list(names.values())
     results = {
-        "profile": monitoring.window_profile(log, MONITORED),
-        "share": monitoring.prediction_share(log),
-        "mean_drift": monitoring.mean_drift(baseline, log, MONITORED),
-        "ks_drift": monitoring.ks_drift(baseline, log, MONITORED),
-        "psi_drift": monitoring.psi_drift(baseline, log, schemas.MODEL_INPUTS),
-        "class_drift": monitoring.class_drift(baseline, log),
-        "previous_drift": monitoring.previous_window_drift(log, MONITORED),
+        "profile": lambda rows: monitoring.window_profile(rows, MONITORED),
+        "share": lambda rows: monitoring.prediction_share(rows),
+        "mean_drift": lambda rows: monitoring.mean_drift(baseline, rows, MONITORED),
+        "ks_drift": lambda rows: monitoring.ks_drift(baseline, rows, MONITORED),
+        "psi_drift": lambda rows: monitoring.psi_drift(baseline, rows, schemas.MODEL_INPUTS),
+        "class_drift": lambda rows: monitoring.class_drift(baseline, rows),
+        "previous_drift": lambda rows: monitoring.previous_window_drift(rows, MONITORED),
     }
-    for kind, df in results.items():
-        overwrite_table(df, f"{prefix}_{kind}")
-    return [f"{prefix}_{kind}" for kind in results]
+    followed = sorted({*days, *[next(d for d in logged if d > day) for day in days if day < logged[-1]]})
+    before = [d for d in logged if d < followed[0]][-1:]
+    for kind, name in names.items():
+        if kind == "previous_drift":
+            rows, wanted = _of_days(log, [*before, followed[0], followed[-1]], None), followed
+        else:
+            rows, wanted = _of_days(log, days, days), days
+        df = results[kind](rows).withColumn(DAY, F.to_date(monitoring.START))
+        overwrite_partitions(df.where(F.col(DAY).isin(wanted)), name, DAY)
+    return list(names.values())
+
+
+def _of_days(log: DataFrame, span: list[dt.date], days: list[dt.date] | None) -> DataFrame:
+    """Rows of the span of days, and of the given days only: the first bound picks partitions."""
+    one = dt.timedelta(days=1)
+    rows = log.where(F.col("date").between(min(span) - one, max(span) + one))
+    at = F.to_date(monitoring.TIME)
+    return rows.where(at.isin(days) if days is not None else at.between(min(span), max(span)))
+
+
+def _stored_days(spark: SparkSession, name: str) -> set[dt.date]:
+    if not spark.catalog.tableExists(name):
+        return set()
+    return {r[DAY] for r in read_table(spark, name).select(DAY).distinct().collect()}

@@ -37,6 +37,22 @@ def overwrite_table(
         set_properties(df.sparkSession, name, properties)
 
 
+def overwrite_partitions(df: DataFrame, name: str, partition: str) -> None:
+    """Replace the partitions that ``df`` has rows for; the others stay as they are."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        df.write.format("parquet").partitionBy(partition).saveAsTable(name)
+        return
+    order = spark.read.table(name).columns
+    mode = "spark.sql.sources.partitionOverwriteMode"  # an insert takes it from the session only
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*order).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def append_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
     writer = df.write.mode("append").format("parquet")
     if partition_by:

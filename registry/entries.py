@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldgauge import schemas
 from fieldgauge.operators import changes, cleaning, descriptive, evaluation, features, gates, inference_log
 from fieldgauge.operators import modeling, monitoring, quantiles, splits
+from fieldgauge.plans.monitoring_job import refresh_monitor
 from fieldgauge.session import fresh_path
 from fieldgauge.sources import csv_files, tables
 from fieldgauge.sources.requests import append_positions
@@ -443,6 +444,24 @@ def drift_vs_previous_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_by_day(drift, "previous_start"), "mean_delta", "ks")
 
 
+def monitor_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monitor job over three spans of days and one day again, over a log stored by day."""
+    log, base = f"log_{uuid.uuid4().hex}", f"base_{uuid.uuid4().hex}"
+    whole = prediction_log(spark, sf_dir).withColumn("date", F.to_date("timestamp_ms"))
+    tables.overwrite_table(whole, log, ["date"])
+    tables.overwrite_table(_baseline(spark, sf_dir), base)
+    prefix = f"monitor_{uuid.uuid4().hex}"
+    days = sorted(r["date"] for r in whole.select("date").distinct().collect())  # one value a day
+    third = max(1, len(days) // 3)
+    for part in (days[:third], days[2 * third :], None, days[third : third + 1]):
+        refresh_monitor(spark, log, base, prefix, part, ("profile", "previous_drift"))
+    profile, drift = _detached(spark, f"{prefix}_profile"), _detached(spark, f"{prefix}_previous_drift")
+    for name in (log, base):
+        spark.sql(f"DROP TABLE {name}")
+    both = profile.join(drift.select("window_start", "model_id", "column", "previous_start", "mean_delta", "ks"), ["window_start", "model_id", "column"], "left")
+    return rounded(_by_day(both.drop("day"), "previous_start"), *SUMMARY, "mean_delta", "ks")
+
+
 # --- models ------------------------------------------------------------------------------
 
 
@@ -604,6 +623,7 @@ QUERIES = {
         drift_psi,
         drift_categorical,
         drift_vs_previous_day,
+        monitor_by_day,
         tree_predictions,
         tree_evaluation,
         tree_tuning,

@@ -435,5 +435,8 @@ UNION ALL SELECT 'first', 'champion', 'm2' FROM ok WHERE passed""",
     "table_roundtrip": f"""WITH {GOLD_ROWS} SELECT event_id, CO2, Occupancy, 'it''s gold,true' AS properties FROM gold""",
     "listed_files": "SELECT count(*) AS n FROM events GROUP BY event_type",
 }
+EVERY_PREVIOUS = PREVIOUS.replace(long("log", INPUTS, DAY_KEYS), long("log", [*INPUTS, "Occupancy"], DAY_KEYS))
+ORACLES["monitor_by_day"] = f"""SELECT p.*, d.previous_start, d.mean_delta, d.ks FROM ({ORACLES['daily_profile']}) p
+LEFT JOIN ({EVERY_PREVIOUS}) d ON p.window_start = d.window_start AND p.model_id = d.model_id AND p."column" = d."column" """
 ORACLES["stream_daily_profile"] = ORACLES["daily_profile"]
 ORACLES["feature_upsert_table"] = ORACLES["feature_upsert"]
