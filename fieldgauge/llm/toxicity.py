@@ -25,7 +25,9 @@ from fieldgauge.llm.tables import stored
 FIT_ROWS = 24_000
 THRESHOLD = 0.7
 LEAST_BEGINNING, LONGEST_BEGINNING = 3, 16
-LEAST_DOCUMENTS, LEAST_PURITY, LEXICON_SIZE = 4, 0.8, 4096
+#: A beginning enters the lexicon with so many toxic documents, and such a share of all toxic
+#: ones: copies of one document repeat all its words.
+LEAST_DOCUMENTS, LEAST_SHARE, LEAST_PURITY, LEXICON_SIZE = 4, 0.01, 0.95, 4096
 KNOWN_WORDS = 200_000
 
 # Closed-class words of the grammar, English, German, French and Spanish.
@@ -159,8 +161,8 @@ def beginnings(word: str) -> list[str]:
 
 
 def features(clauses: list[float]) -> np.ndarray:
-    """Constant, log of the summed weight, strongest clause, log of the number of clauses."""
-    return np.array([1.0, np.log1p(sum(clauses)), max(clauses, default=0.0), np.log1p(len(clauses))])
+    """Constant, and log of the summed weight of the clauses."""
+    return np.array([1.0, np.log1p(sum(clauses))])
 
 
 def held_out(id_column: Column) -> Column:
@@ -198,7 +200,7 @@ def _lexicon(counts: DataFrame) -> dict[str, float]:
     ratio = 2 * (t * F.log(t / n / F.lit(share)) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / n / F.lit(1 - share))).otherwise(0.0))
     common = sums.filter("beginning <> ''").filter(n >= LEAST_DOCUMENTS)
     least = 2 * float(np.log(max(2, common.count())))  # the more beginnings are tried, the more one must stand out
-    good = common.filter((t >= LEAST_DOCUMENTS) & (t / n >= LEAST_PURITY) & (ratio >= least))
+    good = common.filter((t >= max(LEAST_DOCUMENTS, LEAST_SHARE * rows["toxic"])) & (t / n >= LEAST_PURITY) & (ratio >= least))
     found = {r["beginning"]: (r["toxic"], r["clean"]) for r in good.withColumn("ratio", ratio).orderBy(F.desc("ratio"), "beginning").limit(LEXICON_SIZE).collect()}
     lexicon = {}
     for b, (toxic, clean) in found.items():
@@ -228,33 +230,43 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mo
     chosen = known.filter(lot < int(min(1.0, fit_rows / max(1, total)) * 1_000_000)).withColumn("toxic", F.col("toxic").cast("int"))
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     counts = stored(rows.select("text", "toxic").mapInArrow(_count_beginnings, "beginning string, clean long, toxic long"), "beginnings")
-    model = Model(_lexicon(counts), np.zeros(4))
+    model = Model(_lexicon(counts), np.zeros(2))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([features(model.clauses(t.as_py())) for t in batch.column("text")]).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([*[pa.array(made[:, i]) for i in range(4)], batch.column("toxic")], names=["a", "b", "c", "d", "toxic"])
+            weights = [features(model.clauses(t.as_py()))[1] for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([pa.array(weights, pa.float64()), batch.column("toxic")], names=["weight", "toxic"])
 
-    # fit_rows rows of five numbers
-    measured = rows.select("text", "toxic").mapInArrow(measure, "a double, b double, c double, d double, toxic int").toPandas()
-    model.coefficients = _logistic(measured[["a", "b", "c", "d"]].to_numpy(), measured["toxic"].to_numpy(dtype=float))
+    # about fit_rows rows of two numbers
+    measured = rows.select("text", "toxic").mapInArrow(measure, "weight double, toxic int").toPandas()
+    model.coefficients = _logistic(measured["weight"].to_numpy(dtype=float), measured["toxic"].to_numpy(dtype=float))
     return model
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> np.ndarray:
-    """Ridge logistic regression by Newton steps, started from the log odds of the label."""
-    beta = np.zeros(x.shape[1] if x.ndim == 2 else 4)
-    share = (y.sum() + 0.5) / (len(y) + 1)
-    beta[0] = np.log(share / (1 - share))
-    for _ in range(steps if len(y) else 0):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        penalty = ridge * np.r_[0.0, np.ones(len(beta) - 1)]
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9)
-        step = np.linalg.solve(hessian, x.T @ (y - p) - penalty * beta)
-        beta += np.clip(step, -4, 4)
-        if np.abs(step).max() < 1e-8:
+def _logistic(weight: np.ndarray, label: np.ndarray, ridge: float = 0.01, steps: int = 100) -> np.ndarray:
+    """Intercept and slope, never below 0, of a ridge logistic regression by damped Newton steps.
+
+    A step is halved until it does not worsen the fit, so separable labels end at the ridge and
+    not at infinity.
+    """
+    share = (label.sum() + 0.5) / (len(label) + 1)
+    beta = np.array([np.log(share / (1 - share)), 0.0])
+    x = np.column_stack([np.ones(len(weight)), weight])
+
+    def loss(b: np.ndarray) -> float:
+        z = x @ b
+        return float(np.logaddexp(0.0, z).sum() - label @ z + ridge * (b @ b) / 2)
+
+    for _ in range(steps if label.any() and weight.any() else 0):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -500, 500)))
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(2)
+        step, size, now = np.linalg.solve(hessian, x.T @ (label - p) - ridge * beta), 1.0, loss(beta)
+        while size > 1e-6 and loss(beta + size * step) > now:
+            size /= 2
+        beta = beta + size * step
+        if np.abs(size * step).max() < 1e-8:
             break
-    return beta
+    return beta if beta[1] >= 0 else np.array([np.log(share / (1 - share)), 0.0])
 
 
 def score_documents(documents: DataFrame, model: Model) -> DataFrame:

@@ -144,7 +144,7 @@ def test_toxicity_of_odd_texts(spark, rated):
 
 
 def test_grammar_discounts_negation_and_report():
-    model = toxicity.Model({"idiot$": 4.0}, toxicity.np.zeros(4))
+    model = toxicity.Model({"idiot$": 4.0}, toxicity.np.zeros(2))
     plain, denied = model.clauses("what idiot"), model.clauses("what not idiot")
     told, aimed = model.clauses("they wrote idiot"), model.clauses("you idiot")
     assert plain == [4.0] and denied[0] < plain[0] and aimed[0] > plain[0]
