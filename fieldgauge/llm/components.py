@@ -42,13 +42,14 @@ def link(
     pruned: Callable[[DataFrame], DataFrame],
     verified: Callable[[DataFrame], DataFrame],
     rounds: int = HUB_ROUNDS,
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """Components of all items with a verified link: (id, label), items alone labelled by themselves.
 
     ``postings`` has key, band, gid and whatever ``may_match`` reads; two groups are candidates
     where they share a key and pass it. ``members`` has gid and id, one row an item. ``pruned``
     drops pairs (a, b) that cannot link, at little cost, and adds a ``distance``; ``verified``
-    keeps those that do link.
+    keeps those that do link. ``links`` are pairs known to link already.
 
     In a few rounds each group meets ``HUBS`` hubs of every key it has (and each member the first
     of its group), and only the nearest hub is verified; what that joins needs no further
@@ -61,6 +62,9 @@ def link(
     labels, edges = own, None
     postings = stored(postings.join(_popularity(postings), "gid"), "postings")
     labelled = postings.withColumns({"low": F.col("gid"), "high": F.col("gid")})
+    if links is not None:
+        edges, labels = _merged(None, links, own)
+        labelled = _still_open(postings, members, labels)
     for seed in range(rounds):
         read = [F.col(c) for c in labelled.columns if c not in ("key", "band")]
         chance = [F.pmod(F.xxhash64(F.lit(seed * HUBS + i), F.col("gid")), F.lit(1000)) / 1000 for i in range(HUBS)]

@@ -20,14 +20,18 @@ from fieldgauge.llm.decontamination import KEY, row_key
 from fieldgauge.llm.tables import stored
 
 CHARACTERS, PERCENT = 5, 80
-BINS, ROWS = 64, 4
+BINS, ROWS = 48, 4
 BANDS = BINS // ROWS
 BORROWINGS = 32
-CHUNK = 400_000  # characters handled at once
-#: Lines to be verified whose places may be broadcast (24 bytes each); more are shuffled.
-BROADCAST_LINES = 500_000
+SKETCH_BITS = 256
+CHUNK = 50_000  # characters handled at once, so that the arrays stay in a core's cache
+#: Rows that may be broadcast: places of lines to be verified (24 bytes), shared keys and ids (8).
+BROADCAST_LINES, BROADCAST_KEYS = 500_000, 1_000_000
+#: Numbers of dropped lines (4 bytes, and 24 for each document) that may be broadcast.
+BROADCAST_DROPPED = 1_000_000
+_PRIME32, _M1, _M2 = np.uint32(0x01000193), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
 _PRIME, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
-_EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+_EMPTY = np.uint32(0xFFFFFFFF)
 
 
 def normal(line: str) -> str:
@@ -41,30 +45,61 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, line) of every character shingle; a shorter line is one shingle."""
+def _points(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all lines in a row, and their lengths; short lines are filled up."""
     padded = [x if len(x) >= CHARACTERS else x + "\0" * (CHARACTERS - len(x)) for x in lines]
     lengths = np.fromiter(map(len, padded), dtype=np.int64, count=len(padded))
-    points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    if not len(points):
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    return np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype=np.uint32), lengths
+
+
+def exact_set(line: str) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the character shingles of one line."""
+    points = _points([line])[0].astype(np.uint64)
     size = len(points) - CHARACTERS + 1
     code = points[:size].copy()
     for i in range(1, CHARACTERS):
         code = code * _PRIME + points[i : i + size]
-    owner = np.repeat(np.arange(len(padded)), lengths)[:size]
-    inside = np.repeat(np.cumsum(lengths), lengths)[:size] - np.arange(size) >= CHARACTERS
-    return _mixed(code[inside]), owner[inside]
-
-
-def signatures(lines: list[str]) -> np.ndarray:
-    """One row of ``BINS`` values a line: the least hash in each bin, empty bins borrowing."""
-    hashes, owner = shingles(lines)
-    table = np.full(len(lines) * BINS, _EMPTY, dtype=np.uint64)
-    np.minimum.at(table, owner * BINS + (hashes >> np.uint64(58)).astype(np.int64), hashes)
-    table = table.reshape(len(lines), BINS)
-    filled = table != _EMPTY
-    result = table.copy()
+    return np.unique(_mixed(code))
+
+
+def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(line, hash) of the distinct 32-bit shingle hashes of each line, sorted."""
+    points, lengths = _points(lines)
+    size = len(points) - CHARACTERS + 1
+    code = points[:size] * _PRIME32
+    for i in range(1, CHARACTERS - 1):
+        code += points[i : i + size]
+        code *= _PRIME32
+    code += points[CHARACTERS - 1 :]
+    crossing = (np.cumsum(lengths)[:-1, None] - np.arange(1, CHARACTERS)).ravel()
+    code = np.delete(code, crossing[crossing < size])
+    for shift, factor in ((16, _M1), (13, _M2)):
+        code ^= code >> np.uint32(shift)
+        code *= factor
+    code ^= code >> np.uint32(16)
+    both = (np.repeat(np.arange(len(lines), dtype=np.uint64), lengths - CHARACTERS + 1) << np.uint64(32)) | code
+    both.sort()
+    both = both[np.r_[True, both[1:] != both[:-1]]]
+    return (both >> np.uint64(32)).astype(np.int64), both.astype(np.uint32)
+
+
+def described(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each line: set size, MinHash values by bin, and the parities of ``SKETCH_BITS`` buckets."""
+    line, hashes = shingles(lines)
+    sizes = np.bincount(line, minlength=len(lines)).astype(np.int32)
+    # sorted hashes, and bins that rise with the hash: the first of a bin is its least
+    place = line * BINS + ((hashes.astype(np.uint64) * np.uint64(BINS)) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    table = np.full(len(lines) * BINS, _EMPTY, dtype=np.uint32)
+    table[place[first]] = hashes[first]
+    odd = np.bincount(line * SKETCH_BITS + (hashes & np.uint32(SKETCH_BITS - 1)), minlength=len(lines) * SKETCH_BITS) & 1
+    sketch = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(lines), SKETCH_BITS // 64)
+    return sizes, _densified(table.reshape(len(lines), BINS)), sketch
+
+
+def _densified(table: np.ndarray) -> np.ndarray:
+    """Fill empty bins from others of the same line."""
+    filled, result = table != _EMPTY, table.copy()
     line, bin_ = np.nonzero(~filled)
     for attempt in range(1, BORROWINGS + 1):
         if not len(line):
@@ -76,14 +111,14 @@ def signatures(lines: list[str]) -> np.ndarray:
         line, bin_ = line[~found], bin_[~found]
     if len(line):  # lines with very few shingles: the next filled bin to the right
         order = (bin_[:, None] + np.arange(1, BINS)) % BINS
-        first = np.argmax(filled[line[:, None], order], axis=1)
-        result[line, bin_] = table[line, order[np.arange(len(line)), first]]
+        nearest = np.argmax(filled[line[:, None], order], axis=1)
+        result[line, bin_] = table[line, order[np.arange(len(line)), nearest]]
     return result
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
     """A 64-bit key for each band of each line."""
-    parts = signature.reshape(len(signature), BANDS, ROWS)
+    parts = signature.astype(np.uint64).reshape(len(signature), BANDS, ROWS)
     code = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2]).copy()
     for i in range(ROWS):
         code = _mixed(code * _PRIME + parts[:, :, i])
@@ -114,13 +149,43 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs, numbers, lines in _chunks(batch.column("text").to_pylist()):
             distinct = list(dict.fromkeys(lines))
             at = {x: i for i, x in enumerate(distinct)}
-            bands = band_keys(signatures(distinct)).view(np.int64)[[at[x] for x in lines]]
+            sizes, signature, sketch = described(distinct)
+            pick = np.array([at[x] for x in lines])
             names = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), dtype=np.uint64, count=len(lines)).view(np.int64)
             take = pa.array(docs)
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(take), keys.take(take), pa.array(numbers, pa.int32()), pa.array(names), flat], names=["doc_id", KEY, "line_no", "id", "bands"]
-            )
+            columns = [
+                ids.take(take), keys.take(take), pa.array(numbers, pa.int32()), pa.array(names), pa.array(sizes[pick]),
+                _lists(band_keys(signature).view(np.int64)[pick]), _lists(sketch[pick]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", KEY, "line_no", "id", "n", "bands", "sketch"])
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, values.shape[1], dtype=np.int32)), pa.array(values.ravel()))
+
+
+def _small(df: DataFrame, bound: int) -> DataFrame:
+    """A stored table, marked for broadcast if it has at most ``bound`` rows."""
+    return F.broadcast(df) if df.count() <= bound else df
+
+
+def _pruner(lines: DataFrame, members: DataFrame, percent: int):
+    """Drops pairs whose parities differ in more places than the sets of linked lines may, and
+    adds the number of places as ``distance``. One place is spared for colliding hashes."""
+    known = lines.join(_small(members.select("id"), BROADCAST_KEYS), "id").select("id", "n", "sketch")
+    known = stored(known.dropDuplicates(["id"]), "sketches")
+    one = known.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
+    two = known.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
+
+    def pruned(pairs: DataFrame) -> DataFrame:
+        differ = F.aggregate(F.zip_with("ka", "kb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        total = F.col("na") + F.col("nb")
+        need = F.ceil(F.lit(percent) * total / F.lit(100 + percent))
+        alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb") - 100
+        near = pairs.join(one, "a").join(two, "b").withColumn("distance", differ)
+        return near.filter(alike & (F.col("distance") <= total - 2 * need + 1)).drop("na", "nb", "ka", "kb")
+
+    return pruned
 
 
 def _verifier(documents: DataFrame, places: DataFrame, percent: int):
@@ -132,17 +197,16 @@ def _verifier(documents: DataFrame, places: DataFrame, percent: int):
             keep = []
             for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
                 if x != last or last_set is None:
-                    last, last_set = x, np.unique(shingles([normal(x)])[0])
-                other = np.unique(shingles([normal(y)])[0])
+                    last, last_set = x, exact_set(normal(x))
+                other = exact_set(normal(y))
                 common = len(np.intersect1d(last_set, other, assume_unique=True))
                 keep.append(100 * common >= percent * (len(last_set) + len(other) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def verified(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        wanted = stored(places.join(ids, "id"), "wanted")
-        few = wanted.count() <= BROADCAST_LINES
-        texts = documents.join(F.broadcast(wanted) if few else wanted, KEY).select("id", F.get(F.split("text", "\n"), F.col("line_no")).alias("line"))
+        wanted = _small(stored(places.join(ids, "id"), "wanted"), BROADCAST_LINES)
+        texts = documents.join(wanted, KEY).select("id", F.get(F.split("text", "\n"), F.col("line_no")).alias("line"))
         both = pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("tb")), "b").join(texts.select(F.col("id").alias("a"), F.col("line").alias("ta")), "a")
         return both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long").distinct()
 
@@ -155,33 +219,46 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     Lines end at \\n. Two lines are alike where their sets of 5 characters (blanks joined, case
     folded) have a Jaccard similarity of ``percent`` / 100 or more; of the lines connected that
     way only the first by (doc_id, line) stays, blank lines always do. Candidates come from
-    bands, so a pair at the threshold is met with a chance of 0.9998. A NULL text stays NULL with
+    bands, so a pair at the threshold is met with a chance of 0.998. A NULL text stays NULL with
     no lines; equal rows (id and text) are one document and get the same result; other columns
     are ignored.
     """
     rows = documents.select("doc_id", "text", row_key().alias(KEY))
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {KEY} long, line_no int, id long, bands array<long>"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {KEY} long, line_no int, id long, n int, bands array<long>, sketch array<long>"
     lines = stored(rows.mapInArrow(_describe, schema), "lines")
     first = F.min(F.struct("doc_id", KEY, "line_no")).alias("place")
-    classes = stored(lines.groupBy("id").agg(first).select("id", "place.*"), "classes")
-    # the bands of one line of each class; equal lines have equal bands
-    of_class = lines.join(classes.select(KEY, "line_no", "id"), [KEY, "line_no", "id"], "left_semi").select("id", "bands")
-    postings = stored(of_class.select(F.col("id").alias("gid"), F.lit(0).alias("band"), F.explode("bands").alias("key")), "bands")
-    shared = postings.groupBy("key").agg(F.min("gid").alias("l"), F.max("gid").alias("h")).filter("l < h").select("key")
-    postings = stored(postings.join(shared, "key").distinct(), "postings")
+    classes = stored(lines.groupBy("id").agg(first, F.count("*").alias("c")), "classes")
+    keyed = lines.select(F.col("id").alias("gid"), F.explode("bands").alias("key"))
+    part = F.pmod("gid", F.lit(2**31))  # two lines are told apart by 31 bits of their ids here
+    shared = keyed.select("key", part.alias("g")).groupBy("key").agg(F.min("g").alias("l"), F.max("g").alias("h")).filter("l < h").select("key")
+    postings = keyed.join(_small(stored(shared, "keys"), BROADCAST_KEYS), "key").distinct().withColumn("band", F.lit(0))
+    postings = stored(postings, "postings")
     members = stored(postings.select("gid", F.col("gid").alias("id")).distinct(), "members")
-    labels = link(postings, members, lambda a, b: F.lit(True), lambda pairs: pairs.withColumn("distance", F.lit(0)), _verifier(rows, classes.select(KEY, "line_no", "id"), percent))
-    # a line with no candidate is its own component; those seen once lose nothing
-    joined = classes.join(labels, "id", "left").select("id", F.coalesce("label", "id").alias("label"), F.struct("doc_id", KEY, "line_no").alias("place"))
-    keeper = joined.groupBy("label").agg(F.min("place").alias("keep"))
-    by_line = stored(joined.select("id", "label").join(keeper, "label").select("id", F.col(f"keep.{KEY}").alias("kk"), F.col("keep.line_no").alias("kn")), "keepers")
+    places = classes.select(f"place.{KEY}", "place.line_no", "id")
+    pruned, verified = _pruner(lines, members, percent), _verifier(rows, places, percent)
+    # most keys are shared by two lines only, which are one pair; the others go through hubs
+    by_key = stored(postings.groupBy("key").agg(F.min("gid").alias("a"), F.max("gid").alias("b"), F.count("*").alias("c")), "keys")
+    pairs = pruned(by_key.filter("c = 2").select("a", "b").distinct()).select("a", "b")
+    crowded = stored(postings.join(by_key.filter("c > 2").select("key"), "key", "left_semi"), "crowded")
+    labels = link(crowded, members, lambda a, b: F.lit(True), pruned, verified, links=verified(stored(pairs, "pairs")))
+    linked = classes.join(labels, "id")
+    keeper = linked.groupBy("label").agg(F.min("place").alias("keep"))
+    alone = classes.join(labels.select("id"), "id", "left_anti")
+    kept_at = linked.join(keeper, "label").select("id", "c", "place", "keep").unionByName(alone.select("id", "c", "place", F.col("place").alias("keep")))
+    # a line that occurs once and is its own keeper loses nothing
+    losing = stored(
+        kept_at.filter((F.col("c") > 1) | (F.col("place") != F.col("keep"))).select("id", F.col(f"keep.{KEY}").alias("kk"), F.col("keep.line_no").alias("kn")), "keepers"
+    )
     dropped = (
         lines.select(KEY, "line_no", "id")
-        .join(by_line, "id")
+        .join(losing, "id")
         .filter((F.col(KEY) != F.col("kk")) | (F.col("line_no") != F.col("kn")))
         .groupBy(KEY)
         .agg(F.collect_set("line_no").alias("gone"))  # no more than the document's own lines
     )
+    dropped = stored(dropped, "dropped")
+    if (dropped.agg(F.sum(F.size("gone")).alias("n")).first()["n"] or 0) <= BROADCAST_DROPPED:
+        dropped = F.broadcast(dropped)
     parts = F.split("text", "\n")
     stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.coalesce("gone", F.array().cast("array<int>"))))
     built = rows.join(dropped, KEY, "left").select("doc_id", "text", F.inline(F.array(F.struct(parts.alias("parts"), stay.alias("stay")))))
