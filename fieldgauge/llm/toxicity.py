@@ -28,7 +28,8 @@ LEAST_BEGINNING, LONGEST_BEGINNING = 3, 16
 #: A beginning enters the lexicon with so many toxic documents, and such a share of all toxic
 #: ones: copies of one document repeat all its words.
 LEAST_DOCUMENTS, LEAST_SHARE, LEAST_PURITY, LEXICON_SIZE = 4, 0.01, 0.95, 4096
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 50_000  # remembered look-ups in a task
+KEPT_SUMS = 100_000
 
 # Closed-class words of the grammar, English, German, French and Spanish.
 NEGATIONS = frozenset("not no never neither nor without cannot nicht kein keine nie ohne ne pas jamais sans nunca sin tampoco".split())
@@ -170,22 +171,34 @@ def held_out(id_column: Column) -> Column:
 
 
 def _count_beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of either label that hold a beginning, summed within the task."""
-    sums: dict[str, list[int]] = {}
+    """Documents of either label that hold a beginning, summed within the task.
+
+    Sums go out whenever ``KEPT_SUMS`` beginnings have come together, so memory is bounded.
+    """
+    clean: dict[str, int] = {}
+    toxic: dict[str, int] = {}
     rows = [0, 0]
+
+    def out() -> pa.RecordBatch:
+        names = [*clean, *(b for b in toxic if b not in clean)]
+        counts = [pa.array([c.get(b, 0) for b in names], pa.int64()) for c in (clean, toxic)]
+        clean.clear()
+        toxic.clear()
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *counts], names=["beginning", "clean", "toxic"])
+
     for batch in batches:
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+        for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
             rows[label] += 1
             seen: set[str] = set()
-            for w in set(WORDS.findall((text or "").lower())):
+            for w in set(WORDS.findall((text.as_py() or "").lower())):
                 seen.update(beginnings(w))
+            into = toxic if label else clean
             for b in seen:
-                sums.setdefault(b, [0, 0])[label] += 1
-    kept = [*sums.items(), ("", rows)]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([b for b, _ in kept], pa.string()), pa.array([n[0] for _, n in kept], pa.int64()), pa.array([n[1] for _, n in kept], pa.int64())],
-        names=["beginning", "clean", "toxic"],
-    )
+                into[b] = into.get(b, 0) + 1
+            if len(clean) + len(toxic) >= KEPT_SUMS:
+                yield out()
+    clean[""], toxic[""] = rows
+    yield out()
 
 
 def _lexicon(counts: DataFrame) -> dict[str, float]:
