@@ -1,10 +1,11 @@
 """Main text of web pages by tree scoring.
 
 The page becomes a tree. Parts that never hold the article (menus, page headers and footers,
-sidebars, notices, adverts, forms, scripts, comments) are cut. Each paragraph gives points for
-length and commas to its ancestors, fewer the farther they are; a container's points are
-discounted by the share of its text that is links. The best container, widened to the article
-element around it, and those siblings that score well themselves are kept.
+asides, hidden parts, scripts) are cut. Forms, and elements named like a sidebar, notice, advert
+or comment, are cut too, unless they hold most of the page's paragraph points. Each paragraph
+gives points for length and commas to its ancestors, fewer the farther they are; a container's
+points are discounted by the share of its text that is links. The best container, widened to the
+article element around it, and those siblings that score well themselves are kept.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe object svg canvas math title textarea select noframes audio video".split())
-CUT = frozenset("nav footer aside form button dialog menu head label".split())
+CUT = frozenset("nav footer aside button dialog menu head label".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -30,12 +31,15 @@ CLOSES = {
     "li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)),
     "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")),
 }
-CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
+CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 CUT_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs byline comment comments commentlist cookie cookies consent"
     " disqus foot footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup"
     " promo promotion recommended related replies respond share sharebar sharing sidebar skip social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+#: Of these, the ones that a discussion below the article is named by: it may be longer than the article.
+DISCUSSION = frozenset("comment comments commentlist disqus replies respond".split())
+NEVER_NAMED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 WRAPPERS = frozenset("has with no is without".split())
 #: Siblings of these kinds belong to the article unless a quarter of their text is links.
 CONTENT = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure".split())
@@ -46,39 +50,48 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 NAME_PARTS = re.compile(r"[^a-z0-9]+")
+#: A named element that holds most of the points is cut all the same if the page has its article elsewhere: so much of
+#: the points in another article or main element, or, for a discussion, in the rest of the page.
+ELSEWHERE_SHARE = 0.2
 SIBLING_SHARE = 0.2
 FULL_LENGTH, LENGTH_POINTS = 100, 3
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "points", "chars", "linked")
+    __slots__ = ("tag", "parent", "parts", "cut", "names", "points", "own", "mass", "chars", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool) -> None:
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag: str, parent: Node | None, cut: bool, names: frozenset[tuple[str, str]] = frozenset()) -> None:
+        self.tag, self.parent, self.cut, self.names = tag, parent, cut, names
         self.parts: list[Node | str] = []
-        self.points, self.chars, self.linked = 0.0, 0, 0
+        self.points, self.own, self.mass, self.chars, self.linked = 0.0, 0.0, 0.0, 0, 0
 
 
-def _is_cut(tag: str, written: str, parent: Node) -> bool:
-    """Whether an element is one of those that never hold the article."""
+def _marks(tag: str, written: str, parent: Node) -> tuple[bool, frozenset[tuple[str, str]]]:
+    """Whether an element is one of those that never hold the article, and the names, each with
+    the first part of its word, that speak against it. A page may wrap its text in a form."""
+    names: set[tuple[str, str]] = {("form", "form")} if tag == "form" else set()
     if tag in CUT or tag in RAW:
-        return True
-    if tag == "header" and not _inside(parent, ("article",)):
-        return True
+        return True, frozenset()
+    in_article = _inside(parent, ("article",)) if tag == "header" or "header" in written.lower() else False
+    if tag == "header" and not in_article:
+        return True, frozenset()
     if not written or tag in ("html", "body"):
-        return False
+        return False, frozenset(names)
     for name, value in ATTRIBUTE.findall(written):
         name, value = name.lower(), html.unescape(value.strip("\"'")).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in CUT_ROLES):
-            return True
+            return True, frozenset()
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if name in ("class", "id"):
+            return True, frozenset()
+        if name == "role" and value == "form":
+            names.add(("form", "form"))
+        if name in ("class", "id") and tag not in NEVER_NAMED:
             for word in value.split():
                 parts = [p for p in NAME_PARTS.split(word) if p]
-                if parts and parts[0] not in WRAPPERS and CUT_NAMES.intersection(parts):
-                    return True
-    return False
+                if parts and parts[0] not in WRAPPERS:
+                    # an article has a header of its own
+                    names.update((parts[0], p) for p in CUT_NAMES.intersection(parts) if p != "header" or not in_article)
+    return False, frozenset(names)
 
 
 def _inside(node: Node | None, tags: tuple[str, ...]) -> bool:
@@ -117,7 +130,7 @@ def parse(page: str) -> Node:
             here.parts.append(Node(tag, here, False) if tag == "hr" else " ")
             continue
         here = _imply_end(here, tag)
-        node = Node(tag, here, _is_cut(tag, written, here))
+        node = Node(tag, here, *_marks(tag, written, here))
         here.parts.append(node)
         if not (written.endswith("/") and tag not in BLOCK):
             here = node
@@ -162,24 +175,86 @@ def _walk(root: Node) -> Iterator[Node]:
         todo.extend(p for p in reversed(node.parts) if isinstance(p, Node) and not p.cut)
 
 
-def _score(root: Node) -> None:
-    nodes = list(_walk(root))
+def _measure(nodes: list[Node]) -> None:
+    """Characters, those in links, and the paragraph points of every node, its own and in all (mass)."""
     for node in reversed(nodes):  # children before parents
         own = sum(len(p.split()) and len(" ".join(p.split())) for p in node.parts if isinstance(p, str))
         kids = [p for p in node.parts if isinstance(p, Node) and not p.cut]
         node.chars = own + sum(k.chars for k in kids)
         node.linked = node.chars if node.tag == "a" else sum(k.linked for k in kids)
+        node.own = _paragraph_points(node)
+        node.mass = node.own + sum(k.mass for k in kids)
+
+
+def _paragraph_points(node: Node) -> float:
+    """Points of a node as a paragraph; 0 for what is none, or all links."""
+    direct = "".join(p for p in node.parts if isinstance(p, str)).strip()
+    if not node.chars or not (node.tag in PARAGRAPHS or (direct and node.tag in BLOCK and not re.fullmatch(r"h[1-6]", node.tag))):
+        return 0.0
+    if any(isinstance(p, Node) and p.tag in PARAGRAPHS for p in node.parts) and not direct:
+        return 0.0
+    points = 1 + _commas(node) + min(node.chars / FULL_LENGTH, LENGTH_POINTS)
+    return points * (1 - node.linked / node.chars)
+
+
+def _cut_named(root: Node) -> None:
+    """Cut the named elements, except those that hold most of the page's paragraph points alone,
+    or together with the others named alike."""
+    nodes = list(_walk(root))
+    named = [n for n in nodes if n.names]
+    if not named:
+        return
+    _measure(nodes)
+    size = (lambda n: n.mass) if root.mass else (lambda n: float(n.chars))  # a page of headings has no points
+    articles = [n for n in nodes if n.tag in ("article", "main")]
+
+    def outermost(some: list[Node]) -> list[Node]:
+        inside = set(map(id, some))
+        return [n for n in some if not _among(n.parent, inside)]
+
+    def released(tops: list[Node], name: str) -> bool:
+        held = sum(map(size, tops))
+        if 2 * held <= size(root):
+            return False
+        if name in DISCUSSION:
+            return size(root) - held < ELSEWHERE_SHARE * size(root)
+        if not articles:
+            return True
+        around: set[int] = set()
+        for n in tops:
+            node: Node | None = n
+            while node is not None and id(node) not in around:
+                around.add(id(node))
+                node = node.parent
+        within = set(map(id, tops))
+        elsewhere = outermost([a for a in articles if id(a) not in around and not _among(a, within)])
+        return sum(map(size, elsewhere)) < ELSEWHERE_SHARE * size(root)
+
+    doubtful = [n for n in named if not all(released([n], name) for _, name in n.names)]
+    groups: dict[tuple[str, str], list[Node]] = {}
+    for n in doubtful:
+        for key in n.names:
+            groups.setdefault(key, []).append(n)
+    spared = {key for key, some in groups.items() if released(outermost(some), key[1])}
+    for n in doubtful:
+        n.cut = not n.names <= spared
+
+
+def _among(node: Node | None, ids: set[int]) -> bool:
+    while node is not None:
+        if id(node) in ids:
+            return True
+        node = node.parent
+    return False
+
+
+def _score(root: Node) -> None:
+    nodes = list(_walk(root))
+    _measure(nodes)
     for node in nodes:
-        direct = "".join(p for p in node.parts if isinstance(p, str)).strip()
-        if not node.chars or not (node.tag in PARAGRAPHS or (direct and node.tag in BLOCK and not re.fullmatch(r"h[1-6]", node.tag))):
-            continue
-        if any(isinstance(p, Node) and p.tag in PARAGRAPHS for p in node.parts) and not direct:
-            continue
-        points = 1 + _commas(node) + min(node.chars / FULL_LENGTH, LENGTH_POINTS)
-        points *= 1 - node.linked / node.chars
         ancestor, distance = (node.parent if node.tag in PARAGRAPHS else node), 0
-        while ancestor is not None and ancestor.tag != "#root":
-            ancestor.points += points / (1 if distance == 0 else 2 if distance == 1 else 3 * distance)
+        while node.own and ancestor is not None and ancestor.tag != "#root":
+            ancestor.points += node.own / (1 if distance == 0 else 2 if distance == 1 else 3 * distance)
             ancestor, distance = ancestor.parent, distance + 1
 
 
@@ -224,6 +299,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    _cut_named(root)
     _score(root)
     rated = [(n, _rating(n)) for n in _walk(root) if n.points]
     if not rated:

@@ -37,6 +37,30 @@ def test_main_text(html, want):
     assert main_text(html) == want
 
 
+SHORT = "A short one."
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        (page(f"<article class='post category-social'><h1>A</h1><p>{PARAGRAPH}</p></article>"), f"A\n{PARAGRAPH}"),
+        (page(f"<div class='layout sidebar-right'><h1>A</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><div class=sidebar><p>{SHORT}</p></div></div>"), f"A\n{PARAGRAPH}\n{PARAGRAPH}"),
+        (
+            page("<div>" + f"<div class='elementor-widget elementor-widget-heading'><h2>H</h2></div><div class='elementor-widget elementor-widget-text'><p>{PARAGRAPH}</p></div>" * 3 + "</div>"),
+            "\n".join(["H", PARAGRAPH] * 3),
+        ),
+        (page(f"<form action=x><div><h1>A</h1><p>{PARAGRAPH}</p></div></form>"), f"A\n{PARAGRAPH}"),
+        (page(f"<article><header class='entry-header'><h1>A</h1></header><h2 id='sharing-data'>B</h2><p>{PARAGRAPH}</p></article>"), f"A\nB\n{PARAGRAPH}"),
+        (page("<div class=widget><h2>only a heading</h2></div>"), "only a heading"),
+        # a long discussion, and a long sidebar, beside the article stay cut
+        (page(f"<div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div><div id=comments>{f'<p>{PARAGRAPH}</p>' * 6}</div>"), f"{PARAGRAPH}\n{PARAGRAPH}"),
+        (page(f"<article><p>{PARAGRAPH}</p></article><div class=sidebar>{f'<p>{PARAGRAPH}</p>' * 3}</div>"), PARAGRAPH),
+    ],
+)
+def test_names_and_forms_cut_no_page(html, want):
+    assert main_text(html) == want
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 20_000 + "deep") == "deep"
     assert main_text("<article>" + "<p>word, word</p>" * 20_000 + "</article>").count("\n") == 19_999
