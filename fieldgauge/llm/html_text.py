@@ -4,8 +4,9 @@ The page becomes a tree. Parts that never hold the article (menus, page headers
 asides, hidden parts, scripts) are cut. Forms, and elements named like a sidebar, notice, advert
 or comment, are cut too, unless they hold most of the page's paragraph points. Each paragraph
 gives points for length and commas to its ancestors, fewer the farther they are; a container's
-points are discounted by the share of its text that is links. The best container, widened to the
-article element around it, and those siblings that score well themselves are kept.
+points are discounted by the share of its text that is links. The article or main element around
+the best container is kept; where there is none, the best container and, at every level around
+it, whatever holds paragraphs and is not mostly links.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ CUT_NAMES = frozenset(
 DISCUSSION = frozenset("comment comments commentlist disqus replies respond".split())
 NEVER_NAMED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 WRAPPERS = frozenset("has with no is without".split())
-#: Siblings of these kinds belong to the article unless a quarter of their text is links.
+#: Siblings of these kinds belong to the article even without points, unless a quarter of their text is links.
 CONTENT = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure".split())
 PARAGRAPHS = frozenset("p pre td blockquote li dd".split())
 
@@ -53,7 +54,6 @@ NAME_PARTS = re.compile(r"[^a-z0-9]+")
 #: A named element that holds most of the points is cut all the same if the page has its article elsewhere: so much of
 #: the points in another article or main element, or, for a discussion, in the rest of the page.
 ELSEWHERE_SHARE = 0.2
-SIBLING_SHARE = 0.2
 FULL_LENGTH, LENGTH_POINTS = 100, 3
 
 
@@ -266,7 +266,7 @@ def _rating(node: Node) -> float:
     return node.points * (1 - node.linked / node.chars) if node.chars else 0.0
 
 
-def _blocks(roots: list[Node]) -> list[str]:
+def _blocks(roots: list[Node | str]) -> list[str]:
     """Texts of blocks in page order; inline elements do not break a block."""
     blocks: list[str] = []
     current: list[str] = []
@@ -314,17 +314,37 @@ def main_text(page: str | None) -> str:
             if node.tag == "article":
                 break
         node = node.parent
-    kept = [top]
-    if top.parent is not None and top.tag not in ("article", "main", "body", "html"):
-        kept = [p for p in top.parent.parts if isinstance(p, Node) and not p.cut and (p is top or _belongs(p, rating))]
+    kept: list[Node | str] = [top]
+    while top.parent is not None and top.tag not in ("article", "main", "body", "html"):
+        kept, top = _belonging(top.parent.parts, top, kept), top.parent
     return "\n".join(_blocks(kept))
 
 
-def _belongs(sibling: Node, rating: float) -> bool:
-    """A sibling of the best container that is part of the article."""
-    if sibling.tag in CONTENT:
-        return sibling.chars > 0 and sibling.linked * 4 <= sibling.chars
-    return _rating(sibling) >= max(1.0, SIBLING_SHARE * rating)
+def _belonging(siblings: list[Node | str], top: Node, kept: list[Node | str]) -> list[Node | str]:
+    """What is kept of the best container, or of an element around it, and those siblings that
+    are part of the article: they hold paragraphs, or are content by their kind or text outside
+    blocks, and are not mostly links."""
+    found: list[Node | str] = []
+    run: list[Node | str] = []
+
+    def end_run() -> None:
+        chars = sum(len(p.strip()) if isinstance(p, str) else p.chars for p in run)
+        if chars and 4 * sum(p.linked for p in run if isinstance(p, Node)) <= chars:
+            found.extend(run)
+        run.clear()
+
+    for p in siblings:
+        if p is not top and (isinstance(p, str) or p.tag not in BLOCK):
+            if isinstance(p, str) or not p.cut:
+                run.append(p)
+            continue
+        end_run()
+        if p is top:
+            found.extend(kept)
+        elif not p.cut and p.chars and p.linked * 4 <= p.chars and (p.tag in CONTENT or p.mass):
+            found.append(p)
+    end_run()
+    return found
 
 
 def extract(pages: DataFrame) -> DataFrame:

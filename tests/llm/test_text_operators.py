@@ -61,6 +61,14 @@ def test_names_and_forms_cut_no_page(html, want):
     assert main_text(html) == want
 
 
+def test_short_sections_stay_beside_a_long_one():
+    long, short = f"<section>{f'<p>{PARAGRAPH}</p>' * 20}</section>", f"<section><h2>H</h2><p>{SHORT}</p></section>"
+    links = f"<div>{'<p><a href=x>Some other page, of this site</a></p>' * 3}</div>"
+    want = "\n".join([PARAGRAPH] * 20 + ["H", SHORT])
+    assert main_text(page(f"<div>{long}{links}{short}</div>")) == want
+    assert main_text(page(f"<div><div>{long}</div>{links}</div><div><div>{short}</div></div>")) == want
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 20_000 + "deep") == "deep"
     assert main_text("<article>" + "<p>word, word</p>" * 20_000 + "</article>").count("\n") == 19_999
