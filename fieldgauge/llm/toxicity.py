@@ -4,8 +4,9 @@ Words become symbols: insult (from a lexicon of weighted word beginnings learnt
 threat, target, negation, reported speech or other. Three transducers are composed: negation
 rewrites an insult or threat shortly after a negating word, reported speech rewrites what follows
 a reporting word in the clause, and targeting raises what stands in a clause with an addressee.
-The composed machine gives every clause a weight; the clause weights of a document, not its
-isolated words, are turned into a score by a small logistic model.
+The composed machine gives every clause a weight. A small logistic model turns two features of a
+document into a score, and neither grows with length alone: its strongest clause, and how far the
+number of its distinct insults exceeds what clean text of that length holds by chance.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ REPORTS = frozenset("said says say wrote writes quoted quote called calls claime
 TARGETS = frozenset("you your yours he she they him her them his their people du ihr sie dich euch dein tu vous toi votre usted ustedes tú vosotros".split())
 THREATS = frozenset("kill hurt destroy beat attack murder töten schlagen vernichten tuer frapper détruire matar golpear destruir".split())
 
+#: Longer clauses are read in parts of so many words: a text may lack punctuation.
+CLAUSE_WORDS = 40
 CLAUSE_END = re.compile(r"[.,;:!?|\n]+")
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -102,15 +105,17 @@ def targeting(bonus: float = 1.25) -> Transducer:
 
 GRAMMAR = negating().then(reporting()).then(targeting())
 ATTACKS = frozenset((INSULT, THREAT, DENIED, TOLD))
-THREAT_WEIGHT = 1.0
+THREAT_WEIGHT, UNTARGETED = 1.0, 0.1
 
 
 @dataclass
 class Model:
-    """Word beginnings (whole words end in ``$``) with weights, and the document model."""
+    """Word beginnings (whole words end in ``$``) with weights, the document model, and how many
+    distinct insults a word of clean text adds by chance."""
 
     lexicon: dict[str, float]
     coefficients: np.ndarray
+    chance: float = 1e-4
     _known: dict = field(default_factory=dict, repr=False, compare=False)
 
     def __getstate__(self) -> dict:
@@ -142,18 +147,28 @@ class Model:
             return []
         found = []
         for clause in CLAUSE_END.split(lowered):
-            state, weight = 0, 0.0
-            for w in WORDS.findall(clause):
-                symbol, lexical = self.symbol(w)
-                state, out, factor = GRAMMAR.moves[state, symbol]
-                if out in ATTACKS:
-                    weight += lexical * factor
-            if weight:
-                found.append(weight * GRAMMAR.finals[state])
+            words = WORDS.findall(clause)
+            for part in range(0, len(words), CLAUSE_WORDS):
+                state, weight, threat = 0, 0.0, 0.0
+                for w in words[part : part + CLAUSE_WORDS]:
+                    symbol, lexical = self.symbol(w)
+                    state, out, factor = GRAMMAR.moves[state, symbol]
+                    if symbol == THREAT:
+                        threat += lexical * factor
+                    elif out in ATTACKS:
+                        weight += lexical * factor
+                bonus = GRAMMAR.finals[state]
+                if weight or threat:
+                    found.append(weight * bonus + threat * (bonus if bonus > 1 else UNTARGETED))
         return found
 
+    def evidence(self, text: str | None) -> tuple[float, int, int]:
+        """Weight of the strongest clause, distinct insults, and words."""
+        words = WORDS.findall((text or "").lower())
+        return max(self.clauses(text), default=0.0), sum(self.symbol(w)[0] == INSULT for w in set(words)), len(words)
+
     def score(self, text: str | None) -> float:
-        return float(1 / (1 + np.exp(-np.clip(features(self.clauses(text)) @ self.coefficients, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(features(*self.evidence(text), self.chance) @ self.coefficients, -30, 30))))
 
 
 def beginnings(word: str) -> list[str]:
@@ -161,9 +176,12 @@ def beginnings(word: str) -> list[str]:
     return [word[:n] for n in range(LEAST_BEGINNING, min(len(word), LONGEST_BEGINNING) + 1)] + [word + "$"]
 
 
-def features(clauses: list[float]) -> np.ndarray:
-    """Constant, and log of the summed weight of the clauses."""
-    return np.array([1.0, np.log1p(sum(clauses))])
+def features(strongest: float, distinct: int, words: int, chance: float) -> np.ndarray:
+    """Constant, log of the strongest clause, and log of the Poisson deviance of the number of
+    distinct insults over the number expected by chance (0 where there are no more than that)."""
+    expected = chance * max(1, words)
+    surprise = distinct * np.log(distinct / expected) - (distinct - expected) if distinct > expected else 0.0
+    return np.array([1.0, np.log1p(strongest), np.log1p(surprise)])
 
 
 def held_out(id_column: Column) -> Column:
@@ -171,34 +189,36 @@ def held_out(id_column: Column) -> Column:
 
 
 def _count_beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of either label that hold a beginning, summed within the task.
+    """Documents of either fold and label that hold a beginning, summed within the task.
 
     Sums go out whenever ``KEPT_SUMS`` beginnings have come together, so memory is bounded.
     """
-    clean: dict[str, int] = {}
-    toxic: dict[str, int] = {}
-    rows = [0, 0]
-
-    def out() -> pa.RecordBatch:
-        names = [*clean, *(b for b in toxic if b not in clean)]
-        counts = [pa.array([c.get(b, 0) for b in names], pa.int64()) for c in (clean, toxic)]
-        clean.clear()
-        toxic.clear()
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *counts], names=["beginning", "clean", "toxic"])
+    sums: list[dict[str, int]] = [{}, {}, {}, {}]
+    rows = [0, 0, 0, 0]
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for fold in (0, 1):
+            clean, toxic = sums[2 * fold : 2 * fold + 2]
+            names = [*clean, *(b for b in toxic if b not in clean)]
+            counts = [pa.array([c.get(b, 0) for b in names], pa.int64()) for c in (clean, toxic)]
+            clean.clear()
+            toxic.clear()
+            yield pa.RecordBatch.from_arrays([pa.array([fold] * len(names), pa.int32()), pa.array(names, pa.string()), *counts], names=["fold", "beginning", "clean", "toxic"])
 
     for batch in batches:
-        for text, label in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
-            rows[label] += 1
+        for text, label, fold in zip(batch.column("text"), batch.column("toxic").to_pylist(), batch.column("fold").to_pylist(), strict=True):
+            rows[2 * fold + label] += 1
             seen: set[str] = set()
             for w in set(WORDS.findall((text.as_py() or "").lower())):
                 seen.update(beginnings(w))
-            into = toxic if label else clean
+            into = sums[2 * fold + label]
             for b in seen:
                 into[b] = into.get(b, 0) + 1
-            if len(clean) + len(toxic) >= KEPT_SUMS:
-                yield out()
-    clean[""], toxic[""] = rows
-    yield out()
+            if sum(map(len, sums)) >= KEPT_SUMS:
+                yield from out()
+    for into, n in zip(sums, rows, strict=True):
+        into[""] = n
+    yield from out()
 
 
 def _lexicon(counts: DataFrame) -> dict[str, float]:
@@ -233,7 +253,8 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mo
     """Learn lexicon and document model from labelled rows outside the held-out fold.
 
     About ``fit_rows`` of them are used, chosen by a hash of the id wherever they lie. Labels that are NULL or contradict
-    each other for one id are left out.
+    each other for one id are left out. The document model sees each row by the words learnt from
+    the other half of the rows: on the rows a word was chosen by, it has no chance hits.
     """
     known = labels.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
     known = known.filter((F.col("toxic") == F.col("most")) & ~held_out(F.col("doc_id"))).drop("most")
@@ -241,45 +262,57 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mo
     lot = F.pmod(F.xxhash64(F.lit(3), F.col("doc_id").cast("string")), F.lit(1_000_000))
     # at most about fit_rows rows of two small numbers, so they may be broadcast
     chosen = known.filter(lot < int(min(1.0, fit_rows / max(1, total)) * 1_000_000)).withColumn("toxic", F.col("toxic").cast("int"))
+    chosen = chosen.withColumn("fold", F.pmod(F.xxhash64(F.lit(5), F.col("doc_id").cast("string")), F.lit(2)).cast("int"))
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    counts = stored(rows.select("text", "toxic").mapInArrow(_count_beginnings, "beginning string, clean long, toxic long"), "beginnings")
-    model = Model(_lexicon(counts), np.zeros(2))
+    rows = rows.select("text", "toxic", "fold")
+    counts = stored(rows.mapInArrow(_count_beginnings, "fold int, beginning string, clean long, toxic long"), "beginnings")
+    others = [Model(_lexicon(counts.filter(F.col("fold") != fold)), np.zeros(3)) for fold in (0, 1)]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            weights = [features(model.clauses(t.as_py()))[1] for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array(weights, pa.float64()), batch.column("toxic")], names=["weight", "toxic"])
+            seen = [others[f].evidence(t.as_py()) for t, f in zip(batch.column("text"), batch.column("fold").to_pylist(), strict=True)]
+            columns = [pa.array([x[i] for x in seen], kind) for i, kind in enumerate((pa.float64(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column("toxic")], names=["strongest", "distinct", "words", "toxic"])
 
-    # about fit_rows rows of two numbers
-    measured = rows.select("text", "toxic").mapInArrow(measure, "weight double, toxic int").toPandas()
-    model.coefficients = _logistic(measured["weight"].to_numpy(dtype=float), measured["toxic"].to_numpy(dtype=float))
-    return model
+    # about fit_rows rows of four numbers
+    measured = rows.mapInArrow(measure, "strongest double, distinct long, words long, toxic int").toPandas()
+    clean = measured[measured["toxic"] == 0]
+    chance = float((clean["distinct"].sum() + 1) / (clean["words"].sum() + 1_000))
+    seen = [features(*x, chance)[1:] for x in zip(measured["strongest"], measured["distinct"], measured["words"], strict=True)]
+    return Model(_lexicon(counts), _logistic(np.array(seen).reshape(-1, 2), measured["toxic"].to_numpy(dtype=float)), chance)
 
 
-def _logistic(weight: np.ndarray, label: np.ndarray, ridge: float = 0.01, steps: int = 100) -> np.ndarray:
-    """Intercept and slope, never below 0, of a ridge logistic regression by damped Newton steps.
+def _logistic(values: np.ndarray, label: np.ndarray, ridge: float = 0.01, steps: int = 100) -> np.ndarray:
+    """Intercept and slopes, none below 0, of a ridge logistic regression by damped Newton steps.
 
     A step is halved until it does not worsen the fit, so separable labels end at the ridge and
-    not at infinity.
+    not at infinity. While a slope is below 0, the lowest one is left out.
     """
     share = (label.sum() + 0.5) / (len(label) + 1)
-    beta = np.array([np.log(share / (1 - share)), 0.0])
-    x = np.column_stack([np.ones(len(weight)), weight])
-
-    def loss(b: np.ndarray) -> float:
-        z = x @ b
-        return float(np.logaddexp(0.0, z).sum() - label @ z + ridge * (b @ b) / 2)
-
-    for _ in range(steps if label.any() and weight.any() else 0):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -500, 500)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(2)
-        step, size, now = np.linalg.solve(hessian, x.T @ (label - p) - ridge * beta), 1.0, loss(beta)
-        while size > 1e-6 and loss(beta + size * step) > now:
-            size /= 2
-        beta = beta + size * step
-        if np.abs(size * step).max() < 1e-8:
+    used = [i for i in range(values.shape[1]) if label.any() and values[:, i].any()]
+    while True:
+        x = np.column_stack([np.ones(len(label)), values[:, used]])
+        beta = np.array([np.log(share / (1 - share)), *[0.0] * len(used)])
+
+        def loss(b: np.ndarray, x: np.ndarray = x) -> float:
+            z = x @ b
+            return float(np.logaddexp(0.0, z).sum() - label @ z + ridge * (b @ b) / 2)
+
+        for _ in range(steps if used else 0):
+            p = 1 / (1 + np.exp(-np.clip(x @ beta, -500, 500)))
+            hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(beta))
+            step, size, now = np.linalg.solve(hessian, x.T @ (label - p) - ridge * beta), 1.0, loss(beta)
+            while size > 1e-6 and loss(beta + size * step) > now:
+                size /= 2
+            beta = beta + size * step
+            if np.abs(size * step).max() < 1e-8:
+                break
+        if not used or beta[1:].min() >= 0:
             break
-    return beta if beta[1] >= 0 else np.array([np.log(share / (1 - share)), 0.0])
+        used.pop(int(beta[1:].argmin()))
+    result = np.zeros(1 + values.shape[1])
+    result[[0, *[1 + i for i in used]]] = beta
+    return result
 
 
 def score_documents(documents: DataFrame, model: Model) -> DataFrame:

@@ -175,6 +175,14 @@ def test_toxicity_of_odd_texts(spark, rated):
     assert {r["predicted"] for r in toxicity.score_documents(odd, unlearnt).collect()} == {0}
 
 
+def test_toxicity_does_not_grow_with_length(spark, rated):
+    model = toxicity.fit(rated.drop("toxic"), rated.select("doc_id", "toxic"))
+    calm = "balan reser tiden. "
+    assert model.score(calm * 20_000 + "zurkan.") < model.score(calm * 5 + "zurkan.")
+    assert model.score("Attack and murder in the town. Troops destroy it. " * 500) < toxicity.THRESHOLD
+    assert model.score("zurkig vrakk zurkan " + calm * 20) >= toxicity.THRESHOLD
+
+
 def test_grammar_discounts_negation_and_report():
     model = toxicity.Model({"idiot$": 4.0}, toxicity.np.zeros(2))
     plain, denied = model.clauses("what idiot"), model.clauses("what not idiot")
