@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldgauge.llm import toxicity
-from fieldgauge.llm.decontamination import without_contaminated
+from fieldgauge.llm.decontamination import KEY, row_key, without_contaminated
 from fieldgauge.llm.mixing import mix
 from fieldgauge.llm.ngram_join import similar_documents
 from fieldgauge.llm.sharding import shard
@@ -31,15 +31,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id.
+    """One document of each group of near duplicates, the one with the least id and, of other texts
+    under that id, the least checksum of the text.
 
-    Documents without words, and rows without an id, are in no group and stay; of rows that share
-    an id one stays.
+    A document is its id and its text: texts that share an id are judged apart, and of rows equal
+    in both one stays, the least by its other columns as JSON. Documents without words, and rows
+    without an id, are in no group and stay.
     """
-    found = similar_documents(docs, NEAR_WORDS, NEAR_PERCENT)
-    least = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).join(least, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    keyed = docs.filter(F.col("doc_id").isNotNull()).withColumn(KEY, row_key())
+    found = similar_documents(keyed.select(F.col(KEY).alias("doc_id"), "text"), NEAR_WORDS, NEAR_PERCENT)
+    groups = found.select(F.col("doc_id").alias(KEY), "component_id")
+    order = F.struct("doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("checksum"), KEY)
+    places = keyed.select(KEY, order.alias("place")).join(groups.distinct(), KEY)
+    keepers = places.groupBy("component_id").agg(F.min("place").alias("place")).select(f"place.{KEY}")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    one = keyed.join(keepers, KEY, "left_semi").groupBy(KEY).agg(F.min_by(F.struct(*docs.columns), F.to_json(F.struct(F.lit(0), *others))).alias("__least"))
+    return one.select("__least.*").unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -289,3 +289,13 @@ def test_pipeline_stages(spark, tmp_path):
     assert kept["near_duplicates"] - kept["decontamination"] == {10}
     final = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in final} == kept["mixing"] and {r["shard"] for r in final} <= set(range(8))
+
+
+def test_texts_that_share_an_id_are_judged_apart(spark):
+    rng = random.Random(12)
+    one, two, three = (" ".join(rng.choices(VOCABULARY, k=40)) for _ in range(3))
+    rows = [(1, one, "a"), (1, two, "a"), (2, one, "a"), (2, three, "a"), (3, two, "a"), (4, three, "b"), (4, three, "a"), (5, None, "a"), (5, "", "a"), (None, one, "a"), (None, one, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = corpus_pipeline.keep_one_of_each(spark, docs, "").collect()
+    want = [(1, one, "a"), (1, two, "a"), (2, three, "a"), (5, None, "a"), (5, "", "a"), (None, one, "a"), (None, one, "a")]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
