@@ -44,16 +44,21 @@ def refresh_monitor(
 ) -> list[str]:
     """Write profile and drift tables named ``<prefix>_<kind>``, partitioned by ``day``.
 
-    Only the given days are computed and replaced, by default those of the log that are not
-    stored yet. The log is read by its ``date`` partitions, a day around the wanted ones; the
-    drift since the window before is also renewed for the day that follows each of them.
+    Only the given days are computed and replaced, by default those whose number of rows in the
+    log differs from the one that any of the tables was computed from; ``<prefix>_counts`` holds
+    these numbers, and is written last. A day is that of the request time; the log is read by the
+    ``date`` partitions that its rows lie in. The drift since the window before is also renewed
+    for the day that follows each of them.
     """
     log, baseline = read_table(spark, clean_table), read_table(spark, baseline_table)
     names = {kind: f"{prefix}_{kind}" for kind in kinds}
-    logged = sorted(r["date"] for r in log.select("date").distinct().collect() if r["date"])  # one value a day
+    seen = _logged_days(log)
+    logged = sorted(seen)
+    counted = f"{prefix}_counts"
+    known = _known_counts(spark, counted)
     if days is None:
-        stored = _stored_days(spark, names[kinds[0]])
-        days = [d for d in logged if d not in stored]
+        days = [d for d in logged if any(known.get((d, kind)) != seen[d][0] for kind in kinds)]
+    days = sorted(d for d in set(days) if d in seen)
     if not days:
         return list(names.values())
     results = {
@@ -69,23 +74,35 @@ def refresh_monitor(
     before = [d for d in logged if d < followed[0]][-1:]
     for kind, name in names.items():
         if kind == "previous_drift":
-            rows, wanted = _of_days(log, [*before, followed[0], followed[-1]], None), followed
+            rows, wanted = _of_days(log, seen, [*before, followed[0], followed[-1]], None), followed
         else:
-            rows, wanted = _of_days(log, days, days), days
+            rows, wanted = _of_days(log, seen, days, days), days
         df = results[kind](rows).withColumn(DAY, F.to_date(monitoring.START))
         overwrite_partitions(df.where(F.col(DAY).isin(wanted)), name, DAY)
+    fresh = {**{x: n for x, n in known.items() if x[0] in days}, **{(d, kind): seen[d][0] for d in days for kind in kinds}}
+    overwrite_partitions(spark.createDataFrame([(kind, n, d) for (d, kind), n in fresh.items()], f"kind string, n long, {DAY} date"), counted, DAY)
     return list(names.values())
 
 
-def _of_days(log: DataFrame, span: list[dt.date], days: list[dt.date] | None) -> DataFrame:
-    """Rows of the span of days, and of the given days only: the first bound picks partitions."""
-    one = dt.timedelta(days=1)
-    rows = log.where(F.col("date").between(min(span) - one, max(span) + one))
+def _logged_days(log: DataFrame) -> dict[dt.date, tuple[int, dt.date | None, dt.date | None]]:
+    """Rows of each day of request time, and the first and last ``date`` they lie in."""
+    at = F.to_date(monitoring.TIME).alias(DAY)
+    found = log.groupBy(at).agg(F.count("*").alias("n"), F.min("date").alias("low"), F.max("date").alias("high"))
+    return {r[DAY]: (r["n"], r["low"], r["high"]) for r in found.collect() if r[DAY]}  # one row a day
+
+
+def _of_days(log: DataFrame, seen: dict, span: list[dt.date], days: list[dt.date] | None) -> DataFrame:
+    """Rows of the span of days, and of the given days only: the dates they lie in pick partitions."""
+    within = [seen[d] for d in seen if (d in days if days is not None else min(span) <= d <= max(span))]
+    lows, highs = [x[1] for x in within if x[1]], [x[2] for x in within if x[2]]
+    date = F.col("date")
+    rows = log.where((date.between(min(lows), max(highs)) | date.isNull()) if lows else date.isNull())
     at = F.to_date(monitoring.TIME)
     return rows.where(at.isin(days) if days is not None else at.between(min(span), max(span)))
 
 
-def _stored_days(spark: SparkSession, name: str) -> set[dt.date]:
+def _known_counts(spark: SparkSession, name: str) -> dict[tuple[dt.date, str], int]:
+    """Rows that each table's day was computed from; one value a day and table."""
     if not spark.catalog.tableExists(name):
-        return set()
-    return {r[DAY] for r in read_table(spark, name).select(DAY).distinct().collect()}
+        return {}
+    return {(r[DAY], r["kind"]): r["n"] for r in read_table(spark, name).collect()}

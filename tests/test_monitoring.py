@@ -121,3 +121,29 @@ def test_mean_drift_uses_common_columns_only(tables):
     _, _, baseline, logged = tables
     drift = monitoring.mean_drift(baseline, logged, schemas.SENSOR_COLUMNS)
     assert {r["column"] for r in drift.collect()} == {"Temperature"}
+
+
+def test_late_rows_and_missing_tables_are_computed(spark):
+    import datetime as dt
+
+    from fieldgauge import schemas
+    from fieldgauge.plans.monitoring_job import refresh_monitor
+
+    columns = [*schemas.MODEL_INPUTS, schemas.LABEL]
+    schema = "timestamp_ms timestamp, model_id int, " + ", ".join(f"{c} double" for c in columns) + ", date date"
+
+    def log(*rows):
+        made = [(dt.datetime(2024, 1, day, 12), 0, *[float(day)] * len(columns), dt.date(2024, 1, date)) for day, date in rows]
+        spark.createDataFrame(made, schema).write.mode("append").partitionBy("date").saveAsTable("late_log")
+
+    def profiled():
+        return {r["day"].day: r["n"] for r in spark.read.table("late_profile").select("day", "n").distinct().collect()}
+
+    log((1, 1), (2, 2))
+    spark.read.table("late_log").drop("timestamp_ms", "date").write.saveAsTable("late_base")
+    refresh_monitor(spark, "late_log", "late_base", "late", kinds=("profile",))
+    assert profiled() == {1: 1, 2: 1}
+    log((1, 1), (2, 9), (5, 2))  # late, replayed a week on, and a day that is no date of the log
+    refresh_monitor(spark, "late_log", "late_base", "late", kinds=("profile", "share"))
+    assert profiled() == {1: 2, 2: 2, 5: 1}
+    assert {r["day"].day: r["n"] for r in spark.read.table("late_share").collect()} == {1: 2, 2: 2, 5: 1}
