@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fieldgauge.llm.importance import BUCKETS, DRAW_PERCENT, MIN_WORDS, SEED
 from fieldgauge.llm.mixing import FLATTENING, KEEP_SHARE, MAX_SWEEPS
 
 DECONTAMINATE = r"""
@@ -67,4 +68,38 @@ FROM named JOIN chances ON {same}
 """
 
 
-LLM_ORACLES = {"op5_decontaminate": DECONTAMINATE, "op9_mix": _mix_sql()}
+RESAMPLE = rf"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws
+  FROM documents),
+items AS MATERIALIZED (
+  SELECT regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+in_docs AS MATERIALIZED (SELECT doc_id, f, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS f FROM docs) GROUP BY ALL),
+in_items AS MATERIALIZED (SELECT f, count(*) AS n FROM (SELECT unnest(ws) AS f FROM items) GROUP BY ALL),
+crc_table AS (
+  SELECT list(c ORDER BY b) AS tab FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS b))),
+buckets AS MATERIALIZED (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % {BUCKETS} AS bucket
+  FROM (SELECT f, list_transform(range(CAST(len(hex(f)) // 2 AS BIGINT)), lambda i: CAST(concat('0x', substr(hex(f), 2 * i + 1, 2)) AS BIGINT)) AS bytes
+        FROM (SELECT f FROM in_docs UNION SELECT f FROM in_items)), crc_table),
+s AS (SELECT bucket, sum(n) AS s FROM in_docs JOIN buckets USING (f) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM in_items JOIN buckets USING (f) GROUP BY bucket),
+totals AS (SELECT coalesce((SELECT sum(s) FROM s), 0) AS all_s, coalesce((SELECT sum(t) FROM t), 0) AS all_t),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * (all_s + {BUCKETS}) AS DOUBLE) / CAST((s + 1) * (all_t + {BUCKETS}) AS DOUBLE))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), totals),
+sums AS (SELECT doc_id, sum(n * gain) AS total FROM in_docs JOIN buckets USING (f) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, CAST(CASE WHEN len(ws) = 0 THEN 0 ELSE (total - ((total % len(ws)) + len(ws)) % len(ws)) / len(ws) END AS BIGINT) AS weight,
+         CAST(concat('0x', substr(sha256(concat('{SEED}:', doc_id)), 1, 8)) AS BIGINT) AS h
+  FROM docs LEFT JOIN sums USING (doc_id)),
+noisy AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM scored),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM noisy WHERE n_features >= {MIN_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {DRAW_PERCENT} * n // 100 THEN place END AS rank
+FROM noisy LEFT JOIN ranked USING (doc_id)
+"""
+
+LLM_ORACLES = {"op5_decontaminate": DECONTAMINATE, "op9_mix": _mix_sql(), "op11_resample": RESAMPLE}

@@ -7,11 +7,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fieldgauge.llm import language, toxicity
 from fieldgauge.llm.decontamination import contamination
 from fieldgauge.llm.html_text import extract
+from fieldgauge.llm.importance import resample
 from fieldgauge.llm.line_dedup import dedup_lines
 from fieldgauge.llm.mixing import mix
 from fieldgauge.llm.nearest import nearest
 from fieldgauge.llm.ngram_join import similar_documents
 from fieldgauge.llm.oracles import LLM_ORACLES
+from fieldgauge.llm.packing import pack
+from fieldgauge.llm.periodic_runs import periodic_runs
 from fieldgauge.llm.secret_scan import BASE_KINDS, find_secrets
 from fieldgauge.llm.sharding import shard
 from fieldgauge.llm.tables import read
@@ -78,6 +81,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op12_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(read(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(read(spark, sf_dir, "documents"), fold=True)
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("down"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    named = found.select("doc_id", "runs", "collapsed", longest.alias("longest"), F.array_join(lines, "").alias("lines"))
+    return named.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "longest.start", (-F.col("longest.down")).alias("length"), "longest.period",
+        F.expr("-longest.down * 1000 div longest.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 LLM_QUERIES = {
     "op1_html": op1_html,
     "op2_secrets": op2_secrets,
@@ -89,6 +113,9 @@ LLM_QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mix": op9_mix,
     "op10_toxicity": op10_toxicity,
+    "op11_resample": op11_resample,
+    "op12_pack": op12_pack,
+    "op13_runs": op13_runs,
 }
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
