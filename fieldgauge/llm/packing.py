@@ -14,11 +14,13 @@ import os
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -34,6 +36,8 @@ FIXED = 1 << 20  # projections are whole numbers of this part, so that their sum
 ROW_TOKENS = 1 << 14
 #: Words up to this many characters are remembered, up to so many tokens a task.
 WORD_CHARS, REMEMBERED_TOKENS = 64, 2_000_000
+#: New words are encoded so many to a text, so many texts a call.
+JOINED, BATCH = 200, 50
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -44,10 +48,11 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class WordEncoder:
-    """Token ids of texts by a tokenizer that neither joins nor looks over blanks and line ends.
+    """Token ids of texts by a tokenizer that neither joins nor looks over white space.
 
-    Each different word between blanks is encoded once a task; a text's ids are those of its
-    words. ``whole`` encodes texts uncut, for tokenizers that treat blanks as content.
+    Each different word between blanks is encoded once a task, many to a text, and told apart by
+    the offsets of their tokens; a text's ids are those of its words. ``whole`` encodes texts
+    uncut, for tokenizers that treat blanks as content.
     """
 
     def __init__(self, path: str, whole: bool = False) -> None:
@@ -60,37 +65,53 @@ class WordEncoder:
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.ids, self.first, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.new: list[tuple[np.ndarray, np.ndarray]] = []
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        new = self._encode(words)
-        count = np.fromiter(map(len, new), np.int64, len(new))
-        self.place.update(zip(words, range(len(self.count), len(self.count) + len(new)), strict=True))
+        for at in range(0, len(words), JOINED * BATCH):
+            some = [words[i : i + JOINED] for i in range(at, min(at + JOINED * BATCH, len(words)), JOINED)]
+            for held, e in zip(some, self.tokenizer.encode_batch([" ".join(one) for one in some], add_special_tokens=False), strict=True):
+                lengths = np.fromiter(map(len, held), np.int64, len(held)) + 1
+                ids = np.array(e.ids, dtype=np.uint32)
+                starts = np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * len(ids))[::2]
+                word = np.searchsorted(np.cumsum(lengths) - lengths, starts, side="right") - 1
+                self._remember(held, np.bincount(word, minlength=len(held)), ids)
+
+    def _remember(self, words: list[str], count: np.ndarray, ids: np.ndarray) -> None:
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
+        self.new.append((count, ids))
+
+    def _gather(self) -> None:
+        """Add what was learnt since to the arrays."""
+        count = np.concatenate([self.count[:0], *[c for c, _ in self.new]])
         self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
         self.count = np.concatenate([self.count, count])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for one in new for i in one), np.uint32, int(count.sum()))])
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if self.whole or not texts:
-            return [np.array(ids, dtype=np.uint32) for ids in self._encode(texts)]
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        words = [w for one in split for w in one]
-        known = set(words)
-        new = known.difference(self.place)
+        self.ids = np.concatenate([self.ids, *[i for _, i in self.new]])
+        self.new = []
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        if self.whole or not len(texts):
+            return [np.array(ids, dtype=np.uint32) for ids in self._encode(texts.to_pylist())]
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.ids) > REMEMBERED_TOKENS:
             self._forget()
-            new = known
-        self._learn(sorted(new))
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        self._learn([w for w in words if w not in self.place])
+        self._gather()
+        known = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        at = known[coded.indices.to_numpy()]
         counts = self.count[at]
         ends = np.cumsum(counts)
-        spread = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - counts, counts)
-        ids = self.ids[np.repeat(self.first[at], counts) + spread]
-        if any(len(w) > WORD_CHARS for w in new):  # long words are rare and would fill the memory
+        places = np.repeat(self.first[at] - ends + counts, counts)
+        places += np.arange(len(places))
+        ids = self.ids[places]
+        if (pc.max(pc.utf8_length(coded.dictionary)).as_py() or 0) > WORD_CHARS:  # long words are rare and would fill the memory
             self._forget()
-        bounds = np.concatenate([[0], ends])[np.cumsum([len(one) for one in split])]
+        bounds = np.concatenate([[0], ends])[np.cumsum(pc.list_value_length(split).to_numpy())]
         return np.split(ids, bounds[:-1])
 
 
@@ -124,7 +145,7 @@ def tokenized(documents: DataFrame, path: str | None = None, eos: int = EOS, who
         for batch in parts(batches):
             made: list[list] = [[] for _ in schema.fields[1:]]
             rows: list[int] = []
-            for i, ids in enumerate(encoder([t.as_py() for t in batch.column("text")])):
+            for i, ids in enumerate(encoder(batch.column("text"))):
                 ids = np.append(ids, np.uint32(eos))
                 point, place = project(ids, matrix).tolist(), batch.column("place")[i].as_py()
                 for start in range(0, len(ids), ROW_TOKENS):
@@ -243,12 +264,12 @@ def pack(documents: DataFrame, path: str | None = None, length: int = SEQUENCE,
     rows; other columns are ignored.
     """
     spark = documents.sparkSession
-    rows = stored(tokenized(documents, path, eos, whole_texts), "tokens")
+    rows = stored(tokenized(documents, path, eos, whole_texts), "tokens", "zstd")
     order = ["key", "place", "start"]
     keyed = rows.withColumn("key", curve_key(rows)).select("doc_id", "start", "doc_tokens", "tokens", "ids", "key", "place")
     ranged = keyed.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order).drop("key", "place")
     schema = StructType([*ranged.schema.fields, StructField("part", LongType()), StructField("earlier", LongType())])
-    ordered = stored(ranged.mapInArrow(_numbered, schema), "ordered")
+    ordered = stored(ranged.mapInArrow(_numbered, schema), "ordered", "zstd")
     totals = sorted(tuple(r) for r in ordered.groupBy("part").agg(F.sum("tokens")).collect())  # a row for each partition
     total, offsets = 0, []
     for part, tokens in totals:
