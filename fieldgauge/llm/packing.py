@@ -34,8 +34,8 @@ HASHED, DIMENSIONS, BITS, SEED = 512, 4, 8, 12
 FIXED = 1 << 20  # projections are whole numbers of this part, so that their sums do not depend on order
 #: Token ids of a longer document are kept in rows of so many.
 ROW_TOKENS = 1 << 14
-#: Words up to this many characters are remembered, up to so many tokens a task.
-WORD_CHARS, REMEMBERED_TOKENS = 64, 2_000_000
+#: Words up to this many characters are remembered, up to so many tokens a worker process.
+WORD_CHARS, REMEMBERED_TOKENS = 64, 4_000_000
 #: New words are encoded so many to a text, so many texts a call.
 JOINED, BATCH = 200, 50
 
@@ -50,7 +50,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 class WordEncoder:
     """Token ids of texts by a tokenizer that neither joins nor looks over white space.
 
-    Each different word between blanks is encoded once a task, many to a text, and told apart by
+    Each different word between blanks is encoded once, many to a text, and told apart by
     the offsets of their tokens; a text's ids are those of its words. ``whole`` encodes texts
     uncut, for tokenizers that treat blanks as content.
     """
@@ -64,6 +64,7 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.size = 0
         self.ids, self.first, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.new: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -81,7 +82,8 @@ class WordEncoder:
                 self._remember(held, np.bincount(word, minlength=len(held)), ids)
 
     def _remember(self, words: list[str], count: np.ndarray, ids: np.ndarray) -> None:
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
+        self.place.update(zip(words, range(self.size, self.size + len(words)), strict=True))
+        self.size += len(words)
         self.new.append((count, ids))
 
     def _gather(self) -> None:
@@ -109,12 +111,22 @@ class WordEncoder:
         places = np.repeat(self.first[at] - ends + counts, counts)
         places += np.arange(len(places))
         ids = self.ids[places]
-        if (pc.max(pc.utf8_length(coded.dictionary)).as_py() or 0) > WORD_CHARS:  # long words are rare and would fill the memory
-            self._forget()
+        for word in coded.dictionary.filter(pc.greater(pc.utf8_length(coded.dictionary), WORD_CHARS)).to_pylist():
+            del self.place[word]  # long words are rare and would fill the memory
         bounds = np.concatenate([[0], ends])[np.cumsum(pc.list_value_length(split).to_numpy())]
         return np.split(ids, bounds[:-1])
 
 
+def kept_encoder(path: str, whole: bool) -> WordEncoder:
+    """The encoder of this worker process: words learnt in one task serve the next."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("__kept_encoders__", {})
+    if (path, whole) not in kept:
+        kept[path, whole] = WordEncoder(path, whole)
+    return kept[path, whole]
+
+
 def _projection() -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((HASHED, DIMENSIONS))
 
@@ -140,7 +152,7 @@ def tokenized(documents: DataFrame, path: str | None = None, eos: int = EOS, who
     schema = StructType([source.schema["doc_id"], *numbers, StructField("ids", BinaryType()), *[StructField(c, LongType()) for c in COORDINATES]])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, matrix = WordEncoder(path or tokenizer_path(), whole), _projection()
+        encoder, matrix = kept_encoder(path or tokenizer_path(), whole), _projection()
         kind = _width(max(encoder.tokenizer.get_vocab_size(), eos + 1))
         for batch in parts(batches):
             made: list[list] = [[] for _ in schema.fields[1:]]
