@@ -11,11 +11,13 @@ The tokens left over are cut at powers of two, which need no padding.
 from __future__ import annotations
 
 import os
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain
+from itertools import repeat
 from statistics import NormalDist
+from string import ascii_letters, ascii_uppercase
 
 import numpy as np
 import pandas as pd
@@ -38,6 +40,7 @@ ROW_TOKENS = 1 << 14
 WORD_CHARS, REMEMBERED_TOKENS = 64, 4_000_000
 #: New words are encoded so many to a text, so many texts a call.
 JOINED, BATCH = 200, 50
+MARKS = ".,;:!?"
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -61,6 +64,32 @@ class WordEncoder:
 
         self.tokenizer, self.whole = Tokenizer.from_file(path), whole
         self._forget()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.folds, self.parts_marks = self._folds(), self._parts_marks()
+
+    def _folds(self) -> bool:
+        """Whether A to Z count as a to z, so that words may be lower-cased before they are looked up."""
+        normal = self.tokenizer.normalizer
+        return normal is not None and all(normal.normalize_str(c) == c.lower() for c in ascii_uppercase)
+
+    def _parts_marks(self) -> bool:
+        """Whether a mark after a letter is always a word of its own, so that a blank between them changes nothing."""
+        cut = self.tokenizer.pre_tokenizer
+        if cut is None or any(re.search(f"[A-Za-z][{MARKS}]", t) for t in self.added):
+            return False
+        return all(cut.pre_tokenize_str(f"{c}{m}")[0][1] == (0, 1) for c in ascii_letters for m in MARKS)
+
+    def _words(self, texts: pa.Array) -> tuple[pa.Array, pa.DictionaryArray]:
+        """Words of each text, and all of them coded; fewer distinct ones where the tokenizer sees no difference."""
+        if self.parts_marks:
+            texts = pc.replace_substring_regex(texts, f"([A-Za-z])([{MARKS}])", r"\1 \2")
+        split = pc.ascii_split_whitespace(texts)
+        flat = split.flatten()
+        if self.folds:
+            lowered = pc.ascii_lower(flat).dictionary_encode()
+            if not any(pc.any(pc.match_substring(lowered.dictionary, t.lower())).as_py() for t in self.added):
+                return split, lowered
+        return split, flat.dictionary_encode()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
@@ -77,34 +106,31 @@ class WordEncoder:
             for held, e in zip(some, self.tokenizer.encode_batch([" ".join(one) for one in some], add_special_tokens=False), strict=True):
                 lengths = np.fromiter(map(len, held), np.int64, len(held)) + 1
                 ids = np.array(e.ids, dtype=np.uint32)
-                starts = np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * len(ids))[::2]
+                starts = [start for start, _ in e.offsets]
                 word = np.searchsorted(np.cumsum(lengths) - lengths, starts, side="right") - 1
                 self._remember(held, np.bincount(word, minlength=len(held)), ids)
-
-    def _remember(self, words: list[str], count: np.ndarray, ids: np.ndarray) -> None:
-        self.place.update(zip(words, range(self.size, self.size + len(words)), strict=True))
-        self.size += len(words)
-        self.new.append((count, ids))
-
-    def _gather(self) -> None:
-        """Add what was learnt since to the arrays."""
         count = np.concatenate([self.count[:0], *[c for c, _ in self.new]])
         self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
         self.count = np.concatenate([self.count, count])
         self.ids = np.concatenate([self.ids, *[i for _, i in self.new]])
         self.new = []
 
+    def _remember(self, words: list[str], count: np.ndarray, ids: np.ndarray) -> None:
+        self.place.update(zip(words, range(self.size, self.size + len(words)), strict=True))
+        self.size += len(words)
+        self.new.append((count, ids))
+
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         if self.whole or not len(texts):
             return [np.array(ids, dtype=np.uint32) for ids in self._encode(texts.to_pylist())]
-        split = pc.ascii_split_whitespace(texts)
-        coded = split.flatten().dictionary_encode()
+        split, coded = self._words(texts)
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.ids) > REMEMBERED_TOKENS:
             self._forget()
-        self._learn([w for w in words if w not in self.place])
-        self._gather()
-        known = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        known = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(known < 0)
+        known[new] = self.size + np.arange(len(new))
+        self._learn([words[i] for i in new.tolist()])
         at = known[coded.indices.to_numpy()]
         counts = self.count[at]
         ends = np.cumsum(counts)

@@ -109,7 +109,7 @@ def encoded(texts):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.lists(st.sampled_from([*"aB 'sΣςÉé\u0301\u0345İß\n\t\r\x01\x0b\x1c\x1f\x85\xa0\u3000中🙂가ᄀ1٣|<>", "<|endoftext|>", "'ll", "the"]), max_size=40).map("".join), max_size=6))
+@given(st.lists(st.lists(st.sampled_from([*"aBK.,;:!?'s &ΣςÉé\u0301\u0345İß\n\t\r\x01\x0b\x1c\x1f\x85\xa0\u3000中🙂가ᄀ1٣|<>", "<|endoftext|>", "'ll", "the"]), max_size=40).map("".join), max_size=6))
 def test_ids_by_words_are_those_of_whole_texts(texts):
     assert [[*ids.tolist(), 2] for ids in ENCODER(pa.array(texts, pa.string()))] == encoded(texts)
 
