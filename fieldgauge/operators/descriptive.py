@@ -11,10 +11,12 @@ from fieldgauge.operators.quantiles import (
     QUARTILES,
     doubles,
     exact_quantiles,
+    long_values,
     value_counts,
 )
 
 APPROX_ACCURACY = 100_000
+LISTED_BINS, COUNTED_BINS = 10_000, 2**53
 
 
 def long_rows(wide: DataFrame, keys: list[str], columns: list[str], measures: list[str]) -> DataFrame:
@@ -93,38 +95,36 @@ def histogram_by_class(df: DataFrame, column: str, label: str, bins: int | str =
     """(label, bin, left, right, n) over equal-width bins shared by all classes.
 
     ``"auto"`` takes the narrower of the Sturges and Freedman-Diaconis widths, the rule that
-    numpy publishes under that name. The top edge belongs to the last bin.
+    numpy publishes under that name. The top edge belongs to the last bin. Bins without rows are
+    listed up to ``LISTED_BINS`` bins; a far outlier can ask for more, of which only those with rows
+    are returned. NULL and NaN are in no bin; an infinite value is an error.
     """
-    data = doubles(df, [column], [label]).where(F.col(column).isNotNull())
-    facts = [
-        F.min(column).alias("lo"),
-        F.max(column).alias("hi"),
-        F.count(F.lit(1)).cast("double").alias("n"),
-    ]
-    limits = data.agg(F.struct(*facts)).scalar()
-    flat = limits["lo"] == limits["hi"]
-    low = limits["lo"] - F.when(flat, 0.5).otherwise(0.0)
-    span = F.when(flat, 1.0).otherwise(limits["hi"] - limits["lo"])
+    data = doubles(df, [column], [label]).where(F.col(column).isNotNull() & ~F.isnan(column))
+    # one row reaches the driver, so that the plan holds numbers and not a subquery at each use
+    limits = data.agg(F.min(column).alias("low"), F.max(column).alias("high"), F.count(F.lit(1)).alias("n")).first()
+    low, high, n = limits["low"], limits["high"], limits["n"]
+    if not n:
+        return data.select(label, *[F.lit(None).cast(t).alias(c) for c, t in (("bin", "long"), ("left", "double"), ("right", "double"), ("n", "long"))])
+    if not (math.isfinite(low) and math.isfinite(high) and math.isfinite(high - low)):
+        raise ValueError(f"{column!r} reaches from {low} to {high}: equal bins need a finite range")
+    low, span = (low - 0.5, 1.0) if low == high else (low, high - low)
+    n_bins = bins
     if bins == "auto":
-        spread = exact_quantiles(data, [column]).select(F.col("p75") - F.col("p25")).scalar()
-        sturges = span / (F.log2(limits["n"]) + 1)
-        diaconis = 2 * spread / F.pow(limits["n"], F.lit(1 / 3))
-        width = F.when(diaconis > 0, F.least(diaconis, sturges)).otherwise(sturges)
-        n_bins: Column = F.ceil(span / width).cast("double")
-    else:
-        n_bins = F.lit(float(bins))
-    placed = data.select(
-        label,
-        F.least(F.floor(n_bins * (F.col(column) - low) / span), (n_bins - 1).cast("bigint")).alias("bin"),
-    )
-    found = placed.groupBy(label, "bin").agg(F.count(F.lit(1)).alias("n"))
-    # every class has every bin, as every cell of a confusion matrix is shown
-    every = found.select(label).distinct().select(F.col(label).alias("__class"), F.explode(F.sequence(F.lit(0).cast("bigint"), n_bins.cast("bigint") - 1)).alias("__bin"))
-    same = F.col(label).eqNullSafe(F.col("__class")) & (F.col("bin") == F.col("__bin"))
-    counted = every.join(found, same, "left").select(
-        F.col("__class").alias(label), F.col("__bin").alias("bin"), F.coalesce("n", F.lit(0)).alias("n")
-    )
-    edge = lambda i: low + span * i / n_bins
+        quartiles = exact_quantiles(data, [column]).first()
+        widths = [span / (math.log2(n) + 1), 2 * (quartiles["p75"] - quartiles["p25"]) / n ** (1 / 3)]
+        n_bins = math.ceil(span / min(w for w in widths if w > 0))
+    if n_bins > COUNTED_BINS:
+        raise ValueError(f"{column!r} from {low} to {low + span} asks for {n_bins} bins, more than doubles can tell apart")
+    place = F.floor(F.lit(float(n_bins)) * (F.col(column) - low) / span)
+    counted = data.select(label, F.least(place, F.lit(n_bins - 1)).alias("bin")).groupBy(label, "bin").agg(F.count(F.lit(1)).alias("n"))
+    if n_bins <= LISTED_BINS:
+        # every class has every bin, as every cell of a confusion matrix is shown
+        every = counted.select(label).distinct().select(F.col(label).alias("__class"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_bins - 1).cast("long"))).alias("__bin"))
+        same = F.col(label).eqNullSafe(F.col("__class")) & (F.col("bin") == F.col("__bin"))
+        counted = every.join(counted, same, "left").select(
+            F.col("__class").alias(label), F.col("__bin").alias("bin"), F.coalesce("n", F.lit(0)).alias("n")
+        )
+    edge = lambda i: F.lit(low) + F.lit(span) * i / F.lit(float(n_bins))
     return counted.select(
         label, "bin", edge(F.col("bin")).alias("left"), edge(F.col("bin") + 1).alias("right"), "n"
     )
@@ -191,8 +191,8 @@ def box_stats(
     )
     margin = reach * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - margin, F.col("q3") + margin)
-    counts = value_counts(df, columns, [label])
-    joined = with_group_stats(counts, boxes, group)
+    # rows are judged where they are; a row for each group and map task moves
+    joined = with_group_stats(long_values(df, columns, [label]), boxes, group)
     return (
         joined.groupBy(*group)
         .agg(

@@ -10,6 +10,7 @@ from fieldgauge.operators.groups import with_group_stats
 from fieldgauge.operators.quantiles import (
     QUARTILES,
     cumulated,
+    distinct_values,
     exact_quantiles,
     long_values,
     value_counts,
@@ -42,9 +43,9 @@ def window_profile(
     """Per window, model and column: counts, distinct values, extremes, moments and quartiles."""
     keyed = with_window(log, length)
     basic = moments(keyed, columns, KEYS)
-    found = exact_quantiles(keyed, columns, KEYS)
-    ranks = found.select(*KEYS, "column", "n_distinct", *QUARTILES)
-    joined = with_group_stats(basic, ranks, [*KEYS, "column"], how="left")
+    group = [*KEYS, "column"]
+    joined = with_group_stats(basic, exact_quantiles(keyed, columns, KEYS).drop("n"), group, how="left")
+    joined = with_group_stats(joined, distinct_values(keyed, columns, KEYS), group, how="left")
     return joined.select(
         *KEYS, "column", "n", "nulls", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
         "mean", "std", "min", *QUARTILES, "max",

@@ -1,12 +1,26 @@
-"""Exact quantiles of many columns and groups without holding a group in one task."""
+"""Exact quantiles of many columns and groups by distributed selection.
+
+Rows are counted in cells that keep the order of the values: first by sign and binary magnitude,
+then the cells that hold a wanted rank are divided again between their least and greatest value,
+until each holds one value or the rows left in open cells are few and are counted by value. What is
+shuffled is one row a cell and map task; values move only from the last open cells.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import operator
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fieldgauge.operators.groups import with_group_stats
 from fieldgauge.operators.ordering import running_sums
+from fieldgauge.session import fresh_path
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+#: Cells to a doubling of the magnitude at first, cells an open one is divided into, and rows in
+#: open cells from which on they are counted by value.
+CELLS_A_DOUBLING, DIVISIONS, FINISH_ROWS = 16, 1024, 2_000_000
 
 
 def doubles(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
@@ -38,20 +52,99 @@ def cumulated(counts: DataFrame, sums: dict[str, str], keys: list[str]) -> DataF
     return running_sums(counts, sums, ["value"], [*keys, "column"])
 
 
+def magnitude_cell(value: Column) -> Column:
+    """A whole number that never falls as the value rises: 0 for 0, sign times place of the magnitude.
+
+    Infinities and NaN, which is above all, have cells of their own.
+    """
+    place = F.floor((F.least(F.log2(F.abs(value)), F.lit(1100.0)) + 1200) * CELLS_A_DOUBLING).cast("long")
+    return F.when(F.isnan(value), 2**40).when(value == 0, 0).when(value > 0, place).otherwise(-place)
+
+
+def _wanted_ranks(probabilities: dict[str, float]) -> list[Column]:
+    last = F.col("total") - 1
+    low = [F.floor(F.lit(p) * last) for p in probabilities.values()]
+    return [*low, *[F.least(r + 1, last) for r in low]]
+
+
+def _covers(rank: Column) -> Column:
+    return (F.col("below") <= rank) & (rank < F.col("below") + F.col("n"))
+
+
+def _holding(cells: DataFrame, probabilities: dict[str, float]) -> DataFrame:
+    return cells.where(reduce(operator.or_, [_covers(r) for r in _wanted_ranks(probabilities)]))
+
+
+def _kept(cells: DataFrame) -> DataFrame:
+    folder = fresh_path(cells.sparkSession, "cells")
+    cells.write.parquet(folder)
+    return cells.sparkSession.read.schema(cells.schema).parquet(folder)
+
+
+def _rows_in(long: DataFrame, cells: DataFrame, group: list[str]) -> DataFrame:
+    """Values in the cells, each with its cell; a group has a few cells, which do not overlap."""
+    lists = cells.groupBy(*group).agg(F.collect_list(F.struct("low", "high", "below", "total")).alias("__cells"))
+    found = F.filter("__cells", lambda c: F.col("value").between(c["low"], c["high"]))
+    return with_group_stats(long, lists, group).select(*group, "value", F.inline(found))
+
+
+def selected_cells(long: DataFrame, group: list[str], probabilities: dict[str, float]) -> DataFrame:
+    """(group, value, n, below, total): the values at the wanted ranks, with the rows before them."""
+    measures = [F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
+    first = long.groupBy(*group, magnitude_cell(F.col("value")).alias("cell")).agg(*measures)
+    # some thousand cells a group at most
+    earlier = Window.partitionBy(*group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    first = first.withColumns(
+        {"below": F.coalesce(F.sum("n").over(earlier), F.lit(0)), "total": F.sum("n").over(Window.partitionBy(*group))}
+    ).drop("cell")
+    cells = _kept(_holding(first, probabilities))
+    while rows := cells.where("low < high").agg(F.sum("n")).first()[0]:
+        inside = _rows_in(long, cells.where("low < high"), group)
+        share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
+        part = F.least(F.floor(share * DIVISIONS).cast("double"), F.lit(DIVISIONS - 1.0)) if rows > FINISH_ROWS else F.col("value")
+        divided = inside.groupBy(*group, "total", F.col("below").alias("__base"), part.alias("cell")).agg(*measures)
+        earlier = Window.partitionBy(*group, "__base").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        divided = divided.withColumn("below", F.col("__base") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        cells = _kept(_holding(divided.select(*cells.columns), probabilities).unionByName(cells.where("low = high")))
+    return cells.select(*group, F.col("low").alias("value"), "n", "below", "total")
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: list[str],
     keys: list[str] | None = None,
     probabilities: dict[str, float] | None = None,
 ) -> DataFrame:
-    """(keys, column, n, n_distinct, one column per probability), linearly interpolated."""
-    return quantiles_of_counts(value_counts(df, columns, keys or []), keys, probabilities)
+    """(keys, column, n, one column per probability), linearly interpolated. NULL is no value."""
+    keys = keys or []
+    probabilities = probabilities or QUARTILES
+    group = [*keys, "column"]
+    cells = selected_cells(long_values(df, columns, keys).drop("n"), group, probabilities)
+    names = list(probabilities)
+    ranks = _wanted_ranks(probabilities)
+    picks = [F.max(F.when(_covers(r), F.col("value"))).alias(f"__{side}_{n}") for r, (side, n) in zip(ranks, [(s, n) for s in ("low", "high") for n in names], strict=True)]
+    return _interpolated(cells.groupBy(*group).agg(F.max("total").alias("n"), *picks), [*group, "n"], probabilities)
+
+
+def distinct_values(df: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:
+    """(keys, column, n_distinct)."""
+    counts = value_counts(df, columns, keys or [])
+    return counts.groupBy(*(keys or []), "column").agg(F.count(F.lit(1)).alias("n_distinct"))
+
+
+def _interpolated(picked: DataFrame, keep: list[str], probabilities: dict[str, float]) -> DataFrame:
+    def between(name: str, p: float) -> Column:
+        position = F.lit(p) * (F.col("n") - 1)
+        low, high = F.col(f"__low_{name}"), F.col(f"__high_{name}")
+        return low + (high - low) * (position - F.floor(position))
+
+    return picked.select(*keep, *[between(n, p).alias(n) for n, p in probabilities.items()])
 
 
 def quantiles_of_counts(
     counts: DataFrame, keys: list[str] | None = None, probabilities: dict[str, float] | None = None
 ) -> DataFrame:
-    """``exact_quantiles`` from the counts of distinct values.
+    """``exact_quantiles``, and the number of distinct values, from the counts of distinct values.
 
     Ranks come from running counts over the distinct values. Each value knows the ranks it
     covers, so picking the wanted ranks is one conditional aggregation.
@@ -77,11 +170,4 @@ def quantiles_of_counts(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_distinct"), *picks
     )
 
-    def interpolated(name: str, p: float) -> Column:
-        position = F.lit(p) * (F.col("n") - 1)
-        low, high = F.col(f"__low_{name}"), F.col(f"__high_{name}")
-        return low + (high - low) * (position - F.floor(position))
-
-    return picked.select(
-        *group, "n", "n_distinct", *[interpolated(n, p).alias(n) for n, p in probabilities.items()]
-    )
+    return _interpolated(picked, [*group, "n", "n_distinct"], probabilities)

@@ -155,10 +155,17 @@ def lineitem_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_group_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quantiles.exact_quantiles(
-        table(spark, sf_dir, "lineitem"), LINE_NUMBERS, ["l_returnflag", "l_linestatus"], {"p05": 0.05, "p95": 0.95}
+    keys, lines = ["l_returnflag", "l_linestatus"], table(spark, sf_dir, "lineitem")
+    found = quantiles.exact_quantiles(lines, LINE_NUMBERS, keys, {"p05": 0.05, "p95": 0.95})
+    return rounded(found.join(quantiles.distinct_values(lines, LINE_NUMBERS, keys), [*keys, "column"]), "p05", "p95")
+
+
+def hist_far_outlier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Automatic bins over values of which a few lie so far off that most bins are empty."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_linestatus", F.when(F.col("l_orderkey") == 100, 1e9).otherwise(F.col("l_quantity").cast("double")).alias("amount")
     )
-    return rounded(found, "p05", "p95")
+    return rounded(descriptive.histogram_by_class(lines, "amount", "l_linestatus"), "left", "right")
 
 
 def _rounded_to(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -588,6 +595,7 @@ QUERIES = {
         lineitem_box,
         lineitem_corr,
         lineitem_group_quantiles,
+        hist_far_outlier,
         surrogate_key,
         surrogate_key_hot_lead,
         feature_upsert,

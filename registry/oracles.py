@@ -289,6 +289,14 @@ SELECT epoch_us(date_trunc('second', date)) // 1000 AS at_ms, {rs(SENSORS)},
         "ceil((hi - lo) / CASE WHEN iqr > 0 THEN least(2 * iqr / power(n, CAST(1 AS DOUBLE) / 3), "
         "(hi - lo) / (log2(n) + 1)) ELSE (hi - lo) / (log2(n) + 1) END)"
     ),
+    "hist_far_outlier": f"""WITH v AS (
+  SELECT l_linestatus, CASE WHEN l_orderkey = 100 THEN 1e9 ELSE CAST(l_quantity AS DOUBLE) END AS x FROM lineitem),
+lim AS (SELECT min(x) AS lo, max(x) - min(x) AS span, CAST(count(*) AS DOUBLE) AS n, quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr FROM v),
+b AS (SELECT lo, span, CAST(ceil(span / least(2 * iqr / power(n, CAST(1 AS DOUBLE) / 3), span / (log2(n) + 1))) AS DOUBLE) AS bins FROM lim)
+SELECT l_linestatus, least(CAST(floor(bins * (x - lo) / span) AS BIGINT), CAST(bins - 1 AS BIGINT)) AS bin,
+  {r('any_value(lo + span * least(floor(bins * (x - lo) / span), bins - 1) / bins)')} AS "left",
+  {r('any_value(lo + span * (least(floor(bins * (x - lo) / span), bins - 1) + 1) / bins)')} AS "right", count(*) AS n
+FROM v, b GROUP BY 1, 2""",
     "kde_by_class": KDE,
     "box_by_class": f"WITH {READINGS}, {box('readings', SENSORS, 'Occupancy')}",
     "corr_long": f"WITH {READINGS} {correlations('readings', GOLD)}",

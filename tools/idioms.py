@@ -11,6 +11,7 @@ import json
 import os
 import sys
 import time
+from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -21,12 +22,13 @@ from compare import session  # noqa: E402
 from fieldgauge import schemas  # noqa: E402
 from fieldgauge.operators.inference_log import unpack_inference_log  # noqa: E402
 from fieldgauge.operators.ordering import number_rows  # noqa: E402
-from fieldgauge.operators.quantiles import QUARTILES, exact_quantiles  # noqa: E402
+from fieldgauge.operators.quantiles import QUARTILES, exact_quantiles, quantiles_of_counts, value_counts  # noqa: E402
 from fieldgauge.session import fresh_path  # noqa: E402
 from registry.views import readings  # noqa: E402
 
 COPIES = 20
 ROWS_PER_REQUEST = 50
+DISTINCT = 10_000_000
 
 
 def timed(df: DataFrame) -> float:
@@ -35,6 +37,13 @@ def timed(df: DataFrame) -> float:
     return round(time.perf_counter() - start, 2)
 
 
+def called(make: Callable[[], DataFrame]) -> float:
+    """Seconds of an operator that runs jobs while it builds its result."""
+    start = time.perf_counter()
+    make().write.format("noop").mode("overwrite").save()
+    return round(time.perf_counter() - start, 2)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.repartition(16).write.parquet(path)
@@ -77,8 +86,13 @@ def main() -> None:
 
     points = F.array(*[F.lit(p) for p in QUARTILES.values()])
     builtin = many.groupBy("Occupancy").agg(*[F.percentile(c, points).alias(c) for c in schemas.SENSOR_COLUMNS])
-    bucketed = exact_quantiles(many, schemas.SENSOR_COLUMNS, ["Occupancy"])
-    results["exact quartiles"] = {"one task per class": timed(builtin), "range buckets": timed(bucketed)}
+    ours = [lambda: exact_quantiles(many, schemas.SENSOR_COLUMNS, ["Occupancy"]), lambda: quantiles_of_counts(value_counts(many, schemas.SENSOR_COLUMNS, ["Occupancy"]), ["Occupancy"])]
+    results["exact quartiles"] = {"one task per class": timed(builtin), "selection": called(ours[0]), "sorted value counts": called(ours[1])}
+
+    distinct = stored(spark.range(DISTINCT).select((F.col("id") % 3).alias("g"), F.rand(1).alias("a"), F.randn(2).alias("b")), "distinct")
+    builtin = distinct.groupBy("g").agg(*[F.percentile(c, points).alias(c) for c in "ab"])
+    ours = [lambda: exact_quantiles(distinct, ["a", "b"], ["g"]), lambda: quantiles_of_counts(value_counts(distinct, ["a", "b"], ["g"]), ["g"])]
+    results["exact quartiles, distinct values"] = {"one task per class": timed(builtin), "selection": called(ours[0]), "sorted value counts": called(ours[1])}
 
     request = F.floor(F.col("event_id") / ROWS_PER_REQUEST).cast("string")
     entry = F.struct("event_id", F.array(*schemas.MODEL_INPUTS).alias("a"), F.col("Occupancy").cast("int").alias("p"))
