@@ -49,13 +49,14 @@ def successful(payload: DataFrame) -> DataFrame:
 def one_row_each(payload: DataFrame, request_key: str = REQUEST_KEY) -> DataFrame:
     """One logged row per request id: the earliest, whole, so that no two bodies are mixed.
 
-    A request without an id gets one made of its time and bodies, so that it is kept, and a
-    repeat of it is known as one. Rows are limited before the shuffle, so an id that is logged
+    A request without an id gets one made of its time and bodies (as JSON, which tells NULL from
+    empty and one body from the other), so that it is kept, and a repeat of it is known as one. Rows are limited before the shuffle, so an id that is logged
     over and over does not gather in one task.
     """
-    content = F.sha2(F.concat_ws("|", F.col("timestamp_ms").cast("string"), "request", "response"), 256)
+    bodies = F.to_json(F.struct("timestamp_ms", "request", "response"), {"ignoreNullFields": "false"})
+    content = F.sha2(bodies, 256)
     named = payload.withColumn(request_key, F.coalesce(F.col(request_key), F.concat(F.lit(NO_ID), content)))
-    earliest = Window.partitionBy(request_key).orderBy(F.col("timestamp_ms").asc_nulls_last(), F.xxhash64("request", "response"))
+    earliest = Window.partitionBy(request_key).orderBy(F.col("timestamp_ms").asc_nulls_last(), F.xxhash64(bodies), bodies)
     return named.withColumn("__n", F.row_number().over(earliest)).where("__n = 1").drop("__n")
 
 

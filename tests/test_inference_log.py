@@ -200,3 +200,15 @@ def test_only_whole_numbers_are_predictions(spark, prediction, faults):
 def test_leading_white_space_of_a_body(spark):
     body, answer = _inputs(1)
     assert log.unpack_inference_log(_logged(spark, ("a", "2024-01-01", 5, 200, "\r\n\t " + body, answer)))[0].count() == 1
+
+
+def test_requests_without_an_id_are_told_apart(spark):
+    from fieldgauge.operators.inference_log import one_row_each
+
+    bodies = [("x", None), (None, "x"), ("a|b", "c"), ("a", "b|c"), ("", None), (None, None), ("a", "b|c")]
+    data = [(None, 5, request, response) for request, response in bodies] + [(None, None, "x", None)]
+    logged = spark.createDataFrame(data, "request_id string, timestamp_ms long, request string, response string")
+    kept = one_row_each(logged).collect()
+    assert len(kept) == 7 and len({r["request_id"] for r in kept}) == 7
+    named = spark.createDataFrame([("r", 5, None, "x"), ("r", 5, "x", None)], logged.schema)
+    assert one_row_each(named).collect() == one_row_each(named.orderBy(F.col("request").asc_nulls_last())).collect()
