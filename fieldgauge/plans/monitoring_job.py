@@ -10,7 +10,8 @@ from fieldgauge import schemas
 from fieldgauge.operators import monitoring
 from fieldgauge.operators.inference_log import read_inference_log, unpack_positions
 from fieldgauge.sources.requests import append_positions
-from fieldgauge.sources.tables import overwrite_partitions, read_table
+from fieldgauge.sources.tables import drop_partitions, overwrite_partitions, read_table
+from fieldgauge.session import fresh_path
 
 MONITORED = [*schemas.MODEL_INPUTS, schemas.LABEL]
 
@@ -44,9 +45,10 @@ def refresh_monitor(
 ) -> list[str]:
     """Write profile and drift tables named ``<prefix>_<kind>``, partitioned by ``day``.
 
-    Only the given days are computed and replaced, by default those whose number of rows in the
-    log differs from the one that any of the tables was computed from; ``<prefix>_counts`` holds
-    these numbers, and is written last. A day is that of the request time; the log is read by the
+    Only the given days are computed and replaced, by default those whose rows differ, in number or
+    content, from the ones that any of the tables was computed from; ``<prefix>_state`` holds the
+    number of rows of a day and the sum of their hashes, which does not depend on their order, and
+    is written last. A day that left the log, or has no rows of a kind any more, is emptied. A day is that of the request time; the log is read by the
     ``date`` partitions that its rows lie in. The drift since the window before is also renewed
     for the day that follows each of them.
     """
@@ -54,11 +56,17 @@ def refresh_monitor(
     names = {kind: f"{prefix}_{kind}" for kind in kinds}
     seen = _logged_days(log)
     logged = sorted(seen)
-    counted = f"{prefix}_counts"
+    counted = f"{prefix}_state"
     known = _known_counts(spark, counted)
+    gone = sorted({d for d, kind in known if d not in seen and kind in kinds and (days is None or d in days)})
+    state = {d: (x[0], x[3]) for d, x in seen.items()}
     if days is None:
-        days = [d for d in logged if any(known.get((d, kind)) != seen[d][0] for kind in kinds)]
+        days = [d for d in logged if any(known.get((d, kind)) != state[d] for kind in kinds)]
+        # the day after one that is gone has another day before it now
+        days += [next(later for later in logged if later > d) for d in gone if logged and d < logged[-1]]
     days = sorted(d for d in set(days) if d in seen)
+    for name in [*names.values(), counted]:
+        drop_partitions(spark, name, DAY, gone)
     if not days:
         return list(names.values())
     results = {
@@ -78,17 +86,25 @@ def refresh_monitor(
         else:
             rows, wanted = _of_days(log, seen, days, days), days
         df = results[kind](rows).withColumn(DAY, F.to_date(monitoring.START))
-        overwrite_partitions(df.where(F.col(DAY).isin(wanted)), name, DAY)
-    fresh = {**{x: n for x, n in known.items() if x[0] in days}, **{(d, kind): seen[d][0] for d in days for kind in kinds}}
-    overwrite_partitions(spark.createDataFrame([(kind, n, d) for (d, kind), n in fresh.items()], f"kind string, n long, {DAY} date"), counted, DAY)
+        folder = fresh_path(spark, kind)
+        df.where(F.col(DAY).isin(wanted)).write.parquet(folder)
+        made = spark.read.schema(df.schema).parquet(folder)
+        overwrite_partitions(made, name, DAY)
+        filled = {r[DAY] for r in made.select(DAY).distinct().collect()}  # one value a day
+        drop_partitions(spark, name, DAY, [d for d in wanted if d not in filled])
+    fresh = {**{x: n for x, n in known.items() if x[0] in days}, **{(d, kind): state[d] for d in days for kind in kinds}}
+    rows = [(kind, *n, d) for (d, kind), n in fresh.items()]
+    overwrite_partitions(spark.createDataFrame(rows, f"kind string, n long, checksum decimal(38,0), {DAY} date"), counted, DAY)
     return list(names.values())
 
 
-def _logged_days(log: DataFrame) -> dict[dt.date, tuple[int, dt.date | None, dt.date | None]]:
-    """Rows of each day of request time, and the first and last ``date`` they lie in."""
+def _logged_days(log: DataFrame) -> dict[dt.date, tuple]:
+    """Of each day of request time: rows, first and last ``date`` they lie in, and sum of the hashes of what is monitored."""
     at = F.to_date(monitoring.TIME).alias(DAY)
-    found = log.groupBy(at).agg(F.count("*").alias("n"), F.min("date").alias("low"), F.max("date").alias("high"))
-    return {r[DAY]: (r["n"], r["low"], r["high"]) for r in found.collect() if r[DAY]}  # one row a day
+    monitored = sorted({monitoring.TIME, monitoring.MODEL, monitoring.PREDICTION, *MONITORED} & set(log.columns))
+    checksum = F.sum(F.xxhash64(F.to_json(F.struct(*monitored), {"ignoreNullFields": "false"})).cast("decimal(38,0)"))
+    found = log.groupBy(at).agg(F.count("*").alias("n"), F.min("date").alias("low"), F.max("date").alias("high"), checksum.alias("checksum"))
+    return {r[DAY]: (r["n"], r["low"], r["high"], r["checksum"]) for r in found.collect() if r[DAY]}  # one row a day
 
 
 def _of_days(log: DataFrame, seen: dict, span: list[dt.date], days: list[dt.date] | None) -> DataFrame:
@@ -101,8 +117,8 @@ def _of_days(log: DataFrame, seen: dict, span: list[dt.date], days: list[dt.date
     return rows.where(at.isin(days) if days is not None else at.between(min(span), max(span)))
 
 
-def _known_counts(spark: SparkSession, name: str) -> dict[tuple[dt.date, str], int]:
-    """Rows that each table's day was computed from; one value a day and table."""
+def _known_counts(spark: SparkSession, name: str) -> dict[tuple[dt.date, str], tuple]:
+    """Rows and checksum that each table's day was computed from; one value a day and table."""
     if not spark.catalog.tableExists(name):
         return {}
-    return {(r[DAY], r["kind"]): r["n"] for r in read_table(spark, name).collect()}
+    return {(r[DAY], r["kind"]): (r["n"], r["checksum"]) for r in read_table(spark, name).collect()}

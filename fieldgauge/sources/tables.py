@@ -53,6 +53,13 @@ def overwrite_partitions(df: DataFrame, name: str, partition: str) -> None:
         spark.conf.set(mode, before)
 
 
+def drop_partitions(spark: SparkSession, name: str, partition: str, values: list) -> None:
+    """Remove the partitions of these values with their rows; nothing where there is none."""
+    if values and spark.catalog.tableExists(name):
+        listed = ", ".join(f"PARTITION ({partition} = '{v}')" for v in values)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {listed}")
+
+
 def append_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
     writer = df.write.mode("append").format("parquet")
     if partition_by:

@@ -147,3 +147,32 @@ def test_late_rows_and_missing_tables_are_computed(spark):
     refresh_monitor(spark, "late_log", "late_base", "late", kinds=("profile", "share"))
     assert profiled() == {1: 2, 2: 2, 5: 1}
     assert {r["day"].day: r["n"] for r in spark.read.table("late_share").collect()} == {1: 2, 2: 2, 5: 1}
+
+
+def test_monitor_sees_rewritten_and_vanished_days(spark):
+    """Equal numbers of rows with other values are computed again; a day that left the log is emptied."""
+    import datetime as dt
+
+    from fieldgauge.plans.monitoring_job import refresh_monitor
+
+    def log(*days):
+        data = [(dt.datetime(2024, 1, d, 5), 0, v, v, v, v, 1, dt.date(2024, 1, d)) for d, values in days for v in values]
+        frame = spark.createDataFrame(data, "timestamp_ms timestamp, model_id int, Temperature double, Light double, CO2 double, HumidityRatio double, Occupancy int, date date")
+        frame.write.mode("overwrite").partitionBy("date").saveAsTable("rewritten_log")
+
+    log((1, [1.0, 2.0]), (2, [10.0, 10.0]), (3, [5.0, 6.0]))
+    spark.table("rewritten_log").drop("timestamp_ms", "date").write.mode("overwrite").saveAsTable("rewritten_base")
+
+    def means(kind="profile", value="mean"):
+        refresh_monitor(spark, "rewritten_log", "rewritten_base", "rewritten", kinds=("profile", "previous_drift"))
+        spark.catalog.refreshTable(f"rewritten_{kind}")
+        found = spark.table(f"rewritten_{kind}").where("column = 'Light'")
+        return {r["day"].day: r[value] for r in found.collect()}
+
+    assert means() == {1: 1.5, 2: 10.0, 3: 5.5}
+    log((1, [1.0, 2.0]), (2, [99.0, 99.0]), (3, [5.0, 6.0]))
+    assert means() == {1: 1.5, 2: 99.0, 3: 5.5} and means("previous_drift", "mean_delta") == {2: 97.5, 3: -93.5}
+    log((1, [1.0, 2.0]), (3, [5.0, 6.0]))
+    assert means() == {1: 1.5, 3: 5.5} and means("previous_drift", "mean_delta") == {3: 4.0}
+    log((3, [5.0, 6.0]))
+    assert means() == {3: 5.5} and means("previous_drift", "mean_delta") == {}
