@@ -61,10 +61,11 @@ def magnitude_cell(value: Column) -> Column:
     return F.when(F.isnan(value), 2**40).when(value == 0, 0).when(value > 0, place).otherwise(-place)
 
 
-def _wanted_ranks(probabilities: dict[str, float]) -> list[Column]:
+def _wanted_ranks(probabilities: dict[str, float]) -> Column:
+    """The lower rank of each probability, then the upper ones: one array, however many are asked for."""
     last = F.col("total") - 1
-    low = [F.floor(F.lit(p) * last) for p in probabilities.values()]
-    return [*low, *[F.least(r + 1, last) for r in low]]
+    low = F.transform(F.array(*[F.lit(float(p)) for p in probabilities.values()]), lambda p: F.floor(p * last))
+    return F.concat(low, F.transform(low, lambda r: F.least(r + 1, last)))
 
 
 def _covers(rank: Column) -> Column:
@@ -72,7 +73,7 @@ def _covers(rank: Column) -> Column:
 
 
 def _holding(cells: DataFrame, probabilities: dict[str, float]) -> DataFrame:
-    return cells.where(reduce(operator.or_, [_covers(r) for r in _wanted_ranks(probabilities)]))
+    return cells.where(F.exists(_wanted_ranks(probabilities), _covers))
 
 
 def _kept(cells: DataFrame) -> DataFrame:
@@ -120,10 +121,13 @@ def exact_quantiles(
     probabilities = probabilities or QUARTILES
     group = [*keys, "column"]
     cells = selected_cells(long_values(df, columns, keys).drop("n"), group, probabilities)
-    names = list(probabilities)
-    ranks = _wanted_ranks(probabilities)
-    picks = [F.max(F.when(_covers(r), F.col("value"))).alias(f"__{side}_{n}") for r, (side, n) in zip(ranks, [(s, n) for s in ("low", "high") for n in names], strict=True)]
-    return _interpolated(cells.groupBy(*group).agg(F.max("total").alias("n"), *picks), [*group, "n"], probabilities)
+    # a cell tells the places in the array of the ranks that it covers; a group has two a probability
+    hits = F.filter(F.transform(_wanted_ranks(probabilities), lambda r, i: F.when(_covers(r), i)), lambda i: i.isNotNull())
+    told = cells.select(*group, "total", "value", F.explode(hits).alias("place")).withColumnRenamed("total", "n")
+    found = told.groupBy(*group, "n").agg(F.map_from_entries(F.collect_list(F.struct("place", "value"))).alias("found"))
+    size = len(probabilities)
+    sides = [F.col("found")[i + shift].alias(f"__{side}_{name}") for side, shift in (("low", 0), ("high", size)) for i, name in enumerate(probabilities)]
+    return _interpolated(found.select(*group, "n", *sides), [*group, "n"], probabilities)
 
 
 def distinct_values(df: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ from fieldgauge.session import fresh_path, shuffle_partitions
 # functions that run in tasks travel with the task, so that executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_BINS = 64
+MAX_BINS = 256
 LEAF = -1
 #: Counts a task keeps before it hands them on.
 HELD_COUNTS = 1 << 20
@@ -79,7 +79,8 @@ class Tree:
         return best[self.places(x)]
 
 
-def _matrix(columns: list[pa.Array]) -> np.ndarray:
+def matrix(columns: list[pa.Array]) -> np.ndarray:
+    """Rows of the columns as doubles, NULL as NaN."""
     return np.stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False).astype(np.float64) for c in columns], axis=1)
 
 
@@ -115,7 +116,7 @@ def _counted(trees: list[Tree], specs: list[TreeSpec], open_nodes: list[list[int
         for p, nodes in zip(place, open_nodes, strict=True):
             p[nodes] = np.arange(len(nodes))
         for batch in batches:
-            x = _matrix([batch.column(n) for n in names])
+            x = matrix([batch.column(n) for n in names])
             y = np.searchsorted(classes, batch.column(label).to_numpy())
             folds = batch.column(fold).to_numpy()
             bins = np.stack([np.searchsorted(e, x[:, f], side="left") for f, e in enumerate(ends)], axis=1)

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldgauge import schemas
 from fieldgauge.operators import gates
 from fieldgauge.operators.evaluation import confusion_matrix, parameter_rows, run_rows
 from fieldgauge.operators.features import training_frame
-from fieldgauge.operators.modeling import TREE_SETTINGS, evaluate, score, train_tree, tune_tree
+from fieldgauge.operators.modeling import TREE_SETTINGS, ScaledTree, evaluate, score, train_tree, tune_tree
 from fieldgauge.operators.splits import TEST, TRAIN, VALIDATION, split_parts
 from fieldgauge.sources.csv_files import read_validation_csv, write_csv
 from fieldgauge.session import fresh_path
@@ -46,7 +45,7 @@ def run_training_job(
     run_id: str,
     thresholds: dict[str, gates.Threshold] | None = None,
     points: list[dict] | None = None,
-) -> PipelineModel:
+) -> ScaledTree:
     """Split, train, tune and judge against the champion that the alias table names, if any.
 
     Gate rows are stored either way. An accepted model is saved below ``paths.model`` and becomes
@@ -68,7 +67,7 @@ def run_training_job(
     if named is None:
         gate = gates.static_gate(candidate, thresholds)
     else:
-        champion = PipelineModel.load(named["model"])
+        champion = ScaledTree.load(named["model"])
         gate = gates.champion_gate(candidate, evaluate(validation, champion), thresholds)
     append_table(gate.select(F.lit(run_id).alias("run_id"), "*"), paths.gates_table)
     decision = gates.gate_decision(read_table(spark, paths.gates_table).where(F.col("run_id") == run_id))
@@ -76,7 +75,7 @@ def run_training_job(
     if not outcome["passed"]:
         raise RuntimeError(f"candidate rejected: {outcome['reason']}")
     place = f"{paths.model.rstrip('/')}/{run_id}"
-    tuned.model.write().overwrite().save(place)
+    tuned.model.save(place)
     promoted = gates.promoted_aliases(aliases, decision, place)
     folder = fresh_path(spark, "aliases")
     promoted.write.parquet(folder)  # the table is read while its successor is computed

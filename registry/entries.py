@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldgauge import schemas
 from fieldgauge.operators import changes, cleaning, descriptive, evaluation, features, gates, inference_log
 from fieldgauge.operators import modeling, monitoring, quantiles, splits
+from fieldgauge.operators.tree_growth import TreeSpec, grow_trees, with_predictions
 from fieldgauge.plans.monitoring_job import refresh_monitor
+from fieldgauge.plans.training_job import TrainingPaths, run_training_job
 from fieldgauge.session import fresh_path
 from fieldgauge.sources import csv_files, tables
 from fieldgauge.sources.requests import append_positions
@@ -494,6 +496,34 @@ def tree_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modeling.tune_tree(_ruled_parts(spark, sf_dir)[splits.TRAIN], max_bins=RULED_BINS).trials
 
 
+def tree_least_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class by last two digits of the key, from a tree grown freely and from one that splits no node of under half the rows."""
+    tail = (F.col("o_orderkey") % 100).cast("double")
+    rows = table(spark, sf_dir, "orders").select(tail.alias("tail"), tail.between(60, 89).cast("int").alias("label"))
+    half = rows.count() // 2 + 1
+    free, bound = grow_trees(rows, ["tail"], "label", [TreeSpec(), TreeSpec(min_split=half)], max_bins=RULED_BINS)
+    told = with_predictions(rows.groupBy("tail").agg(F.count("*").alias("n")), ["tail"], {"free": free, "bound": bound})
+    return told.select(F.col("tail").cast("int").alias("tail"), "n", F.col("free").cast("int").alias("free"), F.col("bound").cast("int").alias("bound"))
+
+
+def training_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole training job over rows that follow a rule: metrics, gate rows and aliases it stores."""
+    name = f"training_{uuid.uuid4().hex}"
+    tables.overwrite_table(ruled(spark, sf_dir), name)
+    folder = fresh_path(spark, "training")
+    paths = TrainingPaths(f"{folder}/validation", f"{folder}/model", f"{name}_metrics", f"{name}_gates", f"{name}_aliases")
+    points = [{"impurity": "gini", "maxDepth": None, "minSplit": 2, "minLeaf": 1}, {"impurity": "entropy", "maxDepth": 50, "minSplit": 20, "minLeaf": 5}]
+    run_training_job(spark, name, paths, "r1", points=points)
+    metrics, gate, aliases = (_detached(spark, t) for t in (paths.metrics_table, paths.gates_table, paths.aliases_table))
+    spark.sql(f"DROP TABLE {name}")
+    parts = [
+        metrics.where(F.col("kind").isin("test", "cv", "validation")).select("kind", "name", "value"),
+        gate.select(F.lit("gate").alias("kind"), F.col("metric").alias("name"), F.col("passed").cast("double").alias("value")),
+        aliases.select(F.lit("alias").alias("kind"), F.col("alias").alias("name"), F.col("model").endswith("/r1").cast("double").alias("value")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def tree_score_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows scored by a fitted tree, logged as requests and unpacked again."""
     model = modeling.train_tree(_ruled_parts(spark, sf_dir)[splits.TRAIN], max_bins=RULED_BINS)
@@ -637,6 +667,8 @@ QUERIES = {
         tree_predictions,
         tree_evaluation,
         tree_tuning,
+        tree_least_split,
+        training_job,
         tree_score_capture,
         alias_promotion,
         table_roundtrip,

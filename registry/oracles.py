@@ -432,6 +432,17 @@ ORACLES |= {
     "tree_predictions": f"WITH {RULED} SELECT event_id AS Id, CAST(label AS BIGINT) AS Occupancy, label AS prediction FROM ruled WHERE {SPLIT} = 'test'",
     "tree_evaluation": f"SELECT metric, CAST(1 AS DOUBLE) AS value FROM {MEASURES}",
     "tree_tuning": f"SELECT params, metric, CAST(1 AS DOUBLE) AS value FROM (VALUES {TRIAL_NAMES}) t(params), {MEASURES}",
+    "tree_least_split": """WITH v AS (SELECT CAST(o_orderkey % 100 AS INT) AS tail, CAST(o_orderkey % 100 BETWEEN 60 AND 89 AS INT) AS label FROM orders),
+node AS (SELECT count(*) AS whole, count(*) FILTER (tail >= 60) AS upper, avg(label) FILTER (tail >= 60) AS share FROM v)
+SELECT tail, count(*) AS n, max(label) AS free,
+  CASE WHEN tail < 60 THEN 0 WHEN any_value(upper >= whole // 2 + 1) THEN max(label) ELSE any_value(CAST(share > 0.5 AS INT)) END AS bound
+FROM v, node GROUP BY tail""",
+    "training_job": f"""SELECT kind, name, CAST(1 AS DOUBLE) AS value FROM (
+  SELECT kind, metric AS name FROM (VALUES ('test'), ('validation')) k(kind), {MEASURES}
+  UNION ALL SELECT 'cv', concat(trial, '/', metric)
+    FROM (VALUES ('00:impurity=gini,maxDepth=None,minLeaf=1,minSplit=2'), ('01:impurity=entropy,maxDepth=50,minLeaf=5,minSplit=20')) t(trial), {MEASURES}
+  UNION ALL SELECT 'gate', unnest(['accuracy', 'precision', 'recall'])
+  UNION ALL SELECT 'alias', 'champion')""",
     "tree_score_capture": f"""WITH {RULED} SELECT CAST(event_id AS VARCHAR) AS request_id, strftime(date, '%Y-%m-%d') AS date, 0 AS pos,
   epoch_us(date) // 1000 AS timestamp_ms, {r('warm')} AS Temperature, {r('lamp')} AS Light, {r('CO2')} AS CO2,
   {r('HumidityRatio')} AS HumidityRatio, label AS Occupancy, 0 AS model_id FROM ruled""",

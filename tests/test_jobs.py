@@ -5,13 +5,12 @@ import random
 
 import pytest
 from conftest import rows
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from fieldgauge import schemas
 from fieldgauge.operators import gates
 from fieldgauge.operators.inference_log import capture_scores
-from fieldgauge.operators.modeling import score, tune_tree
+from fieldgauge.operators.modeling import ScaledTree, score, tune_tree
 from fieldgauge.plans.feature_job import FeatureTables, run_feature_job
 from fieldgauge.plans.monitoring_job import process_day, refresh_monitor
 from fieldgauge.plans.training_job import TrainingPaths, run_training_job
@@ -19,8 +18,8 @@ from fieldgauge.streaming import inference_stream
 
 TABLES = FeatureTables("job_silver", "job_gold", "job_features", "job_baseline")
 POINTS = [
-    {"impurity": "gini", "maxDepth": 5, "minInstancesPerNode": 5},
-    {"impurity": "entropy", "maxDepth": 6, "minInstancesPerNode": 2},
+    {"impurity": "gini", "maxDepth": 5, "minSplit": 2, "minLeaf": 5},
+    {"impurity": "entropy", "maxDepth": None, "minSplit": 9, "minLeaf": 2},
 ]
 
 
@@ -77,7 +76,7 @@ def test_training_job_saves_a_model_that_scores_alike(spark, feature_tables, tra
     assert metrics.where("kind = 'validation' and name = 'accuracy' and value > 0.95").count() == 1
     assert metrics.where("kind = 'cv'").count() == len(POINTS) * 4
     frame = spark.read.csv(paths.validation, header=True, inferSchema=True)
-    again = score(frame, PipelineModel.load(f"{paths.model}/run-1"))
+    again = score(frame, ScaledTree.load(f"{paths.model}/run-1"))
     assert again.where("prediction <> Occupancy").count() == score(frame, model).where("prediction <> Occupancy").count()
 
 

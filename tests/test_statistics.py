@@ -105,4 +105,4 @@ def test_scaling_by_population_deviation(spark):
 def test_trials_are_reproducible_and_in_range():
     points = random_trials()
     assert points == random_trials() and len(points) == 10
-    assert all(5 <= p["maxDepth"] <= 30 and 1 <= p["minInstancesPerNode"] <= 20 for p in points)
+    assert all((p["maxDepth"] is None or 5 <= p["maxDepth"] <= 50) and 2 <= p["minSplit"] <= 40 and 1 <= p["minLeaf"] <= 20 for p in points)
