@@ -24,6 +24,8 @@ BINS, ROWS = 48, 4
 BANDS = BINS // ROWS
 BORROWINGS = 32
 SKETCH_BITS = 256
+#: Different lines a task remembers to have described before it starts anew.
+REMEMBERED_LINES = 300_000
 CHUNK = 50_000  # characters handled at once, so that the arrays stay in a core's cache
 #: Rows that may be broadcast: places of lines to be verified (24 bytes), shared keys and ids (8).
 BROADCAST_LINES, BROADCAST_KEYS = 500_000, 1_000_000
@@ -144,19 +146,26 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[list[int], list[int], lis
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each line; only the first one a task meets of equal lines carries their description."""
+    met: set[int] = set()
     for batch in batches:
         ids, keys = batch.column("doc_id"), batch.column(KEY)
         for docs, numbers, lines in _chunks(batch.column("text").to_pylist()):
-            distinct = list(dict.fromkeys(lines))
-            at = {x: i for i, x in enumerate(distinct)}
-            sizes, signature, sketch = described(distinct)
-            pick = np.array([at[x] for x in lines])
             names = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), dtype=np.uint64, count=len(lines)).view(np.int64)
-            take = pa.array(docs)
-            columns = [
-                ids.take(take), keys.take(take), pa.array(numbers, pa.int32()), pa.array(names), pa.array(sizes[pick]),
-                _lists(band_keys(signature).view(np.int64)[pick]), _lists(sketch[pick]),
-            ]
+            if len(met) > REMEMBERED_LINES:
+                met.clear()
+            new = [i for i, name in enumerate(names.tolist()) if not (name in met or met.add(name))]
+            at = np.full(len(lines), -1)
+            at[new] = np.arange(len(new))
+            # a place beyond the described lines gives NULL
+            pick, take = pa.array(at, mask=at < 0), pa.array(docs)
+            columns = [ids.take(take), keys.take(take), pa.array(numbers, pa.int32()), pa.array(names)]
+            if new:
+                sizes, signature, sketch = described([lines[i] for i in new])
+                told = [pa.array(sizes), _lists(band_keys(signature).view(np.int64)), _lists(sketch)]
+                columns += [c.take(pick) for c in told]
+            else:
+                columns += [pa.nulls(len(lines), t) for t in (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", KEY, "line_no", "id", "n", "bands", "sketch"])
 
 
@@ -225,17 +234,17 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     rows = documents.select("doc_id", "text", row_key().alias(KEY))
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {KEY} long, line_no int, id long, n int, bands array<long>, sketch array<long>"
-    lines = stored(rows.mapInArrow(_describe, schema), "lines")
+    written = stored(rows.mapInArrow(_describe, schema), "lines")
+    lines, told = written.drop("n", "bands", "sketch"), written.filter("n IS NOT NULL").select("id", "n", "bands", "sketch")
     first = F.min(F.struct("doc_id", KEY, "line_no")).alias("place")
     classes = stored(lines.groupBy("id").agg(first, F.count("*").alias("c")), "classes")
-    keyed = lines.select(F.col("id").alias("gid"), F.explode("bands").alias("key"))
-    part = F.pmod("gid", F.lit(2**31))  # two lines are told apart by 31 bits of their ids here
-    shared = keyed.select("key", part.alias("g")).groupBy("key").agg(F.min("g").alias("l"), F.max("g").alias("h")).filter("l < h").select("key")
+    keyed = told.select(F.col("id").alias("gid"), F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("gid").alias("l"), F.max("gid").alias("h")).filter("l < h").select("key")
     postings = keyed.join(_small(stored(shared, "keys"), BROADCAST_KEYS), "key").distinct().withColumn("band", F.lit(0))
     postings = stored(postings, "postings")
     members = stored(postings.select("gid", F.col("gid").alias("id")).distinct(), "members")
     places = classes.select(f"place.{KEY}", "place.line_no", "id")
-    pruned, verified = _pruner(lines, members, percent), _verifier(rows, places, percent)
+    pruned, verified = _pruner(told, members, percent), _verifier(rows, places, percent)
     # most keys are shared by two lines only, which are one pair; the others go through hubs
     by_key = stored(postings.groupBy("key").agg(F.min("gid").alias("a"), F.max("gid").alias("b"), F.count("*").alias("c")), "keys")
     pairs = pruned(by_key.filter("c = 2").select("a", "b").distinct()).select("a", "b")
