@@ -125,39 +125,53 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return code
 
 
-def _chunks(texts: list[str | None]) -> Iterator[tuple[list[int], list[int], list[str]]]:
-    """Document, line number and normal form of lines that are not blank, ``CHUNK`` characters at a time."""
-    docs, numbers, lines, size = [], [], [], 0
-    for d, text in enumerate(texts):
-        for n, line in enumerate((text or "").split("\n")):
-            compared = normal(line)
-            if compared:
+def _compared(text: str | None, wanted: list[int] | None = None) -> Iterator[tuple[int, str]]:
+    """Number and normal form of the lines of a text that are not blank, or of the wanted ones."""
+    lines = (text or "").split("\n")
+    for n in range(len(lines)) if wanted is None else wanted:
+        compared = normal(lines[n])
+        if compared:
+            yield n, compared
+
+
+def _names(lines: list[str]) -> pa.Array:
+    """The 64-bit id of each line."""
+    return pa.array(np.fromiter(map(xxhash.xxh3_64_intdigest, lines), dtype=np.uint64, count=len(lines)).view(np.int64))
+
+
+def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every line by its id alone."""
+    for batch in batches:
+        docs, numbers, lines = [], [], []
+        for d, text in enumerate(batch.column("text")):
+            for n, line in _compared(text.as_py()):
                 docs.append(d)
                 numbers.append(n)
-                lines.append(compared)
-                size += len(compared)
-                if size >= CHUNK:
-                    yield docs, numbers, lines
-                    docs, numbers, lines, size = [], [], [], 0
-    if lines:
-        yield docs, numbers, lines
+                lines.append(line)
+        take = pa.array(docs, pa.int64())
+        columns = [batch.column("doc_id").take(take), batch.column(KEY).take(take), pa.array(numbers, pa.int32()), _names(lines)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", KEY, "line_no", "id"])
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The descriptions of the wanted lines, ``CHUNK`` characters at a time."""
+
+    def rows(lines: list[str]) -> pa.RecordBatch:
+        sizes, signature, sketch = described(lines)
+        columns = [_names(lines), pa.array(sizes), _lists(band_keys(signature).view(np.int64)), _lists(sketch)]
+        return pa.RecordBatch.from_arrays(columns, names=["id", "n", "bands", "sketch"])
+
+    lines, size = [], 0
     for batch in batches:
-        ids, keys = batch.column("doc_id"), batch.column(KEY)
-        for docs, numbers, lines in _chunks(batch.column("text").to_pylist()):
-            distinct = list(dict.fromkeys(lines))
-            at = {x: i for i, x in enumerate(distinct)}
-            sizes, signature, sketch = described(distinct)
-            pick = np.array([at[x] for x in lines])
-            names = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), dtype=np.uint64, count=len(lines)).view(np.int64)
-            take = pa.array(docs)
-            columns = [
-                ids.take(take), keys.take(take), pa.array(numbers, pa.int32()), pa.array(names), pa.array(sizes[pick]),
-                _lists(band_keys(signature).view(np.int64)[pick]), _lists(sketch[pick]),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", KEY, "line_no", "id", "n", "bands", "sketch"])
+        for text, wanted in zip(batch.column("text"), batch.column("wanted"), strict=True):
+            for _, line in _compared(text.as_py(), wanted.as_py()):
+                lines.append(line)
+                size += len(line)
+                if size >= CHUNK:
+                    yield rows(lines)
+                    lines, size = [], 0
+    if lines:
+        yield rows(lines)
 
 
 def _lists(values: np.ndarray) -> pa.Array:
@@ -169,10 +183,10 @@ def _small(df: DataFrame, bound: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= bound else df
 
 
-def _pruner(lines: DataFrame, members: DataFrame, percent: int):
+def _pruner(descriptions: DataFrame, members: DataFrame, percent: int):
     """Drops pairs whose parities differ in more places than the sets of linked lines may, and
     adds the number of places as ``distance``. One place is spared for colliding hashes."""
-    known = lines.join(_small(members.select("id"), BROADCAST_KEYS), "id").select("id", "n", "sketch")
+    known = descriptions.join(_small(members.select("id"), BROADCAST_KEYS), "id").select("id", "n", "sketch")
     known = stored(known.dropDuplicates(["id"]), "sketches")
     one = known.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
     two = known.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
@@ -224,17 +238,22 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     are ignored.
     """
     rows = documents.select("doc_id", "text", row_key().alias(KEY))
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {KEY} long, line_no int, id long, n int, bands array<long>, sketch array<long>"
-    lines = stored(rows.mapInArrow(_describe, schema), "lines")
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {KEY} long, line_no int, id long"
+    lines = stored(rows.mapInArrow(_identify, schema), "lines")
     first = F.min(F.struct("doc_id", KEY, "line_no")).alias("place")
     classes = stored(lines.groupBy("id").agg(first, F.count("*").alias("c")), "classes")
-    keyed = lines.select(F.col("id").alias("gid"), F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("gid").alias("l"), F.max("gid").alias("h")).filter("l < h").select("key")
+    # each different line is described once, where it occurs first
+    firsts = classes.groupBy(f"place.{KEY}").agg(F.collect_list("place.line_no").alias("wanted"))  # no more than a document's own lines
+    firsts = F.broadcast(firsts) if classes.count() <= BROADCAST_LINES else firsts
+    described_at = rows.join(firsts, KEY).select("text", "wanted")
+    descriptions = stored(described_at.mapInArrow(_describe, "id long, n int, bands array<long>, sketch array<long>"), "descriptions")
+    keyed = descriptions.select(F.col("id").alias("gid"), F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     postings = keyed.join(_small(stored(shared, "keys"), BROADCAST_KEYS), "key").distinct().withColumn("band", F.lit(0))
     postings = stored(postings, "postings")
     members = stored(postings.select("gid", F.col("gid").alias("id")).distinct(), "members")
     places = classes.select(f"place.{KEY}", "place.line_no", "id")
-    pruned, verified = _pruner(lines, members, percent), _verifier(rows, places, percent)
+    pruned, verified = _pruner(descriptions, members, percent), _verifier(rows, places, percent)
     # most keys are shared by two lines only, which are one pair; the others go through hubs
     by_key = stored(postings.groupBy("key").agg(F.min("gid").alias("a"), F.max("gid").alias("b"), F.count("*").alias("c")), "keys")
     pairs = pruned(by_key.filter("c = 2").select("a", "b").distinct()).select("a", "b")
@@ -250,7 +269,7 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     dropped = (
         lines.select(KEY, "line_no", "id")
-        .join(losing, "id")
+        .join(_small(losing, BROADCAST_LINES), "id")
         .filter((F.col(KEY) != F.col("kk")) | (F.col("line_no") != F.col("kn")))
         .groupBy(KEY)
         .agg(F.collect_set("line_no").alias("gone"))  # no more than the document's own lines
