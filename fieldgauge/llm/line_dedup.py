@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldgauge.llm.components import link
 from fieldgauge.llm.decontamination import KEY, row_key
@@ -23,7 +23,7 @@ CHARACTERS, PERCENT = 5, 80
 BINS, ROWS = 48, 4
 BANDS = BINS // ROWS
 BORROWINGS = 32
-SKETCH_BITS = 256
+SKETCH_BITS = 256  # at least; a longer line has as many as shingles, up to the next power of two
 CHUNK = 50_000  # characters handled at once, so that the arrays stay in a core's cache
 #: Rows that may be broadcast: places of lines to be verified (24 bytes), shared keys and ids (8).
 BROADCAST_LINES, BROADCAST_KEYS = 500_000, 1_000_000
@@ -83,8 +83,12 @@ def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (both >> np.uint64(32)).astype(np.int64), both.astype(np.uint32)
 
 
-def described(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each line: set size, MinHash values by bin, and the parities of ``SKETCH_BITS`` buckets."""
+def described(lines: list[str]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Of each line: set size, MinHash values by bin, and the parities of its shingles by bucket.
+
+    The buckets are a power of two that follows the size, because parities of many more shingles
+    than buckets tell nothing; the halves of the longer of two sketches fold onto each other.
+    """
     line, hashes = shingles(lines)
     sizes = np.bincount(line, minlength=len(lines)).astype(np.int32)
     # sorted hashes, and bins that rise with the hash: the first of a bin is its least
@@ -92,8 +96,12 @@ def described(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
     table = np.full(len(lines) * BINS, _EMPTY, dtype=np.uint32)
     table[place[first]] = hashes[first]
-    odd = np.bincount(line * SKETCH_BITS + (hashes & np.uint32(SKETCH_BITS - 1)), minlength=len(lines) * SKETCH_BITS) & 1
-    sketch = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(lines), SKETCH_BITS // 64)
+    buckets = np.maximum(SKETCH_BITS, 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+    ends = np.cumsum(buckets)
+    bucket = hashes.astype(np.int64) & (buckets[line] - 1)
+    odd = np.bincount((ends - buckets)[line] + bucket, minlength=ends[-1]) & 1
+    words = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    sketch = pa.ListArray.from_arrays(pa.array(np.r_[0, ends // 64], pa.int32()), pa.array(words))
     return sizes, _densified(table.reshape(len(lines), BINS)), sketch
 
 
@@ -158,7 +166,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows(lines: list[str]) -> pa.RecordBatch:
         sizes, signature, sketch = described(lines)
-        columns = [_names(lines), pa.array(sizes), _lists(band_keys(signature).view(np.int64)), _lists(sketch)]
+        columns = [_names(lines), pa.array(sizes), _lists(band_keys(signature).view(np.int64)), sketch]
         return pa.RecordBatch.from_arrays(columns, names=["id", "n", "bands", "sketch"])
 
     lines, size = [], 0
@@ -183,21 +191,31 @@ def _small(df: DataFrame, bound: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= bound else df
 
 
+def _folded(sketch: str, other: str) -> Column:
+    """A sketch at the size of the other one, where that has half as many buckets. Sizes of linked
+    lines never lie farther apart; of others the places have no number, which drops the pair."""
+    half = F.floor(F.size(sketch) / 2).cast("int")
+    halves = F.zip_with(F.slice(sketch, 1, half), F.slice(sketch, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(sketch) > F.size(other), halves).otherwise(F.col(sketch))
+
+
 def _pruner(descriptions: DataFrame, members: DataFrame, percent: int):
     """Drops pairs whose parities differ in more places than the sets of linked lines may, and
-    adds the number of places as ``distance``. One place is spared for colliding hashes."""
+    adds the number of places as ``distance``. Places are spared for colliding hashes: one, and
+    twice as many as two sets of that size are expected to have."""
     known = descriptions.join(_small(members.select("id"), BROADCAST_KEYS), "id").select("id", "n", "sketch")
     known = stored(known.dropDuplicates(["id"]), "sketches")
     one = known.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
     two = known.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
 
     def pruned(pairs: DataFrame) -> DataFrame:
-        differ = F.aggregate(F.zip_with("ka", "kb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        differ = F.aggregate(F.zip_with(_folded("ka", "kb"), _folded("kb", "ka"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
         total = F.col("na") + F.col("nb")
         need = F.ceil(F.lit(percent) * total / F.lit(100 + percent))
-        alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb") - 100
+        spared = 1 + F.floor(total.cast("double") * total / 2.0**32)
+        alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb") - 100 * spared
         near = pairs.join(one, "a").join(two, "b").withColumn("distance", differ)
-        return near.filter(alike & (F.col("distance") <= total - 2 * need + 1)).drop("na", "nb", "ka", "kb")
+        return near.filter(alike & (F.col("distance") <= total - 2 * need + spared)).drop("na", "nb", "ka", "kb")
 
     return pruned
 

@@ -223,6 +223,25 @@ def test_lines_equal_brute_force(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_sketches_prune_long_lines_and_lose_no_link(spark):
+    rng = random.Random(9)
+    lines, pairs = [], []
+    for size in (3, 60, 255, 257, 700, 1023, 1030, 5000):
+        text = "".join(rng.choices("abcdefghij ", k=size))
+        for share in (0.01, 0.02, 0.2):  # of the characters, changed at one place or everywhere
+            lines += [text, text + "".join(rng.choices("klmno", k=int(size * 10 * share))), "".join(rng.choice("xyz") if rng.random() < share else c for c in text)]
+            pairs += [(len(lines) - 3, len(lines) - 2), (len(lines) - 3, len(lines) - 1)]
+    sizes, _, sketch = line_dedup.described(lines)
+    rows = [(i, int(n), k) for i, (n, k) in enumerate(zip(sizes, sketch.to_pylist(), strict=True))]
+    known = spark.createDataFrame(rows, "id long, n int, sketch array<long>")
+    pruned = line_dedup._pruner(known, known.select("id"), 80)
+    kept = {(r["a"], r["b"]) for r in pruned(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    sets = [set(line_dedup.exact_set(x).tolist()) for x in lines]
+    linked = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert linked and linked <= kept
+    assert not any(100 * len(sets[a] & sets[b]) < 50 * len(sets[a] | sets[b]) for a, b in kept if min(sizes[a], sizes[b]) > 50)
+
+
 def exact_neighbours(vectors, queries, k):
     want = {}
     for q in queries:
