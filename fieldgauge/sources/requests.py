@@ -12,7 +12,7 @@ from fieldgauge.sources.tables import append_new_rows
 def append_positions(positions: DataFrame, clean_table: str, reject_table: str) -> None:
     """Append the requests of ``positions`` that the tables do not hold yet.
 
-    A request is one key: if its id is stored, on whatever day within the look-back, none of its
+    A request is one key: if its id is stored, on whatever day, none of its
     rows is added, so a retry with another body cannot mix with the first one.
     """
     spark = positions.sparkSession
@@ -20,5 +20,5 @@ def append_positions(positions: DataFrame, clean_table: str, reject_table: str)
     positions.write.parquet(folder)
     stored = spark.read.schema(positions.schema).parquet(folder)
     clean, rejects = split_positions(stored)
-    append_new_rows(clean, clean_table, [REQUEST_KEY], "date", stored)
-    append_new_rows(rejects, reject_table, [REQUEST_KEY, POSITION, "reason"], "date", stored)
+    append_new_rows(clean, clean_table, [REQUEST_KEY], "date")
+    append_new_rows(rejects, reject_table, [REQUEST_KEY, POSITION, "reason"], "date")

@@ -6,11 +6,11 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType
 
 from fieldgauge.operators.features import key_violations, upsert
 from fieldgauge.operators.groups import matching_keys
 from fieldgauge.session import fresh_path
+from fieldgauge.sources.key_filters import add_filters, days_that_may_hold, filter_table, key_filters
 
 
 def read_table(spark: SparkSession, name: str, format: str | None = None) -> DataFrame:
@@ -122,46 +122,42 @@ def upsert_table(
     return "created"
 
 
-LOOK_BACK_DAYS = 7
-
-
-def new_rows(
-    batch: DataFrame,
-    existing: DataFrame,
-    keys: list[str],
-    partition: str | None = None,
-    bounds_from: DataFrame | None = None,
-    look_back: int = LOOK_BACK_DAYS,
-) -> DataFrame:
-    """Rows of the batch whose key is not stored yet; a NULL in a key equals a stored NULL.
-
-    With ``partition``, a date (of another type there is no look-back), only the stored days between the batch's first and last one are
-    read, and ``look_back`` days on either side, so the cost of a daily append follows the day
-    and not the whole history, and a key logged again within that time is known. ``bounds_from``
-    is a cheaper table to take the two days from, such as the one the batch was derived from; it
-    must hold every day of the batch.
-    """
-    if partition:
-        ends = (batch if bounds_from is None else bounds_from).select(partition)
-        low, high = F.min(partition), F.max(partition)
-        if isinstance(batch.schema[partition].dataType, DateType):
-            low, high = F.date_sub(low, look_back), F.date_add(high, look_back)
-        stored = F.col(partition)
-        existing = existing.where(stored.between(ends.agg(low).scalar(), ends.agg(high).scalar()) | stored.isNull())
+def new_rows(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the batch whose key is not stored yet; a NULL in a key equals a stored NULL."""
     stored_keys = existing.select(*[F.col(k).alias(f"__k_{k}") for k in keys]).distinct()
     return batch.join(stored_keys, matching_keys(batch, keys, "__k_"), "left_anti")
 
 
-def append_new_rows(
-    batch: DataFrame,
-    name: str,
-    keys: list[str],
-    partition: str | None = None,
-    bounds_from: DataFrame | None = None,
-    look_back: int = LOOK_BACK_DAYS,
-) -> None:
-    """Append that may be repeated: rows whose key is stored already are left out."""
+def stored_days(batch: DataFrame, name: str, keys: list[str], partition: str) -> DataFrame:
+    """The stored rows of the days that may hold a key of the batch, and those without a day."""
+    day = F.col(partition)
+    days = days_that_may_hold(batch, name, keys, partition)
+    return batch.sparkSession.read.table(name).where(day.isin(days) | day.isNull() if days else day.isNull())
+
+
+def append_new_rows(batch: DataFrame, name: str, keys: list[str], partition: str | None = None) -> None:
+    """Append that may be repeated: rows whose key is stored already, however long ago, are left out.
+
+    With ``partition``, bit arrays of the stored keys (:mod:`fieldgauge.sources.key_filters`) name
+    the days to compare with, so that the cost follows the batch and not the history. All rows of
+    such a table must come through here.
+    """
     spark = batch.sparkSession
-    if spark.catalog.tableExists(name):
-        batch = new_rows(batch, spark.read.table(name), keys, partition, bounds_from, look_back)
-    append_table(batch, name, [partition] if partition else None)
+    if not partition:
+        if spark.catalog.tableExists(name):
+            batch = new_rows(batch, spark.read.table(name), keys)
+        append_table(batch, name)
+        return
+    exists = spark.catalog.tableExists(name)
+    fresh = new_rows(batch, stored_days(batch, name, keys, partition), keys) if exists else batch
+    folder = fresh_path(spark, "append")
+    fresh.write.parquet(folder)
+    staged = spark.read.schema(fresh.schema).parquet(folder)
+    add_filters(key_filters(staged, spark.read.table(name) if exists else staged, keys, partition), name, partition)
+    append_table(staged, name, [partition])
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Remove a table and the arrays of its keys."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {filter_table(name)}")

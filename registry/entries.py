@@ -302,7 +302,7 @@ def _detached(spark: SparkSession, name: str) -> DataFrame:
     """The rows of a catalog table, copied, and the table gone."""
     folder = fresh_path(spark, "result")
     tables.read_table(spark, name).write.parquet(folder)
-    spark.sql(f"DROP TABLE {name}")
+    tables.drop_table(spark, name)
     return spark.read.parquet(folder)
 
 
@@ -329,14 +329,25 @@ def inference_append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean, rejected = (f"{kind}_{uuid.uuid4().hex}" for kind in ("clean", "rejected"))
     for batch in (early, requests, requests):
         append_positions(inference_log.unpack_positions(batch, len(INPUTS)), clean, rejected)
-    spark.sql(f"DROP TABLE {rejected}")
+    tables.drop_table(spark, rejected)
+    return _shown(_detached(spark, clean))
+
+
+def inference_append_late_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request is logged once more 30 days later; the tables hold each once, under its first day."""
+    requests = inference_log.successful(varied_payload(spark, sf_dir))
+    again = requests.withColumn("date", F.date_add("date", 30))
+    clean, rejected = (f"{kind}_{uuid.uuid4().hex}" for kind in ("clean", "rejected"))
+    for batch in (requests, again):
+        append_positions(inference_log.unpack_positions(batch, len(INPUTS)), clean, rejected)
+    tables.drop_table(spark, rejected)
     return _shown(_detached(spark, clean))
 
 
 def inference_append_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     everything = inference_log.unpack_inference_log(inference_log.successful(payload(spark, sf_dir)))[0]
     stored = everything.where(F.col("date") <= F.lit(REPORT_DAY).cast("date"))
-    fresh = tables.new_rows(everything, stored, ["request_id", "pos"], "date")
+    fresh = tables.new_rows(everything, stored, ["request_id", "pos"])
     return _shown(stored.unionByName(fresh))
 
 
@@ -559,7 +570,7 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = rows.withColumn("properties", F.lit(f"{shown['kind']},{shown['change_feed']}"))
     folder = fresh_path(spark, "result")
     kept.write.parquet(folder)
-    spark.sql(f"DROP TABLE {name}")
+    tables.drop_table(spark, name)
     return spark.read.parquet(folder)
 
 
@@ -645,6 +656,7 @@ QUERIES = {
         inference_row_dedup,
         inference_rejects,
         inference_append_idempotent,
+        inference_append_late_repeat,
         inference_append_table,
         score_capture,
         confusion_matrix,

@@ -348,6 +348,8 @@ FROM ({long('readings', INPUTS, [])}) GROUP BY 1""",
     "inference_unpacked": f"""WITH {VARIED} SELECT request_id, day AS date, pos, request_ms AS timestamp_ms,
   {UNPACKED_COLUMNS} FROM named WHERE {VARIED_CLEAN}""",
     "inference_append_table": f"""WITH {VARIED} SELECT request_id, day AS date, pos, request_ms AS timestamp_ms,
+  {UNPACKED_COLUMNS} FROM named WHERE {VARIED_CLEAN}""",
+    "inference_append_late_repeat": f"""WITH {VARIED} SELECT request_id, day AS date, pos, request_ms AS timestamp_ms,
   {UNPACKED_COLUMNS} FROM named WHERE {VARIED_CLEAN}""",
     "inference_row_dedup": f"""WITH {REQUESTS} SELECT DISTINCT 'shared' AS request_id, day AS date, 0 AS timestamp_ms,
   {UNPACKED_COLUMNS} FROM positions WHERE {USABLE}""",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldgauge import schemas
 from fieldgauge.operators.cleaning import cast_columns, cast_rejects, remove_outliers, type_silver
 from fieldgauge.sources import csv_files, tables
+from fieldgauge.sources.key_filters import days_that_may_hold
 
 HEADER = "date,Temperature,Humidity,Light,CO2,HumidityRatio,Occupancy"
 LINE = "2015-02-04 17:51:00,23.18,27.272,426.0,721.25,0.00479,1"
@@ -133,9 +134,27 @@ def test_append_twice_stores_rows_once(spark):
     for _ in range(2):
         tables.append_new_rows(batch, "processed_t", ["request_id", "pos"], "date")
     assert spark.read.table("processed_t").count() == 3
-    pruned = tables.new_rows(batch.where("request_id = 'r2'"), spark.read.table("processed_t"), ["request_id", "pos"], "date")
-    assert pruned.count() == 0
-    assert re.search(r"PartitionFilters: \[\(+date#\d+ >= Subquery", plan(pruned))
+    late = batch.where("request_id = 'r2'").withColumn("date", F.date_add("date", 400))
+    tables.append_new_rows(late.unionByName(late.withColumn("request_id", F.lit("r3"))), "processed_t", ["request_id", "pos"], "date")
+    assert rows(spark.read.table("processed_t").select("request_id", "pos")) == [("r1", 0), ("r1", 1), ("r2", 0), ("r3", 0)]
+
+
+def test_filters_name_the_days_to_read(spark):
+    days = [(f"k{d}-{i}", d) for d in range(40) for i in range(50)]
+    batch = spark.createDataFrame(days, "id string, day int")
+    tables.append_new_rows(batch, "filtered_t", ["id"], "day")
+    asked = spark.createDataFrame([("k7-3", 90), ("k31-0", 90), ("new", 90)], "id string, day int")
+    named = days_that_may_hold(asked, "filtered_t", ["id"], "day")
+    assert {7, 31} <= set(named) and len(named) < 10
+    assert re.search(r"PartitionFilters: \[\(*day#\d+ IN", plan(tables.stored_days(asked, "filtered_t", ["id"], "day")))
+    # a table that is older than its arrays gets them, whatever type the delivery's key has
+    spark.createDataFrame([(i, i % 3) for i in range(30)], "id long, day int").write.partitionBy("day").saveAsTable("older_t")
+    tables.append_new_rows(spark.createDataFrame([(4, 9), (30, 9)], "id int, day int"), "older_t", ["id"], "day")
+    assert rows(spark.read.table("older_t").where("day = 9").select("id")) == [(30,)]
+    tables.append_new_rows(spark.createDataFrame([], "id long, day int"), "older_t", ["id"], "day")
+    assert spark.read.table("older_t").count() == 31
+    tables.drop_table(spark, "older_t")
+    assert not spark.catalog.tableExists("older_t_key_filter")
 
 
 def test_append_compares_missing_key_parts(spark):
