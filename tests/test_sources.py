@@ -1,3 +1,4 @@
+import datetime as dt
 import re
 
 import pytest
@@ -157,6 +158,15 @@ def test_filters_name_the_days_to_read(spark):
     assert not spark.catalog.tableExists("older_t_key_filter")
 
 
+def test_append_starts_from_an_empty_delivery(spark):
+    schema = "request_id string, pos int, reason string, date date"
+    empty = spark.createDataFrame([], schema)
+    some = spark.createDataFrame([("a", None, "x", dt.date(2024, 1, 1)), ("b", 1, "y", None)], schema)
+    for batch, n in ((empty, 0), (some, 2), (some, 2), (empty, 2)):
+        tables.append_new_rows(batch, "empty_first_t", ["request_id", "pos", "reason"], "date")
+        assert spark.read.table("empty_first_t").count() == n
+
+
 def test_append_compares_missing_key_parts(spark):
     batch = spark.createDataFrame([("r1", None, None), ("r2", None, "d")], "request_id string, pos int, day string")
     for _ in range(2):
