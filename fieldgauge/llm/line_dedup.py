@@ -237,8 +237,11 @@ def _verifier(documents: DataFrame, places: DataFrame, percent: int):
 
     def verified(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        wanted = _small(stored(places.join(ids, "id"), "wanted"), BROADCAST_LINES)
-        texts = documents.join(wanted, KEY).select("id", F.get(F.split("text", "\n"), F.col("line_no")).alias("line"))
+        at = places.join(ids, "id").groupBy(KEY).agg(F.collect_list(F.struct("id", "line_no")).alias("wanted"))  # no more than a document's own lines
+        wanted = _small(stored(at, "wanted"), BROADCAST_LINES)
+        # the generator keeps the split out of the loop over the wanted lines: a text is split once
+        parted = documents.join(wanted, KEY).select(F.inline(F.array(F.struct(F.split("text", "\n").alias("parts"), "wanted"))))
+        texts = parted.select(F.inline(F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), F.get("parts", w["line_no"]).alias("line")))))
         both = pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("tb")), "b").join(texts.select(F.col("id").alias("a"), F.col("line").alias("ta")), "a")
         return both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long").distinct()
 
