@@ -8,7 +8,7 @@ joined by distributed union-find; of each component only the first line of the c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -201,8 +201,7 @@ def _folded(sketch: str, other: str) -> Column:
 
 def _pruner(descriptions: DataFrame, members: DataFrame, percent: int):
     """Drops pairs whose parities differ in more places than the sets of linked lines may, and
-    adds the number of places as ``distance``. Places are spared for colliding hashes: one, and
-    twice as many as two sets of that size are expected to have."""
+    adds the number of places as ``distance``."""
     known = descriptions.join(_small(members.select("id"), BROADCAST_KEYS), "id").select("id", "n", "sketch")
     known = stored(known.dropDuplicates(["id"]), "sketches")
     one = known.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
@@ -210,16 +209,43 @@ def _pruner(descriptions: DataFrame, members: DataFrame, percent: int):
 
     def pruned(pairs: DataFrame) -> DataFrame:
         differ = F.aggregate(F.zip_with(_folded("ka", "kb"), _folded("kb", "ka"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        total = F.col("na") + F.col("nb")
-        need = F.ceil(F.lit(percent) * total / F.lit(100 + percent))
-        spared = 1 + F.floor(total.cast("double") * total / 2.0**32)
-        alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb") - 100 * spared
         near = pairs.join(one, "a").join(two, "b").withColumn("distance", differ)
-        return near.filter(alike & (F.col("distance") <= total - 2 * need + spared)).drop("na", "nb", "ka", "kb")
+        return near.filter(_alike(F.col("na"), F.col("nb"), F.col("distance"), percent)).drop("na", "nb", "ka", "kb")
 
     return pruned
 
 
+def _spared(total: Column) -> Column:
+    """Places spared for colliding hashes: one, and twice as many as two sets are expected to have."""
+    return 1 + F.floor(total.cast("double") * total / 2.0**32)
+
+
+def _alike(na: Column, nb: Column, distance: Column, percent: int) -> Column:
+    """Sizes, and the places in which parities differ, are such as two linked lines may have."""
+    total = na + nb
+    need = F.ceil(F.lit(percent) * total / F.lit(100 + percent))
+    sizes = 100 * F.least(na, nb) >= percent * F.greatest(na, nb) - 100 * _spared(total)
+    return sizes & (distance <= total - 2 * need + _spared(total))
+
+
+def _short_sketch() -> list[Column]:
+    """The sketch folded to ``SKETCH_BITS`` buckets, a column for each word: folding parities never
+    adds a place, so a pair that the short sketches part is parted by the whole ones."""
+    words = SKETCH_BITS // 64
+    at = [F.filter("sketch", lambda _, i, w=w: i % words == w) for w in range(words)]
+    return [F.aggregate(x, F.lit(0).cast("long"), lambda s, v: s.bitwiseXOR(v)).alias(f"s{w}") for w, x in enumerate(at)]
+
+
+def _may_match(percent: int):
+    """Sizes and short sketches allow a link; asked where keys meet, before a pair moves."""
+
+    def passes(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+        differ = [F.bit_count(a(f"s{w}").bitwiseXOR(b(f"s{w}"))) for w in range(SKETCH_BITS // 64)]
+        return _alike(a("n"), b("n"), sum(differ[1:], differ[0]), percent)
+
+    return passes
+
+
 def _verifier(documents: DataFrame, places: DataFrame, percent: int):
     """Keeps the pairs (a, b) of lines whose shingle sets reach the threshold."""
 
@@ -270,7 +296,7 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     descriptions = stored(described_at.mapInArrow(_describe, "id long, n int, bands array<long>, sketch array<long>"), "descriptions")
     keyed = descriptions.select(F.col("id").alias("gid"), F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    postings = keyed.join(_small(stored(shared, "keys"), BROADCAST_KEYS), "key").distinct().withColumn("band", F.lit(0))
+    postings = keyed.join(_small(stored(shared, "keys"), BROADCAST_KEYS), "key").withColumn("band", F.lit(0))
     postings = stored(postings, "postings")
     members = stored(postings.select("gid", F.col("gid").alias("id")).distinct(), "members")
     places = classes.select(f"place.{KEY}", "place.line_no", "id")
@@ -278,8 +304,10 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     # most keys are shared by two lines only, which are one pair; the others go through hubs
     by_key = stored(postings.groupBy("key").agg(F.min("gid").alias("a"), F.max("gid").alias("b"), F.count("*").alias("c")), "keys")
     pairs = pruned(by_key.filter("c = 2").select("a", "b").distinct()).select("a", "b")
-    crowded = stored(postings.join(by_key.filter("c > 2").select("key"), "key", "left_semi"), "crowded")
-    labels = link(crowded, members, lambda a, b: F.lit(True), pruned, verified, links=verified(stored(pairs, "pairs")))
+    short = descriptions.select(F.col("id").alias("gid"), "n", *_short_sketch())
+    crowded = postings.join(by_key.filter("c > 2").select("key"), "key", "left_semi")
+    crowded = stored(crowded.join(short, "gid"), "crowded")
+    labels = link(crowded, members, _may_match(percent), pruned, verified, links=verified(stored(pairs, "pairs")))
     linked = classes.join(labels, "id")
     keeper = linked.groupBy("label").agg(F.min("place").alias("keep"))
     alone = classes.join(labels.select("id"), "id", "left_anti")
