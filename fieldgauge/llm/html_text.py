@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,8 +22,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg canvas math title textarea select noframes audio video".split())
-CUT = frozenset("nav footer aside button dialog menu head label".split())
+RAW = frozenset("script style noscript template iframe object svg canvas title textarea select noframes audio video".split())
+#: Of these, the ones that last to the end of the page where their end tag is missing.
+UNENDED = frozenset("script style title textarea".split())
+CUT = frozenset("nav footer aside button dialog menu head annotation annotation-xml".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -55,24 +58,27 @@ NAME_PARTS = re.compile(r"[^a-z0-9]+")
 #: the points in another article or main element, or, for a discussion, in the rest of the page.
 ELSEWHERE_SHARE = 0.2
 FULL_LENGTH, LENGTH_POINTS = 100, 3
+#: Ancestors a paragraph gives points to; what the next would get is below a hundredth.
+REACH = 32
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "names", "points", "own", "mass", "chars", "linked")
+    __slots__ = ("tag", "parent", "parts", "cut", "names", "points", "own", "mass", "chars", "linked", "commas")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool, names: frozenset[tuple[str, str]] = frozenset()) -> None:
         self.tag, self.parent, self.cut, self.names = tag, parent, cut, names
         self.parts: list[Node | str] = []
         self.points, self.own, self.mass, self.chars, self.linked = 0.0, 0.0, 0.0, 0, 0
+        self.commas = 0
 
 
 def _marks(tag: str, written: str, parent: Node) -> tuple[bool, frozenset[tuple[str, str]]]:
     """Whether an element is one of those that never hold the article, and the names, each with
     the first part of its word, that speak against it. A page may wrap its text in a form."""
     names: set[tuple[str, str]] = {("form", "form")} if tag == "form" else set()
-    if tag in CUT or tag in RAW:
+    if tag in CUT or tag in RAW or (tag == "label" and parent.tag not in PARAGRAPHS):
         return True, frozenset()
-    in_article = _inside(parent, ("article",)) if tag == "header" or "header" in written.lower() else False
+    in_article = _inside(parent, ("article", "main")) if tag == "header" or "header" in written.lower() else False
     if tag == "header" and not in_article:
         return True, frozenset()
     if not written or tag in ("html", "body"):
@@ -88,7 +94,8 @@ def _marks(tag: str, written: str, parent: Node) -> tuple[bool, frozenset[tuple[
         if name in ("class", "id") and tag not in NEVER_NAMED:
             for word in value.split():
                 parts = [p for p in NAME_PARTS.split(word) if p]
-                if parts and parts[0] not in WRAPPERS:
+                # of a paragraph only a word made of such names alone tells: "notice", not "notice-period"
+                if parts and parts[0] not in WRAPPERS and not (tag in PARAGRAPHS and not CUT_NAMES.issuperset(parts)):
                     # an article has a header of its own
                     names.update((parts[0], p) for p in CUT_NAMES.intersection(parts) if p != "header" or not in_article)
     return False, frozenset(names)
@@ -106,6 +113,16 @@ def parse(page: str) -> Node:
     """A tree of the elements that are not cut; unclosed and misnested tags are tolerated."""
     root = Node("#root", None, False)
     at, here = 0, root
+    unclosed: Counter[str] = Counter()
+    endless: set[str] = set()
+
+    def up_to(node: Node) -> Node:
+        left = here
+        while left is not node:
+            unclosed[left.tag] -= 1
+            left = left.parent
+        return node
+
     while True:
         m = TOKEN.search(page, at)
         text = page[at : m.start() if m else len(page)]
@@ -118,22 +135,30 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            here = _close(here, tag)
+            if unclosed[tag]:
+                here = up_to(_close(here, tag))
             continue
         written = m[3] if m[3] is not None else m[4] or ""
         if tag in RAW:
-            if not written.endswith("/"):
+            if not written.endswith("/") and tag not in endless:
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
+                if end:
+                    at = end.end()
+                elif tag in UNENDED:
+                    at = len(page)
+                else:
+                    endless.add(tag)
             continue
         if tag in VOID:
             here.parts.append(Node(tag, here, False) if tag == "hr" else " ")
             continue
-        here = _imply_end(here, tag)
+        if unclosed["p"] or tag in CLOSES:
+            here = up_to(_imply_end(here, tag))
         node = Node(tag, here, *_marks(tag, written, here))
         here.parts.append(node)
         if not (written.endswith("/") and tag not in BLOCK):
             here = node
+            unclosed[tag] += 1
 
 
 def _close(here: Node, tag: str) -> Node:
@@ -181,6 +206,8 @@ def _measure(nodes: list[Node]) -> None:
         own = sum(len(p.split()) and len(" ".join(p.split())) for p in node.parts if isinstance(p, str))
         kids = [p for p in node.parts if isinstance(p, Node) and not p.cut]
         node.chars = own + sum(k.chars for k in kids)
+        commas = sum(p.count(",") + p.count("،") + p.count("，") for p in node.parts if isinstance(p, str))
+        node.commas = commas + sum(k.commas for k in kids)
         node.linked = node.chars if node.tag == "a" else sum(k.linked for k in kids)
         node.own = _paragraph_points(node)
         node.mass = node.own + sum(k.mass for k in kids)
@@ -193,7 +220,7 @@ def _paragraph_points(node: Node) -> float:
         return 0.0
     if any(isinstance(p, Node) and p.tag in PARAGRAPHS for p in node.parts) and not direct:
         return 0.0
-    points = 1 + _commas(node) + min(node.chars / FULL_LENGTH, LENGTH_POINTS)
+    points = 1 + node.commas + min(node.chars / FULL_LENGTH, LENGTH_POINTS)
     return points * (1 - node.linked / node.chars)
 
 
@@ -253,15 +280,11 @@ def _score(root: Node) -> None:
     _measure(nodes)
     for node in nodes:
         ancestor, distance = (node.parent if node.tag in PARAGRAPHS else node), 0
-        while node.own and ancestor is not None and ancestor.tag != "#root":
+        while node.own and ancestor is not None and ancestor.tag != "#root" and distance <= REACH:
             ancestor.points += node.own / (1 if distance == 0 else 2 if distance == 1 else 3 * distance)
             ancestor, distance = ancestor.parent, distance + 1
 
 
-def _commas(node: Node) -> int:
-    return sum(p.count(",") + p.count("،") + p.count("，") for n in _walk(node) for p in n.parts if isinstance(p, str))
-
-
 def _rating(node: Node) -> float:
     return node.points * (1 - node.linked / node.chars) if node.chars else 0.0
 
@@ -315,6 +338,8 @@ def main_text(page: str | None) -> str:
                 break
         node = node.parent
     kept: list[Node | str] = [top]
+    if top.tag == "article" and top.parent is not None:  # one text may be told in several articles, side by side
+        kept = [p for p in top.parent.parts if p is top or (isinstance(p, Node) and p.tag == "article" and not p.cut and p.mass and p.linked * 4 <= p.chars)]
     while top.parent is not None and top.tag not in ("article", "main", "body", "html"):
         kept, top = _belonging(top.parent.parts, top, kept), top.parent
     return "\n".join(_blocks(kept))

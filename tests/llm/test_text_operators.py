@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -74,6 +75,28 @@ def test_deep_and_long_pages():
     assert main_text("<article>" + "<p>word, word</p>" * 20_000 + "</article>").count("\n") == 19_999
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<article><p>One, two.</p><p class='notice-period'>A month, then.</p><p class='notice'>Cookies, here.</p></article>", "One, two.\nA month, then."),
+        ("<article><p>One, two.</p></article><article><p>Three, four.</p></article>", "One, two.\nThree, four."),
+        ("<main><header><h1>Title</h1></header><p>One, two.</p></main>", "Title\nOne, two."),
+        ("<article><p>where <math><mi>x</mi></math> is <label>big</label></p></article>", "where x is big"),
+        ("<article><p>before <svg> text</p><p>after, all</p></article>", "before text\nafter, all"),
+        ("<article><p>before</p><script>p, q <p>after, all</p></article>", "before"),
+    ],
+)
+def test_nothing_of_an_article_is_dropped(html, want):
+    assert main_text(f"<html><body>{html}</body></html>") == want
+
+
+def test_time_follows_the_size_of_a_page():
+    for unit in ("<div>a, b ", "<div></b>x", "<svg>x ", "<b><p>x</p>"):
+        start = time.perf_counter()
+        main_text(unit * 20_000)
+        assert time.perf_counter() - start < 20, unit
+
+
 def test_extract_keeps_every_row(spark):
     rows = [(1, "u", None, 0), (2, None, "<p>x</p>", 0), (2, None, "<p>x</p>", 0), (None, "u", "", 0)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
