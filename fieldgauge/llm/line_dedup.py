@@ -232,8 +232,12 @@ def _short_sketch() -> list[Column]:
     """The sketch folded to ``SKETCH_BITS`` buckets, a column for each word: folding parities never
     adds a place, so a pair that the short sketches part is parted by the whole ones."""
     words = SKETCH_BITS // 64
-    at = [F.filter("sketch", lambda _, i, w=w: i % words == w) for w in range(words)]
-    return [F.aggregate(x, F.lit(0).cast("long"), lambda s, v: s.bitwiseXOR(v)).alias(f"s{w}") for w, x in enumerate(at)]
+
+    def word(w: int) -> Column:
+        same = F.filter("sketch", lambda _, i: i % words == w)
+        return F.aggregate(same, F.lit(0).cast("long"), lambda s, v: s.bitwiseXOR(v))
+
+    return [word(w).alias(f"s{w}") for w in range(words)]
 
 
 def _may_match(percent: int):

@@ -239,6 +239,11 @@ def test_sketches_prune_long_lines_and_lose_no_link(spark):
     sets = [set(line_dedup.exact_set(x).tolist()) for x in lines]
     linked = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
     assert linked and linked <= kept
+    short = known.select("id", "n", *line_dedup._short_sketch())
+    sides = [short.select(*[F.col(c).alias(f"{side}_{c}") for c in short.columns]) for side in "ab"]
+    met = spark.createDataFrame(pairs, "a long, b long").join(sides[0], F.col("a") == F.col("a_id")).join(sides[1], F.col("b") == F.col("b_id"))
+    passed = met.filter(line_dedup._may_match(80)(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}")))
+    assert kept <= {(r["a"], r["b"]) for r in passed.collect()}
     assert not any(100 * len(sets[a] & sets[b]) < 50 * len(sets[a] | sets[b]) for a, b in kept if min(sizes[a], sizes[b]) > 50)
 
 
