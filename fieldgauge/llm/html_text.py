@@ -58,7 +58,7 @@ NAME_PARTS = re.compile(r"[^a-z0-9]+")
 #: the points in another article or main element, or, for a discussion, in the rest of the page.
 ELSEWHERE_SHARE = 0.2
 FULL_LENGTH, LENGTH_POINTS = 100, 3
-#: Ancestors a paragraph gives points to; what the next would get is below a hundredth.
+#: Ancestors a paragraph gives points to; the next would get about a hundredth of them.
 REACH = 32
 
 
