@@ -606,9 +606,11 @@ def stream_unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as a stream of several batches in which every request comes twice."""
     source = fresh_path(spark, "payload")
     clean, rejected = (f"{kind}_{uuid.uuid4().hex}" for kind in ("clean", "rejected"))
-    for _ in range(2):
-        varied_payload(spark, sf_dir).coalesce(2).write.mode("append").parquet(source)
-    stream = inference_stream.read_payload_stream(spark, source, files_per_batch=2)
+    logged = varied_payload(spark, sf_dir)
+    logged.write.parquet(source)
+    spark.read.schema(logged.schema).parquet(source).write.mode("append").parquet(source)
+    files = len(spark.read.schema(logged.schema).parquet(source).inputFiles())  # grow with the log, batches do not
+    stream = inference_stream.read_payload_stream(spark, source, files_per_batch=-(-files // 2))
     inference_stream.unpack_stream(stream, clean, rejected, fresh_path(spark, "offsets")).start().awaitTermination()
     spark.sql(f"DROP TABLE {rejected}")
     return _shown(_detached(spark, clean))

@@ -134,15 +134,20 @@ def varied_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(c == 10, "oops")
         .otherwise(F.col("response"))
     )
+    kept_id = F.when(~F.coalesce(c == 0, F.lit(False)), F.col("request_id"))
+    retry = F.col("__again") & (c == 11)
+    changed = {
+        "request": F.when(retry, body(F.concat(inputs, inputs))).otherwise(request),
+        "response": F.when(retry, answer(F.concat(labels, labels))).otherwise(response),
+        "request_id": kept_id,
+        "timestamp_ms": F.col("timestamp_ms") + F.when(F.col("__again"), F.when(c == 11, 60_000).when(c == 12, -1000).otherwise(86_400_000)).otherwise(0),
+        "status_code": F.when(F.col("__again") & (c == 12), 500).otherwise(F.col("status_code")),
+        "date": F.when(F.col("__again") & (c == 13), F.date_add("date", 1)).otherwise(F.col("date")),
+    }
+    # both copies come from one row, so that a request is put together once
+    copies = F.when(c.isin(11, 12, 13), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     columns = ["request_id", "date", "timestamp_ms", "status_code", "request", "response", "request_metadata"]
-    base = whole.withColumns({"request": request, "response": response, "request_id": F.when(~F.coalesce(c == 0, F.lit(False)), F.col("request_id"))})
-    retry = whole.where(c == 11).withColumns(
-        {"timestamp_ms": F.col("timestamp_ms") + 60_000, "request": body(F.concat(inputs, inputs)), "response": answer(F.concat(labels, labels))}
-    )
-    failed = whole.where(c == 12).withColumns({"timestamp_ms": F.col("timestamp_ms") - 1000, "status_code": F.lit(500)})
-    again = whole.where(c == 13).withColumns({"timestamp_ms": F.col("timestamp_ms") + 86_400_000, "date": F.date_add("date", 1)})
-    parts = [x.select(*columns) for x in (base, retry, failed, again)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return whole.withColumn("__again", F.explode(copies)).withColumns(changed).select(*columns)
 
 
 def r6(column: Column | str) -> Column:
