@@ -51,12 +51,13 @@ def one_row_each(payload: DataFrame, request_key: str = REQUEST_KEY) -> DataFram
 
     A request without an id gets one made of its time and bodies (as JSON, which tells NULL from
     empty and one body from the other), so that it is kept, and a repeat of it is known as one. Rows are limited before the shuffle, so an id that is logged
-    over and over does not gather in one task.
+    over and over does not gather in one task; equal times are ordered by a hash of the bodies, so that
+    no second copy of them moves.
     """
     bodies = F.to_json(F.struct("timestamp_ms", "request", "response"), {"ignoreNullFields": "false"})
     content = F.sha2(bodies, 256)
     named = payload.withColumn(request_key, F.coalesce(F.col(request_key), F.concat(F.lit(NO_ID), content)))
-    earliest = Window.partitionBy(request_key).orderBy(F.col("timestamp_ms").asc_nulls_last(), F.xxhash64(bodies), bodies)
+    earliest = Window.partitionBy(request_key).orderBy(F.col("timestamp_ms").asc_nulls_last(), F.xxhash64(bodies), "request", "response")
     return named.withColumn("__n", F.row_number().over(earliest)).where("__n = 1").drop("__n")
 
 

@@ -322,9 +322,16 @@ def inference_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nameless(rejects).select("request_id", F.col("date").cast("string").alias("date"), "pos", "reason")
 
 
+def _successful_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The successful requests of a stored log, which several batches are taken from."""
+    folder, logged = fresh_path(spark, "payload"), varied_payload(spark, sf_dir)
+    logged.write.parquet(folder)
+    return inference_log.successful(spark.read.schema(logged.schema).parquet(folder))
+
+
 def inference_append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appended in two batches of days, then all days once more; the tables hold each request once."""
-    requests = inference_log.successful(varied_payload(spark, sf_dir))
+    requests = _successful_log(spark, sf_dir)
     early = requests.where(F.col("date") <= F.lit(REPORT_DAY).cast("date"))
     clean, rejected = (f"{kind}_{uuid.uuid4().hex}" for kind in ("clean", "rejected"))
     for batch in (early, requests, requests):
@@ -335,7 +342,7 @@ def inference_append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inference_append_late_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every request is logged once more 30 days later; the tables hold each once, under its first day."""
-    requests = inference_log.successful(varied_payload(spark, sf_dir))
+    requests = _successful_log(spark, sf_dir)
     again = requests.withColumn("date", F.date_add("date", 30))
     clean, rejected = (f"{kind}_{uuid.uuid4().hex}" for kind in ("clean", "rejected"))
     for batch in (requests, again):
