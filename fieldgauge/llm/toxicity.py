@@ -117,6 +117,10 @@ class Model:
     coefficients: np.ndarray
     chance: float = 1e-4
     _known: dict = field(default_factory=dict, repr=False, compare=False)
+    _heads: frozenset = field(init=False, repr=False, compare=False)
+
+    def __post_init__(self) -> None:
+        self._heads = frozenset(w[:LEAST_BEGINNING] for w in (*(b.removesuffix("$") for b in self.lexicon), *THREATS))
 
     def __getstate__(self) -> dict:
         return {**self.__dict__, "_known": {}}
@@ -140,17 +144,27 @@ class Model:
                 return symbol, THREAT_WEIGHT if symbol == THREAT else 0.0
         return OTHER, 0.0
 
+    def attacks(self, words: set[str]) -> set[str]:
+        """The words that are insults or threats; only words that begin like one are looked up."""
+        return {w for w in words if w[:LEAST_BEGINNING] in self._heads and self.symbol(w)[0] in (INSULT, THREAT)}
+
     def clauses(self, text: str | None) -> list[float]:
         """Weights of the clauses that hold an attack."""
         lowered = (text or "").lower()
-        if not any(self.symbol(w)[0] in (INSULT, THREAT) for w in set(WORDS.findall(lowered))):
-            return []
+        return self._weights(lowered, self.attacks(set(WORDS.findall(lowered))))
+
+    def _weights(self, lowered: str, attacks: set[str]) -> list[float]:
         found = []
-        for clause in CLAUSE_END.split(lowered):
+        for clause in CLAUSE_END.split(lowered) if attacks else ():
+            if not any(a in clause for a in attacks):
+                continue
             words = WORDS.findall(clause)
-            for part in range(0, len(words), CLAUSE_WORDS):
+            for start in range(0, len(words), CLAUSE_WORDS):
+                part = words[start : start + CLAUSE_WORDS]
+                if attacks.isdisjoint(part):
+                    continue
                 state, weight, threat = 0, 0.0, 0.0
-                for w in words[part : part + CLAUSE_WORDS]:
+                for w in part:
                     symbol, lexical = self.symbol(w)
                     state, out, factor = GRAMMAR.moves[state, symbol]
                     if symbol == THREAT:
@@ -158,14 +172,15 @@ class Model:
                     elif out in ATTACKS:
                         weight += lexical * factor
                 bonus = GRAMMAR.finals[state]
-                if weight or threat:
-                    found.append(weight * bonus + threat * (bonus if bonus > 1 else UNTARGETED))
+                found.append(weight * bonus + threat * (bonus if bonus > 1 else UNTARGETED))
         return found
 
     def evidence(self, text: str | None) -> tuple[float, int, int]:
         """Weight of the strongest clause, distinct insults, and words."""
-        words = WORDS.findall((text or "").lower())
-        return max(self.clauses(text), default=0.0), sum(self.symbol(w)[0] == INSULT for w in set(words)), len(words)
+        lowered = (text or "").lower()
+        words = WORDS.findall(lowered)
+        attacks = self.attacks(set(words))
+        return max(self._weights(lowered, attacks), default=0.0), sum(self.symbol(w)[0] == INSULT for w in attacks), len(words)
 
     def score(self, text: str | None) -> float:
         return float(1 / (1 + np.exp(-np.clip(features(*self.evidence(text), self.chance) @ self.coefficients, -30, 30))))

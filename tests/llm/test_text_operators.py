@@ -5,6 +5,7 @@ import re
 import time
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,3 +213,21 @@ def test_grammar_discounts_negation_and_report():
     told, aimed = model.clauses("they wrote idiot"), model.clauses("you idiot")
     assert plain == [4.0] and denied[0] < plain[0] and aimed[0] > plain[0]
     assert told[0] < aimed[0] and model.clauses("calm words") == [] and len(model.clauses("idiot. idiot")) == 2
+
+
+def test_toxicity_looks_up_only_words_that_may_be_attacks():
+    rng = random.Random(7)
+    letters = "abvzéstk"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(3000)]
+    model = toxicity.Model({"vak": 1.5, "zabst": 2.0, "st$": 0.7, "abé$": 1.0}, np.array([-2.0, 1.5, 1.0]))
+    attacks = {w for w in words if w.startswith(("vak", "zabst")) or w in ("st", "abé")}
+    assert len(attacks) > 5 and model.attacks({*words, "kill"}) == {*attacks, "kill"}
+    fresh = toxicity.Model(model.lexicon, model.coefficients)
+    text = " ".join(["you", *words[:40], "not", *words[40:]]) + ". vakten you, he said zabstig. not kill. calm"
+    strongest, distinct, n = fresh.evidence(text)
+    found = toxicity.WORDS.findall(text)
+    assert (distinct, n) == (sum(fresh._look_up(w)[0] == toxicity.INSULT for w in set(found)), len(found))
+    assert strongest == max(fresh.clauses(text)) > 0
+    calm = toxicity.Model(model.lexicon, model.coefficients)
+    assert calm.evidence(" ".join(w for w in words if w[:3] not in ("vak", "zab", "abé") and w != "st"))[:2] == (0.0, 0)
+    assert len(calm._known) < 20  # before, each word had an entry, and many words threw each other out
