@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from fieldgauge import schemas
@@ -12,7 +12,7 @@ from fieldgauge.operators import gates
 from fieldgauge.operators.inference_log import capture_scores
 from fieldgauge.operators.modeling import ScaledTree, score, tune_tree
 from fieldgauge.plans.feature_job import FeatureTables, run_feature_job
-from fieldgauge.plans.monitoring_job import process_day, refresh_monitor
+from fieldgauge.plans.monitoring_job import _logged_days, process_day, refresh_monitor
 from fieldgauge.plans.training_job import TrainingPaths, run_training_job
 from fieldgauge.streaming import inference_stream
 
@@ -171,3 +171,22 @@ def test_profile_stream_updates_across_batches(spark, tmp_path):
         inference_stream.window_profile_stream(stream, ["CO2"], out, checkpoint).start().awaitTermination()
     found = inference_stream.latest_profile(spark, out).orderBy("window_start").collect()
     assert [r["n"] for r in found] == [87, 13] and found[0]["max"] == 86.0 and found[1]["mean"] == 93.0
+
+
+def test_checksum_of_a_day_is_a_hash_of_the_columns(spark, monkeypatch):
+    columns = "timestamp_ms timestamp, date date, Temperature double, Light double"
+    day = dt.datetime(2024, 1, 15)
+    table = lambda *values: spark.createDataFrame([(day, day.date(), *v) for v in values], columns)
+    plans, grouped = [], type(table((1.0, 2.0)).groupBy()).agg
+
+    def agg(self, *measures):
+        found = grouped(self, *measures)
+        plans.append(plan(found))
+        return found
+
+    monkeypatch.setattr(type(table((1.0, 2.0)).groupBy()), "agg", agg)
+    checksum = lambda *values: _logged_days(table(*values))[day.date()][3]
+    assert checksum((1.0, None), (3.0, 4.0)) == checksum((3.0, 4.0), (1.0, None))
+    several = [checksum(x) for x in ((1.0, None), (None, 1.0), (None, None), (1.0, 1.0), (1.0, 2.0), (2.0, 1.0))]
+    assert len(set(several)) == len(several)
+    assert plans and not any("json" in p.lower() for p in plans)  # a row is not written as text to be hashed
