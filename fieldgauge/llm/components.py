@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fieldgauge.llm.tables import stored
 
 HUB_ROUNDS, HUBS, JITTER = 2, 4, 0.15
+#: Links and labels (16 bytes each) that may be broadcast; more are joined by a shuffle.
+BROADCAST_LINKS = 500_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -59,11 +61,11 @@ def link(
     costs a few comparisons each instead of one for each pair.
     """
     own = members.select("id", F.col("id").alias("label"))
-    labels, edges = own, None
+    labels = own
     postings = stored(postings.join(_popularity(postings), "gid"), "postings")
     labelled = postings.withColumns({"low": F.col("gid"), "high": F.col("gid")})
     if links is not None:
-        edges, labels = _merged(None, links, own)
+        labels = _merged(own, links)
         labelled = _still_open(postings, members, labels)
     for seed in range(rounds):
         read = [F.col(c) for c in labelled.columns if c not in ("key", "band")]
@@ -78,7 +80,7 @@ def link(
         pairs = met.groupBy("a").agg(F.min(F.struct("distance", -F.col("shared"), "b")).alias("x")).select("a", "x.b")
         if seed == 0:
             pairs = pairs.unionByName(members.filter("gid <> id").select(F.col("gid").alias("a"), F.col("id").alias("b")))
-        edges, labels = _merged(edges, verified(stored(_distinct(pairs), "pairs")), own)
+        labels = _merged(labels, verified(stored(_distinct(pairs), "pairs")))
         labelled = _still_open(postings, members, labels)
     left = labelled
     other = left.select("key", *[F.col(c).alias(f"o_{c}") for c in left.columns if c != "key"])
@@ -92,8 +94,7 @@ def link(
     second = known.select(F.col("gid").alias("o"), F.col("id").alias("b"), F.col("label").alias("lb"))
     pairs = groups.unionByName(within).join(first, "g").join(second, "o").filter("la <> lb")
     pairs = pruned(_distinct(pairs.select("a", "b"))).select("a", "b")
-    edges, labels = _merged(edges, verified(stored(pairs, "pairs")), own)
-    return labels
+    return _merged(labels, verified(stored(pairs, "pairs")))
 
 
 def _popularity(postings: DataFrame) -> DataFrame:
@@ -123,9 +124,20 @@ def _distinct(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
 
-def _merged(edges: DataFrame | None, more: DataFrame, own: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All edges so far, and the label of every item."""
-    edges = stored(more if edges is None else edges.unionByName(more), "links")
-    found = components(edges)
-    labels = own.select("id").join(found, "id", "left").select("id", F.coalesce("label", "id").alias("label"))
-    return edges, stored(labels, "labels")
+def _few(df: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_LINKS else df
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The label of every item with more links (a, b). Only links between components are followed,
+    from label to label: a label is the least id of its component, so the least of several is too."""
+    found = stored(links, "links")
+    for end in ("a", "b"):
+        found = _few(found).join(labels.select(F.col("id").alias(end), F.col("label").alias(f"l{end}")), end)
+        found = stored(found, "links") if end == "a" else found
+    between = stored(found.filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "between")
+    if between.isEmpty():
+        return labels
+    lower = stored(components(between).select(F.col("id").alias("label"), F.col("label").alias("lower")), "lower")
+    return stored(labels.join(_few(lower), "label", "left").select("id", F.coalesce("lower", "label").alias("label")), "labels")

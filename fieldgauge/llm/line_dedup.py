@@ -25,6 +25,8 @@ BANDS = BINS // ROWS
 BORROWINGS = 32
 SKETCH_BITS = 256  # at least; a longer line has as many as shingles, up to the next power of two
 CHUNK = 50_000  # characters handled at once, so that the arrays stay in a core's cache
+#: All pairs of a key that at most so many lines share are listed; lines of other keys meet hubs.
+LISTED = 16
 #: Rows that may be broadcast: places of lines to be verified (24 bytes), shared keys and ids (8).
 BROADCAST_LINES, BROADCAST_KEYS = 500_000, 1_000_000
 #: Numbers of dropped lines (4 bytes, and 24 for each document) that may be broadcast.
@@ -204,15 +206,16 @@ def _pruner(descriptions: DataFrame, members: DataFrame, percent: int):
     adds the number of places as ``distance``."""
     known = descriptions.join(_small(members.select("id"), BROADCAST_KEYS), "id").select("id", "n", "sketch")
     known = stored(known.dropDuplicates(["id"]), "sketches")
-    one = known.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
-    two = known.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
+    return lambda pairs: _near(pairs, known, percent)
 
-    def pruned(pairs: DataFrame) -> DataFrame:
-        differ = F.aggregate(F.zip_with(_folded("ka", "kb"), _folded("kb", "ka"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        near = pairs.join(one, "a").join(two, "b").withColumn("distance", differ)
-        return near.filter(_alike(F.col("na"), F.col("nb"), F.col("distance"), percent)).drop("na", "nb", "ka", "kb")
 
-    return pruned
+def _near(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sketches may link, with their ``distance``."""
+    one = known.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
+    two = known.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
+    differ = F.aggregate(F.zip_with(_folded("ka", "kb"), _folded("kb", "ka"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    near = pairs.join(one, "a").join(two, "b").withColumn("distance", differ)
+    return near.filter(_alike(F.col("na"), F.col("nb"), F.col("distance"), percent)).drop("na", "nb", "ka", "kb")
 
 
 def _spared(total: Column) -> Column:
@@ -278,6 +281,34 @@ def _verifier(documents: DataFrame, places: DataFrame, percent: int):
     return verified
 
 
+def _met(descriptions: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of lines that share a key with few others, and the postings of crowded keys.
+
+    Keys are shuffled once. One of two lines is a pair as it is summed up; lines of more keep their
+    key and short sketch, and are compared where they meet.
+    """
+    keyed = descriptions.select(F.col("id").alias("gid"), F.explode("bands").alias("key"))
+    by_key = keyed.groupBy("key").agg(F.min("gid").alias("a"), F.max("gid").alias("b"), F.count("*").alias("c")).filter("c > 1")
+    by_key = stored(by_key, "keys")
+    keys = by_key.filter("c > 2").select("key", "c")
+    if keys.count() <= BROADCAST_KEYS:  # then only postings of such keys leave the descriptions
+        wide = descriptions.select(F.col("id").alias("gid"), "n", "sketch", F.explode("bands").alias("key")).join(F.broadcast(keys), "key")
+    else:
+        wide = keyed.join(keys, "key").join(descriptions.select(F.col("id").alias("gid"), "n", "sketch"), "gid")
+    postings = stored(wide.select("gid", "key", F.lit(0).alias("band"), "c", "n", *_short_sketch()), "postings")
+    few, crowded = postings.filter(F.col("c") <= LISTED).drop("c", "band"), postings.filter(F.col("c") > LISTED).drop("c")
+    other = few.select("key", *[F.col(c).alias(f"o_{c}") for c in few.columns if c != "key"])
+    meet = few.join(other, "key").filter((F.col("gid") < F.col("o_gid")) & _may_match(percent)(lambda c: F.col(c), lambda c: F.col(f"o_{c}")))
+    pairs = by_key.filter("c = 2 and a <> b").select("a", "b").unionByName(meet.select(F.col("gid").alias("a"), F.col("o_gid").alias("b")))
+    return pairs.distinct(), crowded
+
+
+def _verified_first(pairs: DataFrame, descriptions: DataFrame, percent: int, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The links among listed pairs, stored."""
+    near = _near(pairs, descriptions.select("id", "n", "sketch"), percent).select("a", "b").distinct()
+    return stored(verified(stored(near, "pairs")), "links")
+
+
 def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text, n_lines, n_kept): every document with only the lines that stay.
 
@@ -298,20 +329,11 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     firsts = F.broadcast(firsts) if classes.count() <= BROADCAST_LINES else firsts
     described_at = rows.join(firsts, KEY).select("text", "wanted")
     descriptions = stored(described_at.mapInArrow(_describe, "id long, n int, bands array<long>, sketch array<long>"), "descriptions")
-    keyed = descriptions.select(F.col("id").alias("gid"), F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    postings = keyed.join(_small(stored(shared, "keys"), BROADCAST_KEYS), "key").withColumn("band", F.lit(0))
-    postings = stored(postings, "postings")
-    members = stored(postings.select("gid", F.col("gid").alias("id")).distinct(), "members")
-    places = classes.select(f"place.{KEY}", "place.line_no", "id")
-    pruned, verified = _pruner(descriptions, members, percent), _verifier(rows, places, percent)
-    # most keys are shared by two lines only, which are one pair; the others go through hubs
-    by_key = stored(postings.groupBy("key").agg(F.min("gid").alias("a"), F.max("gid").alias("b"), F.count("*").alias("c")), "keys")
-    pairs = pruned(by_key.filter("c = 2").select("a", "b").distinct()).select("a", "b")
-    short = descriptions.select(F.col("id").alias("gid"), "n", *_short_sketch())
-    crowded = postings.join(by_key.filter("c > 2").select("key"), "key", "left_semi")
-    crowded = stored(crowded.join(short, "gid"), "crowded")
-    labels = link(crowded, members, _may_match(percent), pruned, verified, links=verified(stored(pairs, "pairs")))
+    listed, crowded = _met(descriptions, percent)
+    links = _verified_first(listed, descriptions, percent, verified := _verifier(rows, classes.select(f"place.{KEY}", "place.line_no", "id"), percent))
+    ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
+    members = stored(crowded.select(F.col("gid").alias("id")).unionByName(ends).distinct().withColumn("gid", F.col("id")), "members")
+    labels = link(crowded, members, _may_match(percent), _pruner(descriptions, members, percent), verified, links=links)
     linked = classes.join(labels, "id")
     keeper = linked.groupBy("label").agg(F.min("place").alias("keep"))
     alone = classes.join(labels.select("id"), "id", "left_anti")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import Column
 
 from fieldgauge.session import fresh_path
 
+#: Spark removes the shuffle files of a query when that query ends, not when the driver happens to collect its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -14,14 +19,30 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run meanwhile go when these end; the setting of the session is put back."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write once to the shared folder and go on from the files.
 
     This cuts the lineage: a lost executor costs a re-read of files, not a recomputation,
-    and every later use sees the same rows.
+    and every later use sees the same rows. What was shuffled for it is of no use once it is
+    written, and is removed.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path, compression=compression)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
