@@ -62,6 +62,7 @@ def rake(cells: DataFrame, flattening: dict[str, float], max_sweeps: int = MAX_S
         ).drop("__v")
     current = stored(with_targets, "cells")
     for _ in range(0, max_sweeps, SWEEPS_A_JOB):
+        current = current.coalesce(1)  # the cells, which are few: no sweep shuffles them, whatever the number of partitions
         for _ in range(SWEEPS_A_JOB):
             for d in flattening:
                 have = F.sum("weight").over(Window.partitionBy(d))

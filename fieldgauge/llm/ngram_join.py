@@ -67,9 +67,9 @@ def bucket_frequencies(documents: DataFrame, words: int, buckets: int) -> np.nda
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(sums[some])], names=["bucket", "n"])
 
-    summed = documents.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    summed = documents.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # a row for each bucket
     table = np.zeros(buckets, dtype=np.int64)
-    table[summed["bucket"]] = summed["n"]
+    table[summed["bucket"].to_numpy()] = summed["n"].to_numpy()
     return table
 
 

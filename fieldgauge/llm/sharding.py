@@ -124,7 +124,7 @@ def shard_tree(meta: DataFrame, target_bytes: int | None = None, shards: int | N
                 "c_lo": r["c_min"], "c_hi": r["c_max"], "i_lo": r["i_min"], "i_hi": r["i_max"],
             }
         splits = _boundaries(nodes, state)
-        nodes = _descend(nodes, splits)
+        nodes = stored(_descend(nodes, splits), "nodes")  # else each pass of the next level plans and joins all levels before it
         grown = {n: k for n, k in leaves.items() if n not in splits}
         for n in level - set(splits):  # a node without rows is one leaf
             grown[n] = 1

@@ -6,10 +6,11 @@ import random
 import time
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import components, line_dedup, tables
+from fieldgauge.llm import components, line_dedup, mixing, ngram_join, sharding, tables
 
 
 def union_find(items, links):
@@ -95,3 +96,40 @@ def test_more_links_join_components_and_only_links_between_them_are_followed(spa
         labels = components._merged(labels, spark.createDataFrame(second, "a long, b long"))
         assert {r["id"]: r["label"] for r in labels.collect()} == union_find(range(12), first + second)
         assert followed[-1] == {frozenset((7, 3)), frozenset((1, 0))}
+
+def test_bucket_counts_reach_the_driver_as_columns(spark, monkeypatch):
+    texts = ["a b c d e", "a b c d", None, "x", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    monkeypatch.setattr(type(df), "toPandas", lambda self: pytest.fail("rows are held as objects"))
+    table = ngram_join.bucket_frequencies(df, 4, 64)
+    want = np.zeros(64, dtype=np.int64)
+    for t in texts:
+        for h in ngram_join.shingle_set(t, 4).tolist():
+            want[h % 64] += 1
+    assert table.tolist() == want.tolist() and want.sum() == 4
+
+
+def test_sweeps_over_cells_shuffle_nothing(spark, monkeypatch):
+    plans, keep = [], mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df, label))
+    rows = [(s, l, t, 10 + i) for i, (s, l, t) in enumerate((s, l, t) for s in ("a", "b", None) for l in ("x", "y") for t in ("p", "q"))]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    raked = mixing.rake(cells, mixing.FLATTENING).collect()
+    sweeps = [p for p in plans if "Window" in p]
+    assert sweeps and not any("Exchange" in p for p in sweeps)
+    for place, power in enumerate(mixing.FLATTENING.values()):
+        sums, have = {}, {}
+        for r in raked:
+            sums[r[place]] = sums.get(r[place], 0) + r["tokens"]
+            have[r[place]] = have.get(r[place], 0) + r["weight"]
+        flat = {k: v**power for k, v in sums.items()}
+        assert all(abs(have[k] / sum(sums.values()) - flat[k] / sum(flat.values())) < 1e-6 for k in sums)
+
+
+def test_passes_of_a_level_do_not_join_the_levels_before_it(spark, monkeypatch):
+    joins, select = [], sharding._select
+    monkeypatch.setattr(sharding, "_select", lambda rows, *a: joins.append(rows._jdf.queryExecution().optimizedPlan().toString().count("Join ")) or select(rows, *a))
+    rows = [(i, "x" * (1 + i * 37 % 101)) for i in range(64)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), shards=8).collect()
+    assert len(joins) >= 6 and max(joins) <= 3
+    assert len(got) == 64 and {r["shard"] for r in got} == set(range(8))
