@@ -17,13 +17,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldgauge.llm.components import link
 from fieldgauge.llm.decontamination import KEY, row_key
-from fieldgauge.llm.tables import stored
+from fieldgauge.llm.key_meeting import meet
+from fieldgauge.llm.tables import discard, stored
 
 CHARACTERS, PERCENT = 5, 80
 BINS, ROWS = 48, 4
 BANDS = BINS // ROWS
 BORROWINGS = 32
 SKETCH_BITS = 256  # at least; a longer line has as many as shingles, up to the next power of two
+SEEN = 1_000_000  # lines that a task remembers
 CHUNK = 50_000  # characters handled at once, so that the arrays stay in a core's cache
 #: All pairs of a key that at most so many lines share are listed; lines of other keys meet hubs.
 LISTED = 16
@@ -56,12 +58,24 @@ def _points(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def exact_set(line: str) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the character shingles of one line."""
-    points = _points([line])[0].astype(np.uint64)
+    return exact_sets([line])[0]
+
+
+def exact_sets(lines: list[str]) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the character shingles of each line."""
+    points, lengths = _points(lines)
+    points = points.astype(np.uint64)
     size = len(points) - CHARACTERS + 1
     code = points[:size].copy()
     for i in range(1, CHARACTERS):
-        code = code * _PRIME + points[i : i + size]
-    return np.unique(_mixed(code))
+        code *= _PRIME
+        code += points[i : i + size]
+    code, ends, sets = _mixed(code), np.cumsum(lengths), []
+    for end, length in zip(ends.tolist(), lengths.tolist(), strict=True):
+        own = code[end - length : end - CHARACTERS + 1]
+        own.sort()
+        sets.append(own[np.r_[True, own[1:] != own[:-1]]])
+    return sets
 
 
 def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -135,11 +149,10 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return code
 
 
-def _compared(text: str | None, wanted: list[int] | None = None) -> Iterator[tuple[int, str]]:
-    """Number and normal form of the lines of a text that are not blank, or of the wanted ones."""
-    lines = (text or "").split("\n")
-    for n in range(len(lines)) if wanted is None else wanted:
-        compared = normal(lines[n])
+def _compared(text: str | None) -> Iterator[tuple[int, str]]:
+    """Number and normal form of the lines of a text that are not blank."""
+    for n, line in enumerate((text or "").split("\n")):
+        compared = normal(line)
         if compared:
             yield n, compared
 
@@ -149,39 +162,45 @@ def _names(lines: list[str]) -> pa.Array:
     return pa.array(np.fromiter(map(xxhash.xxh3_64_intdigest, lines), dtype=np.uint64, count=len(lines)).view(np.int64))
 
 
-def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every line by its id alone."""
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every line by its id, ``CHUNK`` characters at a time; a line that the task has not seen before
+    with its description. A task that has seen many lines forgets them, and describes some again."""
+
+    def rows(docs: pa.RecordBatch, at: list[int], numbers: list[int], lines: list[str]) -> pa.RecordBatch:
+        names = _names(lines)
+        new = []
+        for i, name in enumerate(names.to_pylist()):
+            if name not in seen:
+                seen.add(name)
+                new.append(i)
+        take = pa.array(at, pa.int64())
+        columns = [docs.column("doc_id").take(take), docs.column(KEY).take(take), pa.array(numbers, pa.int32()), names]
+        if new:
+            sizes, signature, sketch = described([lines[i] for i in new])
+            place = np.full(len(lines), -1)
+            place[new] = np.arange(len(new))
+            place = pa.array(place, pa.int64(), mask=place < 0)
+            columns += [x.take(place) for x in (pa.array(sizes), _lists(band_keys(signature).view(np.int64)), sketch)]
+        else:
+            columns += [pa.nulls(len(lines), pa.int32()), *[pa.nulls(len(lines), pa.list_(pa.int64()))] * 2]
+        if len(seen) > SEEN:
+            seen.clear()
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", KEY, "line_no", "id", "n", "bands", "sketch"])
+
+    seen: set[int] = set()
     for batch in batches:
-        docs, numbers, lines = [], [], []
+        at, numbers, lines, size = [], [], [], 0
         for d, text in enumerate(batch.column("text")):
             for n, line in _compared(text.as_py()):
-                docs.append(d)
+                at.append(d)
                 numbers.append(n)
                 lines.append(line)
-        take = pa.array(docs, pa.int64())
-        columns = [batch.column("doc_id").take(take), batch.column(KEY).take(take), pa.array(numbers, pa.int32()), _names(lines)]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", KEY, "line_no", "id"])
-
-
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The descriptions of the wanted lines, ``CHUNK`` characters at a time."""
-
-    def rows(lines: list[str]) -> pa.RecordBatch:
-        sizes, signature, sketch = described(lines)
-        columns = [_names(lines), pa.array(sizes), _lists(band_keys(signature).view(np.int64)), sketch]
-        return pa.RecordBatch.from_arrays(columns, names=["id", "n", "bands", "sketch"])
-
-    lines, size = [], 0
-    for batch in batches:
-        for text, wanted in zip(batch.column("text"), batch.column("wanted"), strict=True):
-            for _, line in _compared(text.as_py(), wanted.as_py()):
-                lines.append(line)
                 size += len(line)
                 if size >= CHUNK:
-                    yield rows(lines)
-                    lines, size = [], 0
-    if lines:
-        yield rows(lines)
+                    yield rows(batch, at, numbers, lines)
+                    at, numbers, lines, size = [], [], [], 0
+        if lines:
+            yield rows(batch, at, numbers, lines)
 
 
 def _lists(values: np.ndarray) -> pa.Array:
@@ -201,11 +220,16 @@ def _folded(sketch: str, other: str) -> Column:
     return F.when(F.size(sketch) > F.size(other), halves).otherwise(F.col(sketch))
 
 
+def _sketches(descriptions: DataFrame, members: DataFrame) -> DataFrame:
+    """(id, n, sketch) of each member, stored."""
+    known = descriptions.join(_small(members.select("id"), BROADCAST_KEYS), "id").select("id", "n", "sketch")
+    return stored(known.dropDuplicates(["id"]), "sketches")
+
+
 def _pruner(descriptions: DataFrame, members: DataFrame, percent: int):
     """Drops pairs whose parities differ in more places than the sets of linked lines may, and
     adds the number of places as ``distance``."""
-    known = descriptions.join(_small(members.select("id"), BROADCAST_KEYS), "id").select("id", "n", "sketch")
-    known = stored(known.dropDuplicates(["id"]), "sketches")
+    known = _sketches(descriptions, members)
     return lambda pairs: _near(pairs, known, percent)
 
 
@@ -257,16 +281,22 @@ def _verifier(documents: DataFrame, places: DataFrame, percent: int):
     """Keeps the pairs (a, b) of lines whose shingle sets reach the threshold."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_set = None, None
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
-                if x != last or last_set is None:
-                    last, last_set = x, exact_set(normal(x))
-                other = exact_set(normal(y))
-                common = len(np.intersect1d(last_set, other, assume_unique=True))
-                keep.append(100 * common >= percent * (len(last_set) + len(other) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            done = 0
+            while done < batch.num_rows:
+                one, two, size = [], [], 0
+                while done + len(one) < batch.num_rows and size < CHUNK:
+                    one.append(normal(batch.column("ta")[done + len(one)].as_py()))
+                    two.append(normal(batch.column("tb")[done + len(two)].as_py()))
+                    size += len(one[-1]) + len(two[-1])
+                keep = []
+                for x, y in zip(exact_sets(one), exact_sets(two), strict=True):
+                    both = np.concatenate([x, y])
+                    both.sort()
+                    common = np.count_nonzero(both[1:] == both[:-1])
+                    keep.append(100 * common >= percent * (len(x) + len(y) - common))
+                yield batch.select(["a", "b"]).slice(done, len(keep)).filter(pa.array(keep, pa.bool_()))
+                done += len(keep)
 
     def verified(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
@@ -275,38 +305,18 @@ def _verifier(documents: DataFrame, places: DataFrame, percent: int):
         # the generator keeps the split out of the loop over the wanted lines: a text is split once
         parted = documents.join(wanted, KEY).select(F.inline(F.array(F.struct(F.split("text", "\n").alias("parts"), "wanted"))))
         texts = parted.select(F.inline(F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), F.get("parts", w["line_no"]).alias("line")))))
+        texts = stored(texts, "texts")
         both = pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("tb")), "b").join(texts.select(F.col("id").alias("a"), F.col("line").alias("ta")), "a")
-        return both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long").distinct()
+        links = stored(both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long").distinct(), "links")
+        discard(texts)
+        return links
 
     return verified
 
 
 def _met(descriptions: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of lines that share a key with few others, and the postings of crowded keys.
-
-    Keys are shuffled once. One of two lines is a pair as it is summed up; lines of more keep their
-    key and short sketch, and are compared where they meet.
-    """
-    keyed = descriptions.select(F.col("id").alias("gid"), F.explode("bands").alias("key"))
-    by_key = keyed.groupBy("key").agg(F.min("gid").alias("a"), F.max("gid").alias("b"), F.count("*").alias("c")).filter("c > 1")
-    by_key = stored(by_key, "keys")
-    keys = by_key.filter("c > 2").select("key", "c")
-    if keys.count() <= BROADCAST_KEYS:  # then only postings of such keys leave the descriptions
-        wide = descriptions.select(F.col("id").alias("gid"), "n", "sketch", F.explode("bands").alias("key")).join(F.broadcast(keys), "key")
-    else:
-        wide = keyed.join(keys, "key").join(descriptions.select(F.col("id").alias("gid"), "n", "sketch"), "gid")
-    postings = stored(wide.select("gid", "key", F.lit(0).alias("band"), "c", "n", *_short_sketch()), "postings")
-    few, crowded = postings.filter(F.col("c") <= LISTED).drop("c", "band"), postings.filter(F.col("c") > LISTED).drop("c")
-    other = few.select("key", *[F.col(c).alias(f"o_{c}") for c in few.columns if c != "key"])
-    meet = few.join(other, "key").filter((F.col("gid") < F.col("o_gid")) & _may_match(percent)(lambda c: F.col(c), lambda c: F.col(f"o_{c}")))
-    pairs = by_key.filter("c = 2 and a <> b").select("a", "b").unionByName(meet.select(F.col("gid").alias("a"), F.col("o_gid").alias("b")))
-    return pairs.distinct(), crowded
-
-
-def _verified_first(pairs: DataFrame, descriptions: DataFrame, percent: int, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The links among listed pairs, stored."""
-    near = _near(pairs, descriptions.select("id", "n", "sketch"), percent).select("a", "b").distinct()
-    return stored(verified(stored(near, "pairs")), "links")
+    """Pairs (a, b) of lines that share a key and may link, and (key, gid) of lines in larger groups."""
+    return meet(descriptions, percent, LISTED)
 
 
 def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -320,25 +330,27 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     are ignored.
     """
     rows = documents.select("doc_id", "text", row_key().alias(KEY))
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {KEY} long, line_no int, id long"
-    lines = stored(rows.mapInArrow(_identify, schema), "lines")
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {KEY} long, line_no int, id long, n int, bands array<long>, sketch array<long>"
+    every = stored(rows.mapInArrow(_describe, schema), "described")
+    lines = stored(every.select("doc_id", KEY, "line_no", "id"), "lines")
     first = F.min(F.struct("doc_id", KEY, "line_no")).alias("place")
     classes = stored(lines.groupBy("id").agg(first, F.count("*").alias("c")), "classes")
-    # each different line is described once, where it occurs first
-    firsts = classes.groupBy(f"place.{KEY}").agg(F.collect_list("place.line_no").alias("wanted"))  # no more than a document's own lines
-    firsts = F.broadcast(firsts) if classes.count() <= BROADCAST_LINES else firsts
-    described_at = rows.join(firsts, KEY).select("text", "wanted")
-    descriptions = stored(described_at.mapInArrow(_describe, "id long, n int, bands array<long>, sketch array<long>"), "descriptions")
+    descriptions = every.filter("n is not null").select("id", "n", "bands", "sketch")
     listed, crowded = _met(descriptions, percent)
-    links = _verified_first(listed, descriptions, percent, verified := _verifier(rows, classes.select(f"place.{KEY}", "place.line_no", "id"), percent))
+    verified = _verifier(rows, classes.select(f"place.{KEY}", "place.line_no", "id"), percent)
+    links = verified(stored(listed, "pairs"))
+    crowded = stored(crowded, "crowded")
+    grouped = stored(crowded.select(F.col("gid").alias("id")).distinct(), "grouped")
+    known = _sketches(descriptions, grouped)
+    discard(every)
     ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
-    members = stored(crowded.select(F.col("gid").alias("id")).unionByName(ends).distinct().withColumn("gid", F.col("id")), "members")
-    labels = link(crowded, members, _may_match(percent), _pruner(descriptions, members, percent), verified, links=links)
-    linked = classes.join(labels, "id")
-    keeper = linked.groupBy("label").agg(F.min("place").alias("keep"))
-    alone = classes.join(labels.select("id"), "id", "left_anti")
-    kept_at = linked.join(keeper, "label").select("id", "c", "place", "keep").unionByName(alone.select("id", "c", "place", F.col("place").alias("keep")))
-    # a line that occurs once and is its own keeper loses nothing
+    members = stored(grouped.unionByName(ends).distinct().withColumn("gid", F.col("id")), "members")
+    postings = crowded.join(known.select(F.col("id").alias("gid"), "n", *_short_sketch()), "gid").withColumn("band", F.lit(0))
+    labels = link(postings, members, _may_match(percent), lambda pairs: _near(pairs, known, percent), verified, links=links)
+    # of a line that occurs once and has no link nothing is dropped
+    labelled = classes.join(_small(labels, BROADCAST_LINES), "id", "left").filter("c > 1 or label is not null")
+    labelled = stored(labelled.select("id", "c", "place", F.coalesce("label", "id").alias("label")), "labelled")
+    kept_at = labelled.join(labelled.groupBy("label").agg(F.min("place").alias("keep")), "label")
     losing = stored(
         kept_at.filter((F.col("c") > 1) | (F.col("place") != F.col("keep"))).select("id", F.col(f"keep.{KEY}").alias("kk"), F.col("keep.line_no").alias("kn")), "keepers"
     )
@@ -353,12 +365,13 @@ def dedup_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     if (dropped.agg(F.sum(F.size("gone")).alias("n")).first()["n"] or 0) <= BROADCAST_DROPPED:
         dropped = F.broadcast(dropped)
     parts = F.split("text", "\n")
-    stay = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.coalesce("gone", F.array().cast("array<int>"))))
+    # a document that loses nothing is not put together again
+    stay = F.when(F.col("gone").isNotNull(), F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "gone")))
     built = rows.join(dropped, KEY, "left").select("doc_id", "text", F.inline(F.array(F.struct(parts.alias("parts"), stay.alias("stay")))))
     text = F.array_join(F.transform("stay", lambda i: F.get("parts", i)), "\n")
     return built.select(
         "doc_id",
-        F.when(F.col("text").isNotNull(), text).alias("text"),
+        F.when(F.col("stay").isNull(), F.col("text")).otherwise(text).alias("text"),
         F.when(F.col("text").isNull(), 0).otherwise(F.size("parts")).cast("long").alias("n_lines"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("stay")).cast("long").alias("n_kept"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.coalesce(F.when(F.col("stay").isNotNull(), F.size("stay")), F.size("parts"))).cast("long").alias("n_kept"),
     )

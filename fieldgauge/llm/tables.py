@@ -46,6 +46,15 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing will read again."""
+    for table in tables:
+        jvm, jsc = table.sparkSession._jvm, table.sparkSession._jsc
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A to Z only."""
     return F.translate(text, UPPER, LOWER)

@@ -2,6 +2,7 @@
 
 import glob
 import itertools
+import os
 import random
 import time
 from collections import defaultdict
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import components, line_dedup, mixing, ngram_join, sharding, tables
+from fieldgauge.llm import components, key_meeting, line_dedup, mixing, ngram_join, sharding, tables
 
 
 def union_find(items, links):
@@ -133,3 +134,52 @@ def test_passes_of_a_level_do_not_join_the_levels_before_it(spark, monkeypatch):
     got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), shards=8).collect()
     assert len(joins) >= 6 and max(joins) <= 3
     assert len(got) == 64 and {r["shard"] for r in got} == set(range(8))
+
+
+def test_lines_that_share_a_key_by_chance_go_no_further_and_no_link_is_lost(spark, monkeypatch):
+    rng = random.Random(5)
+    text = lambda k: "".join(rng.choices("abcdefghijklmnop ", k=k))
+    changed = lambda x, k: "".join("#" if j in at else c for j, c in enumerate(x)) if (at := set(rng.sample(range(len(x)), k))) else x
+    chance = [text(rng.choice([30, 95, 130, 400, 1500])) for _ in range(40)]
+    families = [[x, *[changed(x, 1 + len(x) // 400) for _ in range(copies - 1)], x[: -max(1, len(x) // 20)]] for x, copies in ((text(128), 20), (text(190), 3), (text(760), 2), (text(28), 2))]
+    lines = chance + [x for family in families for x in family]
+    sizes, _, sketch = line_dedup.described(lines)
+    # all lines share key 77; those of even place share another one; each line is there twice, some keys are nobody else's
+    rows = [(i, int(n), [77, 2**63 - 1 - i, *([-5] if i % 2 == 0 else [])], k) for i, (n, k) in enumerate(zip(sizes, sketch.to_pylist(), strict=True))]
+    described = spark.createDataFrame(rows * 2, "id long, n int, bands array<long>, sketch array<long>")
+    sets = [set(line_dedup.exact_set(x).tolist()) for x in lines]
+    links = {(a, b) for a, b in itertools.combinations(range(len(lines)), 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(links) > 150
+    results = []
+    for held, most in ((4, 28), (1, 16)):  # all at once, and in several shares
+        monkeypatch.setattr(key_meeting, "HELD", held)
+        monkeypatch.setattr(key_meeting, "MOST_BITS", most)
+        pairs, crowded = line_dedup._met(described, 80)
+        listed, groups = [tuple(r) for r in pairs.collect()], defaultdict(set)
+        for r in crowded.collect():
+            groups[r["key"]].add(r["gid"])
+        met = set(listed) | {p for ids in groups.values() for p in itertools.combinations(sorted(ids), 2)}
+        assert links <= met and len(set(listed)) == len(listed) and all(a < b for a, b in listed)
+        assert {i for ids in groups.values() for i in ids} <= set(range(40, 61)) and max(map(len, groups.values())) == 21
+        assert not any(a < 40 or b < 40 for a, b in listed)
+        results.append((sorted(listed), sorted(map(sorted, groups.values()))))
+    assert results[0] == results[1]
+
+
+def test_lines_are_described_where_they_are_read_and_descriptions_do_not_stay(spark, monkeypatch):
+    kept, bound = [], line_dedup.BROADCAST_LINES
+    stored = line_dedup.stored
+    texts = ["one line of some length here\nanother line, which is different", "One line  of some length here\nthird"]
+
+    def watched(df, label, *more):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        kept.append((label, "text" in plan and "Join" in plan, stored(df, label, *more)))
+        return kept[-1][-1]
+
+    monkeypatch.setattr(line_dedup, "stored", watched)
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)  # as on a large table
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: texts[0], 1: "third"} and bound
+    assert {label for label, joins, _ in kept if joins} <= {"texts"}  # texts move for lines that may link, and for the result
+    folders = {label: df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:") for label, _, df in kept if label in ("described", "lines")}
+    assert not os.path.exists(folders["described"]) and os.path.exists(folders["lines"])
