@@ -25,7 +25,7 @@ PART_POSTINGS = 1_000_000
 #: Least and most bits of the array of shared keys; where more keys are shared, more lines move in vain.
 LEAST_BITS, MOST_BITS = 16, 28
 #: Postings with sketches that are on disk at once, for each line.
-HELD = 4
+HELD = 2
 #: Lines of a crowded key that are compared with the others at once, and words of sketches.
 ROWS, COMPARED_WORDS = 16, 1 << 20
 #: Shingles for each bucket of a sketch, at most, where lines meet.
